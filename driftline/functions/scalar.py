@@ -63,10 +63,21 @@ def year_of(col: Column | str) -> Column:
     return F.year(as_column(col))
 
 
+def wall_clock_micros(col: Column | str) -> Column:
+    """Microseconds since 1970 of a zone-less timestamp, read off its own calendar fields.
+
+    Going through a zoned timestamp would shift the result by the session zone's
+    daylight saving.
+    """
+    col = as_column(col)
+    seconds = F.unix_date(col.cast("date")).cast("long") * 86400 + F.hour(col) * 3600 + F.minute(col) * 60
+    return seconds * 1000000 + (F.date_part(F.lit("SECOND"), col) * 1000000).cast("long")
+
+
 def epoch_text(col: Column | str) -> Column:
-    """Seconds since 1970 of a zone-less timestamp, as text with up to six decimals."""
-    micros = F.timestamp_diff("MICROSECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), as_column(col))
-    return (micros.cast("decimal(20,0)") / F.lit(1000000).cast("decimal(7,0)")).cast("decimal(26,6)").cast("string")
+    """Seconds since 1970 of a zone-less timestamp, as text with six decimals."""
+    micros = wall_clock_micros(col).cast("decimal(20,0)")
+    return (micros / F.lit(1000000).cast("decimal(7,0)")).cast("decimal(26,6)").cast("string")
 
 
 # --- numbers -----------------------------------------------------------------

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from driftline.functions.scalar import array_length, as_column, json_text, ratio, rounded_mean
+from driftline.functions.scalar import array_length, as_column, json_text, ratio, rounded_mean, wall_clock_micros
 
 _SKIPPED = (T.ArrayType, T.MapType, T.StructType, T.BinaryType, T.VariantType)
 _WHOLE = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.BooleanType)
@@ -33,6 +33,10 @@ def _comparable(field: T.StructField) -> tuple[str, Column]:
         return "whole", col.cast("int").cast("long") if isinstance(kind, T.BooleanType) else col.cast("long")
     if isinstance(kind, T.DateType):
         return "whole", F.unix_date(col).cast("long")
+    if isinstance(kind, T.TimestampType):
+        return "whole", F.unix_micros(col)
+    if isinstance(kind, T.TimestampNTZType):
+        return "whole", wall_clock_micros(col)
     if isinstance(kind, _REAL):
         return "real", col.cast("double") + F.lit(0.0)
     return "text", col.cast("string")

@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from driftline.functions.scalar import epoch_text, lookup, percent, rounded_mean, value_bands
+from driftline.functions.scalar import epoch_text, percent, rounded_mean, value_bands
 from driftline.operators.relational import expand_series
 
 LG_REGISTERS = 15
@@ -41,11 +41,12 @@ def band_label(cardinality: Column | str) -> Column:
     return value_bands(cardinality, BANDS, TOP_BAND)
 
 
-def set_size(bucket: Column, month: int) -> Column:
-    """Number of generated values per row by size bucket 1..10 and month column."""
+def set_size_sql(bucket: str, month: int) -> str:
+    """Number of generated values per row by size bucket 1..10 of a month column, as SQL."""
     small, medium, large, huge = 25 + 2 * month, 50 + 3 * month, 100 + 5 * month, 200 + 10 * month
-    return lookup(
-        bucket, {1: 10, 2: small, 3: small, 4: medium, 5: medium, 6: medium, 7: large, 8: large}, huge
+    return (
+        f"CASE WHEN {bucket} = 1 THEN 10 WHEN {bucket} <= 3 THEN {small} WHEN {bucket} <= 6 THEN {medium} "
+        f"WHEN {bucket} <= 8 THEN {large} ELSE {huge} END"
     )
 
 
@@ -59,16 +60,21 @@ def fill_month_sketches(facts: DataFrame, timestamp: str, columns: Sequence[str]
     facts are not moved.
     """
     month = F.when(F.year(timestamp) == year, F.month(timestamp))
-    sizes = F.lit(None).cast("int")
-    for number in range(len(columns), 0, -1):
-        bucket = F.pmod(F.xxhash64(F.col(timestamp), F.lit(number)), F.lit(10)) + 1
-        sizes = F.when(F.col("_month") == number, set_size(bucket, number)).otherwise(sizes)
-    in_year = facts.select(timestamp, month.alias("_month")).filter(F.col("_month").isNotNull())
-    series = expand_series(in_year.withColumn("_size", sizes), F.col("_size"))
-    num = F.col("num").cast("string")
-    value = F.concat(
-        num, F.lit("_hll"), F.col("_month").cast("string"), F.lit("_"), epoch_text(timestamp), F.lit("_"), num
+    cases = " ".join(f"WHEN {m} THEN {set_size_sql('_bucket', m)}" for m in range(1, len(columns) + 1))
+    rows = (
+        facts.select(timestamp, month.alias("_month"))
+        .filter(F.col("_month").isNotNull())
+        .select(
+            "_month",
+            (F.pmod(F.xxhash64(timestamp, "_month"), F.lit(10)) + 1).alias("_bucket"),
+            F.concat(F.lit("_hll"), F.col("_month").cast("string"), F.lit("_"), epoch_text(timestamp), F.lit("_")).alias(
+                "_tag"
+            ),
+        )
     )
+    series = expand_series(rows.select("_month", "_tag", F.expr(f"CASE _month {cases} END").alias("_size")), F.col("_size"))
+    num = F.col("num").cast("string")
+    value = F.concat(num, F.col("_tag"), num)
     by_month = build_sketches(series, ["_month"], value, "_sketch")
     joined = facts.drop(*columns).withColumn("_month", month).join(F.broadcast(by_month), "_month", "left")
     blank = empty_sketch(facts)

@@ -70,8 +70,10 @@ class TrackedLoad:
         listed = events.filter(F.col("generation") == current)
         return first_per_key(listed, ["file_name"], ["seq", "last_updated"], latest=True)
 
-    def _next(self, column: str) -> int:
-        return (self.events().agg(F.max(column)).first()[0] or 0) + 1
+    def _next(self) -> tuple[int, int]:
+        """Next event number and next file-list generation."""
+        last = self.events().agg(F.max("seq").alias("seq"), F.max("generation").alias("generation")).first()
+        return (last.seq or 0) + 1, (last.generation or 0) + 1
 
     def _append(self, events: DataFrame) -> None:
         missing = {f.name: F.lit(None).cast(f.dataType).alias(f.name) for f in LOAD_EVENT.fields}
@@ -85,13 +87,14 @@ class TrackedLoad:
 
     def initialise(self, files: DataFrame) -> None:
         """Start a new file list: every file PENDING, earlier lists are history."""
+        seq, generation = self._next()
         self._append(
             files.select(
                 plain_path("file_name").alias("file_name"),
                 F.lit(PENDING).alias("status"),
                 F.current_timestamp().alias("last_updated"),
-                F.lit(self._next("seq")).alias("seq"),
-                F.lit(self._next("generation")).alias("generation"),
+                F.lit(seq).alias("seq"),
+                F.lit(generation).alias("generation"),
             ).dropDuplicates(["file_name"])
         )
 
@@ -104,7 +107,7 @@ class TrackedLoad:
                 "file_name",
                 F.lit(PENDING).alias("status"),
                 F.current_timestamp().alias("last_updated"),
-                F.lit(self._next("seq")).alias("seq"),
+                F.lit(self._next()[0]).alias("seq"),
                 "generation",
             )
         )
@@ -161,7 +164,7 @@ class TrackedLoad:
                 row, "file_name string, status string, error_condition string, generation long"
             )
             self._append(
-                event.withColumn("last_updated", F.current_timestamp()).withColumn("seq", F.lit(self._next("seq")))
+                event.withColumn("last_updated", F.current_timestamp()).withColumn("seq", F.lit(self._next()[0]))
             )
 
         load_isolated(names, attempt, failed)
@@ -237,7 +240,7 @@ class TrackedLoad:
             F.when(~F.col("refused"), F.col("expected_count")).alias("csv_record_count"),
             F.when(~F.col("refused"), inserted).alias("inserted_row_count"),
             F.when(F.col("refused"), refused_text).otherwise(mismatch).alias("error_condition"),
-            F.lit(self._next("seq")).alias("seq"),
+            F.lit(self._next()[0]).alias("seq"),
             F.lit(batch).alias("batch_id"),
             F.lit(generation).alias("generation"),
         )

@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -23,23 +23,20 @@ from driftline.sources.rejects import REASON, split_rejects
 # --- fixed width ---------------------------------------------------------------
 
 
-def _pad(col: Column, width: int) -> Column:
-    return F.lpad(col.cast("string"), width, " ")
-
-
 def _month_lines(orders: DataFrame) -> DataFrame:
     """Orders as fixed-width month lines: customer is the station, status the element."""
-    reading = F.floor(F.col("o_totalprice") / 10).cast("int")
-    days = [F.max(F.when(F.day("o_orderdate") == d, reading)).alias(f"d{d}") for d in range(1, 32)]
-    months = orders.groupBy(
-        "o_custkey", F.year("o_orderdate").alias("y"), F.month("o_orderdate").alias("m"), "o_orderstatus"
-    ).agg(*days)
-    groups = [
-        F.concat(_pad(F.coalesce(F.col(f"d{d}"), F.lit(fixed_width.MISSING_READING)), 5), F.lit("M Q"))
+    missing = fixed_width.MISSING_READING
+    days = [
+        F.expr(f"lpad(coalesce(max(CASE WHEN d = {d} THEN reading END), {missing}), 5, ' ') || 'M Q'").alias(f"d{d}")
         for d in range(1, 32)
     ]
-    head = F.format_string("C%010d%04d%02d%-4s", "o_custkey", "y", "m", "o_orderstatus")
-    return months.select(F.concat(head, *groups).alias("value"))
+    readings = orders.selectExpr(
+        "format_string('C%010d%04d%02d%-4s', o_custkey, year(o_orderdate), month(o_orderdate), o_orderstatus) AS head",
+        "day(o_orderdate) AS d",
+        "CAST(floor(o_totalprice / 10) AS INT) AS reading",
+    )
+    months = readings.groupBy("head").agg(*days)
+    return months.select(F.concat("head", *[f"d{d}" for d in range(1, 32)]).alias("value"))
 
 
 @query(

@@ -16,6 +16,8 @@ SESSION_DEFAULTS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+    # Recording a Python stack frame per column call triples plan-building time.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 TARGET_SHUFFLE_BYTES = 128 * 1024 * 1024

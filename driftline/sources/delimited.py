@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from driftline.functions.scalar import format_text_array, parse_text_array
-from driftline.sources.rejects import REASON
+from driftline.sources.rejects import with_reason
 
 _CORRUPT = "_malformed"
 
@@ -55,16 +55,17 @@ def _typed(raw: Column, kind: T.DataType) -> Column:
 
 def _cast_or_reject(raw: DataFrame, schema: T.StructType, keep: list[str], malformed: Column) -> DataFrame:
     """Cast text columns named like the schema and say which one failed first."""
-    reason = F.when(malformed, F.lit("columns"))
-    for field in schema.fields:
-        if not isinstance(field.dataType, T.StringType):
-            failed = F.col(field.name).isNotNull() & _typed(F.col(field.name), field.dataType).isNull()
-            reason = reason.when(failed, F.lit(field.name))
-    return raw.select(
-        *[_typed(F.col(f.name), f.dataType).alias(f.name) for f in schema.fields],
+    typed = raw.select(
         *keep,
-        reason.alias(REASON),
+        malformed.alias("_bad_width"),
+        *[F.col(f.name).isNotNull().alias(f"_given_{i}") for i, f in enumerate(schema.fields)],
+        *[_typed(F.col(f.name), f.dataType).alias(f.name) for f in schema.fields],
     )
+    reason = F.when(F.col("_bad_width"), F.lit("columns"))
+    for i, field in enumerate(schema.fields):
+        if not isinstance(field.dataType, T.StringType):
+            reason = reason.when(F.col(f"_given_{i}") & F.col(field.name).isNull(), F.lit(field.name))
+    return with_reason(typed, keep, [F.col(name) for name in schema.fieldNames()], reason)
 
 
 def scan_csv_with_rejects(

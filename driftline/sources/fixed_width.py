@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from driftline.functions.scalar import blank_to_null, date_from_parts, fixed_slice, has_text, sentinel_to_null
-from driftline.sources.rejects import REASON
+from driftline.sources.rejects import with_reason
 
 MISSING_READING = -9999
 MISSING_ELEVATION = "-999.9"
@@ -56,40 +56,29 @@ def parse_daily_lines(lines: DataFrame, column: str = "value") -> DataFrame:
         F.rtrim(fixed_slice(line, 17, 4)).alias("element"),
         F.explode(F.sequence(F.lit(0), F.lit(DAYS_PER_LINE - 1))).alias("_day"),
     )
-    start = F.lit(DAY_OFFSET) + F.col("_day") * DAY_WIDTH
-    readings = days.select(
-        *keep,
-        "station_id",
-        "element",
-        "_year",
-        "_month",
-        "_day",
-        F.trim(fixed_slice(line, start, 5)).try_cast("int").alias("_reading"),
-        blank_to_null(fixed_slice(line, start + 5, 1)).alias("mflag"),
-        blank_to_null(fixed_slice(line, start + 6, 1)).alias("qflag"),
-        blank_to_null(fixed_slice(line, start + 7, 1)).alias("sflag"),
-    )
+    group = fixed_slice(line, F.lit(DAY_OFFSET) + F.col("_day") * DAY_WIDTH, DAY_WIDTH)
     bad_line = F.col("_year").isNull() | F.col("_month").isNull()
-    present = F.col("_reading").isNull() | (F.col("_reading") != MISSING_READING)
-    dated = readings.filter((bad_line & (F.col("_day") == 0)) | (~bad_line & present)).withColumn(
-        "observation_date", date_from_parts("_year", "_month", F.col("_day") + 1)
+    # The missing marker fills its field, so it is recognised before any number is parsed.
+    present = ~group.startswith(str(MISSING_READING))
+    wanted = days.filter((bad_line & (F.col("_day") == 0)) | (~bad_line & present)).withColumn("_group", group)
+    readings = wanted.select(
+        "*",
+        F.trim(fixed_slice("_group", 0, 5)).try_cast("int").alias("_reading"),
+        date_from_parts("_year", "_month", F.col("_day") + 1).alias("_date"),
     )
     reason = (
         F.when(bad_line, F.lit("line"))
         .when(F.col("_reading").isNull(), F.lit("value"))
-        .when(F.col("observation_date").isNull(), F.lit("date"))
+        .when(F.col("_date").isNull(), F.lit("date"))
     )
-    return dated.select(
-        *keep,
-        "station_id",
-        "observation_date",
-        "element",
+    columns = [
+        F.col("station_id"),
+        F.col("_date").alias("observation_date"),
+        F.col("element"),
         F.col("_reading").cast("decimal(18,4)").alias("value"),
-        "mflag",
-        "qflag",
-        "sflag",
-        reason.alias(REASON),
-    )
+        *[blank_to_null(fixed_slice("_group", 5 + i, 1)).alias(flag) for i, flag in enumerate(("mflag", "qflag", "sflag"))],
+    ]
+    return with_reason(readings, keep, columns, reason)
 
 
 def read_daily(spark: SparkSession, paths: str | list[str]) -> DataFrame:
@@ -112,17 +101,16 @@ def parse_station_lines(lines: DataFrame, column: str = "value") -> DataFrame:
         .when(elevation.isNull(), F.lit("elevation"))
     )
     missing = F.lit(MISSING_ELEVATION).cast("decimal(5,1)")
-    return raw.select(
-        *keep,
-        "station_id",
+    columns = [
+        F.col("station_id"),
         latitude.alias("latitude"),
         longitude.alias("longitude"),
         F.nullif(elevation, missing).alias("elevation"),
         sentinel_to_null("state", "").alias("state"),
-        "station_name",
+        F.col("station_name"),
         *[sentinel_to_null(c, "").alias(c) for c in ("gsn_flag", "hcn_crn_flag", "wmo_id")],
-        reason.alias(REASON),
-    )
+    ]
+    return with_reason(raw, keep, columns, reason)
 
 
 def read_stations(spark: SparkSession, paths: str | list[str]) -> DataFrame:

@@ -14,6 +14,17 @@ class RejectLimitExceeded(RuntimeError):
     """More rows failed to parse than the load allows."""
 
 
+def with_reason(df: DataFrame, keep: list[str], columns: list[Column], reason: Column) -> DataFrame:
+    """Select ``keep``, the parsed columns and the reject reason as one generated row.
+
+    A filter on the reason cannot be pushed below a generator, so the parse
+    expressions run once per row instead of once in the filter and once in the
+    projection.
+    """
+    row = F.struct(*columns, reason.alias(REASON))
+    return df.select(*keep, F.inline(F.array(row)))
+
+
 def split_rejects(parsed: DataFrame, fail_file: bool = False) -> tuple[DataFrame, DataFrame]:
     """Good rows without the reason column, and the rejected rows with it.
 
