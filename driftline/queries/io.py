@@ -15,6 +15,7 @@ from driftline.operators import climate
 from driftline.plans import layout
 from driftline.plans.star_catalogue import load_star_files, read_star_table
 from driftline.plans.tracked_load import TrackedLoad
+from driftline.plans.wide_tables import export_text
 from driftline.queries.registry import query, table
 from driftline.session import work_path
 from driftline.sources import delimited, fixed_width, listing, sinks
@@ -51,7 +52,9 @@ def _month_lines(orders: DataFrame) -> DataFrame:
     """
 )
 def fixed_width_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
-    parsed = fixed_width.parse_daily_lines(_month_lines(table(spark, sf, "orders")))
+    path = work_path(spark, "month-lines")
+    sinks.write_report(_month_lines(table(spark, sf, "orders")), path)
+    parsed = fixed_width.read_daily(spark, path)
     return parsed.groupBy("station_id", "element").agg(
         F.count("value").alias("readings"),
         F.sum("value").cast("long").alias("total"),
@@ -97,7 +100,9 @@ def _station_lines(suppliers: DataFrame) -> DataFrame:
     """
 )
 def station_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
-    return split_rejects(fixed_width.parse_station_lines(_station_lines(table(spark, sf, "supplier"))))[0]
+    path = work_path(spark, "station-lines")
+    sinks.write_report(_station_lines(table(spark, sf, "supplier")), path)
+    return split_rejects(fixed_width.read_stations(spark, path))[0].drop("source_file")
 
 
 @query(
@@ -132,16 +137,19 @@ def delimited_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
         "p_partkey", "p_name", "p_brand", "p_type", F.nullif("p_size", F.lit(7)).alias("p_size"), "p_retailprice",
         F.split("p_name", " ").alias("words"),
     )
-    parsed = delimited.parse_text_format(delimited.format_text_lines(parts), parts.schema)
-    return split_rejects(parsed)[0].withColumn("words", F.array_join("words", " "))
+    path = work_path(spark, "text-format")
+    export_text(parts, path)
+    parsed = delimited.read_text_format(spark, path, parts.schema)
+    return split_rejects(parsed)[0].drop("source_file").withColumn("words", F.array_join("words", " "))
 
 
 @query("SELECT doc_id, text, lang, source, n_chars FROM documents")
 def text_format_escapes(spark: SparkSession, sf: str) -> DataFrame:
     """Whole texts with line breaks, tabs and delimiters through the escaped text format."""
     documents = table(spark, sf, "documents").select("doc_id", "text", "lang", "source", "n_chars")
-    parsed = delimited.parse_text_format(delimited.format_text_lines(documents), documents.schema)
-    return split_rejects(parsed)[0]
+    path = work_path(spark, "text-escapes")
+    export_text(documents, path)
+    return split_rejects(delimited.read_text_format(spark, path, documents.schema))[0].drop("source_file")
 
 
 _ORDER_FILE = T.StructType(

@@ -149,10 +149,14 @@ def scan_csv_after_preamble(
 def parse_csv_lines(
     lines: DataFrame, schema: T.StructType, *, delimiter: str = ",", null: str = "", quote: str = '"'
 ) -> DataFrame:
-    """CSV lines in ``value`` to typed columns; a bad line fails the job."""
+    """CSV lines in ``value`` to typed columns; a bad line fails the job.
+
+    The record is generated rather than projected, so a filter on a parsed
+    column is not moved ahead of the removal of preamble lines.
+    """
     options = {"sep": delimiter, "nullValue": null, "quote": quote, "escape": quote or "\\", "mode": "FAILFAST"}
     record = F.from_csv("value", schema.simpleString()[len("struct<"):-1].replace(":", " "), options)
-    return lines.select(record.alias("r")).select("r.*")
+    return lines.select(F.inline(F.array(record)))
 
 
 # --- backslash-escaped text format ----------------------------------------------
