@@ -70,7 +70,7 @@ def _contains(variant: Column, path: str, wanted: Any) -> Column:
         return result
     field = F.to_json(F.try_variant_get(variant, path, "variant"))
     if isinstance(wanted, (list, tuple)):
-        elements = F.transform(F.try_variant_get(variant, path, "array<variant>"), F.to_json)
+        elements = F.transform(F.try_variant_get(variant, path, "array<variant>"), lambda item: F.to_json(item))
         result = elements.isNotNull()
         for value in wanted:
             result = result & F.array_contains(elements, F.lit(json.dumps(value)))

@@ -4,8 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 
+# A plan that cannot be made raises the first, a job that fails at run time either.
+JOB_ERRORS = (PySparkException, Py4JJavaError)
+
 
 def load_isolated(
     files: list[str], attempt: Callable[[list[str]], None], failed: Callable[[str, Exception], None]
@@ -20,7 +24,7 @@ def load_isolated(
         return
     try:
         attempt(files)
-    except PySparkException as error:
+    except JOB_ERRORS as error:
         if len(files) == 1:
             failed(files[0], error)
             return
@@ -30,4 +34,12 @@ def load_isolated(
 
 
 def short_message(error: Exception, limit: int = 255) -> str:
-    return str(error).strip().splitlines()[0][:limit]
+    """First line of what went wrong; for a failed job that of its innermost cause."""
+    if isinstance(error, Py4JJavaError):
+        cause = error.java_exception
+        while cause.getCause() is not None:
+            cause = cause.getCause()
+        text = cause.toString()
+    else:
+        text = str(error)
+    return (text.strip().splitlines() or [type(error).__name__])[0][:limit]

@@ -29,10 +29,11 @@ def load_star_files(
 ) -> DataFrame:
     """Load every compressed CSV file of a folder; returns rows or error per file.
 
-    A file with a bad row or damaged compression contributes nothing. The key
-    numbers follow the sky, so files with disjoint key ranges are also sky
-    regions. Compressed files cannot be split: the range shuffle that follows
-    the scan restores parallelism.
+    A file with a bad row or damaged compression contributes nothing.
+    Compressed files cannot be split: the shuffle by key that follows the scan
+    restores parallelism, and sorting by key lets row groups be skipped. A hash
+    shuffle is used because range bounds would need a sampling pass, that is a
+    second decompression of every file.
     """
     listed = require_files(list_files(spark, folder, pattern), f"{folder}/{pattern}")
     # The scan takes its paths from the driver, which holds the listing anyway.
@@ -45,7 +46,7 @@ def load_star_files(
     def attempt(files: list[str]) -> None:
         group = f"{target}/load_group={hashlib.sha256(chr(10).join(files).encode()).hexdigest()[:20]}"
         rows = scan_csv(spark, files, schema).withColumn(SOURCE, F.col("_metadata.file_path"))
-        write_columnar(rows, group, cluster_by=[key], sort_by=[key], by_range=True)
+        write_columnar(rows, group, cluster_by=[key], sort_by=[key])
         groups.append(group)
 
     load_isolated(names, attempt, lambda name, error: errors.append((name, 0, short_message(error))))
