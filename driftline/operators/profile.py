@@ -43,44 +43,45 @@ def _comparable(field: T.StructField) -> tuple[str, Column]:
 
 
 def column_cardinality(df: DataFrame, columns: Sequence[str] | None = None, approx: bool = False) -> DataFrame:
-    """Rows, distinct values and their ratio per column.
+    """Rows, distinct values and their ratio per column; the ratio of an empty table is NULL.
 
-    ``approx`` replaces the exact count by a one-pass estimate.
+    ``approx`` estimates the distinct count in one aggregation.
     """
     columns = list(columns or profiled_columns(df))
-    if approx:
-        return _approximate_cardinality(df, columns)
     families: dict[str, list[Column]] = {}
     for name in columns:
         family, value = _comparable(df.schema[name])
         families.setdefault(family, []).append(value.alias(name))
-    parts = [_count_pairs(df.select(*values)) for values in families.values()]
-    result = parts[0]
+    parts = [_count_pairs(df.select(*values), approx) for values in families.values()]
+    counted = parts[0]
     for part in parts[1:]:
-        result = result.unionByName(part)
-    return result
+        counted = counted.unionByName(part)
+    return _one_row_each(counted, columns, "column_name")
 
 
-def _count_pairs(values: DataFrame) -> DataFrame:
-    """Cardinality of same-typed columns by two aggregations over (column, value)."""
+def _count_pairs(values: DataFrame, approx: bool = False) -> DataFrame:
+    """Row and distinct counts of same-typed columns, from one pass over (column, value) pairs."""
     pairs = values.unpivot([], [F.col(f"`{c}`") for c in values.columns], "column_name", "value")
+    if approx:
+        return pairs.groupBy("column_name").agg(
+            F.count(F.lit(1)).alias("total_rows"), F.approx_count_distinct("value").alias("distinct_values")
+        )
     per_value = pairs.groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("_n"))
-    per_column = per_value.groupBy("column_name").agg(
+    return per_value.groupBy("column_name").agg(
         F.sum("_n").alias("total_rows"), F.count("value").alias("distinct_values")
     )
-    return per_column.withColumn("cardinality_ratio", ratio("distinct_values", "total_rows"))
 
 
-def _approximate_cardinality(df: DataFrame, columns: list[str]) -> DataFrame:
-    counts = df.agg(
-        F.count(F.lit(1)).alias("_total"), *[F.approx_count_distinct(c).alias(c) for c in columns]
-    )
-    rows = counts.unpivot(["_total"], columns, "column_name", "distinct_values")
-    return rows.select(
-        "column_name",
-        F.col("_total").alias("total_rows"),
-        "distinct_values",
-        ratio("distinct_values", "_total").alias("cardinality_ratio"),
+def _one_row_each(counted: DataFrame, names: list[str], label: str) -> DataFrame:
+    """A row per profiled column, also when the table is empty."""
+    listed = counted.sparkSession.createDataFrame([(n,) for n in names], f"`{label}` string")
+    # At most one row per profiled column on either side.
+    joined = listed.join(F.broadcast(counted.withColumnRenamed("column_name", label)), label, "left")
+    return joined.select(
+        label,
+        F.coalesce("total_rows", F.lit(0)).alias("total_rows"),
+        F.coalesce("distinct_values", F.lit(0)).alias("distinct_values"),
+        ratio("distinct_values", "total_rows").alias("cardinality_ratio"),
     )
 
 
@@ -97,7 +98,7 @@ def json_cardinality(
     ``literal_key`` treats the whole path as one key.
     """
     values = df.select(*[json_text(c, p, literal_key).alias(f"{c}.{p}") for c, p in fields])
-    counted = _count_pairs(values).withColumnRenamed("column_name", "json_field")
+    counted = _one_row_each(_count_pairs(values), [f"{c}.{p}" for c, p in fields], "json_field")
     return counted.orderBy("cardinality_ratio", "json_field")
 
 

@@ -10,7 +10,7 @@ from driftline.operators.sketch import fill_month_sketches
 from driftline.plans.layout import write_months
 from driftline.schemas import ALL_FACTS, BEESWAX, WIN_LOGS, without
 from driftline.sources.delimited import format_text_lines, read_text_format
-from driftline.sources.rejects import enforce_reject_limit
+from driftline.sources.rejects import refuse_rejects
 
 SKETCH_COLUMNS = [f.name for f in ALL_FACTS.fields if isinstance(f.dataType, T.BinaryType)]
 ARRAY_COLUMNS = [f.name for f in ALL_FACTS.fields if isinstance(f.dataType, T.ArrayType)]
@@ -23,8 +23,7 @@ def export_text(df: DataFrame, path: str) -> None:
 
 def _strict(spark: SparkSession, paths: str | list[str], schema: T.StructType) -> DataFrame:
     """Text-format rows; a single bad row refuses the load."""
-    parsed = read_text_format(spark, paths, schema)
-    return enforce_reject_limit(parsed, 0.0).select(*schema.fieldNames())
+    return refuse_rejects(read_text_format(spark, paths, schema)).select(*schema.fieldNames())
 
 
 def load_win_logs(spark: SparkSession, paths: str | list[str], target: str) -> None:

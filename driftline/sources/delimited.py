@@ -42,30 +42,33 @@ def _csv_reader(spark: SparkSession, header: bool, delimiter: str, null: str, qu
     )
 
 
-def _typed(raw: Column, kind: T.DataType) -> Column:
-    """Text to a declared type; NULL when it does not parse."""
+def _typed(raw: str, kind: T.DataType) -> Column:
+    """SQL text of a raw field to a declared type; NULL when it does not parse."""
     if isinstance(kind, T.StringType):
-        return raw
+        return F.expr(raw)
     if isinstance(kind, T.ArrayType):
-        return parse_text_array(raw)
+        return parse_text_array(F.expr(raw))
     if isinstance(kind, T.BinaryType):
-        return F.try_to_binary(F.regexp_replace(raw, r"^\\x", ""), F.lit("hex"))
-    return F.trim(raw).try_cast(kind)
+        return F.try_to_binary(F.regexp_replace(F.expr(raw), r"^\\x", ""), F.lit("hex"))
+    return F.expr(f"try_cast(trim({raw}) AS {kind.simpleString()})")
 
 
-def _cast_or_reject(raw: DataFrame, schema: T.StructType, keep: list[str], malformed: Column) -> DataFrame:
-    """Cast text columns named like the schema and say which one failed first."""
-    typed = raw.select(
-        *keep,
-        malformed.alias("_bad_width"),
-        *[F.col(f.name).isNotNull().alias(f"_given_{i}") for i, f in enumerate(schema.fields)],
-        *[_typed(F.col(f.name), f.dataType).alias(f.name) for f in schema.fields],
+def _cast_or_reject(
+    rows: DataFrame, schema: T.StructType, keep: list[str], fields: list[str], malformed: str
+) -> DataFrame:
+    """Cast raw fields, given as SQL text in schema order, and say which one failed first.
+
+    Expressions are written as SQL text because a wide table has hundreds of them
+    and each text is one call into the planner.
+    """
+    typed = rows.select("*", *[_typed(raw, f.dataType).alias(f"_v{i}") for i, (raw, f) in enumerate(zip(fields, schema.fields))])
+    checks = " ".join(
+        f"WHEN {raw} IS NOT NULL AND _v{i} IS NULL THEN '{field.name}'"
+        for i, (raw, field) in enumerate(zip(fields, schema.fields))
+        if not isinstance(field.dataType, T.StringType)
     )
-    reason = F.when(F.col("_bad_width"), F.lit("columns"))
-    for i, field in enumerate(schema.fields):
-        if not isinstance(field.dataType, T.StringType):
-            reason = reason.when(F.col(f"_given_{i}") & F.col(field.name).isNull(), F.lit(field.name))
-    return with_reason(typed, keep, [F.col(name) for name in schema.fieldNames()], reason)
+    reason = F.expr(f"CASE WHEN {malformed} THEN 'columns' {checks} END")
+    return with_reason(typed, keep, [F.col(f"_v{i}").alias(name) for i, name in enumerate(schema.fieldNames())], reason)
 
 
 def scan_csv_with_rejects(
@@ -94,7 +97,8 @@ def scan_csv_with_rejects(
         .csv(paths)
         .withColumn("source_file", F.col("_metadata.file_path"))
     )
-    return _cast_or_reject(raw, schema, ["source_file"], F.col(_CORRUPT).isNotNull())
+    names = [f"`{name}`" for name in schema.fieldNames()]
+    return _cast_or_reject(raw, schema, ["source_file"], names, f"{_CORRUPT} IS NOT NULL")
 
 
 def count_records(
@@ -181,32 +185,22 @@ def parse_text_format(
 ) -> DataFrame:
     """Lines of the unquoted text format to typed columns plus ``reject_reason``.
 
-    Escapes are resolved only on lines that hold a backslash other than in a
-    null marker. Plain replacements are used instead of a pattern for the whole
-    field, whose cost and stack depth would grow with the text.
+    Null markers and escapes are resolved only on lines that hold a backslash.
+    Plain replacements are used instead of a pattern for the whole field, whose
+    cost and stack depth would grow with the text.
     """
     keep = [c for c in lines.columns if c != column]
     line = F.col(column)
-    escaped = F.replace(line, F.lit(null), F.lit("")).contains("\\")
+    mark = f"[{delimiter}]"
     hidden = F.replace(line, F.lit("\\\\"), F.lit(_BACKSLASH))
     hidden = F.replace(hidden, F.lit("\\" + delimiter), F.lit(_DELIMITER))
-    fields = lines.select(
-        *keep,
-        escaped.alias("_escaped"),
-        F.split(F.when(escaped, hidden).otherwise(line), f"[{delimiter}]", -1).alias("_fields"),
+    resolved = F.transform(F.split(hidden, mark, -1), lambda f: F.when(f != null, _unescape(f, delimiter)))
+    split = F.when(line.contains("\\"), resolved).otherwise(F.split(line, mark, -1))
+    fields = [f"get(_fields, {i})" for i in range(len(schema))]
+    return _cast_or_reject(
+        lines.select(*keep, split.alias("_fields")), schema, keep, fields, f"size(_fields) <> {len(schema)}"
     )
 
-    def cell(index: int) -> Column:
-        text = F.nullif(F.get("_fields", F.lit(index)), F.lit(null))
-        return F.when(F.col("_escaped"), _unescape(text, delimiter)).otherwise(text)
-
-    raw = fields.select(
-        *keep,
-        *[cell(i).alias(f.name) for i, f in enumerate(schema.fields)],
-        (F.size("_fields") != len(schema)).alias(_CORRUPT),
-    )
-    return _cast_or_reject(raw, schema, keep, F.col(_CORRUPT))
-
 
 def read_text_format(
     spark: SparkSession, paths: str | list[str], schema: T.StructType, *, delimiter: str = "|", null: str = "\\N"
@@ -219,18 +213,22 @@ def read_text_format(
 def format_text_lines(df: DataFrame, *, delimiter: str = "|", null: str = "\\N") -> DataFrame:
     """Rows to text-format lines, escaping backslash, delimiter and line breaks."""
 
+    escapes = [("\\", "\\\\"), (delimiter, "\\" + delimiter), ("\n", "\\n"), ("\r", "\\r"), ("\t", "\\t")]
+
     def cell(field: T.StructField) -> Column:
         col = F.col(field.name)
-        if isinstance(field.dataType, T.ArrayType):
-            text = format_text_array(col)
-        elif isinstance(field.dataType, T.BinaryType):
-            text = F.concat(F.lit("\\x"), F.lower(F.hex(col)))
+        if isinstance(field.dataType, T.BinaryType):
+            # The backslash of the hex prefix is itself escaped in this format.
+            text = F.concat(F.lit("\\\\x"), F.lower(F.hex(col)))
+        elif isinstance(field.dataType, (T.StringType, T.ArrayType)):
+            text = format_text_array(col) if isinstance(field.dataType, T.ArrayType) else col
+            special = text.rlike(f"[{delimiter}\\\\\n\r\t]")
+            escaped = text
+            for char, escape in escapes:
+                escaped = F.replace(escaped, F.lit(char), F.lit(escape))
+            text = F.when(special, escaped).otherwise(text)
         else:
             text = col.cast("string")
-        if not isinstance(field.dataType, (T.StringType, T.ArrayType, T.BinaryType)):
-            return F.coalesce(text, F.lit(null))
-        for char, escape in (("\\", "\\\\"), (delimiter, "\\" + delimiter), ("\n", "\\n"), ("\r", "\\r"), ("\t", "\\t")):
-            text = F.replace(text, F.lit(char), F.lit(escape))
         return F.coalesce(text, F.lit(null))
 
     return df.select(F.concat_ws(delimiter, *[cell(f) for f in df.schema.fields]).alias("value"))

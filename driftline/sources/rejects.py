@@ -64,3 +64,9 @@ def enforce_reject_limit(parsed: DataFrame, limit_percent: float = 1.0) -> DataF
             f"{rate['rejected_rows']} of {rate['total_rows']} rows rejected, limit {limit_percent} percent"
         )
     return split_rejects(parsed)[0]
+
+
+def refuse_rejects(parsed: DataFrame) -> DataFrame:
+    """Good rows of a load that tolerates none: the first reject fails the job, in the same pass."""
+    complaint = F.raise_error(F.concat(F.lit("row rejected: "), F.col(REASON))).cast("boolean")
+    return parsed.filter(F.when(F.col(REASON).isNull(), F.lit(True)).otherwise(complaint)).drop(REASON)
