@@ -13,6 +13,11 @@ from driftline.queries.registry import query, table
 from driftline.schemas import MONTH_NAMES
 
 
+def priced_orders(spark: SparkSession, sf: str) -> DataFrame:
+    """Orders whose price is a decimal measure, so that means do not depend on the order of addition."""
+    return table(spark, sf, "orders").withColumn("o_totalprice", F.col("o_totalprice").cast("decimal(18,4)"))
+
+
 @query(
     """
     SELECT CAST(year(l_shipdate) AS INTEGER) AS year, avg(l_quantity) AS avg_value
@@ -28,13 +33,13 @@ def yearly_avg_range(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(
     """
-    SELECT CAST(year(o_orderdate) AS INTEGER) AS year, round(avg(o_totalprice), 4) AS avg_value
+    SELECT CAST(year(o_orderdate) AS INTEGER) AS year,
+           CAST(sum(CAST(o_totalprice AS DECIMAL(18,4))) AS DOUBLE) / count(o_totalprice) AS avg_value
     FROM orders GROUP BY 1
     """
 )
 def yearly_avg(spark: SparkSession, sf: str) -> DataFrame:
-    means = ops.yearly_mean(table(spark, sf, "orders"), "o_orderdate", "o_totalprice")
-    return means.withColumn("avg_value", F.round("avg_value", 4))
+    return ops.yearly_mean(priced_orders(spark, sf), "o_orderdate", "o_totalprice")
 
 
 @query(
@@ -52,13 +57,13 @@ def yearly_avg_exact(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(
     """
-    SELECT CAST(date_trunc('month', o_orderdate) AS DATE) AS month, round(avg(o_totalprice), 4) AS avg_value
+    SELECT CAST(date_trunc('month', o_orderdate) AS DATE) AS month,
+           CAST(sum(CAST(o_totalprice AS DECIMAL(18,4))) AS DOUBLE) / count(o_totalprice) AS avg_value
     FROM orders WHERE o_orderstatus = 'F' GROUP BY 1
     """
 )
 def monthly_avg_category(spark: SparkSession, sf: str) -> DataFrame:
-    means = ops.monthly_mean(table(spark, sf, "orders"), "o_orderdate", "o_totalprice", "o_orderstatus", "F")
-    return means.withColumn("avg_value", F.round("avg_value", 4))
+    return ops.monthly_mean(priced_orders(spark, sf), "o_orderdate", "o_totalprice", "o_orderstatus", "F")
 
 
 @query(
@@ -136,7 +141,7 @@ def wide_to_long(spark: SparkSession, sf: str) -> DataFrame:
     """
     WITH cells AS (
         SELECT CAST(year(o_orderdate) AS INTEGER) AS year, CAST(month(o_orderdate) AS INTEGER) AS month_no,
-               round(avg(o_totalprice), 4) AS mean
+               CAST(sum(CAST(o_totalprice AS DECIMAL(18,4))) AS DOUBLE) / count(o_totalprice) AS mean
         FROM orders GROUP BY 1, 2
     ), grid AS (
         SELECT year, CAST(m AS INTEGER) AS month_no FROM (SELECT DISTINCT year FROM cells), range(1, 13) AS r(m)
@@ -149,17 +154,15 @@ def wide_to_long(spark: SparkSession, sf: str) -> DataFrame:
 )
 def anomaly_long(spark: SparkSession, sf: str) -> DataFrame:
     """Yearly rows with twelve month columns, months without data NULL, turned to twelve rows each."""
-    month = F.month("o_orderdate")
-    wide = (
-        table(spark, sf, "orders")
-        .groupBy(F.year("o_orderdate").alias("year"))
-        .agg(
-            *[
-                F.round(F.avg(F.when(month == number, F.col("o_totalprice"))), 4).alias(name.lower())
-                for number, name in enumerate(MONTH_NAMES, start=1)
-            ]
-        )
-    )
+    means = [
+        F.expr(
+            f"try_divide(CAST(sum(o_totalprice) FILTER (WHERE month = {number}) AS DOUBLE), "
+            f"count(o_totalprice) FILTER (WHERE month = {number}))"
+        ).alias(name.lower())
+        for number, name in enumerate(MONTH_NAMES, start=1)
+    ]
+    orders = priced_orders(spark, sf).withColumn("month", F.month("o_orderdate"))
+    wide = orders.groupBy(F.year("o_orderdate").alias("year")).agg(*means)
     return ops.yearly_anomaly_long(wide)
 
 

@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 from driftline.operators import climate
 from driftline.plans import layout
 from driftline.plans.star_catalogue import load_star_files, read_star_table
+from driftline.plans.stations import load_stations, read_station_table
 from driftline.plans.tracked_load import TrackedLoad
 from driftline.plans.wide_tables import export_text
 from driftline.queries.registry import query, table
@@ -127,6 +128,26 @@ def station_report(spark: SparkSession, sf: str) -> DataFrame:
     return fixed_width.station_report(blanked)
 
 
+@query(
+    """
+    SELECT count(*) AS stations, count(*) FILTER (WHERE s_nationkey < 10) AS without_elevation,
+           CAST(sum(CAST(printf('%.4f', s_acctbal / 100) AS DECIMAL(8,4))) AS DOUBLE) AS latitude_sum
+    FROM supplier
+    """
+)
+def station_load(spark: SparkSession, sf: str) -> DataFrame:
+    """Station files loaded twice: the second load finds every station present."""
+    work = work_path(spark, "station-load")
+    sinks.write_report(_station_lines(table(spark, sf, "supplier")), f"{work}/in")
+    for _ in range(2):
+        load_stations(spark, f"{work}/in", f"{work}/table")
+    return read_station_table(spark, f"{work}/table").agg(
+        F.count(F.lit(1)).alias("stations"),
+        F.count_if(F.col("elevation").isNull()).alias("without_elevation"),
+        F.sum("latitude").cast("double").alias("latitude_sum"),
+    )
+
+
 # --- delimited text ----------------------------------------------------------------
 
 
@@ -282,6 +303,21 @@ _DISTINCT_OBSERVATIONS_SQL = """
 """
 
 
+def _started_load(spark: SparkSession, sf: str, work: str) -> TrackedLoad:
+    """Observation files in a folder per station, registered as pending."""
+    placed = _observations(spark, sf).withColumn("station", F.col("station_id"))
+    sinks.write_csv_per_source(placed, f"{work}/in", "station")
+    job = TrackedLoad(spark, f"{work}/table", lambda path: F.regexp_extract(path, "station=([^/]+)/", 1))
+    job.initialise(listing.list_files(spark, f"{work}/in", "*.csv"))
+    return job
+
+
+def _unfinished(job: TrackedLoad) -> DataFrame:
+    return job.state().agg(
+        F.count_if(F.col("status") == "PENDING").alias("pending"), F.count_if(F.col("status") == "FAILED").alias("failed")
+    )
+
+
 @query(
     f"""
     SELECT CAST(year(day) AS INTEGER) AS year, count(*) AS row_count, avg(l_quantity) AS avg_value,
@@ -290,22 +326,35 @@ _DISTINCT_OBSERVATIONS_SQL = """
     """
 )
 def tracked_load(spark: SparkSession, sf: str) -> DataFrame:
-    """Files per station registered, claimed, loaded without duplicates, reconciled and queried."""
-    work = work_path(spark, "tracked-load")
-    placed = _observations(spark, sf).withColumn("station", F.col("station_id"))
-    sinks.write_csv_per_source(placed, f"{work}/in", "station")
-    job = TrackedLoad(spark, f"{work}/table", lambda path: F.regexp_extract(path, "station=([^/]+)/", 1))
-    job.initialise(listing.list_files(spark, f"{work}/in", "*.csv"))
+    """Files registered, claimed, loaded without duplicates, reconciled and queried."""
+    job = _started_load(spark, sf, work_path(spark, "tracked-load"))
     job.load_all(batch_size=1000)
-    state = job.state().agg(
-        F.count_if(F.col("status") == "PENDING").alias("p"), F.count_if(F.col("status") == "FAILED").alias("f")
-    )
-    facts = job.facts()
+    state, facts = _unfinished(job), job.facts()
     return (
         facts.groupBy(F.year("observation_date").alias("year"))
         .agg(F.count(F.lit(1)).alias("row_count"), climate.mean_of(facts, "value").alias("avg_value"))
-        .withColumn("pending_files", state.select("p").scalar())
-        .withColumn("failed_files", state.select("f").scalar())
+        .withColumn("pending_files", state.select("pending").scalar())
+        .withColumn("failed_files", state.select("failed").scalar())
+    )
+
+
+@query(
+    """
+    SELECT 2 * count(*) AS total_rows, TRUE AS all_files_done, 0::BIGINT AS pending_files FROM lineitem
+    """
+)
+def tracked_batch_reload(spark: SparkSession, sf: str) -> DataFrame:
+    """Batch load, reset, batch load again: every line is appended twice."""
+    job = _started_load(spark, sf, work_path(spark, "batch-load"))
+    registered = job.state().count()
+    job.load_batch(1000)
+    job.reset()
+    job.load_batch(1000)
+    return (
+        job.statistics()
+        .withColumn("all_files_done", F.col("files_processed") == registered)
+        .withColumn("pending_files", _unfinished(job).select("pending").scalar())
+        .select("total_rows", "all_files_done", "pending_files")
     )
 
 
@@ -391,3 +440,20 @@ def partition_sizes(spark: SparkSession, sf: str) -> DataFrame:
         (F.sum("size_bytes") == total.scalar()).alias("sizes_add_up"),
         F.count(F.lit(1)).cast("int").alias("partitions"),
     ).select(rows.scalar().alias("row_count"), "sizes_add_up", "partitions")
+
+
+@query(
+    """
+    SELECT l_partkey, count(*) AS row_count, CAST(sum(l_quantity) AS DOUBLE) AS quantity FROM lineitem
+    WHERE l_partkey BETWEEN 100 AND 140 GROUP BY 1
+    """
+)
+def range_clustered_lookup(spark: SparkSession, sf: str) -> DataFrame:
+    """Key-range lookup on a table whose files hold disjoint, sorted key ranges."""
+    path = work_path(spark, "clustered")
+    rows = table(spark, sf, "lineitem").select("l_partkey", "l_orderkey", "l_linenumber", "l_quantity")
+    sinks.write_columnar(rows, path, cluster_by=["l_partkey"], sort_by=["l_partkey", "l_orderkey"], by_range=True)
+    found = spark.read.parquet(path).filter(F.col("l_partkey").between(100, 140))
+    return found.groupBy("l_partkey").agg(
+        F.count(F.lit(1)).alias("row_count"), F.sum("l_quantity").alias("quantity")
+    )

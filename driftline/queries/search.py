@@ -74,6 +74,30 @@ def link_extract(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@query(
+    rf"""
+    WITH targets AS (
+        SELECT page_id, list_transform(regexp_extract_all(
+            regexp_replace(html, '(?is)<!--.*?-->|<script\b.*?</script>|<style\b.*?</style>', '', 'g'),
+            '(?is)<a\b[^>]*?\shref\s*=\s*("[^"]*"|''[^'']*''|[^\s>"'']+)', 1),
+            lambda t: replace(regexp_replace(t, '^["'']|["'']$', '', 'g'), '&amp;', '&')) AS hrefs
+        FROM pages
+    ), links AS (
+        SELECT page_id, unnest(hrefs) AS href, generate_subscripts(hrefs, 1) - 1 AS position FROM targets
+    ), chosen AS (
+        SELECT * FROM links WHERE regexp_matches(href, '^/[A-Za-z]+$') ORDER BY page_id, position LIMIT 500
+    )
+    SELECT page_id, CAST(position AS INTEGER) AS position, 'https://host' || href AS link_url FROM chosen
+    WHERE regexp_extract(href, '([^/]+)$', 1) NOT IN (SELECT lang FROM documents)
+    """
+)
+def next_downloads(spark: SparkSession, sf: str) -> DataFrame:
+    """The first 500 links in page order without those whose target name is already present."""
+    links = listing.extract_links(table(spark, sf, "pages"), "html", "https://host", "^/[A-Za-z]+$")
+    present = table(spark, sf, "documents").select(F.col("lang").alias("file_name"))
+    return listing.next_downloads(links, present, first=500).select("page_id", "position", "link_url")
+
+
 @query(
     """
     SELECT d.doc_id, d.source FROM documents d WHERE d.doc_id NOT IN (SELECT doc_id FROM labels)

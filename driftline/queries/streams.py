@@ -24,18 +24,20 @@ def stream_ingest(spark: SparkSession, sf: str) -> DataFrame:
 @query(
     """
     SELECT CAST(date_trunc('month', o_orderdate) AS DATE) AS month, o_orderstatus AS category,
-           round(avg(o_totalprice), 4) AS avg_value
+           CAST(sum(CAST(o_totalprice AS DECIMAL(18,4))) AS DOUBLE) / count(o_totalprice) AS avg_value
     FROM orders GROUP BY 1, 2
     """
 )
 def stream_monthly_mean(spark: SparkSession, sf: str) -> DataFrame:
     schema = table(spark, sf, "orders").schema
     work = work_path(spark, "stream-monthly")
-    stream = ingest.file_stream(spark, sf, schema, fmt="parquet", pattern="orders.parquet")
+    stream = ingest.file_stream(spark, sf, schema, fmt="parquet", pattern="orders.parquet").withColumn(
+        "o_totalprice", F.col("o_totalprice").cast("decimal(18,4)")
+    )
     means = monthly.monthly_mean_stream(stream, "o_orderdate", "o_totalprice", "o_orderstatus")
     monthly.maintain(means, f"{work}/means", f"{work}/checkpoint").awaitTermination()
     changes = spark.read.parquet(f"{work}/means")
-    return monthly.current_means(changes).withColumn("avg_value", F.round("avg_value", 4))
+    return monthly.current_means(changes)
 
 
 @query(

@@ -8,6 +8,7 @@ from pyspark.sql import SparkSession
 
 ROOT = Path(__file__).resolve().parent.parent
 sys.path.insert(0, str(ROOT))
+sys.path.insert(0, str(ROOT / "tests"))
 
 from driftline.session import SESSION_DEFAULTS  # noqa: E402
 

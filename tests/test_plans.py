@@ -209,6 +209,23 @@ def test_batch_load(spark, inbox, tmp_path):
     assert job.facts().count() == 11
 
 
+def test_station_load_keeps_first_and_existing(spark, tmp_path):
+    from driftline.plans.stations import load_stations, read_station_table
+
+    def line(sid, lat, name):
+        return f"{sid:<11} {lat:>8} {'1.0':>9} {'1.0':>6}    {name:<30}"
+
+    path = str(tmp_path / "stations")
+    assert read_station_table(spark, path).count() == 0
+    (tmp_path / "a.txt").write_text("\n".join([line("A", "1.5", "first"), "", line("A", "2.5", "second"), line("B", "3.5", "b")]))
+    load_stations(spark, str(tmp_path / "a.txt"), path)
+    (tmp_path / "b.txt").write_text("\n".join([line("B", "9.5", "late"), line("C", "4.5", "c")]))
+    load_stations(spark, str(tmp_path / "b.txt"), path)
+    assert sorted((r.station_id, r.station_name) for r in read_station_table(spark, path).collect()) == [
+        ("A", "first"), ("B", "b"), ("C", "c"),
+    ]
+
+
 # --- star catalogue -------------------------------------------------------------------
 
 STARS = schemas._struct("source_id:long ra:double dec:double")
