@@ -60,16 +60,24 @@ def column_cardinality(df: DataFrame, columns: Sequence[str] | None = None, appr
 
 
 def _count_pairs(values: DataFrame, approx: bool = False) -> DataFrame:
-    """Row and distinct counts of same-typed columns, from one pass over (column, value) pairs."""
-    pairs = values.unpivot([], [F.col(f"`{c}`") for c in values.columns], "column_name", "value")
+    """Row and distinct counts of same-typed columns, from one pass over (column, value) pairs.
+
+    Columns are numbered while rows are shuffled; an integer groups faster and
+    moves fewer bytes than a name. Names are put back on the folded counts.
+    """
+    cells = F.array(*[F.col(f"`{c}`") for c in values.columns])
+    pairs = values.select(F.posexplode(cells).alias("_column", "value"))
     if approx:
-        return pairs.groupBy("column_name").agg(
+        counted = pairs.groupBy("_column").agg(
             F.count(F.lit(1)).alias("total_rows"), F.approx_count_distinct("value").alias("distinct_values")
         )
-    per_value = pairs.groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("_n"))
-    return per_value.groupBy("column_name").agg(
-        F.sum("_n").alias("total_rows"), F.count("value").alias("distinct_values")
-    )
+    else:
+        per_value = pairs.groupBy("_column", "value").agg(F.count(F.lit(1)).alias("_n"))
+        counted = per_value.groupBy("_column").agg(
+            F.sum("_n").alias("total_rows"), F.count("value").alias("distinct_values")
+        )
+    names = F.array(*[F.lit(c) for c in values.columns])
+    return counted.select(F.get(names, "_column").alias("column_name"), "total_rows", "distinct_values")
 
 
 def _one_row_each(counted: DataFrame, names: list[str], label: str) -> DataFrame:

@@ -256,7 +256,7 @@ def test_star_files_are_isolated(spark, tmp_path):
 def test_full_star_schema(spark, tmp_path):
     names = schemas.STAR_CATALOGUE.fieldNames()
     assert len(names) == 94
-    values = {"designation": "Gaia X", "phot_variable_flag": "NOT", "astrometric_primary_flag": "true", "duplicated_source": "False"}
+    values = {"designation": "star X", "phot_variable_flag": "NOT", "astrometric_primary_flag": "true", "duplicated_source": "False"}
     line = ",".join(values.get(n, "" if n in ("parallax", "radial_velocity") else "1") for n in names)
     (tmp_path / "x").mkdir()
     (tmp_path / "x" / "a.csv.gz").write_bytes(gzip.compress((",".join(names) + "\n" + line + "\n").encode()))
