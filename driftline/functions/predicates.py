@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 from collections.abc import Iterable, Mapping
+from datetime import datetime
 from typing import Any
 
 from pyspark.sql import Column
@@ -12,10 +13,17 @@ from pyspark.sql import functions as F
 from driftline.functions.scalar import as_column
 
 
+def literal(value: Any) -> Column:
+    """Literal of a Python value; a datetime without zone is wall-clock time in any session zone."""
+    if isinstance(value, datetime) and value.tzinfo is None:
+        return F.lit(value.isoformat(sep=" ")).cast("timestamp_ntz")
+    return F.lit(value)
+
+
 def half_open(col: Column | str, low: Any, high: Any) -> Column:
     """``low <= col < high``."""
     col = as_column(col)
-    return (col >= F.lit(low)) & (col < F.lit(high))
+    return (col >= literal(low)) & (col < literal(high))
 
 
 def matches_all(**equal: Any) -> Column:
@@ -24,11 +32,11 @@ def matches_all(**equal: Any) -> Column:
     for name, wanted in equal.items():
         col = F.col(name)
         if isinstance(wanted, tuple):
-            test = col.between(*wanted)
+            test = col.between(*[literal(v) for v in wanted])
         elif isinstance(wanted, list):
-            test = col.isin(wanted)
+            test = col.isin([literal(v) for v in wanted])
         else:
-            test = col == F.lit(wanted)
+            test = col == literal(wanted)
         result = result & test
     return result
 

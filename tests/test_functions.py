@@ -3,6 +3,7 @@ from __future__ import annotations
 from datetime import date, datetime
 
 import pytest
+from conftest import plan_text
 from pyspark.sql import functions as F
 
 from driftline.functions import predicates as p
@@ -128,3 +129,15 @@ def test_row_predicates(spark):
 @pytest.mark.parametrize("text,ok", [("0.0.0.0", True), ("255.1.2.3", True), ("256.1.1.1", False), ("1.2.3", False)])
 def test_ipv4(spark, text, ok):
     assert one(spark, p.is_ipv4(F.lit(text))) is ok
+
+
+def test_wall_clock_range_is_pushed_down_in_any_zone(spark, tmp_path):
+    hours = spark.range(48).select((F.lit("2024-07-01 00:00:00").cast("timestamp_ntz") + F.expr("make_dt_interval(0, id)")).alias("t"))
+    hours.write.parquet(str(tmp_path / "t"))
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        found = spark.read.parquet(str(tmp_path / "t")).filter(p.half_open("t", datetime(2024, 7, 1, 6), datetime(2024, 7, 2)))
+        assert found.count() == 18
+        assert "GreaterThanOrEqual(t" in plan_text(found)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
