@@ -86,7 +86,7 @@ def fill_month_sketches(facts: DataFrame, timestamp: str, columns: Sequence[str]
     return joined.select(*[filled[c].alias(c) if c in filled else F.col(c) for c in order])
 
 
-def _estimates(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+def sketch_estimates(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """(column, estimate, bytes) of every sketch, computed before anything is moved."""
     measured = df.select(
         *[
@@ -106,7 +106,7 @@ def sketch_profile(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     ``sum_estimates`` adds the estimates of all rows; it is not the size of the union.
     """
     return (
-        _estimates(df, columns)
+        sketch_estimates(df, columns)
         .groupBy("hll_column")
         .agg(
             F.count(F.lit(1)).alias("row_count"),
@@ -131,7 +131,7 @@ def merged_estimates(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 def sketch_bands(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Rows per cardinality band and their share within the column."""
     return band_shares(
-        _estimates(df, columns).select("hll_column", band_label("cardinality").alias("cardinality_range")),
+        sketch_estimates(df, columns).select("hll_column", band_label("cardinality").alias("cardinality_range")),
         "hll_column",
         "cardinality_range",
     )

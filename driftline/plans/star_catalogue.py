@@ -12,7 +12,7 @@ from driftline.plans.isolation import load_isolated, short_message
 from driftline.plans.tracked_load import plain_path
 from driftline.schemas import STAR_CATALOGUE
 from driftline.sources.delimited import scan_csv
-from driftline.sources.listing import list_files, require_files
+from driftline.sources.listing import list_files
 from driftline.sources.sinks import write_columnar
 
 SOURCE = "source_file"
@@ -35,9 +35,11 @@ def load_star_files(
     shuffle is used because range bounds would need a sampling pass, that is a
     second decompression of every file.
     """
-    listed = require_files(list_files(spark, folder, pattern), f"{folder}/{pattern}")
+    listed = list_files(spark, folder, pattern)
     # The scan takes its paths from the driver, which holds the listing anyway.
-    names = sorted(row.file_name for row in listed.select("file_name").toLocalIterator())
+    names = sorted(row.file_name for row in listed.select("file_name").collect())
+    if not names:
+        raise ValueError(f"no files found: {folder}/{pattern}")
     groups: list[str] = []
     errors: list[tuple[str, int, str]] = []
     # Drop and create: every load starts from an empty table.

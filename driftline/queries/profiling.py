@@ -206,7 +206,7 @@ def month_sketch_fill(spark: SparkSession, sf: str) -> DataFrame:
     columns = [f"hll_col{i}" for i in range(1, 13)]
     orders = table(spark, sf, "orders").select("o_orderkey", F.col("o_orderdate").alias("event_time"))
     filled = sketch.fill_month_sketches(orders, "event_time", columns, year=1998)
-    measured = sketch._estimates(filled, columns)
+    measured = sketch.sketch_estimates(filled, columns)
     return measured.groupBy("hll_column").agg(
         F.count(F.lit(1)).alias("row_count"),
         F.count_if(F.col("cardinality") > 0).alias("filled_rows"),
