@@ -214,8 +214,10 @@ class TrackedLoad:
         return reject_rate(parsed, by="source_file").checkpoint()
 
     def _write(self, batch: str, good: DataFrame, distinct: bool) -> None:
-        rows = good.select(*DAILY_OBSERVATION.fieldNames())
-        write_daily(rows.distinct() if distinct else rows, f"{self.facts_path}/batch_id={batch}")
+        """Write the batch folder; duplicates are removed within a file, not between files."""
+        columns = DAILY_OBSERVATION.fieldNames()
+        rows = good.select("source_file", *columns).distinct() if distinct else good
+        write_daily(rows.select(*columns), f"{self.facts_path}/batch_id={batch}")
 
     def _publish(
         self, names: list[str], batch: str, rates: DataFrame, reject_percent: float, generation: int

@@ -163,6 +163,15 @@ def test_reset_and_reload_appends_again(spark, inbox, tmp_path):
     assert job.facts().count() == 8
 
 
+def test_duplicates_are_removed_within_a_file_only(spark, inbox, tmp_path):
+    shared = ["X,2000-01-01,TMAX,1,,,", "X,2000-01-01,TMAX,1,,,"]
+    station_file(inbox, "A1", 0, shared)
+    station_file(inbox, "A2", 0, shared)
+    job = started(spark, inbox, tmp_path)
+    job.load_files(10)
+    assert job.facts().count() == 2
+
+
 def test_crash_before_publishing_is_repeated_cleanly(spark, inbox, tmp_path, monkeypatch):
     station_file(inbox, "A1", 4)
     station_file(inbox, "A2", 6)
