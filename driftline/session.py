@@ -41,19 +41,18 @@ def shuffle_partitions_for(input_bytes: int, cores: int) -> int:
 
 
 def shared_root(spark: SparkSession) -> str:
-    """Folder every executor can reach, as named by ``spark.checkpoint.dir``.
+    """Folder every executor can reach: ``spark.checkpoint.dir``, or what the application set.
 
     Falls back to a temporary folder only for a local master, where driver and
     executors are the same machine.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if root:
-        return root.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-    root = tempfile.mkdtemp(prefix="driftline-")
-    spark.conf.set("spark.checkpoint.dir", root)
-    return root
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="driftline-"))
+        root = spark.sparkContext.getCheckpointDir()
+    return root.rstrip("/")
 
 
 def work_path(spark: SparkSession, label: str) -> str:
