@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import tempfile
+import zipfile
 from collections.abc import Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from driftline.session import work_path
@@ -16,6 +19,22 @@ from driftline.session import work_path
 MEMO_ENTRIES = 400_000
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the executors, once an application, so that they need not have it installed."""
+    app = spark.sparkContext.applicationId
+    if app not in _SHIPPED:
+        root = Path(__file__).resolve().parents[1]
+        target = Path(tempfile.mkdtemp(prefix="package-")) / f"{root.name}.zip"
+        with zipfile.ZipFile(target, "w") as archive:
+            for file in sorted(root.rglob("*.py")):
+                archive.write(file, str(file.relative_to(root.parent)))
+        spark.sparkContext.addPyFile(str(target))
+        _SHIPPED.add(app)
+
+
 def written(df: DataFrame, label: str) -> DataFrame:
     """The rows, written once to the shared folder and read back: lineage ends here and lost executors cost nothing."""
     spark = df.sparkSession
@@ -106,6 +125,7 @@ def components(edges: DataFrame, max_rounds: int = 40) -> DataFrame:
     Minima are aggregates with a map-side step and the way back is a join that adaptive execution can split, so a node
     with very many edges is no one task's burden. Each round is a written table. Null ends are no edges.
     """
+    ship(edges.sparkSession)
     e = edges.where("a is not null and b is not null and a <> b").select("a", "b")
     e = written(e.mapInArrow(_forest, "a long, b long").distinct(), "edges")
     seen = None

@@ -19,7 +19,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from driftline.llm.common import written
+from driftline.llm.common import ship, written
 
 LENGTH = 1024
 OPEN_WINDOWS = 32
@@ -205,6 +205,7 @@ def pack(docs: DataFrame, encoder: Callable = public_tokens, length: int = LENGT
     group, cut at powers of two. ``encoder`` makes, once a task, the function from text to ids with the end id. A null text
     is an empty one: its end id only. Repeated rows and null ids are packed like others; other columns are ignored.
     """
+    ship(docs.sparkSession)
     id_type = dict(docs.dtypes)["doc_id"]
     schema = _PIECE.format(id=id_type) + ", ids binary, part long"
     rows = docs.select("doc_id", F.col("text").cast("string").alias("text"))
@@ -237,6 +238,7 @@ def sequences(docs: DataFrame, pieces: DataFrame, encoder: Callable = public_tok
                 parts.append(ids[start : start + size].astype(np.int64))
             yield pa.record_batch({"sequence_id": batch.column(3), "offset": batch.column(4), "ids": pa.array(parts, pa.list_(pa.int64()))})
 
+    ship(docs.sparkSession)
     rows = pieces.join(docs.select("doc_id", "text"), "doc_id").select("text", "start", "length", "sequence_id", "offset")
     cutted = rows.mapInArrow(cut, "sequence_id long, offset long, ids array<long>")
     placed = F.array_sort(F.collect_list(F.struct("offset", "ids")))

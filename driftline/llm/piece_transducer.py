@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from driftline.llm.common import MEMO_ENTRIES
+from driftline.llm.common import MEMO_ENTRIES, ship
 
 MARK = "▁"
 _WORDS = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
@@ -173,6 +173,7 @@ def public_model() -> str:
 
 
 def _texts(docs: DataFrame) -> tuple[DataFrame, str]:
+    ship(docs.sparkSession)
     return docs.select("doc_id", F.col("text").cast("string").alias("text")), dict(docs.dtypes)["doc_id"]
 
 
@@ -201,6 +202,7 @@ def decode(encoded: DataFrame, model: Callable[[], str] = public_model) -> DataF
             texts = [None if x is None else machine.decode(np.array(x, "<i4")) for x in batch.column(1).to_pylist()]
             yield pa.record_batch({"doc_id": batch.column(0), "text": pa.array(texts, pa.string())})
 
+    ship(encoded.sparkSession)
     kind = dict(encoded.dtypes)["doc_id"]
     return encoded.select("doc_id", F.col("ids").cast("array<int>").alias("ids")).mapInArrow(run, f"doc_id {kind}, text string")
 

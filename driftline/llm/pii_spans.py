@@ -21,6 +21,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from driftline.llm.common import ship
+
 KINDS = ("email", "ip", "card", "phone")
 #: Documents that the field is trained on (by hash of the text), most regions of them, and passes over them.
 SAMPLE_DOCS = 500
@@ -356,6 +358,7 @@ def find_pii(docs: DataFrame, field: SpanField | None = None) -> DataFrame:
     Counts and hash are of the base spans, ``spans`` lists all as kind:start:end by kind, then start, in code points. A
     null text is an empty one: no spans. Repeated rows each return, null ids stay, other columns are ignored.
     """
+    ship(docs.sparkSession)
     field = field or train_field(docs)
     model = docs.sparkSession.sparkContext.broadcast(field)
     kind = dict(docs.dtypes)["doc_id"]
@@ -376,6 +379,7 @@ def masked(text: str, field: SpanField) -> str:
 
 def mask_pii(docs: DataFrame, field: SpanField | None = None) -> DataFrame:
     """``docs`` with its own columns, personal data in ``text`` masked; null texts stay null."""
+    ship(docs.sparkSession)
     model = docs.sparkSession.sparkContext.broadcast(field or train_field(docs))
     at = docs.columns.index("text")
 

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from driftline.llm.common import components, joined, written
+from driftline.llm.common import components, joined, ship, written
 
 TREES = 12
 LEAF = 256
@@ -140,7 +140,7 @@ def _split_large(cells: DataFrame, vectors: DataFrame, dim: int) -> tuple[DataFr
 
 
 def _compare(threshold: float):
-    def run(key, frame: pd.DataFrame) -> pd.DataFrame:
+    def run(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
         """Links of one leaf, or of two blocks of a leaf: (id, n, root)."""
         n = len(frame)
         ids, copies = frame["id"].to_numpy(), frame["copies"].to_numpy()
@@ -192,6 +192,7 @@ def vector_links(vectors: DataFrame, threshold: float = 0.95, trees: int = TREES
     not kept). Rows repeated with the same id count each. Other columns are ignored.
     """
     spark = vectors.sparkSession
+    ship(spark)
     finite = lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))
     rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("v"))
     sound = F.col("v").isNotNull() & F.forall("v", finite) & F.exists("v", lambda x: x != 0)

@@ -9,7 +9,8 @@ are worth skipping is a matter of cost: an exact segment of k shingles is expect
 a neighbourhood costs k + 1 probes with k - 1 shingles each.
 
 Copies of a set share a fingerprint and travel as one node. Buckets never become pairs: a first pass verifies each bucket
-against its best connected member, a second one only pairs whose components still differ.
+against its best connected member, its hub. Members that are still apart then meet by an exact prefix filter on their
+differences to the hub, so that a large family of near copies costs what its rare elements cost, not its square.
 """
 
 from __future__ import annotations
@@ -21,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from driftline.llm.common import WordHash, batch_values, components, mixed, text_rows, word_hashes, words_of, written
+from driftline.llm.common import WordHash, batch_values, components, mixed, ship, text_rows, word_hashes, words_of, written
 
 #: Collision rate per shingle of a segment, for the cost of an exact segment.
 RARITY = 0.25
@@ -200,14 +201,53 @@ def _verified(percent: int):
     return run
 
 
-def _verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """(a, b, linked) of each pair, by the whole sets; pairs whose sizes rule a link out are dropped."""
+def _with_sets(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     left = sets.select(F.col("fp").alias("a"), F.col("n").alias("n_a"), F.col("grams").alias("grams_a"))
     right = sets.select(F.col("fp").alias("b"), F.col("n").alias("n_b"), F.col("grams").alias("grams_b"))
-    sized = pairs.join(left.select("a", "n_a"), "a").join(right.select("b", "n_b"), "b")
-    fit = F.expr(f"100 * least(n_a, n_b) >= {percent} * greatest(n_a, n_b)")
-    full = sized.where(fit).select("a", "b").join(left, "a").join(right, "b")
-    return full.select("a", "b", "grams_a", "grams_b").mapInArrow(_verified(percent), "a long, b long, linked boolean")
+    return pairs.join(left, "a").join(right, "b")
+
+
+def _verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """(a, b, linked) of each pair whose sizes do not rule a link out, by the whole sets."""
+    sizes = sets.select("fp", "n")
+    sized = pairs.join(sizes.toDF("a", "n_a"), "a").join(sizes.toDF("b", "n_b"), "b")
+    fit = sized.where(F.expr(f"100 * least(n_a, n_b) >= {percent} * greatest(n_a, n_b)")).select("a", "b")
+    full = _with_sets(fit, sets).select("a", "b", "grams_a", "grams_b")
+    return full.mapInArrow(_verified(percent), "a long, b long, linked boolean")
+
+
+def _difference_prefixes(percent: int):
+    """Elements in which a member b differs from its hub a, as far as a link between two members must show in them.
+
+    With D the difference to the hub, c = (100 - percent) / (100 + percent) and v = |D| - c * size, two members link only
+    if their differences share at least (v + v') / 2 elements. A member off the hub has v > c * |hub|; one linked to it
+    needs partners off it, the others are in its component. So each has a least overlap o, and the first |D| - o + 1
+    elements, in one order for all members of the hub (elements outside the hub first), must meet the partner's.
+    """
+    c = (100 - percent) / (100 + percent)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            hubs, members, elements = [], [], []
+            columns = [batch.column(k) for k in range(4)]
+            for hub, member, x, y in zip(columns[0].to_pylist(), columns[1].to_pylist(), columns[2], columns[3], strict=True):
+                h, z = np.frombuffer(x.as_buffer(), _U), np.frombuffer(y.as_buffer(), _U)
+                added, lost = np.setdiff1d(z, h, assume_unique=True), np.setdiff1d(h, z, assume_unique=True)
+                d = len(added) + len(lost)
+                v, reach = d - c * len(z), c * len(h)
+                both = len(z) - len(added)
+                if 100 * both >= percent * (len(z) + len(lost)):
+                    least = int(np.floor((reach + v) / 2 - 1e-9)) + 1
+                else:
+                    least = max(int(np.ceil((v - reach) / 2 - 1e-9)), int(np.ceil(v - c * len(z) * 100 / percent - 1e-9)))
+                prefix = np.concatenate([added, lost])[: max(0, d - max(1, least) + 1)]
+                elements.append(prefix.astype(np.int64))
+                hubs.append(np.full(len(prefix), hub, np.int64))
+                members.append(np.full(len(prefix), member, np.int64))
+            if elements:
+                yield pa.record_batch({"hub": np.concatenate(hubs), "fp": np.concatenate(members), "element": np.concatenate(elements)})
+
+    return run
 
 
 def shingle_components(docs: DataFrame, width: int = 3, percent: int = 90) -> DataFrame:
@@ -218,6 +258,7 @@ def shingle_components(docs: DataFrame, width: int = 3, percent: int = 90) -> Da
     their own id; a row whose doc_id is null takes part by its text and gets the component's smallest id, or null.
     Repeated rows each return. Other columns are ignored.
     """
+    ship(docs.sparkSession)
     rows = text_rows(docs, F.col("doc_id").cast("long").alias("doc_id"))
     marks = written(rows.mapInArrow(_fingerprints(width), "doc_id long, n_shingles long, fp long, fp2 long"), "marks")
     classes = marks.where("n_shingles > 0").groupBy("n_shingles", "fp", "fp2").agg(F.min("doc_id").alias("least_id"))
@@ -234,26 +275,30 @@ def shingle_components(docs: DataFrame, width: int = 3, percent: int = 90) -> Da
     sets = rows.join(wanted, "doc_id", "left_semi").select("text").mapInArrow(_sets(width), "fp long, n long, grams binary")
     sets = written(sets.where("n > 0").dropDuplicates(["fp"]), "sets")
 
-    # First pass: every member of a bucket against the one that shares most buckets.
+    # First pass: every member of a bucket against its hub, the one that shares most buckets.
     weight = shared.groupBy("fp").agg(F.count("*").alias("weight"))
-    member = shared.join(weight, "fp")
-    hub = member.groupBy("sig").agg(F.max_by("fp", F.struct("weight", "fp")).alias("hub"), F.max("probe").alias("probed")).where("probed")
-    star = shared.join(hub, "sig").where("fp <> hub").select(F.least("fp", "hub").alias("a"), F.greatest("fp", "hub").alias("b")).distinct()
-    first = written(_verify(star, sets, percent), "links")
-
-    # Second pass: pairs of a bucket whose members are still in different components.
-    label = components(first.where("linked").select("a", "b"))
-    named = shared.join(label.select(F.col("id").alias("fp"), "component_id"), "fp", "left")
-    named = named.select("sig", "fp", "probe", F.coalesce("component_id", "fp").alias("label"))
-    split = named.groupBy("sig").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.max("probe").alias("probed"))
-    split = split.where("low <> high and probed").select("sig")
-    open_ = named.join(split, "sig", "left_semi")
-    other = open_.select("sig", F.col("fp").alias("fp2"), F.col("probe").alias("probe2"), F.col("label").alias("label2"))
-    cross = open_.join(other, "sig").where("fp < fp2 and label <> label2 and (probe or probe2)")
-    cross = cross.select(F.col("fp").alias("a"), F.col("fp2").alias("b")).distinct().join(first.select("a", "b"), ["a", "b"], "left_anti")
-    second = written(_verify(cross, sets, percent), "links")
-
-    links = first.union(second).where("linked").select("a", "b")
+    hub = shared.join(weight, "fp").groupBy("sig").agg(F.max_by("fp", F.struct("weight", "fp")).alias("hub"), F.max("probe").alias("probed"))
+    star = shared.join(hub.where("probed"), "sig").where("fp <> hub").select(F.col("hub").alias("a"), F.col("fp").alias("b")).distinct()
+    star = written(star, "stars")
+    first = written(_verify(star, sets, percent).where("linked").select("a", "b"), "links")
+
+    # Second pass: members of one hub whose components still differ. They differ from the hub in known elements, and
+    # two of them link only if those differences overlap, so they meet in rare elements instead of in the bucket.
+    label = components(first).select(F.col("id").alias("fp"), F.col("component_id").alias("label"))
+    named = star.select(F.col("a").alias("hub"), F.col("b").alias("fp")).join(label, "fp", "left")
+    named = written(named.select("hub", "fp", F.coalesce("label", "fp").alias("label")), "members")
+    torn = named.groupBy("hub").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high").select("hub")
+    torn = named.join(torn, "hub", "left_semi")
+    pairs = torn.select(F.col("hub").alias("a"), F.col("fp").alias("b"))
+    full = _with_sets(pairs, sets).select("a", "b", "grams_a", "grams_b")
+    marks_of = full.mapInArrow(_difference_prefixes(percent), "hub long, fp long, element long")
+    marks_of = written(marks_of.join(torn, ["hub", "fp"]), "differences")
+    other = marks_of.select("hub", "element", F.col("fp").alias("fp2"), F.col("label").alias("label2"))
+    cross = marks_of.join(other, ["hub", "element"]).where("fp < fp2 and label <> label2")
+    cross = cross.select(F.col("fp").alias("a"), F.col("fp2").alias("b")).distinct()
+    second = _verify(cross, sets, percent).where("linked").select("a", "b")
+
+    links = first.union(second)
     label = components(links).select(F.col("id").alias("fp"), F.col("component_id").alias("label"))
     # Back to documents: equal sets are one class, linked classes one component.
     group = classes.join(label, "fp", "left").select("n_shingles", "fp", "fp2", "least_id", F.coalesce("label", "fp").alias("label"))

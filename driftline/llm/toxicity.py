@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from driftline.llm.common import MEMO_ENTRIES, batch_values, text_rows
+from driftline.llm.common import MEMO_ENTRIES, batch_values, ship, text_rows
 
 #: Most labelled rows that voters, label model and classifier are fitted on (taken by hash of the id).
 MAX_TRAINING_ROWS = 20_000
@@ -177,6 +177,7 @@ def _hits(voters: dict[str, int]):
 
 def train(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_TRAINING_ROWS) -> ToxicityModel:
     """Fit on at most ``max_rows`` labelled rows; several labels of one id count as toxic if any is, null labels as none."""
+    ship(docs.sparkSession)
     known = labels.where("doc_id is not null and toxic is not null").groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
     sample = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_rows)
     texts = text_rows(docs, "doc_id").join(F.broadcast(sample), "doc_id").select("text", "toxic")
@@ -216,6 +217,7 @@ def score(docs: DataFrame, model: ToxicityModel, keep: tuple[str, ...] = ("doc_i
 
     Null and empty texts get the score of a text in which no voter fires. Repeated rows each return, null ids stay.
     """
+    ship(docs.sparkSession)
     own = docs.sparkSession.sparkContext.broadcast(model)
     kept = [F.col(c).alias(f"k{i}") for i, c in enumerate(keep)]
     rows = docs.select(*kept, F.col("text").cast("binary").alias("text"))

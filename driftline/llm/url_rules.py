@@ -22,6 +22,8 @@ STATED = [
 ]
 MIN_SUPPORT = 0.002
 MIN_CONFIDENCE = 0.9
+#: Fewest labelled URLs behind a rule, whatever the share.
+MIN_ROWS = 20
 #: Most tokens of a rule; with it and MIN_SUPPORT the number of rules is bounded whatever the number of URLs.
 MAX_TOKENS = 3
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -71,7 +73,7 @@ def mine_rules(labelled: DataFrame, min_support: float = MIN_SUPPORT, min_confid
     FP-growth finds the frequent sets; rules are built from them here: a set with its label against the same set without.
     """
     with_label = labelled.where(F.size("tokens") > 0).select(F.concat("tokens", F.array(F.concat(F.lit("label="), "label"))).alias("items"))
-    sets = FPGrowth(itemsCol="items", minSupport=min_support, numPartitions=None).fit(with_label).freqItemsets
+    sets = FPGrowth(itemsCol="items", minSupport=min_support).fit(with_label).freqItemsets
     is_label = lambda x: x.startswith("label=")
     sets = sets.select(
         F.array_sort(F.filter("items", lambda x: ~is_label(x))).alias("tokens"),
@@ -81,7 +83,7 @@ def mine_rules(labelled: DataFrame, min_support: float = MIN_SUPPORT, min_confid
     whole = sets.where("label is null").select("tokens", F.col("freq").alias("n"))
     rules = sets.where("label is not null").join(whole, "tokens")
     rules = rules.select("tokens", F.expr("substr(label, 7)").alias("verdict"), (F.col("freq") / F.col("n")).alias("confidence"), F.col("freq").alias("support"))
-    rules = rules.where(F.col("confidence") >= min_confidence)
+    rules = rules.where((F.col("confidence") >= min_confidence) & (F.col("support") >= MIN_ROWS))
     # A rule says nothing new if a shorter one inside it, met by one of its tokens, says the same as surely.
     part = rules.select(F.explode("tokens").alias("token"), F.col("tokens").alias("inner"), F.col("verdict").alias("v"), F.col("confidence").alias("c"))
     longer = rules.select(F.explode("tokens").alias("token"), "tokens", "verdict", "confidence")
