@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from driftline.llm.common import written
 
 #: Share of a host's pages above which a line is boilerplate, and fewest pages of a host for that to mean anything.
-MAX_RATIO = 0.05
+MAX_RATIO = 0.1
 MIN_PAGES = 20
 #: A broadcast of boilerplate lines is asked for up to this many (16 bytes each); beyond, pages meet them by shuffle.
 BROADCAST_LINES = 500_000
@@ -46,14 +46,15 @@ def boilerplate_lines(pages: DataFrame, host: Column, text: Column, max_ratio: f
 
 
 def drop_boilerplate(
-    pages: DataFrame, host: str, text: str = "text", max_ratio: float = MAX_RATIO, min_pages: int = MIN_PAGES
+    pages: DataFrame, host: str, text: str = "text", max_ratio: float = MAX_RATIO, min_pages: int = MIN_PAGES, spare_copies: bool = False
 ) -> DataFrame:
     """``pages`` with its own columns, boilerplate lines taken out of ``text``, plus n_lines and n_dropped.
 
     A line is what newlines separate; it is compared without white space around it, lines of white space only are neither
     counted nor dropped. The kept lines stay as they are, in order, joined by newlines. A null text stays null and has no
     lines; a null host is a host of its own. A page counts once for a line it repeats, and repeated pages count each. The
-    two added columns replace input columns of the same names.
+    two added columns replace input columns of the same names. With ``spare_copies`` a page that would lose every line is
+    left whole: it is a copy rather than a page with boilerplate on it.
     """
     keys = written(boilerplate_lines(pages, F.col(host), F.col(text), max_ratio, min_pages), "lines")
     per_host = keys.groupBy("host").agg(F.collect_set("key").alias("gone"))
@@ -64,6 +65,8 @@ def drop_boilerplate(
     met = rows.join(per_host, F.col("site").eqNullSafe(F.col("host")), "left")
     drop = lambda x: _has_text(x) & F.array_contains(F.col("gone"), line_key(x))
     known = F.col("lines").isNotNull() & F.col("gone").isNotNull()
+    if spare_copies:
+        known = known & F.exists("lines", lambda x: _has_text(x) & ~drop(x))
     kept = F.when(known, F.filter("lines", lambda x: ~drop(x))).otherwise(F.col("lines"))
     count = lambda lines: F.coalesce(F.size(F.filter(lines, _has_text)), F.lit(0)).cast("long")
     n_lines = F.when(F.col("lines").isNull(), F.lit(0).cast("long")).otherwise(count(F.col("lines")))

@@ -32,7 +32,7 @@ INFINITE = float("inf")
 class _Memo(dict):
     """Bounded memo of a function."""
 
-    def __init__(self, make: Callable, entries: int = MEMO_ENTRIES):
+    def __init__(self, make: Callable, entries: int = 2 * MEMO_ENTRIES):
         super().__init__()
         self.make, self.entries = make, entries
 
@@ -80,7 +80,7 @@ class Transducer:
         self.packed = [int(i).to_bytes(4, "little") for i in range(len(self.scores))]
         self.unknown_score = min(self.scores, default=0.0) - 10.0
         self.word_ids = _Memo(self._encode_word)
-        self._fits = _Memo(self._stable, 2 * MEMO_ENTRIES)
+        self._fits = _Memo(self._stable)
 
     def merged(self, text: str) -> list[str]:
         """The merges themselves on a short text: best score first, leftmost among equals."""

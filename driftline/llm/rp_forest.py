@@ -116,13 +116,12 @@ def _project(dim: int):
 
 def _split_large(cells: DataFrame, vectors: DataFrame, dim: int) -> tuple[DataFrame, DataFrame]:
     """Cells all within MAX_LEAF, and those that do not get smaller. Each level is a distributed split at the mean."""
-    small = None
-    large = cells
+    small, large = cells.where(F.lit(False)), cells
     for _ in range(MAX_EXTRA_LEVELS):
         sizes = large.groupBy("cell").agg(F.count("*").alias("size"))
         big = written(sizes.where(F.col("size") > MAX_LEAF), "leaves")
         fits = large.join(big.select("cell"), "cell", "left_anti").select("id", "cell")
-        small = fits if small is None else small.union(fits)
+        small = small.union(fits)
         if big.isEmpty():
             return small, large.limit(0).withColumn("size", F.lit(0))
         own = large.join(big.select("cell"), "cell", "left_semi").join(vectors, "id").select("id", "cell", "v")
