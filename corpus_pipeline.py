@@ -34,9 +34,8 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
 
 
 def drop_site_lines(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    """Texts without their source's boilerplate lines; a text that was nothing else goes, one that was empty before stays."""
-    kept = drop_boilerplate(docs.select(*COLUMNS), host="source")
-    return _documents(kept.where("n_dropped = 0 or n_lines > n_dropped"))
+    """Every document, without its source's boilerplate lines; one that is nothing else is a copy and left to the next stage."""
+    return _documents(drop_boilerplate(docs.select(*COLUMNS), host="source", spare_copies=True))
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
