@@ -29,15 +29,15 @@ def stream_ingest(spark: SparkSession, sf: str) -> DataFrame:
     """
 )
 def stream_monthly_mean(spark: SparkSession, sf: str) -> DataFrame:
-    schema = table(spark, sf, "orders").schema
+    """Orders in several files that each span all years, one file a micro-batch."""
     work = work_path(spark, "stream-monthly")
-    stream = ingest.file_stream(spark, sf, schema, fmt="parquet", pattern="orders.parquet").withColumn(
-        "o_totalprice", F.col("o_totalprice").cast("decimal(18,4)")
-    )
-    means = monthly.monthly_mean_stream(stream, "o_orderdate", "o_totalprice", "o_orderstatus")
-    monthly.maintain(means, f"{work}/means", f"{work}/checkpoint").awaitTermination()
-    changes = spark.read.parquet(f"{work}/means")
-    return monthly.current_means(changes)
+    orders = table(spark, sf, "orders").withColumn("o_totalprice", F.col("o_totalprice").cast("decimal(18,4)"))
+    orders.repartition(4, F.pmod("o_orderkey", F.lit(4))).write.parquet(f"{work}/orders")
+    stream = ingest.file_stream(spark, f"{work}/orders", orders.schema, fmt="parquet", files_per_batch=1)
+    columns = ("o_orderdate", "o_totalprice", "o_orderstatus")
+    monthly.maintain(stream, f"{work}/means", f"{work}/checkpoint", *columns).awaitTermination()
+    monthly.compact(spark, f"{work}/means")
+    return monthly.current_means(spark, f"{work}/means")
 
 
 @query(

@@ -2,50 +2,82 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from driftline.functions.scalar import as_column, month_start, ratio
 
+PARTIAL = "month date, category string, value_sum decimal(38,6), value_count long"
+_LABELLED = f"{PARTIAL}, batch_id long"
 
-def monthly_mean_stream(
-    stream: DataFrame, timestamp: str, value: str, category: str, wanted: str | None = None, delay: str = "1 day"
-) -> DataFrame:
-    """Sum and count per month and category of a stream.
 
-    The month itself is the event time. Once the watermark passes a month its
-    state is dropped; later rows for it are left to the batch recomputation.
-    """
-    rows = stream.filter(as_column(category) == F.lit(wanted)) if wanted is not None else stream
-    return (
-        rows.withColumn("month", month_start(timestamp).cast("timestamp"))
-        .withWatermark("month", delay)
-        .groupBy("month", F.col(category).alias("category"))
-        .agg(F.sum(value).alias("value_sum"), F.count(value).alias("value_count"))
-    )
+def partial_sums(rows: DataFrame, timestamp: str, value: str, category: str, wanted: str | None = None) -> DataFrame:
+    """Exact sum and count per month and category of a batch of rows; the value is a decimal."""
+    if wanted is not None:
+        rows = rows.filter(as_column(category) == F.lit(wanted))
+    groups = rows.groupBy(month_start(timestamp).cast("date").alias("month"), F.col(category).cast("string").alias("category"))
+    return groups.agg(F.sum(value).cast("decimal(38,6)").alias("value_sum"), F.count(value).alias("value_count"))
+
 
+def maintain(
+    stream: DataFrame, path: str, checkpoint: str, timestamp: str, value: str, category: str, wanted: str | None = None
+) -> StreamingQuery:
+    """Write each micro-batch's partial sums under its number; ``current_means`` adds them up.
 
-def maintain(aggregated: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
-    """Write the groups each micro-batch changed; ``current_means`` reads the newest of each."""
+    No state and no watermark: a row counts however late it comes, and a micro-batch that is retried replaces itself.
+    """
 
     def store(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+        sums = partial_sums(batch, timestamp, value, category, wanted)
+        # A few rows per micro-batch: months times categories.
+        sums.coalesce(1).write.mode("overwrite").parquet(f"{path}/partial/batch_id={batch_id}")
 
     return (
-        aggregated.writeStream.outputMode("update")
-        .foreachBatch(store)
+        stream.writeStream.foreachBatch(store)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
     )
 
 
-def current_means(changes: DataFrame) -> DataFrame:
-    """Latest state per month and category as a mean; ``batch_id`` orders the changes."""
-    newest = changes.groupBy("month", "category").agg(
-        F.max(F.struct("batch_id", "value_sum", "value_count")).alias("s")
+def _read(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
+
+
+def _open_sums(spark: SparkSession, path: str) -> DataFrame:
+    """The newest compacted sums and all partial sums of later micro-batches."""
+    compacted = _read(spark, f"{path}/compacted", f"{PARTIAL}, through long")
+    last = compacted.agg(F.max("through")).first()[0]
+    done = -1 if last is None else last
+    later = _read(spark, f"{path}/partial", _LABELLED).filter(F.col("batch_id") > done)
+    return compacted.filter(F.col("through") == done).drop("through").union(later.drop("batch_id"))
+
+
+def compact(spark: SparkSession, path: str) -> None:
+    """Fold all partial sums into one folder named after the last micro-batch it holds.
+
+    Readers take the newest complete folder and later micro-batches, so a crash half-way leaves the old one in force.
+    """
+    last = _read(spark, f"{path}/partial", _LABELLED).agg(F.max("batch_id")).first()[0]
+    if last is not None:
+        _added(_open_sums(spark, path)).coalesce(1).write.mode("overwrite").parquet(f"{path}/compacted/through={last}")
+
+
+def _added(sums: DataFrame) -> DataFrame:
+    return sums.groupBy("month", "category").agg(
+        F.sum("value_sum").cast("decimal(38,6)").alias("value_sum"), F.sum("value_count").alias("value_count")
     )
-    return newest.select(
-        F.col("month").cast("date").alias("month"), "category", ratio("s.value_sum", "s.value_count").alias("avg_value")
+
+
+def current_means(spark: SparkSession, path: str) -> DataFrame:
+    """Mean per month and category over everything streamed so far."""
+    return _added(_open_sums(spark, path)).select(
+        "month", "category", ratio(F.col("value_sum"), F.col("value_count")).alias("avg_value")
     )

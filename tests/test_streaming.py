@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 from datetime import date, datetime
+from decimal import Decimal
 
 from driftline.streaming import ingest, monthly
 
@@ -29,20 +30,28 @@ def test_each_file_once(spark, tmp_path):
     assert spark.read.parquet(paths[1]).groupBy("file_name").count().filter("count > 1").isEmpty()
 
 
-def test_monthly_mean_stream(spark, tmp_path):
+def test_monthly_mean_counts_late_rows(spark, tmp_path):
     folder = tmp_path / "in"
-    schema = "t timestamp_ntz, e string, v double"
-    paths = [str(tmp_path / p) for p in ("means", "checkpoint")]
+    schema = "t timestamp_ntz, e string, v decimal(18,4)"
+    means, checkpoint = str(tmp_path / "means"), str(tmp_path / "checkpoint")
 
-    def run(rows):
+    def run(*rows):
+        rows = [(t, e, Decimal(v)) for t, e, v in rows]
         spark.createDataFrame(rows, schema).write.mode("append").parquet(str(folder))
         stream = ingest.file_stream(spark, str(folder), spark.createDataFrame([], schema).schema, fmt="parquet")
-        monthly.maintain(monthly.monthly_mean_stream(stream, "t", "v", "e", "TAVG"), *paths).awaitTermination()
-
-    run([(datetime(2020, 1, 3), "TAVG", 1.0), (datetime(2020, 1, 9), "TMAX", 50.0)])
-    run([(datetime(2020, 1, 20), "TAVG", 3.0), (datetime(2020, 2, 1), "TAVG", 7.0)])
-    run([(datetime(2020, 4, 1), "TAVG", 9.0)])
-    run([(datetime(2020, 1, 5), "TAVG", 100.0)])  # behind the watermark
-    means = monthly.current_means(spark.read.parquet(paths[0]))
-    found = {r.month: r.avg_value for r in means.collect()}
-    assert found == {date(2020, 1, 1): 2.0, date(2020, 2, 1): 7.0, date(2020, 4, 1): 9.0}
+        monthly.maintain(stream, means, checkpoint, "t", "v", "e", "TAVG").awaitTermination()
+
+    def found():
+        return {r.month: r.avg_value for r in monthly.current_means(spark, means).collect()}
+
+    run((datetime(2020, 1, 3), "TAVG", 1), (datetime(2020, 1, 9), "TMAX", 50))
+    run((datetime(2020, 1, 20), "TAVG", 3), (datetime(2020, 2, 1), "TAVG", 7))
+    run((datetime(2020, 4, 1), "TAVG", 9))
+    assert found() == {date(2020, 1, 1): 2.0, date(2020, 2, 1): 7.0, date(2020, 4, 1): 9.0}
+    monthly.compact(spark, means)
+    run((datetime(2020, 1, 5), "TAVG", 101))  # long after later months
+    want = {date(2020, 1, 1): 35.0, date(2020, 2, 1): 7.0, date(2020, 4, 1): 9.0}
+    assert found() == want
+    monthly.compact(spark, means)
+    monthly.compact(spark, means)
+    assert found() == want
