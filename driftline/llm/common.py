@@ -16,14 +16,21 @@ from pyspark.sql import functions as F
 from driftline.session import work_path
 
 #: Entries that a task's word memo may hold before it is emptied; it bounds a worker's memory.
-MEMO_ENTRIES = 400_000
+MEMO_ENTRIES = 150_000
 
 
+#: Rows of an Arrow batch unless the session says otherwise; with long texts Spark's own default makes large batches.
+BATCH_ROWS = 2_000
 _SHIPPED: set[str] = set()
 
 
 def ship(spark: SparkSession) -> None:
-    """Send this package to the executors, once an application, so that they need not have it installed."""
+    """Send this package to the executors, once an application, so that they need not have it installed.
+
+    Also bounds the rows of Arrow batches, where the session has Spark's default.
+    """
+    if spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == "10000":
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     app = spark.sparkContext.applicationId
     if app not in _SHIPPED:
         root = Path(__file__).resolve().parents[1]

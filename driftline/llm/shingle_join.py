@@ -152,7 +152,7 @@ def _index(width: int, percent: int):
                 node = fingerprint(g)[0]
                 if not len(g) or node in seen:  # a copy in the same task adds nothing
                     continue
-                if len(seen) >= 1_000_000:
+                if len(seen) >= 500_000:
                     seen.clear()
                 seen.add(node)
                 keys, probe = signatures(g, bands)
@@ -160,7 +160,7 @@ def _index(width: int, percent: int):
                 probes.append(probe)
                 nodes.append(np.full(len(keys), node, np.int64))
                 held += len(keys)
-                if held > 500_000:
+                if held > 200_000:
                     yield _rows(sigs, nodes, probes)
                     sigs, nodes, probes, held = [], [], [], 0
             if sigs:
