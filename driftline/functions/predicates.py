@@ -66,13 +66,15 @@ def json_contains(document: Column | str, pattern: Mapping[str, Any]) -> Column:
 
     The document is parsed once into a variant; type matters, so ``1`` and ``"1"`` differ.
     """
-    variant = F.try_parse_json(as_column(document))
-    return F.coalesce(_contains(variant, "$", pattern), F.lit(False))
+    document = as_column(document)
+    variant = F.try_parse_json(document)
+    return document.isNotNull() & F.coalesce(_contains(variant, "$", pattern), F.lit(False))
 
 
 def _contains(variant: Column, path: str, wanted: Any) -> Column:
     if isinstance(wanted, Mapping):
-        result = F.lit(True)
+        # An empty pattern asks for an object too.
+        result = F.schema_of_variant(F.try_variant_get(variant, path, "variant")).startswith("OBJECT")
         for key, value in wanted.items():
             result = result & _contains(variant, f"{path}['{key}']", value)
         return result
@@ -85,7 +87,10 @@ def _contains(variant: Column, path: str, wanted: Any) -> Column:
         return result
     if isinstance(wanted, bool) or wanted is None or isinstance(wanted, str):
         return field == F.lit(json.dumps(wanted, ensure_ascii=False))
-    return ~field.startswith('"') & (field.try_cast("double") == F.lit(float(wanted)))
+    number = ~field.startswith('"')
+    if isinstance(wanted, int) and abs(wanted) < 10**27:
+        return number & (field.try_cast("decimal(38,10)") == F.lit(str(wanted)).cast("decimal(38,10)"))
+    return number & (field.try_cast("double") == F.lit(float(wanted)))
 
 
 def text_prefix(col: Column | str, prefix: str) -> Column:

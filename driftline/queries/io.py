@@ -20,7 +20,7 @@ from driftline.plans.wide_tables import export_text
 from driftline.queries.registry import query, table
 from driftline.session import work_path
 from driftline.sources import delimited, fixed_width, listing, sinks
-from driftline.sources.rejects import REASON, split_rejects
+from driftline.sources.rejects import REASON, over_limit, reject_rate, split_rejects
 
 # --- fixed width ---------------------------------------------------------------
 
@@ -108,24 +108,24 @@ def station_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(
     """
-    SELECT 'Station ID: ' || printf('S%010d', s_suppkey) || ', Latitude: None, Longitude: None, Elevation: None, State: None, Name: '
+    WITH t AS (
+        SELECT *, CAST(CAST(printf('%.4f', s_acctbal / 100) AS DECIMAL(8,4)) AS VARCHAR) AS lat,
+               CAST(CAST(printf('%.4f', s_acctbal / 100 - 50) AS DECIMAL(9,4)) AS VARCHAR) AS lon,
+               CAST(CAST(printf('%.1f', floor(s_acctbal) / 10) AS DECIMAL(5,1)) AS VARCHAR) AS elev
+        FROM supplier
+    )
+    SELECT 'Station ID: ' || printf('S%010d', s_suppkey) || ', Latitude: ' || regexp_replace(lat, '(\\.\\d+?)0+$', '\\1')
+           || ', Longitude: ' || regexp_replace(lon, '(\\.\\d+?)0+$', '\\1')
+           || ', Elevation: ' || CASE WHEN s_nationkey >= 10 THEN elev ELSE 'None' END
+           || ', State: ' || CASE WHEN s_nationkey >= 10 THEN printf('%02d', s_nationkey) ELSE 'None' END || ', Name: '
            || s_name || ', GSN Flag: GSN, HCN/CRN Flag: None, WMO ID: '
            || CASE WHEN s_nationkey >= 10 THEN printf('%05d', s_nationkey) ELSE 'None' END AS value
-    FROM supplier
+    FROM t
     """
 )
 def station_report(spark: SparkSession, sf: str) -> DataFrame:
-    """Report lines; numbers are blanked here because the two engines print doubles differently."""
-    stations = station_roundtrip(spark, sf)
-    blanked = stations.select(
-        *[
-            F.lit(None).cast(f.dataType).alias(f.name)
-            if f.name in ("latitude", "longitude", "elevation", "state")
-            else F.col(f.name)
-            for f in stations.schema.fields
-        ]
-    )
-    return fixed_width.station_report(blanked)
+    """Report lines with all nine fields."""
+    return fixed_width.station_report(station_roundtrip(spark, sf))
 
 
 @query(
@@ -207,19 +207,56 @@ def csv_scan(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(
     """
-    SELECT CASE WHEN o_orderpriority = '5-LOW' THEN 'o_totalprice' END AS reject_reason, count(*) AS row_count
+    SELECT CASE o_orderpriority WHEN '5-LOW' THEN 'o_totalprice' WHEN '2-HIGH' THEN 'o_totalprice' WHEN '1-URGENT' THEN 'o_orderdate'
+                WHEN '3-MEDIUM' THEN 'columns' END AS reject_reason, count(*) AS row_count
     FROM orders GROUP BY 1
     """
 )
 def csv_reject_reasons(spark: SparkSession, sf: str) -> DataFrame:
-    """A text in a numeric column rejects the row and names the column."""
+    """A text or a fraction that does not fit, a bare year and a further field reject the row and name the column."""
     path = work_path(spark, "csv-rejects")
-    price = F.when(F.col("o_orderpriority") != "5-LOW", F.col("o_totalprice").cast("string")).otherwise(F.lit("n/a"))
-    _order_file(spark, sf).withColumn("o_totalprice", price).write.option("header", True).csv(path)
-    parsed = delimited.scan_csv_with_rejects(spark, path, _ORDER_FILE)
+    _faulty_lines(spark, sf).write.text(path)
+    parsed = delimited.scan_csv_with_rejects(spark, path, _ORDER_FILE, header=False)
     return parsed.groupBy(REASON).agg(F.count(F.lit(1)).alias("row_count"))
 
 
+def _faulty_lines(spark: SparkSession, sf: str) -> DataFrame:
+    """Orders as CSV lines; each priority but one has a fault of its own kind."""
+    kind = F.col("o_orderpriority")
+    price = F.col("o_totalprice").cast("decimal(18,2)").cast("string")
+    day = F.col("o_orderdate").cast("date")
+    return table(spark, sf, "orders").select(
+        F.concat_ws(
+            ",",
+            F.col("o_orderkey").cast("string"),
+            F.when(kind == "1-URGENT", F.year(day).cast("string")).otherwise(day.cast("string")),
+            F.when(kind == "5-LOW", F.lit("n/a")).when(kind == "2-HIGH", F.concat(price, F.lit("12345"))).otherwise(price),
+            F.when(kind == "3-MEDIUM", F.lit("x,y")).otherwise(kind),
+        ).alias("value")
+    )
+
+
+@query(
+    """
+    SELECT o_orderpriority AS part, sum(CASE WHEN o_orderpriority = '4-NOT SPECIFIED' THEN 1 ELSE 0 END)::BIGINT AS loaded_rows,
+           o_orderpriority <> '4-NOT SPECIFIED' AS refused
+    FROM orders GROUP BY 1
+    """
+)
+def csv_reject_limit(spark: SparkSession, sf: str) -> DataFrame:
+    """A load per priority under the limit of 1 percent: those with faults in every row are refused."""
+    path = work_path(spark, "csv-limit")
+    lines = _faulty_lines(spark, sf)
+    priorities = table(spark, sf, "orders").select(F.col("o_orderkey").cast("string").alias("k"), F.col("o_orderpriority").alias("part"))
+    lines = lines.select("value", F.substring_index("value", ",", 1).alias("k")).join(priorities, "k").select("value", "part")
+    lines.write.partitionBy("part").text(path)
+    parsed = delimited.scan_csv_with_rejects(spark, f"{path}/*", _ORDER_FILE, header=False)
+    part = F.url_decode(F.regexp_extract("source_file", "part=([^/]+)/", 1))
+    rates = reject_rate(parsed.withColumn("part", part), by="part").withColumn("refused", over_limit(1.0))
+    loaded = F.when(F.col("refused"), F.lit(0)).otherwise(F.col("total_rows") - F.col("rejected_rows")).cast("long")
+    return rates.select("part", loaded.alias("loaded_rows"), "refused")
+
+
 @query(
     """
     SELECT CAST(month(o_orderdate) AS INTEGER) AS month, count(*) AS row_count,
@@ -228,12 +265,16 @@ def csv_reject_reasons(spark: SparkSession, sf: str) -> DataFrame:
     """
 )
 def csv_after_preamble(spark: SparkSession, sf: str) -> DataFrame:
-    """CSV files whose leading line is dropped by position, with a custom null marker."""
+    """CSV files whose title and header lines are dropped by position, with a custom null marker."""
     path = work_path(spark, "csv-preamble")
-    price = F.when(F.col("o_orderpriority") != "1-URGENT", F.col("o_totalprice"))
-    out = _order_file(spark, sf).withColumn("o_totalprice", price)
-    out.write.option("header", True).option("nullValue", "***").csv(path)
-    rows = delimited.scan_csv_after_preamble(spark, path, _ORDER_FILE, skip_lines=1, null="***")
+    price = F.when(F.col("o_orderpriority") != "1-URGENT", F.col("o_totalprice").cast("string")).otherwise(F.lit("***"))
+    data = _order_file(spark, sf).select(F.concat_ws(",", "o_orderkey", "o_orderdate", price, "o_orderpriority").alias("value"))
+    # Each file begins with its title and its header: they sort before the rows of their partition.
+    title = data.sparkSession.createDataFrame([(0, "Orders of all years"), (1, ",".join(_ORDER_FILE.fieldNames()))], "n int, value string")
+    rows = data.select(F.lit(2).alias("n"), "value", F.pmod(F.hash("value"), F.lit(3)).alias("file"))
+    heads = title.select("n", "value", F.explode(F.sequence(F.lit(0), F.lit(2))).alias("file"))
+    rows.union(heads).repartition(3, "file").sortWithinPartitions("file", "n").select("value", "file").write.partitionBy("file").text(path)
+    rows = delimited.scan_csv_after_preamble(spark, f"{path}/*", _ORDER_FILE, skip_lines=2, null="***")
     return rows.groupBy(F.month("o_orderdate").alias("month")).agg(
         F.count(F.lit(1)).alias("row_count"), F.count_if(F.col("o_totalprice").isNull()).alias("missing_prices")
     )
@@ -380,9 +421,10 @@ def pruned_year_scan(spark: SparkSession, sf: str) -> DataFrame:
     """
 )
 def pruned_month_scan(spark: SparkSession, sf: str) -> DataFrame:
+    """All orders routed by month; those outside the table's year are split off, the rest is read by a date range."""
     path = work_path(spark, "month-table")
-    year = table(spark, sf, "orders").filter("year(o_orderdate) = 1997")
-    layout.write_months(year, path, "o_orderdate", ["o_orderdate"], 1997)
+    inside, _ = split_rejects(layout.mark_month_range(table(spark, sf, "orders"), "o_orderdate", 1997))
+    layout.write_months(inside, path, "o_orderdate", ["o_orderdate"], 1997)
     wanted = layout.prune_months(spark.read.parquet(path), "o_orderdate", date(1997, 2, 10), date(1997, 6, 5))
     return wanted.groupBy(F.month("o_orderdate").alias("month")).agg(F.count(F.lit(1)).alias("row_count"))
 

@@ -42,16 +42,21 @@ def lowest_cardinality(spark: SparkSession, sf: str) -> DataFrame:
     return profile.lowest_cardinality(table(spark, sf, "lineitem"))
 
 
+_PART_VALUES = {c: c for c in ("p_partkey", "p_name", "p_brand", "p_type", "p_size")} | {"p_retailprice": "CAST(p_retailprice AS DECIMAL(18,2))"}
+
+
 @query(
     " UNION ALL ".join(
-        f"SELECT '{c}' AS column_name, CAST(coalesce(sum(strlen(CAST({c} AS VARCHAR))), 0) AS BIGINT) AS column_bytes, "
-        "(SELECT CAST(sum(strlen(p_name)) + sum(strlen(p_brand)) + sum(strlen(p_type)) "
-        "+ sum(strlen(CAST(p_size AS VARCHAR))) AS BIGINT) FROM part) AS total_bytes FROM part"
-        for c in ["p_name", "p_brand", "p_type", "p_size"]
+        f"SELECT '{c}' AS column_name, CAST(coalesce(sum(strlen(CAST({v} AS VARCHAR))), 0) AS BIGINT) AS column_bytes, "
+        "(SELECT CAST(" + " + ".join(f"sum(strlen(CAST({w} AS VARCHAR)))" for w in _PART_VALUES.values()) + " AS BIGINT) FROM part) "
+        "AS total_bytes FROM part"
+        for c, v in _PART_VALUES.items()
     )
 )
 def column_sizes(spark: SparkSession, sf: str) -> DataFrame:
-    return profile.column_sizes(table(spark, sf, "part"), ["p_name", "p_brand", "p_type", "p_size"])
+    """All columns of a table; the price as decimal, whose text both engines write alike."""
+    part = table(spark, sf, "part").withColumn("p_retailprice", F.col("p_retailprice").cast("decimal(18,2)"))
+    return profile.column_sizes(part, list(_PART_VALUES))
 
 
 @query(
@@ -218,7 +223,7 @@ def month_sketch_fill(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(
     """
-    SELECT 'users' AS hll_column, count(*) AS row_count, min(n) AS min_cardinality, max(n) AS max_cardinality,
+    SELECT 'users' AS hll_column, TRUE AS sizes_in_bounds, count(*) AS row_count, min(n) AS min_cardinality, max(n) AS max_cardinality,
            CAST(avg(n) AS DECIMAL(10,2)) AS avg_cardinality, CAST(sum(n) AS BIGINT) AS sum_estimates
     FROM (SELECT count(DISTINCT user_id) AS n FROM events GROUP BY event_type, ts::DATE)
     """
@@ -228,4 +233,7 @@ def sketch_column_profile(spark: SparkSession, sf: str) -> DataFrame:
     events = table(spark, sf, "events").withColumn("day", F.to_date("ts"))
     daily = sketch.build_sketches(events, ["event_type", "day"], "user_id", "users")
     profiled = sketch.sketch_profile(daily, ["users"])
-    return profiled.drop("min_size_bytes", "max_size_bytes", "avg_size_bytes")
+    # Bytes are the library's own; SQL can only say what they must lie between.
+    low, high = F.col("min_size_bytes"), F.col("max_size_bytes")
+    bounds = (low > 0) & (low <= F.col("avg_size_bytes")) & (F.col("avg_size_bytes") <= high) & (high <= 40_000)
+    return profiled.withColumn("sizes_in_bounds", bounds).drop("min_size_bytes", "max_size_bytes", "avg_size_bytes")

@@ -135,20 +135,19 @@ def base_names(spark: SparkSession, sf: str) -> DataFrame:
 
 # --- cone search -------------------------------------------------------------------
 
-# Positions on the sphere from the first two vector components, spread over the sky.
+# Positions on the sphere from the first two vector components: the first runs around it, the second is clamped.
 _STARS_SQL = """
-    SELECT vec_id, embedding[1]::DOUBLE * 450 + 180 AS ra, embedding[2]::DOUBLE * 200 AS dec FROM embeddings
-    WHERE embedding[2]::DOUBLE BETWEEN -0.45 AND 0.45 AND embedding[1]::DOUBLE BETWEEN -0.4 AND 0.399
+    SELECT vec_id, label, CASE WHEN x % 360 < 0 THEN (x % 360 + 360) % 360 ELSE x % 360 END AS ra,
+           greatest(-90.0, least(90.0, embedding[2]::DOUBLE * 200)) AS dec
+    FROM (SELECT *, embedding[1]::DOUBLE * 450 + 180 AS x FROM embeddings)
 """
 
 
 def _stars(spark: SparkSession, sf: str) -> DataFrame:
     first, second = F.col("embedding")[0].cast("double"), F.col("embedding")[1].cast("double")
-    return (
-        table(spark, sf, "embeddings")
-        .filter(second.between(-0.45, 0.45) & first.between(-0.4, 0.399))
-        .select("vec_id", (first * 450 + 180).alias("ra"), (second * 200).alias("dec"))
-    )
+    ra = F.pmod(first * 450 + 180, F.lit(360.0))
+    dec = F.greatest(F.lit(-90.0), F.least(F.lit(90.0), second * 200))
+    return table(spark, sf, "embeddings").select("vec_id", "label", ra.alias("ra"), dec.alias("dec"))
 
 
 def _haversine_sql(ra: str, dec: str) -> str:
@@ -172,13 +171,15 @@ def cone_search(spark: SparkSession, sf: str) -> DataFrame:
 @query(
     f"""
     SELECT c.vec_id AS center_id, s.vec_id AS vec_id, round({_haversine_sql('c.ra', 'c.dec')}, 6) AS distance_deg
-    FROM ({_STARS_SQL}) s, ({_STARS_SQL}) c WHERE {_haversine_sql('c.ra', 'c.dec')} <= 2.5
+    FROM ({_STARS_SQL}) s, ({_STARS_SQL}) c
+    WHERE c.vec_id IN (SELECT min(vec_id) FROM embeddings GROUP BY label) AND {_haversine_sql('c.ra', 'c.dec')} <= 2.5
     """
 )
 def cone_join(spark: SparkSession, sf: str) -> DataFrame:
-    """Neighbours of every star within 2.5 degrees."""
+    """Stars within 2.5 degrees of the first star of each label."""
     stars = _stars(spark, sf)
-    centers = stars.select(
+    chosen = stars.groupBy("label").agg(F.min("vec_id").alias("vec_id")).select("vec_id")
+    centers = stars.join(chosen, "vec_id", "left_semi").select(
         F.col("vec_id").alias("center_id"), F.col("ra").alias("center_ra"), F.col("dec").alias("center_dec")
     )
     near = sky.cone_join(stars, centers, 2.5)

@@ -11,9 +11,6 @@ from driftline.sources.rejects import with_reason
 
 _CORRUPT = "_malformed"
 
-# First-line ids are broadcast up to this many files (one path and one long each).
-MAX_BROADCAST_FILES = 20_000
-
 
 def scan_csv(
     spark: SparkSession,
@@ -32,9 +29,10 @@ def scan_csv(
     return _csv_reader(spark, header, delimiter, null, quote).option("mode", "FAILFAST").schema(schema).csv(paths)
 
 
-def _csv_reader(spark: SparkSession, header: bool, delimiter: str, null: str, quote: str):
+def _csv_reader(spark: SparkSession, header: bool, delimiter: str, null: str, quote: str, stream: bool = False):
     return (
-        spark.read.option("header", header)
+        (spark.readStream if stream else spark.read)
+        .option("header", header)
         .option("sep", delimiter)
         .option("nullValue", null)
         .option("quote", quote)
@@ -43,14 +41,23 @@ def _csv_reader(spark: SparkSession, header: bool, delimiter: str, null: str, qu
 
 
 def _typed(raw: str, kind: T.DataType) -> Column:
-    """SQL text of a raw field to a declared type; NULL when it does not parse."""
+    """SQL text of a raw field to a declared type; NULL when it does not parse whole and unrounded."""
     if isinstance(kind, T.StringType):
         return F.expr(raw)
     if isinstance(kind, T.ArrayType):
         return parse_text_array(F.expr(raw))
     if isinstance(kind, T.BinaryType):
         return F.try_to_binary(F.regexp_replace(F.expr(raw), r"^\\x", ""), F.lit("hex"))
-    return F.expr(f"try_cast(trim({raw}) AS {kind.simpleString()})")
+    value = f"try_cast(trim({raw}) AS {kind.simpleString()})"
+    if isinstance(kind, T.DateType):
+        return F.expr(f"CASE WHEN trim({raw}) RLIKE '^[0-9]{{4}}-[0-9]{{1,2}}-[0-9]{{1,2}}$' THEN {value} END")
+    if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
+        return F.expr(f"CASE WHEN trim({raw}) RLIKE '^[0-9]{{4}}-[0-9]{{1,2}}-[0-9]{{1,2}}' THEN {value} END")
+    if isinstance(kind, T.DecimalType):
+        # A cast would round; a fraction that does not fit is a bad value.
+        wide = f"try_cast(trim({raw}) AS decimal(38,{38 - kind.precision + kind.scale}))"
+        return F.expr(f"CASE WHEN {wide} = {value} THEN {value} END")
+    return F.expr(value)
 
 
 def _cast_or_reject(
@@ -86,17 +93,38 @@ def scan_csv_with_rejects(
     Fields are read as text and cast afterwards, so the reason names the column
     and a wrong field count is told apart from a bad value.
     """
+    return _marked(_raw_csv(_csv_reader(spark, header, delimiter, null, quote), schema).csv(paths), schema)
+
+
+def stream_csv_with_rejects(
+    spark: SparkSession,
+    folder: str,
+    schema: T.StructType,
+    *,
+    files_per_batch: int = 1000,
+    pattern: str | None = None,
+    header: bool = True,
+    delimiter: str = ",",
+    null: str = "",
+    quote: str = '"',
+) -> DataFrame:
+    """The same as a stream of new files."""
+    reader = _csv_reader(spark, header, delimiter, null, quote, stream=True).option("maxFilesPerTrigger", files_per_batch)
+    if pattern:
+        reader = reader.option("pathGlobFilter", pattern)
+    return _marked(_raw_csv(reader, schema).csv(folder), schema)
+
+
+def _raw_csv(reader, schema: T.StructType):
+    """All fields as text, lines of another field count in a column of their own."""
     text = T.StructType([T.StructField(f.name, T.StringType()) for f in schema.fields])
     text.add(_CORRUPT, T.StringType())
-    raw = (
-        _csv_reader(spark, header, delimiter, null, quote)
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", _CORRUPT)
-        .option("columnPruning", False)
-        .schema(text)
-        .csv(paths)
-        .withColumn("source_file", F.col("_metadata.file_path"))
-    )
+    reader = reader.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", _CORRUPT)
+    return reader.option("columnPruning", False).schema(text)
+
+
+def _marked(raw: DataFrame, schema: T.StructType) -> DataFrame:
+    raw = raw.withColumn("source_file", F.col("_metadata.file_path"))
     names = [f"`{name}`" for name in schema.fieldNames()]
     return _cast_or_reject(raw, schema, ["source_file"], names, f"{_CORRUPT} IS NOT NULL")
 
@@ -129,8 +157,6 @@ def drop_leading_lines(lines: DataFrame, count: int) -> DataFrame:
     heads = (
         numbered.filter(F.col("_block") == 0).groupBy("source_file").agg(F.min("_line").alias("_first"))
     )
-    if len(lines.inputFiles()) <= MAX_BROADCAST_FILES:
-        heads = F.broadcast(heads)
     in_preamble = (F.col("_block") == 0) & (F.col("_line") - F.col("_first") < count)
     return numbered.join(heads, "source_file").filter(~in_preamble).select("value", "source_file")
 

@@ -6,7 +6,7 @@ split over as many tasks as its size asks for.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from driftline.functions.scalar import blank_to_null, date_from_parts, fixed_slice, has_text, sentinel_to_null
@@ -18,7 +18,7 @@ DAYS_PER_LINE = 31
 DAY_OFFSET = 21
 DAY_WIDTH = 8
 
-# Fixed layout of a station line: field, first character, length.
+# Layout of a station line (field, first character, length).
 STATION_LAYOUT = [
     ("station_id", 0, 11),
     ("latitude", 12, 8),
@@ -47,21 +47,26 @@ def parse_daily_lines(lines: DataFrame, column: str = "value") -> DataFrame:
     """
     keep = [c for c in lines.columns if c != column]
     line = F.col(column)
-    days = lines.select(
-        *keep,
-        column,
+    # The day groups are cut to an array with the header, as one generated row, so that the line itself is neither
+    # copied per day nor parsed again for each of them.
+    groups = F.transform(
+        F.sequence(F.lit(0), F.lit(DAYS_PER_LINE - 1)),
+        lambda d: F.struct(d.alias("_day"), fixed_slice(line, F.lit(DAY_OFFSET) + d * DAY_WIDTH, DAY_WIDTH).alias("_group")),
+    )
+    # The missing marker fills its field, so it is recognised before any number is parsed.
+    groups = F.filter(groups, lambda g: ~g["_group"].startswith(str(MISSING_READING)))
+    header = F.struct(
         F.rtrim(fixed_slice(line, 0, 11)).alias("station_id"),
         F.trim(fixed_slice(line, 11, 4)).try_cast("int").alias("_year"),
         F.trim(fixed_slice(line, 15, 2)).try_cast("int").alias("_month"),
         F.rtrim(fixed_slice(line, 17, 4)).alias("element"),
-        F.explode(F.sequence(F.lit(0), F.lit(DAYS_PER_LINE - 1))).alias("_day"),
+        groups.alias("_groups"),
     )
-    group = fixed_slice(line, F.lit(DAY_OFFSET) + F.col("_day") * DAY_WIDTH, DAY_WIDTH)
+    lined = lines.select(*keep, F.inline(F.array(header)))
     bad_line = F.col("_year").isNull() | F.col("_month").isNull()
-    # The missing marker fills its field, so it is recognised before any number is parsed.
-    present = ~group.startswith(str(MISSING_READING))
-    wanted = days.filter((bad_line & (F.col("_day") == 0)) | (~bad_line & present)).withColumn("_group", group)
-    readings = wanted.select(
+    one = F.array(F.struct(F.lit(0).alias("_day"), F.lit("").alias("_group")))
+    days = lined.select(*keep, "station_id", "_year", "_month", "element", F.inline(F.when(bad_line, one).otherwise(F.col("_groups"))))
+    readings = days.select(
         "*",
         F.trim(fixed_slice("_group", 0, 5)).try_cast("int").alias("_reading"),
         date_from_parts("_year", "_month", F.col("_day") + 1).alias("_date"),
@@ -117,13 +122,19 @@ def read_stations(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     return parse_station_lines(read_lines(spark, paths))
 
 
+def _plain_number(name: str) -> Column:
+    """A decimal without trailing zeros, but with one digit after the point: 0.0005, 12.5, 3.0."""
+    return F.regexp_replace(F.col(name).cast("string"), r"(\.\d+?)0+$", "$1")
+
+
 def station_report(stations: DataFrame) -> DataFrame:
     """One text line per station, ready for ``write.text``; missing values print as None."""
+    # The labels of the report.
     labels = [
         ("Station ID", F.col("station_id")),
-        ("Latitude", F.col("latitude").cast("double").cast("string")),
-        ("Longitude", F.col("longitude").cast("double").cast("string")),
-        ("Elevation", F.col("elevation").cast("double").cast("string")),
+        ("Latitude", _plain_number("latitude")),
+        ("Longitude", _plain_number("longitude")),
+        ("Elevation", _plain_number("elevation")),
         ("State", F.col("state")),
         ("Name", F.col("station_name")),
         ("GSN Flag", F.col("gsn_flag")),

@@ -2,12 +2,32 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from driftline.functions.scalar import base_name, has_text
 
 
+def canonical_name(path: str) -> str:
+    """Full decoded URI with one spelling: ``file:/x`` for ``file:///x``, a plain path is a local one.
+
+    Scheme, host and bucket stay, so equal names in two stores are two files.
+    """
+    path = re.sub(r"^([A-Za-z][A-Za-z0-9+.-]*):/{3,}", r"\1:/", path)
+    return f"file:{path}" if path.startswith("/") else path
+
+
+def canonical_path(path: Column | str, encoded: bool = False) -> Column:
+    """``canonical_name`` of a column; scanned file paths are percent-encoded, listed ones are not."""
+    path = F.col(path) if isinstance(path, str) else path
+    if encoded:
+        path = F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))
+    path = F.regexp_replace(path, r"^([A-Za-z][A-Za-z0-9+.-]*):/{3,}", "$1:/")
+    return F.when(path.startswith("/"), F.concat(F.lit("file:"), path)).otherwise(path)
+
+
 def list_files(spark: SparkSession, folder: str, pattern: str = "*") -> DataFrame:
     """Path and size of every file below a folder; contents are not read."""
     return (

@@ -9,6 +9,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from driftline.sources.listing import canonical_path
+from driftline.sources.rejects import REASON, over_limit, reject_rate
+
 SOURCE = "source_file"
 
 
@@ -35,23 +38,37 @@ def ingest(
     events_path: str,
     checkpoint: str,
     prepare: Callable[[DataFrame], DataFrame] | None = None,
+    reject_percent: float = 1.0,
 ) -> StreamingQuery:
     """Append each micro-batch and its per-file row counts, then stop when caught up.
 
+    A stream of parsed rows with a reject reason (``stream_csv_with_rejects``) drops its bad rows; a file with more than
+    ``reject_percent`` of them stores nothing and ends FAILED.
+
     Both outputs go to a folder named after the batch in overwrite mode, so a
     batch that is retried after a lost executor or driver replaces itself.
     """
 
     def store(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
         rows = prepare(batch) if prepare else batch
-        rows.write.mode("overwrite").parquet(f"{facts_path}/batch_id={batch_id}")
-        stored = batch.sparkSession.read.schema(rows.schema).parquet(f"{facts_path}/batch_id={batch_id}")
-        events = stored.groupBy(SOURCE).agg(F.count(F.lit(1)).alias("inserted_row_count"))
-        events.select(
+        rows = rows.withColumn(SOURCE, canonical_path(SOURCE, encoded=True))
+        if REASON not in rows.columns:
+            rows = rows.withColumn(REASON, F.lit(None).cast("string"))
+        # Parsed once: rates, facts and counts all read the batch's staging folder.
+        rows.write.mode("overwrite").parquet(f"{events_path}-staging")
+        staged = spark.read.schema(rows.schema).parquet(f"{events_path}-staging")
+        rates = reject_rate(staged, by=SOURCE).withColumn("refused", over_limit(reject_percent))
+        good = staged.filter(F.col(REASON).isNull()).drop(REASON)
+        good = good.join(rates.filter("refused").select(SOURCE), SOURCE, "left_anti").select(*[c for c in rows.columns if c != REASON])
+        good.write.mode("overwrite").parquet(f"{facts_path}/batch_id={batch_id}")
+        refused_text = F.format_string("rejected %d of %d rows", "rejected_rows", "total_rows")
+        rates.select(
             F.col(SOURCE).alias("file_name"),
-            F.lit("COMPLETED").alias("status"),
+            F.when(F.col("refused"), F.lit("FAILED")).otherwise(F.lit("COMPLETED")).alias("status"),
             F.current_timestamp().alias("last_updated"),
-            "inserted_row_count",
+            F.when(F.col("refused"), F.lit(0)).otherwise(F.col("total_rows") - F.col("rejected_rows")).cast("long").alias("inserted_row_count"),
+            F.when(F.col("refused"), refused_text).alias("error_condition"),
         ).write.mode("overwrite").parquet(f"{events_path}/batch_id={batch_id}")
 
     return (

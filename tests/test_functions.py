@@ -141,3 +141,18 @@ def test_wall_clock_range_is_pushed_down_in_any_zone(spark, tmp_path):
         assert "GreaterThanOrEqual(t" in plan_text(found)
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def test_json_containment_of_objects_nulls_and_large_numbers(spark):
+    from driftline.functions.predicates import json_contains
+
+    rows = [('{"a": {}}',), ('{"b": 1}',), (None,), ('{"n": 9007199254740993}',), ('{"n": 9007199254740992}',), ("[1]",), ('{"n": 1.0}',)]
+    df = spark.createDataFrame(rows, "d string").coalesce(1)
+
+    def hits(pattern):
+        return [r[0] for r in df.select(json_contains("d", pattern)).collect()]
+
+    assert hits({"a": {}}) == [True, False, False, False, False, False, False]
+    assert hits({}) == [True, True, False, True, True, False, True]
+    assert hits({"n": 9007199254740993}) == [False, False, False, True, False, False, False]
+    assert hits({"n": 1}) == [False] * 6 + [True]

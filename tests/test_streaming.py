@@ -55,3 +55,19 @@ def test_monthly_mean_counts_late_rows(spark, tmp_path):
     monthly.compact(spark, means)
     monthly.compact(spark, means)
     assert found() == want
+
+
+def test_bad_rows_and_refused_files(spark, tmp_path):
+    from driftline.sources import delimited
+
+    folder = tmp_path / "in"
+    folder.mkdir()
+    schema = spark.createDataFrame([], "k int, v decimal(6,2)").schema
+    (folder / "good 1.csv").write_text("k,v\n" + "".join(f"{i},1.5\n" for i in range(200)) + "x,1.5\n")
+    (folder / "bad.csv").write_text("k,v\n1,1.255\n2,2\n")
+    paths = [str(tmp_path / p) for p in ("facts", "events", "checkpoint")]
+    stream = delimited.stream_csv_with_rejects(spark, str(folder), schema, files_per_batch=1)
+    ingest.ingest(stream, *paths, reject_percent=1.0).awaitTermination()
+    events = {r.file_name.rsplit("/", 1)[1]: (r.status, r.inserted_row_count, r.error_condition) for r in spark.read.parquet(paths[1]).collect()}
+    assert events == {"good 1.csv": ("COMPLETED", 200, None), "bad.csv": ("FAILED", 0, "rejected 1 of 2 rows")}
+    assert ingest.read_ingested(spark, paths[0], schema).count() == 200
