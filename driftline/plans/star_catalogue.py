@@ -2,21 +2,18 @@
 
 from __future__ import annotations
 
-import hashlib
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from driftline.plans.isolation import load_isolated, short_message
-from driftline.plans.tracked_load import plain_path
+from driftline.plans.isolation import load_isolated, whole_message
 from driftline.schemas import STAR_CATALOGUE
-from driftline.sources.delimited import scan_csv
-from driftline.sources.listing import list_files
+from driftline.sources.delimited import scan_csv_with_rejects
+from driftline.sources.listing import canonical_path, list_files
+from driftline.sources.rejects import REASON
 from driftline.sources.sinks import write_columnar
 
 SOURCE = "source_file"
-_REPORT = "file_name string, loaded_rows long, error string"
 
 
 def load_star_files(
@@ -29,40 +26,43 @@ def load_star_files(
 ) -> DataFrame:
     """Load every compressed CSV file of a folder; returns rows or error per file.
 
-    A file with a bad row or damaged compression contributes nothing.
-    Compressed files cannot be split: the shuffle by key that follows the scan
-    restores parallelism, and sorting by key lets row groups be skipped. A hash
-    shuffle is used because range bounds would need a sampling pass, that is a
-    second decompression of every file.
+    One tolerant pass parses all files to a staging folder next to the target and marks bad rows; a file that holds one
+    contributes nothing, by anti-join. A file whose compression is damaged is left out of the next attempt. Compressed
+    files cannot be split; the staging folder can, so range bounds by key cost no second decompression, and files of the
+    table hold disjoint key ranges.
     """
-    listed = list_files(spark, folder, pattern)
+    listed = list_files(spark, folder, pattern).select(canonical_path("file_name").alias("file_name"))
     # The scan takes its paths from the driver, which holds the listing anyway.
-    names = sorted(row.file_name for row in listed.select("file_name").collect())
+    names = sorted(row.file_name for row in listed.collect())
     if not names:
         raise ValueError(f"no files found: {folder}/{pattern}")
-    groups: list[str] = []
-    errors: list[tuple[str, int, str]] = []
-    # Drop and create: every load starts from an empty table.
-    spark.createDataFrame([], _stored(schema)).write.mode("overwrite").parquet(target)
+    staging = f"{target.rstrip('/')}-staging"
+    kept: list[str] = []
+    damaged: list[tuple[str, str]] = []
 
     def attempt(files: list[str]) -> None:
-        group = f"{target}/load_group={hashlib.sha256(chr(10).join(files).encode()).hexdigest()[:20]}"
-        rows = scan_csv(spark, files, schema).withColumn(SOURCE, F.col("_metadata.file_path"))
-        write_columnar(rows, group, cluster_by=[key], sort_by=[key])
-        groups.append(group)
+        part = f"{staging}/part-{len(kept)}"
+        rows = scan_csv_with_rejects(spark, files, schema)
+        rows.withColumn(SOURCE, canonical_path(SOURCE, encoded=True)).write.mode("overwrite").parquet(part)
+        kept.append(part)
 
-    load_isolated(names, attempt, lambda name, error: errors.append((name, 0, short_message(error))))
-    failed = spark.createDataFrame(errors, _REPORT)
-    if not groups:
-        return failed
-    loaded = spark.read.schema(_stored(schema)).parquet(*groups).groupBy(SOURCE).agg(F.count(F.lit(1)).alias("n"))
-    good = (
-        listed.select(plain_path("file_name").alias("file_name"))
-        .join(failed.select(plain_path("file_name").alias("file_name")), "file_name", "left_anti")
-        .join(loaded.select(plain_path(SOURCE).alias("file_name"), "n"), "file_name", "left")
-        .select("file_name", F.coalesce("n", F.lit(0)).alias("loaded_rows"), F.lit(None).cast("string").alias("error"))
+    load_isolated(names, attempt, lambda name, error: damaged.append((name, whole_message(error))))
+    fields = [*schema.fields, *(T.StructField(n, T.StringType()) for n in (SOURCE, REASON))]
+    empty = spark.createDataFrame([], T.StructType(fields))
+    rows = spark.read.schema(empty.schema).parquet(*kept) if kept else empty
+    bad = rows.filter(F.col(REASON).isNotNull()).groupBy(SOURCE).agg(F.count(F.lit(1)).alias("bad"), F.min(REASON).alias("why"))
+    good = rows.join(bad.select(SOURCE), SOURCE, "left_anti").select(*schema.fieldNames(), SOURCE)
+    # Drop and create: every load replaces the table.
+    write_columnar(good, target, cluster_by=[key], sort_by=[key], by_range=True)
+    loaded = spark.read.schema(_stored(schema)).parquet(target).groupBy(SOURCE).agg(F.count(F.lit(1)).alias("n"))
+    broken = spark.createDataFrame(damaged, "file_name string, damage string")
+    report = (
+        listed.join(loaded.withColumnRenamed(SOURCE, "file_name"), "file_name", "left")
+        .join(bad.withColumnRenamed(SOURCE, "file_name"), "file_name", "left")
+        .join(broken, "file_name", "left")
     )
-    return good.unionByName(failed.withColumn("file_name", plain_path("file_name")))
+    complaint = F.when(F.col("bad").isNotNull(), F.format_string("%d bad rows, first in %s", "bad", "why"))
+    return report.select("file_name", F.coalesce("n", F.lit(0)).alias("loaded_rows"), F.coalesce("damage", complaint).alias("error"))
 
 
 def _stored(schema: T.StructType) -> T.StructType:

@@ -1,6 +1,6 @@
 """Tracked bulk load of daily observation files.
 
-State lives in two Parquet folders. ``facts`` holds one folder per load batch;
+State lives in two Parquet folders besides a staging folder that each claim overwrites. ``facts`` holds one folder per load batch;
 ``load_events`` is an append-only log with a row per file and state change. A
 batch becomes visible only when its events are appended, so a crash before that
 leaves an unreferenced folder, which the retry of the same claim overwrites.
@@ -11,33 +11,29 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Callable
+from datetime import datetime, timezone
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from driftline.functions.scalar import as_column, base_name, clock_time
+from driftline.functions.scalar import base_name, clock_time
 from driftline.operators.relational import count_mismatch, first_per_key
-from driftline.plans.isolation import load_isolated, short_message
+from driftline.plans.isolation import load_isolated, whole_message
 from driftline.plans.layout import YEAR_COLUMN, write_daily
 from driftline.schemas import DAILY_OBSERVATION, LOAD_EVENT
-from driftline.session import ensure_checkpoint_dir
 from driftline.sources.delimited import scan_csv_with_rejects
-from driftline.sources.rejects import RejectLimitExceeded, over_limit, reject_rate, split_rejects
+from driftline.sources.listing import canonical_path
+from driftline.sources.rejects import REASON, RejectLimitExceeded, over_limit, reject_rate
 
+# The states of a file.
 PENDING, COMPLETED, FAILED = "PENDING", "COMPLETED", "FAILED"
-
-# A claim's file names travel through the driver and are broadcast.
-MAX_CLAIM = 10_000
+# A claim's own log entry, whose time is the start of its load.
+CLAIMED = "CLAIMED"
 
 _FACT = T.StructType(DAILY_OBSERVATION.fields + [T.StructField(YEAR_COLUMN, T.StringType())])
-
-
-def plain_path(path: Column | str) -> Column:
-    """Path without scheme and host, so that listed and scanned names compare equal."""
-    path = as_column(path)
-    return F.regexp_replace(path, r"^[A-Za-z][A-Za-z0-9+.-]*:(?://[^/]*)?", "")
+_STORED = T.StructType([*_FACT.fields, T.StructField("batch_id", T.StringType())])
 
 
 class TrackedLoad:
@@ -52,6 +48,7 @@ class TrackedLoad:
         self.station_of = station_of
         self.facts_path = f"{root.rstrip('/')}/facts"
         self.events_path = f"{root.rstrip('/')}/load_events"
+        self.staging_path = f"{root.rstrip('/')}/staging"
 
     # --- control log -----------------------------------------------------------
 
@@ -63,18 +60,18 @@ class TrackedLoad:
                 raise
             return self.spark.createDataFrame([], LOAD_EVENT)
 
-    def state(self) -> DataFrame:
+    def _heads(self) -> tuple[int, int]:
+        """Last event number and current file-list generation; 0 before the first."""
+        last = self.events().agg(F.max("seq").alias("seq"), F.max("generation").alias("generation")).first()
+        return last.seq or 0, last.generation or 0
+
+    def state(self, generation: int | None = None) -> DataFrame:
         """Latest event of every file of the current file list."""
-        events = self.events()
-        current = events.agg(F.max("generation").alias("g")).scalar()
+        events = self.events().filter(F.col("file_name").isNotNull())
+        current = F.lit(generation) if generation is not None else events.agg(F.max("generation").alias("g")).scalar()
         listed = events.filter(F.col("generation") == current)
         return first_per_key(listed, ["file_name"], ["seq", "last_updated"], latest=True)
 
-    def _next(self) -> tuple[int, int]:
-        """Next event number and next file-list generation."""
-        last = self.events().agg(F.max("seq").alias("seq"), F.max("generation").alias("generation")).first()
-        return (last.seq or 0) + 1, (last.generation or 0) + 1
-
     def _append(self, events: DataFrame) -> None:
         missing = {f.name: F.lit(None).cast(f.dataType).alias(f.name) for f in LOAD_EVENT.fields}
         full = events.select(
@@ -87,10 +84,10 @@ class TrackedLoad:
 
     def initialise(self, files: DataFrame) -> None:
         """Start a new file list: every file PENDING, earlier lists are history."""
-        seq, generation = self._next()
+        seq, generation = (n + 1 for n in self._heads())
         self._append(
             files.select(
-                plain_path("file_name").alias("file_name"),
+                canonical_path("file_name").alias("file_name"),
                 F.lit(PENDING).alias("status"),
                 F.current_timestamp().alias("last_updated"),
                 F.lit(seq).alias("seq"),
@@ -100,14 +97,15 @@ class TrackedLoad:
 
     def reset(self) -> int:
         """Put every file back to PENDING, clearing counts and error; returns the number of files."""
-        state = self.state()
+        seq, generation = self._heads()
+        state = self.state(generation)
         changed = state.count()
         self._append(
             state.select(
                 "file_name",
                 F.lit(PENDING).alias("status"),
                 F.current_timestamp().alias("last_updated"),
-                F.lit(self._next()[0]).alias("seq"),
+                F.lit(seq + 1).alias("seq"),
                 "generation",
             )
         )
@@ -117,57 +115,55 @@ class TrackedLoad:
         """The next files to load, by name."""
         return self.state().filter(F.col("status") == PENDING).orderBy("file_name").limit(limit)
 
-    # --- facts -------------------------------------------------------------------
+    def compact(self) -> None:
+        """Rewrite the log, one small file per claim, as one file; no entry is lost.
 
-    def published_batches(self) -> list[str]:
-        """Batch folders whose events were appended; as many as there were loads."""
-        done = self.events().filter(F.col("batch_id").isNotNull()).select("batch_id").distinct()
-        return sorted(row.batch_id for row in done.collect())
+        The new folder is complete before the old one is replaced. One writer is assumed, as for all of the log.
+        """
+        fresh = f"{self.events_path}-compacting"
+        self.events().coalesce(1).write.mode("overwrite").parquet(fresh)
+        self.spark.read.schema(LOAD_EVENT).parquet(fresh).coalesce(1).write.mode("overwrite").parquet(self.events_path)
+
+    # --- facts -------------------------------------------------------------------
 
     def facts(self, also: str | None = None) -> DataFrame:
-        """Fact rows of all published batches, plus one not yet published."""
-        batches = self.published_batches()
-        if also is not None and also not in batches:
-            batches.append(also)
-        if not batches:
+        """Fact rows of all published batches, plus one not yet published.
+
+        The table is read by its base folder; published batches are a semi-join on the batch partition, so no list of
+        batches passes through the driver and unpublished folders are not read.
+        """
+        try:
+            stored = self.spark.read.schema(_STORED).parquet(self.facts_path)
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
             return self.spark.createDataFrame([], _FACT)
-        return (
-            self.spark.read.schema(_FACT)
-            .option("basePath", self.facts_path)
-            .parquet(*[f"{self.facts_path}/batch_id={b}" for b in batches])
-            .select(*_FACT.fieldNames())
-        )
+        done = self.events().filter(F.col("batch_id").isNotNull()).select("batch_id")
+        if also is not None:
+            done = done.union(self.spark.range(1).select(F.lit(also).alias("batch_id")))
+        return stored.join(done.distinct(), "batch_id", "left_semi").select(*_FACT.fieldNames())
 
     # --- loading -------------------------------------------------------------------
 
     def load_files(self, limit: int = 1000, reject_percent: float = 1.0, distinct: bool = True) -> int:
         """Load the next files one by one in effect: a bad file fails alone.
 
-        All claimed files are scanned together; a file with too many rejects is
-        left out and marked FAILED. A file that breaks the job itself (missing,
-        unreadable) is separated by halving the claim.
+        All claimed files are parsed together, once; a file with too many rejects is left out and marked FAILED. A file
+        that breaks the job itself (missing, unreadable) is left out of the next attempt.
         """
         names, claim_seq, generation = self._claim(limit)
+        broken: list[tuple[str, str]] = []
 
         def attempt(group: list[str]) -> None:
             batch = self._batch_id(group, claim_seq)
-            parsed = self._scan(group)
-            rates = self._rates(parsed)
-            bad = F.broadcast(rates.filter(over_limit(reject_percent)).select("source_file"))
-            good = split_rejects(parsed.join(bad, "source_file", "left_anti"))[0]
-            self._write(batch, good, distinct)
-            self._publish(group, batch, rates, reject_percent, generation)
-
-        def failed(name: str, error: Exception) -> None:
-            row = [(name, FAILED, short_message(error), generation)]
-            event = self.spark.createDataFrame(
-                row, "file_name string, status string, error_condition string, generation long"
-            )
-            self._append(
-                event.withColumn("last_updated", F.current_timestamp()).withColumn("seq", F.lit(self._next()[0]))
-            )
-
-        load_isolated(names, attempt, failed)
+            rates = self._stage(group)
+            self._write(batch, rates, reject_percent, distinct)
+            self._publish(group, batch, rates, reject_percent, generation, claim_seq, broken)
+            broken.clear()
+
+        load_isolated(names, attempt, lambda name, error: broken.append((name, whole_message(error))))
+        if broken:
+            self._append(self._broken_events(broken, generation, claim_seq))
         return len(names)
 
     def load_batch(self, limit: int = 1000, reject_percent: float = 1.0) -> int:
@@ -176,13 +172,12 @@ class TrackedLoad:
         if not names:
             return 0
         batch = self._batch_id(names, claim_seq)
-        parsed = self._scan(names)
-        rates = self._rates(parsed)
-        whole = rates.agg(F.sum("total_rows").alias("n"), F.sum("rejected_rows").alias("bad")).first()
-        if whole.n and whole.bad * 100.0 / whole.n > reject_percent:
-            raise RejectLimitExceeded(f"{whole.bad} of {whole.n} rows rejected, limit {reject_percent} percent")
-        self._write(batch, split_rejects(parsed)[0], distinct=False)
-        self._publish(names, batch, rates, 100.0, generation)
+        rates = self._stage(names)
+        total, bad = sum(r.total_rows for r in rates), sum(r.rejected_rows for r in rates)
+        if total and bad * 100.0 / total > reject_percent:
+            raise RejectLimitExceeded(f"{bad} of {total} rows rejected, limit {reject_percent} percent")
+        self._write(batch, rates, 100.0, distinct=False)
+        self._publish(names, batch, rates, 100.0, generation, claim_seq, [])
         return len(names)
 
     def load_all(self, batch_size: int = 1000, **options) -> int:
@@ -193,62 +188,89 @@ class TrackedLoad:
         return total
 
     def _claim(self, limit: int) -> tuple[list[str], int, int]:
-        if limit > MAX_CLAIM:
-            raise ValueError(f"claim at most {MAX_CLAIM} files at a time")
-        rows = self.pending(limit).select("file_name", "seq", "generation").collect()
-        if not rows:
-            return [], 0, 0
-        return [r.file_name for r in rows], max(r.seq for r in rows), rows[0].generation
+        """The next names, which are the scan's path list and so on the driver in any case, and the claim's number."""
+        seq, generation = self._heads()
+        pending = self.state(generation).filter(F.col("status") == PENDING).orderBy("file_name").limit(limit)
+        names = [r.file_name for r in pending.select("file_name").collect()]
+        self._begun = datetime.now(timezone.utc)
+        return names, seq, generation
 
     def _batch_id(self, names: list[str], claim_seq: int) -> str:
         """Same claim, same id: a retry overwrites what a crashed attempt left."""
         return hashlib.sha256("\n".join([str(claim_seq), *names]).encode()).hexdigest()[:20]
 
-    def _scan(self, names: list[str]) -> DataFrame:
-        parsed = scan_csv_with_rejects(self.spark, names, DAILY_OBSERVATION)
-        return parsed.withColumn("source_file", plain_path("source_file"))
+    def _staged(self) -> DataFrame:
+        fields = [*DAILY_OBSERVATION.fields, *(T.StructField(n, T.StringType()) for n in ("source_file", REASON))]
+        return self.spark.read.schema(T.StructType(fields)).parquet(self.staging_path)
 
-    def _rates(self, parsed: DataFrame) -> DataFrame:
-        """Rows and rejects per file, computed once: at most one row per claimed file."""
-        ensure_checkpoint_dir(self.spark)
-        return reject_rate(parsed, by="source_file").checkpoint()
+    def _stage(self, names: list[str]) -> list[Row]:
+        """Parse the files once to the staging folder, which each claim overwrites; rows and rejects per file, one row per claimed file at most."""
+        parsed = scan_csv_with_rejects(self.spark, names, DAILY_OBSERVATION)
+        parsed = parsed.withColumn("source_file", canonical_path("source_file", encoded=True))
+        parsed.write.mode("overwrite").parquet(self.staging_path)
+        return reject_rate(self._staged(), by="source_file").collect()
 
-    def _write(self, batch: str, good: DataFrame, distinct: bool) -> None:
+    def _write(self, batch: str, rates: list[Row], reject_percent: float, distinct: bool) -> None:
         """Write the batch folder; duplicates are removed within a file, not between files."""
         columns = DAILY_OBSERVATION.fieldNames()
+        good = self._staged().filter(F.col(REASON).isNull())
+        refused = [(r.source_file,) for r in rates if _refused(r, reject_percent)]
+        if refused:
+            names = self.spark.createDataFrame(refused, "source_file string")
+            good = good.join(names, "source_file", "left_anti")
         rows = good.select("source_file", *columns).distinct() if distinct else good
         write_daily(rows.select(*columns), f"{self.facts_path}/batch_id={batch}")
 
     def _publish(
-        self, names: list[str], batch: str, rates: DataFrame, reject_percent: float, generation: int
+        self,
+        names: list[str],
+        batch: str,
+        rates: list[Row],
+        reject_percent: float,
+        generation: int,
+        claim_seq: int,
+        broken: list[tuple[str, str]],
     ) -> None:
-        """Compare file and table counts per station and append the files' final events."""
-        claimed = self.spark.createDataFrame([(n,) for n in names], "file_name string").select(
-            "file_name", self.station_of(F.col("file_name")).alias("station_id")
-        )
-        per_file = (
-            claimed.join(F.broadcast(rates), F.col("file_name") == F.col("source_file"), "left")
-            .withColumn("expected_count", F.coalesce("total_rows", F.lit(0)))
-            .withColumn("refused", over_limit(reject_percent))
-        )
+        """Compare file and table counts per station and append all events of the claim at once."""
+        counted = {r.source_file: r for r in rates}
+        claimed = self.spark.createDataFrame(
+            [(n, counted[n].total_rows if n in counted else 0, counted[n].rejected_rows if n in counted else 0) for n in names],
+            "file_name string, total_rows long, rejected_rows long",
+        ).withColumn("station_id", self.station_of(F.col("file_name")))
+        claimed = claimed.withColumn("reject_ratio", F.try_divide("rejected_rows", "total_rows"))
+        refused = over_limit(reject_percent)
         actual = self._station_counts(claimed.select("station_id"), batch)
         refused_text = F.format_string("rejected %d of %d rows", "rejected_rows", "total_rows")
         inserted = F.coalesce("actual_count", F.lit(0))
-        mismatch = count_mismatch(F.col("expected_count"), F.col("actual_count"))
-        events = per_file.join(F.broadcast(actual), "station_id", "left").select(
+        mismatch = count_mismatch(F.col("total_rows"), F.col("actual_count"))
+        events = claimed.join(actual, "station_id", "left").select(
             "file_name",
-            F.when(F.col("refused"), F.lit(FAILED)).otherwise(F.lit(COMPLETED)).alias("status"),
+            F.when(refused, F.lit(FAILED)).otherwise(F.lit(COMPLETED)).alias("status"),
             F.current_timestamp().alias("last_updated"),
-            F.when(~F.col("refused"), F.col("expected_count")).alias("csv_record_count"),
-            F.when(~F.col("refused"), inserted).alias("inserted_row_count"),
-            F.when(F.col("refused"), refused_text).otherwise(mismatch).alias("error_condition"),
-            F.lit(self._next()[0]).alias("seq"),
+            F.when(~refused, F.col("total_rows")).alias("csv_record_count"),
+            F.when(~refused, inserted).alias("inserted_row_count"),
+            F.when(refused, refused_text).otherwise(mismatch).alias("error_condition"),
+            F.lit(claim_seq + 1).alias("seq"),
             F.lit(batch).alias("batch_id"),
             F.lit(generation).alias("generation"),
         )
-        # At most MAX_CLAIM rows: one file, so the batch appears at once.
+        events = events.unionByName(self._broken_events(broken, generation, claim_seq), allowMissingColumns=True)
+        # One row per claimed file: one file, so the batch appears at once.
         self._append(events.coalesce(1))
 
+    def _broken_events(self, broken: list[tuple[str, str]], generation: int, claim_seq: int) -> DataFrame:
+        """Final events of files that could not be read, and the claim's own entry with the time it began."""
+        rows = [(n, FAILED, text, None) for n, text in broken] + [(None, CLAIMED, None, self._begun)]
+        entries = self.spark.createDataFrame(rows, "file_name string, status string, error_condition string, begun timestamp")
+        return entries.select(
+            "file_name",
+            "status",
+            F.coalesce("begun", F.current_timestamp()).alias("last_updated"),
+            "error_condition",
+            F.lit(claim_seq + 1).alias("seq"),
+            F.lit(generation).alias("generation"),
+        )
+
     def _station_counts(self, stations: DataFrame, batch: str) -> DataFrame:
         """Table rows per claimed station.
 
@@ -259,7 +281,7 @@ class TrackedLoad:
         return (
             self.facts(also=batch)
             .filter(F.col("station_id").between(low, high))
-            .join(F.broadcast(stations.distinct()), "station_id", "left_semi")
+            .join(stations.distinct(), "station_id", "left_semi")
             .groupBy("station_id")
             .agg(F.count(F.lit(1)).alias("actual_count"))
         )
@@ -269,13 +291,13 @@ class TrackedLoad:
     def statistics(self) -> DataFrame:
         """Files done, rows in the table, elapsed time and mean time per file.
 
-        Time runs from the first event of the current file list to its last one.
+        Time runs from the first claim of the current file list to its last final event.
         """
-        state = self.state()
+        _, generation = self._heads()
+        state = self.state(generation)
         done = F.col("status") != PENDING
-        begun = self.events().filter(
-            F.col("generation") == state.agg(F.max("generation").alias("g")).scalar()
-        ).agg(F.min("last_updated").alias("t"))
+        claims = self.events().filter((F.col("generation") == generation) & (F.col("status") == CLAIMED))
+        begun = claims.agg(F.min("last_updated").alias("t"))
         seconds = F.unix_timestamp(F.max(F.when(done, F.col("last_updated")))) - F.unix_timestamp(begun.scalar())
         total = self.facts().agg(F.count(F.lit(1)).alias("n"))
         return (
@@ -286,3 +308,7 @@ class TrackedLoad:
                 "mean_per_file", clock_time(F.try_divide(F.col("elapsed_seconds"), F.col("files_processed")).cast("long"))
             )
         )
+
+
+def _refused(rate: Row, reject_percent: float) -> bool:
+    return bool(rate.total_rows) and rate.rejected_rows * 100.0 / rate.total_rows > reject_percent

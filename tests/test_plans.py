@@ -202,6 +202,78 @@ def test_missing_file_fails_alone(spark, inbox, tmp_path):
     assert job.facts().count() == 4
 
 
+def test_names_with_blanks_and_percent_signs(spark, inbox, tmp_path):
+    station_file(inbox, "A 1", 20)
+    station_file(inbox, "B 2", 0, ["B 2,bad,TMAX,1,,,", "B 2,2000,TMAX,1,,,"])
+    station_file(inbox, "100%", 3)
+    station_file(inbox, "x+y", 2)
+    job = started(spark, inbox, tmp_path)
+    job.load_all()
+    state = state_of(job)
+    assert {n: (r.status, r.error_condition) for n, r in state.items()} == {
+        "A 1.csv": ("COMPLETED", None), "B 2.csv": ("FAILED", "rejected 2 of 2 rows"),
+        "100%.csv": ("COMPLETED", None), "x+y.csv": ("COMPLETED", None),
+    }
+    assert job.facts().count() == 25
+
+
+def test_equal_names_in_two_stores_are_two_files(spark, tmp_path):
+    job = TrackedLoad(spark, str(tmp_path / "table"))
+    names = ["s3a://b1/x/a.csv", "s3a://b2/x/a.csv", "file:///x/a.csv", "file:/x/a.csv", "/x/a.csv"]
+    job.initialise(spark.createDataFrame([(n,) for n in names], "file_name string"))
+    assert sorted(r.file_name for r in job.state().collect()) == ["file:/x/a.csv", "s3a://b1/x/a.csv", "s3a://b2/x/a.csv"]
+
+
+def jobs_of(spark, work):
+    """Spark jobs that ``work`` runs."""
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("counted", "")
+    try:
+        before = len(tracker.getJobIdsForGroup("counted"))
+        work()
+        return len(tracker.getJobIdsForGroup("counted")) - before
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_claim_runs_few_jobs_and_log_compacts(spark, inbox, tmp_path):
+    for n in range(3):
+        station_file(inbox, f"A{n}", 5)
+    job = started(spark, inbox, tmp_path)
+    assert jobs_of(spark, lambda: job.load_files(10)) <= 20
+    before = sorted(map(tuple, job.events().collect()), key=str)
+    job.compact()
+    assert sorted(map(tuple, job.events().collect()), key=str) == before
+    assert len(list((tmp_path / "table" / "load_events").glob("*.parquet"))) == 1
+
+
+def test_elapsed_time_starts_with_the_claim(spark, inbox, tmp_path):
+    import time
+
+    station_file(inbox, "A1", 1)
+    job = started(spark, inbox, tmp_path)
+    time.sleep(3)
+    begun = time.monotonic()
+    job.load_all()
+    assert job.statistics().first().elapsed_seconds <= time.monotonic() - begun + 1
+
+
+def test_other_errors_go_up(spark, inbox, tmp_path, monkeypatch):
+    from pyspark.errors import AnalysisException
+
+    station_file(inbox, "A1", 1)
+    station_file(inbox, "A2", 1)
+    job = started(spark, inbox, tmp_path)
+
+    def refuse(*args, **kwargs):
+        raise AnalysisException("disk full")
+
+    monkeypatch.setattr("driftline.plans.tracked_load.write_daily", refuse)
+    with pytest.raises(AnalysisException):
+        job.load_files(10)
+    assert {r.status for r in job.state().collect()} == {"PENDING"}
+
+
 def test_batch_load(spark, inbox, tmp_path):
     station_file(inbox, "A1", 5, ["A1,2000-01-01,TMAX,0,,,S"])
     station_file(inbox, "A2", 5)
@@ -249,13 +321,14 @@ def test_star_files_are_isolated(spark, tmp_path):
     whole = gzip.compress(("source_id,ra,dec\n" + "".join(f"{9000 + i},{i},{i}\n" for i in range(20000))).encode())
     (folder / "cut.csv.gz").write_bytes(whole[: len(whole) // 2])
     (folder / "badrow.csv.gz").write_bytes(gzip.compress(b"source_id,ra,dec\n1,2,3\n2,x,4\n"))
+    (folder / "s 5.csv.gz").write_bytes(gzip.compress(b"source_id,ra,dec\n5001,2,3\n5002,3,4\n"))
     report = load_star_files(spark, str(folder), str(tmp_path / "t"), STARS)
     found = {r.file_name.rsplit("/", 1)[1]: (r.loaded_rows, r.error is None) for r in report.collect()}
     assert found == {
         "s0.csv.gz": (50, True), "s1.csv.gz": (100, True), "s2.csv.gz": (150, True), "s3.csv.gz": (200, True),
-        "cut.csv.gz": (0, False), "badrow.csv.gz": (0, False),
+        "cut.csv.gz": (0, False), "badrow.csv.gz": (0, False), "s 5.csv.gz": (2, True),
     }
-    assert read_star_table(spark, str(tmp_path / "t"), STARS).count() == 500
+    assert read_star_table(spark, str(tmp_path / "t"), STARS).count() == 502
     load_star_files(spark, str(folder), str(tmp_path / "t"), STARS, pattern="s0*.csv.gz")
     assert read_star_table(spark, str(tmp_path / "t"), STARS).count() == 50
     with pytest.raises(ValueError):
