@@ -12,26 +12,27 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: The white space between words, and the symbols counted.
+from driftline.llm.common import written
+
+#: The white space between words.
 SPACE = " \t\n\x0b\x0c\r"
 SPACE_RUN = "[\\x20\\x09-\\x0D]+"
-SYMBOLS = "[^#*$%&|<>]+"
 
-#: Frequent function words of the languages the references are kept for.
+#: Frequent function words of the languages the references are kept for; counted as spelt here.
 COMMON_WORDS = {
     "en": ["the", "of", "and", "to", "in", "is", "that", "for", "on", "with", "as", "was"],
     "de": ["der", "die", "und", "in", "den", "von", "zu", "das", "mit", "sich", "des", "auf"],
     "fr": ["de", "la", "le", "et", "les", "des", "en", "un", "du", "une", "que", "est"],
     "es": ["de", "la", "que", "el", "en", "y", "a", "los", "del", "se", "las", "por"],
 }
-#: Character classes as complements: what is left after removing everything else.
+#: Character classes, disjoint; they are taken out of the text one after the other, so that only the first sees all of it.
 CLASSES = {
-    "lower": "[^a-z]+",
-    "upper": "[^A-Z]+",
-    "digit": "[^0-9]+",
-    "space": "[^\\x20\\x09-\\x0D]+",
-    "symbol": SYMBOLS,
-    "mark": "[^.,;:!?'\"()\\[\\]{}/@=+_~^`\\\\-]+",
+    "lower": "[a-z]+",
+    "space": "[\\x20\\x09-\\x0D]+",
+    "upper": "[A-Z]+",
+    "mark": "[.,;:!?'\"()\\[\\]{}/@=+_~^`\\\\-]+",
+    "digit": "[0-9]+",
+    "symbol": "[#*$%&|<>]+",
 }
 MIN_CHARS = 200
 MIN_COMMON = 30
@@ -71,7 +72,7 @@ def _repeat_words(words: Column, width: int = 5) -> Column:
 
     def hashes(w: Column) -> Column:
         h = F.transform(w, lambda x: F.xxhash64(x))
-        return _let(h, lambda v: F.transform(at, lambda i: F.xxhash64(*[F.element_at(v, i + k) for k in range(width)])))
+        return _let(h, lambda v: F.transform(at, lambda i: F.xxhash64(F.slice(v, i, F.lit(width)))))
 
     def exact(w: Column) -> Column:
         return F.transform(at, lambda i: F.concat_ws(" ", F.slice(w, i, F.lit(width))))
@@ -101,14 +102,12 @@ def measures(docs: DataFrame) -> DataFrame:
     rows = docs.select(F.col("doc_id"), F.lower(F.col("lang")).alias("lang"), text.alias("text"))
     with_word = lambda line: F.length(F.btrim(line, F.lit(SPACE))) > 0
     lines = _let(F.filter(F.split("text", "\n"), with_word), lambda x: F.size(x) - F.size(F.array_distinct(x)))
-    kept_length = lambda drop: F.length(F.regexp_replace("text", drop, "")).cast("long")
     vocabulary = {lang: F.array(*[F.lit(w) for w in words]) for lang, words in COMMON_WORDS.items()}
 
     def histogram(w: Column) -> Column:
         def bins(lang: str) -> Column:
             names = COMMON_WORDS[lang]
-            low = F.filter(F.transform(w, lambda x: F.lower(x)), lambda x: x.isin(names))
-            return _let(low, lambda c: F.array(*[(F.size(c) - F.size(F.array_remove(c, v))).cast("long") for v in names]))
+            return _let(F.filter(w, lambda x: x.isin(names)), lambda c: F.array(*[(F.size(c) - F.size(F.array_remove(c, v))).cast("long") for v in names]))
 
         chosen = F.when(F.lit(False), F.lit(None).cast("array<bigint>"))
         for lang in vocabulary:
@@ -123,17 +122,25 @@ def measures(docs: DataFrame) -> DataFrame:
             histogram(w).alias("common"),
         )
 
+    def left(t: Column, patterns: list[str]) -> Column:
+        """Lengths after taking out one class after the other."""
+        if not patterns:
+            return F.array(F.length(t).cast("long"))
+        rest = F.regexp_replace(t, patterns[0], "")
+        return F.concat(F.array(F.length(t).cast("long")), _let(rest, lambda r: left(r, patterns[1:])))
+
     out = rows.select(
         "doc_id",
         "lang",
         F.inline(F.array(_let(_words(F.col("text")), measured))),
         F.length("text").cast("long").alias("chars"),
-        kept_length(SYMBOLS).alias("n_symbols"),
         lines.cast("long").alias("n_dup_lines"),
-        F.array(*[kept_length(drop) for drop in CLASSES.values()]).alias("classes"),
+        left(F.col("text"), list(CLASSES.values())).alias("left"),
     )
-    rest = F.col("chars") - reduce(lambda a, b: a + b, [F.col("classes")[i] for i in range(len(CLASSES))])
-    return out.withColumn("classes", F.concat("classes", F.array(rest)))
+    counts = [F.col("left")[k] - F.col("left")[k + 1] for k in range(len(CLASSES))]
+    classes = F.array(*counts, F.col("left")[len(CLASSES)])
+    n_symbols = counts[list(CLASSES).index("symbol")]
+    return out.select("*", classes.alias("classes"), n_symbols.alias("n_symbols")).drop("left")
 
 
 def language_references(measured: DataFrame) -> DataFrame:
@@ -154,7 +161,8 @@ def quality_rules(docs: DataFrame, references: DataFrame | None = None) -> DataF
     has a row per value of ``lang``; it is joined and left to Spark's measured size, hot languages are split by adaptive
     execution.
     """
-    measured = measures(docs)
+    # Texts are measured once; what is written holds a row of numbers per document.
+    measured = written(measures(docs), "measures")
     references = language_references(measured) if references is None else references
     width, bins = len(CLASSES) + 1, len(COMMON_WORDS["en"])
     refs = references.select(F.col("lang").alias("ref_lang"), *[F.col(f"c{i}") for i in range(width)], *[F.col(f"w{i}") for i in range(bins)])
