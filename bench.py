@@ -2,7 +2,7 @@
 
 BENCH_SF_DIR   folder of the Parquet tables (default /root/testdata/sf0.1)
 BENCH_CPUS     local worker threads (default 8)
-BENCH_QUERIES  comma-separated names (default: the headline list below, "all" for every query)
+BENCH_QUERIES  comma-separated names (default, and "all": every query of the library)
 """
 
 from __future__ import annotations
@@ -14,38 +14,16 @@ import time
 from pathlib import Path
 
 from driftline.queries import REGISTRY
-from driftline.session import SESSION_DEFAULTS, shuffle_partitions_for
-
-HEADLINE = [
-    "yearly_avg_range", "yearly_avg", "yearly_avg_exact", "monthly_avg_category", "date_bounds", "null_audit",
-    "distinct_years", "distinct_on_latest", "wide_to_long", "anomaly_long", "fixed_width_roundtrip",
-    "delimited_roundtrip", "csv_scan", "compressed_csv_load", "tracked_load", "pruned_year_scan",
-    "partition_counts_total", "histogram_20", "partition_advice", "key_distribution", "column_cardinality",
-    "lowest_cardinality", "column_sizes", "json_cardinality", "json_frequency", "value_frequency", "array_profile",
-    "array_element_stats", "sketch_estimates", "sketch_bands", "month_sketch_fill", "dim_label_join", "update_from",
-    "upsert_ignore", "reconcile_counts", "duplicate_keys", "dense_index", "series_expand", "token_index",
-    "link_extract", "cone_join", "stream_ingest", "stream_monthly_mean",
-]
-
+from driftline.session import build_session
 
 def main() -> None:
-    from pyspark.sql import SparkSession
-
     folder = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     chosen = os.environ.get("BENCH_QUERIES", "")
-    names = list(REGISTRY) if chosen == "all" else chosen.split(",") if chosen else HEADLINE
+    names = list(REGISTRY) if chosen in ("", "all") else chosen.split(",")
     input_bytes = sum(p.stat().st_size for p in Path(folder).glob("*.parquet"))
-    builder = SparkSession.builder.master(f"local[{cpus}]").appName("bench")
-    settings = {
-        **SESSION_DEFAULTS,
-        "spark.ui.enabled": "false",
-        "spark.driver.memory": "12g",
-        "spark.sql.shuffle.partitions": str(shuffle_partitions_for(input_bytes, cpus)),
-    }
-    for key, value in settings.items():
-        builder = builder.config(key, value)
-    spark = builder.getOrCreate()
+    extra = {"spark.master": f"local[{cpus}]", "spark.ui.enabled": "false", "spark.driver.memory": "12g"}
+    spark = build_session("bench", input_bytes, cpus, **extra)
     spark.sparkContext.setLogLevel("ERROR")
     # Start the executor threads and code generation once, outside the timings.
     spark.read.parquet(f"{folder}/lineitem.parquet").groupBy("l_returnflag").count().collect()

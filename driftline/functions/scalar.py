@@ -97,8 +97,8 @@ def percent(part: Column | str, whole: Column | str, scale: int = 2) -> Column:
 
 
 def rounded_mean(total: Column, count: Column) -> Column:
-    """Mean of integers as ``decimal(10,2)``, rounded half up."""
-    return F.try_divide(total.cast("decimal(20,0)"), count.cast("decimal(20,0)")).cast("decimal(10,2)")
+    """Mean of integers as ``decimal(22,2)``, rounded half up."""
+    return F.try_divide(total.cast("decimal(20,0)"), count.cast("decimal(20,0)")).cast("decimal(22,2)")
 
 
 def equal_width_bucket(value: Column, low: Column, high: Column, buckets: int) -> Column:

@@ -31,9 +31,18 @@ def task_distribution(df: DataFrame) -> DataFrame:
     return bucket_counts(df, F.spark_partition_id(), "partition_id")
 
 
-def partition_counts(df: DataFrame, partition: Column | str, name: str = "partition_name") -> DataFrame:
-    """Rows per logical partition, by partition column or by a label taken from the path."""
-    return df.groupBy(as_column(partition).alias(name)).agg(F.count(F.lit(1)).alias("row_count")).orderBy(name)
+def partition_counts(
+    df: DataFrame, partition: Column | str, name: str = "partition_name", expected: list[str] | None = None
+) -> DataFrame:
+    """Rows per logical partition, by partition column or by a label taken from the path.
+
+    ``expected`` names partitions that are listed even when they are empty, as a calendar or a listing gives them.
+    """
+    counts = df.groupBy(as_column(partition).alias(name)).agg(F.count(F.lit(1)).alias("row_count"))
+    if expected is not None:
+        empty = df.sparkSession.createDataFrame([(e,) for e in expected], f"{name} string").withColumn("row_count", F.lit(0).cast("long"))
+        counts = counts.union(empty).groupBy(name).agg(F.sum("row_count").alias("row_count"))
+    return counts.orderBy(name)
 
 
 def partition_label(path: Column | str, column: str) -> Column:

@@ -45,8 +45,8 @@ def token_document_counts(df: DataFrame, text: str) -> DataFrame:
 
 
 def write_token_index(postings: DataFrame, key: str, path: str) -> None:
-    """Postings clustered by token; a token lookup then reads few row groups."""
-    write_columnar(postings, path, cluster_by=["token"], sort_by=["token", key])
+    """Postings by ranges of token and key: a lookup reads the files that hold its tokens."""
+    write_columnar(postings, path, cluster_by=["token"], sort_by=["token", key], by_range=True)
 
 
 def find_documents(postings: DataFrame, key: str, words: Sequence[str]) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from driftline.functions.sky import angular_distance, dec_band, pack_cell, sky_cell, slices_in_band
+from driftline.sources.sinks import write_columnar
 
 
 def cone_search(stars: DataFrame, ra: float, dec: float, radius_deg: float) -> DataFrame:
@@ -21,6 +22,31 @@ def cone_search(stars: DataFrame, ra: float, dec: float, radius_deg: float) -> D
     return near.withColumn("distance_deg", distance).filter(F.col("distance_deg") <= radius_deg)
 
 
+def write_by_cell(stars: DataFrame, path: str, cell_deg: float) -> None:
+    """Stars with their sky cell, in files of disjoint cell ranges."""
+    located = stars.withColumn("cell", sky_cell("ra", "dec", cell_deg))
+    write_columnar(located, path, cluster_by=["cell"], sort_by=["cell"], by_range=True)
+
+
+def cone_search_cells(stored: DataFrame, ra: float, dec: float, radius_deg: float, cell_deg: float) -> DataFrame:
+    """``cone_search`` on a table written by cell: only files and row groups of the cone's cells are read.
+
+    The cells of one cone are few (its area over a cell's) and become plain range comparisons on the stored column.
+    """
+    center = stored.sparkSession.range(1).select(F.lit(float(ra)).alias("center_ra"), F.lit(float(dec)).alias("center_dec"))
+    cells = sorted(r.cell for r in cells_of_cone(center, radius_deg, cell_deg).select("cell").distinct().collect())
+    runs: list[list[int]] = []
+    for cell in cells:
+        if runs and cell == runs[-1][1] + 1:
+            runs[-1][1] = cell
+        else:
+            runs.append([cell, cell])
+    inside = F.lit(False)
+    for low, high in runs:
+        inside = inside | F.col("cell").between(low, high)
+    return cone_search(stored.filter(inside), ra, dec, radius_deg).drop("cell")
+
+
 def cells_of_cone(centers: DataFrame, radius_deg: float, cell_deg: float) -> DataFrame:
     """Each center repeated for every sky cell its cone can touch, in column ``cell``."""
     south = F.greatest(F.col("center_dec") - radius_deg, F.lit(-90.0))

@@ -75,13 +75,14 @@ def prune_months(df: DataFrame, column: str, first: date, last: date) -> DataFra
 
 
 def write_daily(observations: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """Daily observations by year partition, sorted by station and date within each file."""
+    """Daily observations by year partition; its files hold disjoint ranges of station and date, so lookups skip most."""
     write_columnar(
         observations.withColumn(YEAR_COLUMN, year_partition("observation_date")),
         path,
         cluster_by=[YEAR_COLUMN],
         sort_by=["station_id", "observation_date"],
         partition_by=[YEAR_COLUMN],
+        by_range=True,
         mode=mode,
     )
 
@@ -94,4 +95,5 @@ def write_months(df: DataFrame, path: str, timestamp: str, sort_by: list[str], y
         cluster_by=[MONTH_COLUMN],
         sort_by=sort_by,
         partition_by=[MONTH_COLUMN],
+        by_range=True,
     )

@@ -28,14 +28,17 @@ def partition_counts_total(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(
     """
-    SELECT CASE WHEN year(o_orderdate) BETWEEN 1996 AND 1999 THEN 'p' || year(o_orderdate) ELSE 'p_default' END AS partition_name,
-           count(*) AS row_count
-    FROM orders GROUP BY 1
+    WITH named AS (
+        SELECT CASE WHEN year(o_orderdate) BETWEEN 1996 AND 2005 THEN 'p' || year(o_orderdate) ELSE 'p_default' END AS name FROM orders
+    ), listed AS (SELECT 'p' || y AS name FROM range(1996, 2006) t(y) UNION ALL SELECT 'p_default')
+    SELECT name AS partition_name, (SELECT count(*) FROM named n WHERE n.name = l.name) AS row_count FROM listed l
     """
 )
 def default_partition_route(spark: SparkSession, sf: str) -> DataFrame:
-    label = layout.year_partition("o_orderdate", 1996, 1999)
-    return distribution.partition_counts(table(spark, sf, "orders"), label)
+    """Years without a row are listed too."""
+    label = layout.year_partition("o_orderdate", 1996, 2005)
+    listed = [f"p{year}" for year in range(1996, 2006)] + [layout.DEFAULT_PARTITION]
+    return distribution.partition_counts(table(spark, sf, "orders"), label, expected=listed)
 
 
 @query(

@@ -104,7 +104,7 @@ def _arrays(spark: SparkSession, sf: str) -> DataFrame:
 @query(
     " UNION ALL ".join(
         f"SELECT '{n}' AS column_name, count(*) AS total_rows, count(DISTINCT string_split({c}, ' ')) AS distinct_arrays, "
-        f"CAST(avg(len(string_split({c}, ' '))) AS DECIMAL(10,2)) AS avg_array_length FROM part"
+        f"CAST(avg(len(string_split({c}, ' '))) AS DECIMAL(22,2)) AS avg_array_length FROM part"
         for n, c in [("name_words", "p_name"), ("type_words", "p_type")]
     )
 )
@@ -115,7 +115,7 @@ def array_profile(spark: SparkSession, sf: str) -> DataFrame:
 @query(
     " UNION ALL ".join(
         f"SELECT '{n}' AS column_name, count(*) AS unique_elements, min(f) AS min_frequency, max(f) AS max_frequency, "
-        f"CAST(avg(f) AS DECIMAL(10,2)) AS avg_frequency "
+        f"CAST(avg(f) AS DECIMAL(22,2)) AS avg_frequency "
         f"FROM (SELECT e, count(*) AS f FROM (SELECT unnest(string_split({c}, ' ')) AS e FROM part) GROUP BY e)"
         for n, c in [("name_words", "p_name"), ("type_words", "p_type")]
     )
@@ -224,7 +224,7 @@ def month_sketch_fill(spark: SparkSession, sf: str) -> DataFrame:
 @query(
     """
     SELECT 'users' AS hll_column, TRUE AS sizes_in_bounds, count(*) AS row_count, min(n) AS min_cardinality, max(n) AS max_cardinality,
-           CAST(avg(n) AS DECIMAL(10,2)) AS avg_cardinality, CAST(sum(n) AS BIGINT) AS sum_estimates
+           CAST(avg(n) AS DECIMAL(22,2)) AS avg_cardinality, CAST(sum(n) AS BIGINT) AS sum_estimates
     FROM (SELECT count(DISTINCT user_id) AS n FROM events GROUP BY event_type, ts::DATE)
     """
 )

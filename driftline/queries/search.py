@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from driftline.functions.scalar import base_name
 from driftline.operators import search, sky
 from driftline.queries.registry import query, table
+from driftline.session import work_path
 from driftline.sources import listing
 
 _STOP_LIST = ", ".join(f"'{w}'" for w in search.ENGLISH_STOP_WORDS)
@@ -35,9 +36,10 @@ def token_index(spark: SparkSession, sf: str) -> DataFrame:
     """
 )
 def token_search(spark: SparkSession, sf: str) -> DataFrame:
-    """The stop word in the request does not restrict the result."""
-    postings = search.token_postings(table(spark, sf, "documents"), "doc_id", "text")
-    return search.find_documents(postings, "doc_id", ["license", "under"])
+    """Lookup in a written index; the stop word in the request does not restrict the result."""
+    path = work_path(spark, "token-index")
+    search.write_token_index(search.token_postings(table(spark, sf, "documents"), "doc_id", "text"), "doc_id", path)
+    return search.find_documents(spark.read.parquet(path), "doc_id", ["license", "under"])
 
 
 @query(
@@ -164,7 +166,10 @@ def _haversine_sql(ra: str, dec: str) -> str:
     """
 )
 def cone_search(spark: SparkSession, sf: str) -> DataFrame:
-    near = sky.cone_search(_stars(spark, sf), 180.0, 10.0, 25.0)
+    """One cone over a table written by sky cell."""
+    path = work_path(spark, "star-cells")
+    sky.write_by_cell(_stars(spark, sf), path, 5.0)
+    near = sky.cone_search_cells(spark.read.parquet(path), 180.0, 10.0, 25.0, 5.0)
     return near.select("vec_id", F.round("distance_deg", 6).alias("distance_deg"))
 
 

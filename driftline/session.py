@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import tempfile
+import atexit
 import uuid
 
 from pyspark.sql import SparkSession
@@ -23,10 +23,19 @@ SESSION_DEFAULTS = {
 TARGET_SHUFFLE_BYTES = 128 * 1024 * 1024
 
 
-def build_session(app_name: str = "driftline", **conf: str) -> SparkSession:
-    """Create or reuse a session; the master is left to spark-submit unless given."""
+# Adaptive execution merges small partitions at run time but never splits those of an aggregate, so it starts from many.
+INITIAL_PARTITIONS = 2_000
+
+
+def build_session(app_name: str = "driftline", input_bytes: int | None = None, cores: int = 1, **conf: str) -> SparkSession:
+    """Create or reuse a session; the master is left to spark-submit unless given.
+
+    Shuffles start with one partition per 128 MB of ``input_bytes``, or INITIAL_PARTITIONS where the input is not known.
+    """
+    first = INITIAL_PARTITIONS if input_bytes is None else shuffle_partitions_for(input_bytes, cores)
+    sizes = {"spark.sql.shuffle.partitions": str(first), "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(first)}
     builder = SparkSession.builder.appName(app_name)
-    for key, value in {**SESSION_DEFAULTS, **conf}.items():
+    for key, value in {**SESSION_DEFAULTS, **sizes, **conf}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 
@@ -43,21 +52,44 @@ def shuffle_partitions_for(input_bytes: int, cores: int) -> int:
 def shared_root(spark: SparkSession) -> str:
     """Folder every executor can reach: ``spark.checkpoint.dir``, or what the application set.
 
-    Falls back to a temporary folder only for a local master, where driver and
-    executors are the same machine.
+    Without either it is a folder below the warehouse, which every session has and all executors share.
     """
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="driftline-"))
-        root = spark.sparkContext.getCheckpointDir()
-    return root.rstrip("/")
+    return (root or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_work").rstrip("/")
+
+
+_RUNS: dict[str, str] = {}
 
 
 def work_path(spark: SparkSession, label: str) -> str:
-    """Fresh path below the shared folder for tables a job hands to its next step."""
-    return f"{shared_root(spark)}/driftline/{label}-{uuid.uuid4().hex}"
+    """Fresh path, below this application's own work folder, for tables a job hands to its next step.
+
+    ``clean_work`` removes the folder; it runs by itself when the driver's Python ends.
+    """
+    app = spark.sparkContext.applicationId
+    if app not in _RUNS:
+        _RUNS[app] = f"{shared_root(spark)}/driftline/run-{uuid.uuid4().hex}"
+        atexit.register(_clean_quietly, spark, app)
+    return f"{_RUNS[app]}/{label}-{uuid.uuid4().hex}"
+
+
+def clean_work(spark: SparkSession) -> None:
+    """Remove the application's own work folder and nothing else; later work paths start a new one."""
+    _remove(spark, spark.sparkContext.applicationId)
+
+
+def _remove(spark: SparkSession, app: str) -> None:
+    folder = _RUNS.pop(app, None)
+    if folder is not None:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def _clean_quietly(spark: SparkSession, app: str) -> None:
+    try:
+        _remove(spark, app)
+    except Exception:  # noqa: BLE001  the session is gone already; nothing can be removed through it
+        pass
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:

@@ -58,7 +58,7 @@ def test_year_routing_and_pruning(spark, tmp_path):
 
 def test_hot_year_is_split_over_tasks(spark, tmp_path):
     """Most rows in one year: the rebalance write makes several files of it."""
-    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64k")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     try:
         hot = spark.range(60000).select(
             F.format_string("S%010d", "id").alias("station_id"),
@@ -72,7 +72,55 @@ def test_hot_year_is_split_over_tasks(spark, tmp_path):
         assert len(list((path / "obs_part=p2000").glob("*.parquet"))) > 2
         assert spark.read.parquet(str(path)).count() == 60000
     finally:
-        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+
+
+def ranges_of(path, column):
+    """Smallest and largest value of a column in each file."""
+    import pyarrow.parquet as pq
+
+    out = []
+    for file in path.rglob("*.parquet"):
+        values = pq.read_table(str(file), partitioning=None).column(column).to_pylist()
+        out.append((min(values), max(values)))
+    return sorted(out)
+
+
+def disjoint(ranges):
+    return all(a[1] < b[0] for a, b in zip(ranges, ranges[1:]))
+
+
+def test_files_hold_disjoint_ranges(spark, tmp_path):
+    """Daily facts by station, stars by cell, postings by token: a lookup needs few files."""
+    from driftline.operators import search, sky
+
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "8")
+    try:
+        days = spark.range(40000).select(
+            F.format_string("S%06d", F.pmod(F.xxhash64("id"), F.lit(9000))).alias("station_id"),
+            F.lit(date(2000, 1, 1)).alias("observation_date"), F.lit("T").alias("element"), F.col("id").cast("decimal(18,4)").alias("value"),
+            *[F.lit(None).cast("string").alias(c) for c in ("mflag", "qflag", "sflag")],
+        )
+        layout.write_daily(days, str(tmp_path / "days"))
+        found = ranges_of(tmp_path / "days", "station_id")
+        assert len(found) >= 4 and disjoint(found)
+        assert sum(a <= "S004500" <= b for a, b in found) == 1
+        stars = spark.range(40000).select((F.col("id") % 360).cast("double").alias("ra"), (F.pmod(F.xxhash64("id"), F.lit(180)) - 90.0).alias("dec"))
+        sky.write_by_cell(stars, str(tmp_path / "stars"), 5.0)
+        found = ranges_of(tmp_path / "stars", "cell")
+        assert len(found) >= 4 and disjoint(found)
+        stored = spark.read.parquet(str(tmp_path / "stars"))
+        near = sky.cone_search_cells(stored, 350.0, 40.0, 12.0, 5.0)
+        assert near.count() == sky.cone_search(stars, 350.0, 40.0, 12.0).count() > 0
+        assert "cell" in plan_text(near).split("PushedFilters")[1]
+        docs = spark.range(3000).select("id", F.concat_ws(" ", *[F.format_string("w%05d", F.pmod(F.xxhash64("id", F.lit(k)), F.lit(4000))) for k in range(9)]).alias("text"))
+        search.write_token_index(search.token_postings(docs, "id", "text"), "id", str(tmp_path / "index"))
+        found = ranges_of(tmp_path / "index", "token")
+        assert len(found) >= 3 and all(a[1] <= b[0] for a, b in zip(found, found[1:]))
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
 
 
 def test_month_routing(spark, tmp_path):
