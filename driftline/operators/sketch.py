@@ -17,6 +17,7 @@ from driftline.operators.relational import expand_series
 LG_REGISTERS = 15
 
 # Cardinality bands: exclusive upper bound and label.
+# Bands of estimates.
 BANDS = [(1, "Empty"), (50, "Very Low (1-49)"), (100, "Low (50-99)"), (500, "Medium (100-499)")]
 TOP_BAND = "High (500+)"
 
@@ -43,6 +44,7 @@ def band_label(cardinality: Column | str) -> Column:
 
 def set_size_sql(bucket: str, month: int) -> str:
     """Number of generated values per row by size bucket 1..10 of a month column, as SQL."""
+    # Set sizes by month.
     small, medium, large, huge = 25 + 2 * month, 50 + 3 * month, 100 + 5 * month, 200 + 10 * month
     return (
         f"CASE WHEN {bucket} = 1 THEN 10 WHEN {bucket} <= 3 THEN {small} WHEN {bucket} <= 6 THEN {medium} "
@@ -124,7 +126,10 @@ def sketch_profile(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 def merged_estimates(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Estimated size of the union of all sketches per column."""
-    merged = df.agg(*[F.hll_sketch_estimate(F.hll_union_agg(c)).alias(c) for c in columns])
+    # One partial per scan task would meet in a single task; a first step merges them in a bounded number of groups.
+    groups = df.groupBy(F.pmod(F.spark_partition_id(), F.lit(256)).alias("_group"))
+    partial = groups.agg(*[F.hll_union_agg(c).alias(c) for c in columns])
+    merged = partial.agg(*[F.hll_sketch_estimate(F.hll_union_agg(c)).alias(c) for c in columns])
     return merged.unpivot([], list(columns), "hll_column", "merged_cardinality")
 
 
