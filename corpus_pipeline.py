@@ -41,12 +41,16 @@ def drop_site_lines(spark: SparkSession, docs: DataFrame, folder: str) -> DataFr
 def drop_near_copies(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """The document of smallest id of each group of near copies. Rows without an id or without words are no copies.
 
-    Of rows that repeat with the same id and text one stays.
+    Of rows that repeat with the same id and text one stays. The ids to drop, not those to keep, meet the texts: they are
+    the smaller side, and Spark broadcasts them where they are small enough.
     """
-    groups = shingle_components(docs, width=SHINGLE_WORDS, percent=SIMILARITY)
-    keep = groups.where("doc_id = component_id").select("doc_id").distinct()
-    whole = docs.where("doc_id is not null").select(*COLUMNS).join(keep, "doc_id", "left_semi")
-    return whole.distinct().union(docs.where("doc_id is null").select(*COLUMNS)).select(*COLUMNS)
+    groups = shingle_components(docs, width=SHINGLE_WORDS, percent=SIMILARITY).where("doc_id is not null")
+    ids = groups.groupBy("doc_id").agg(F.max(F.col("doc_id") == F.col("component_id")).alias("first"), F.count("*").alias("n"))
+    ids = written(ids.where("not first or n > 1"), "near-copies")
+    rows = docs.select(*COLUMNS)
+    once = rows.join(ids.select("doc_id"), "doc_id", "left_anti")
+    repeated = rows.join(ids.where("first").select("doc_id"), "doc_id", "left_semi").distinct()
+    return once.select(*COLUMNS).union(repeated.select(*COLUMNS))
 
 
 def mask_personal_data(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
