@@ -125,16 +125,33 @@ def _forest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.record_batch({"a": pa.array(nodes, pa.int64()), "b": pa.array(roots, pa.int64())})
 
 
+#: Edges, after each task has reduced its own to a forest, up to which one task finishes the work (16 bytes each).
+ONE_TASK_EDGES = 200_000
+
+
+def _last_forest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    parent: dict[int, int] = {}
+    for batch in batches:
+        for a, b in zip(batch_values(batch, "a"), batch_values(batch, "b"), strict=True):
+            joined(parent, a, b)
+    nodes, roots = _stars(parent)
+    yield pa.record_batch({"a": pa.array(nodes, pa.int64()), "b": pa.array(roots, pa.int64())})
+
+
 def components(edges: DataFrame, max_rounds: int = 40) -> DataFrame:
     """(id, component_id) of every node with an edge; ``edges`` has long columns a and b.
 
-    Each batch is first reduced to a spanning forest, then large-star and small-star rounds run until no edge changes.
-    Minima are aggregates with a map-side step and the way back is a join that adaptive execution can split, so a node
-    with very many edges is no one task's burden. Each round is a written table. Null ends are no edges.
+    Each batch is first reduced to a spanning forest. Up to ONE_TASK_EDGES edges of all forests, a counted bound, are united
+    in one task. Beyond it, large-star and small-star rounds run until no edge changes: minima are aggregates with a
+    map-side step and the way back is a join that adaptive execution can split, so a node with very many edges is no one
+    task's burden. Either way gives the same result. Null ends are no edges.
     """
     ship(edges.sparkSession)
     e = edges.where("a is not null and b is not null and a <> b").select("a", "b")
-    e = written(e.mapInArrow(_forest, "a long, b long").distinct(), "edges")
+    e = written(e.mapInArrow(_forest, "a long, b long"), "edges")
+    if e.count() <= ONE_TASK_EDGES:
+        e = written(e.coalesce(1).mapInArrow(_last_forest, "a long, b long"), "edges")
+        return e.select(F.col("a").alias("id"), F.col("b").alias("component_id")).union(e.select("b", "b").distinct())
     seen = None
     for _ in range(max_rounds):
         both = e.union(e.select(F.col("b").alias("a"), F.col("a").alias("b")))

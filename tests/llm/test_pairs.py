@@ -91,7 +91,9 @@ def test_bands_hold_every_partner():
             assert 2 * (size - common) <= bands.most_apart(bands.of(size))
 
 
-def test_components_of_a_path_a_star_and_a_ring(frame):
+@pytest.mark.parametrize("bound", [0, 200_000])
+def test_components_of_a_path_a_star_and_a_ring(frame, monkeypatch, bound):
+    monkeypatch.setattr("driftline.llm.common.ONE_TASK_EDGES", bound)
     edges = [(i, i + 1) for i in range(60)] + [(100, 100 + i) for i in range(50)] + [(300 + i, 300 + (i + 1) % 7) for i in range(7)]
     edges += [(None, 3), (5, 5)]
     got = {r.id: r.component_id for r in components(frame(edges, "a long, b long")).collect()}
