@@ -3,7 +3,7 @@
 Fixed forms give the base spans: email, ip, card and phone. The field adds spans that the forms miss. A text is looked at
 where it holds a digit or an @ sign; the tokens around are a region. A segmentation of a region covers it with segments of
 a bounded number of tokens, each of one kind or of none, and its score is the sum of the weights of whole-span features:
-digit count, grouping, separators, checksum, the words in front. Dynamic programming sums over all segmentations to train
+digit count, grouping, separators, checksum, the characters on either side. Dynamic programming sums over all segmentations to train
 the weights and finds each segment's probability to choose boundaries and kinds together. Training data are base spans of
 a bounded sample, and the same spans rewritten into other usual forms, between spans of no kind.
 """
@@ -28,8 +28,10 @@ KINDS = ("email", "ip", "card", "phone")
 SAMPLE_DOCS = 500
 TRAIN_REGIONS = 1_200
 EPOCHS = 8
-#: Most tokens of a segment, and least probability of an added span.
+#: Most tokens of a segment, and below it the least probability of an added span.
 MAX_TOKENS = 20
+#: Most digits of a segment, an @ sign counting as nine.
+MAX_HELD = 28
 MIN_PROBABILITY = 0.7
 
 # The base forms. Possessive runs give the same leftmost longest matches without trying others again.
@@ -89,12 +91,11 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 class Region:
     """Tokens of a stretch of text, with what segments need to know about it."""
 
-    __slots__ = ("text", "start", "tokens", "before")
+    __slots__ = ("text", "start", "tokens")
 
     def __init__(self, text: str, start: int, end: int):
         self.start, self.text = start, text[start:end]
         self.tokens = [(m.start(), m.end()) for m in _TOKEN.finditer(self.text)]
-        self.before = text[max(0, start - 40) : start].lower().split()[-2:]
 
 
 def regions(text: str, reach: int = 24) -> Iterator[Region]:
@@ -178,7 +179,9 @@ def lattice(region: Region) -> list[tuple[int, int, list[str]]]:
                 held += 9
             elif text[b0:b].lower() == "at":
                 held += 4
-            if held >= 4 and not text[b - 1].isspace() and j - i >= 1 and (held >= 9 or "@" in text[a:b] or " at " in text[a:b]):
+            if held > MAX_HELD:  # longer than any kind: numeric tables cost no more than their tokens
+                break
+            if held >= 9 and not text[b - 1].isspace():
                 out.append((i, j, span_features(region, i, j)))
     return out
 

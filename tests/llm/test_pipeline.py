@@ -17,7 +17,7 @@ def folder(spark, tmp_path_factory):
     docs = [(i, text(i), "en", "a" if i % 2 else "b", 0) for i in range(120)]
     docs += [(200, text(3), "en", "a", 0), (201, text(3) + " more", "en", "c", 0), (202, text(3), "en", "a", 0), (202, text(3), "en", "a", 0)]
     docs += [(300 + i, text(i + 500) + " villain scoundrel", "en", "a", 0) for i in range(40)]
-    docs += [(400 + i, f"menu of the site\n{text(i + 800)}", "en", "z", 0) for i in range(30)]
+    docs += [(400 + i, f"menu of the site\n{text(i + 200)}", "en", "z", 0) for i in range(30)]
     docs += [(500, "mail joe@mail.example.com or +1 (415) 555-1234 " + text(950), "en", "a", 0), (501, None, None, None, None), (502, "", "en", "a", 0), (None, text(970), "en", "a", 0)]
     path = tmp_path_factory.mktemp("tables")
     spark.createDataFrame(docs, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(str(path / "documents.parquet"))
