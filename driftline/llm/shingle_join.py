@@ -222,13 +222,14 @@ def _difference_prefixes(percent: int):
     With D the difference to the hub, c = (100 - percent) / (100 + percent) and v = |D| - c * size, two members link only
     if their differences share at least (v + v') / 2 elements. A member off the hub has v > c * |hub|; one linked to it
     needs partners off it, the others are in its component. So each has a least overlap o, and the first |D| - o + 1
-    elements, in one order for all members of the hub (elements outside the hub first), must meet the partner's.
+    elements, in one order for all members of the hub (elements outside the hub first), must meet the partner's. ``rest``
+    is how many elements follow; with the first common one it bounds the overlap of two members from above.
     """
     c = (100 - percent) / (100 + percent)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            hubs, members, elements = [], [], []
+            hubs, members, elements, rests, values = [], [], [], [], []
             columns = [batch.column(k) for k in range(4)]
             for hub, member, x, y in zip(columns[0].to_pylist(), columns[1].to_pylist(), columns[2], columns[3], strict=True):
                 h, z = np.frombuffer(x.as_buffer(), _U), np.frombuffer(y.as_buffer(), _U)
@@ -244,8 +245,11 @@ def _difference_prefixes(percent: int):
                 elements.append(prefix.astype(np.int64))
                 hubs.append(np.full(len(prefix), hub, np.int64))
                 members.append(np.full(len(prefix), member, np.int64))
+                rests.append(d - 1 - np.arange(len(prefix)))
+                values.append(np.full(len(prefix), v))
             if elements:
-                yield pa.record_batch({"hub": np.concatenate(hubs), "fp": np.concatenate(members), "element": np.concatenate(elements)})
+                columns = {"hub": hubs, "fp": members, "element": elements, "rest": rests, "v": values}
+                yield pa.record_batch({name: np.concatenate(parts) for name, parts in columns.items()})
 
     return run
 
@@ -291,10 +295,11 @@ def shingle_components(docs: DataFrame, width: int = 3, percent: int = 90) -> Da
     torn = named.join(torn, "hub", "left_semi")
     pairs = torn.select(F.col("hub").alias("a"), F.col("fp").alias("b"))
     full = _with_sets(pairs, sets).select("a", "b", "grams_a", "grams_b")
-    marks_of = full.mapInArrow(_difference_prefixes(percent), "hub long, fp long, element long")
+    marks_of = full.mapInArrow(_difference_prefixes(percent), "hub long, fp long, element long, rest long, v double")
     marks_of = written(marks_of.join(torn, ["hub", "fp"]), "differences")
-    other = marks_of.select("hub", "element", F.col("fp").alias("fp2"), F.col("label").alias("label2"))
+    other = marks_of.toDF("hub", "fp2", "element", "rest2", "v2", "label2")
     cross = marks_of.join(other, ["hub", "element"]).where("fp < fp2 and label <> label2")
+    cross = cross.where("2 * (1 + least(rest, rest2)) >= v + v2 - 1e-6")
     cross = cross.select(F.col("fp").alias("a"), F.col("fp2").alias("b")).distinct()
     second = _verify(cross, sets, percent).where("linked").select("a", "b")
 
