@@ -82,18 +82,20 @@ def _repeat_words(words: Column, width: int = 5) -> Column:
     return F.when(~long_enough, none).when(unique, none).otherwise(_covered(exact(words), width))
 
 
-def _distance(counts: list[Column], reference: list[Column]) -> Column:
-    """Jensen-Shannon distance (square root, base 2) of two count vectors; null if one is empty."""
-    total, ref_total = reduce(lambda a, b: a + b, counts), reduce(lambda a, b: a + b, reference)
+def _distance(counts: Column, reference: Column) -> Column:
+    """Jensen-Shannon distance (square root, base 2) of two arrays of counts; null if one is null or adds up to nothing."""
 
-    def term(c: Column, r: Column) -> Column:
-        p, q = c / F.nullif(total, F.lit(0)), r / F.nullif(ref_total, F.lit(0))
-        m = (p + q) / 2
-        part = lambda x: F.when(x > 0, x * F.log2(x / m)).otherwise(0.0)
-        return (part(p) + part(q)) / 2
+    def total(x: Column) -> Column:
+        return F.aggregate(x, F.lit(0.0), lambda acc, v: acc + v)
 
-    divergence = reduce(lambda a, b: a + b, [term(c, r) for c, r in zip(counts, reference, strict=True)])
-    return F.when((total > 0) & (ref_total > 0), F.sqrt(F.greatest(divergence, F.lit(0.0))))
+    def shares(x: Column) -> Column:
+        return _let(total(x), lambda t: F.when(t > 0, F.transform(x, lambda v: v / t)))
+
+    def part(a: Column, b: Column) -> Column:
+        return F.when(a > 0, a * F.log2(2 * a / (a + b))).otherwise(0.0) / 2
+
+    terms = F.zip_with(shares(counts), shares(reference), lambda a, b: part(a, b) + part(b, a))
+    return F.sqrt(F.greatest(total(terms), F.lit(0.0)))
 
 
 def measures(docs: DataFrame) -> DataFrame:
@@ -165,11 +167,15 @@ def quality_rules(docs: DataFrame, references: DataFrame | None = None) -> DataF
     measured = written(measures(docs), "measures")
     references = language_references(measured) if references is None else references
     width, bins = len(CLASSES) + 1, len(COMMON_WORDS["en"])
-    refs = references.select(F.col("lang").alias("ref_lang"), *[F.col(f"c{i}") for i in range(width)], *[F.col(f"w{i}") for i in range(bins)])
+    refs = references.select(
+        F.col("lang").alias("ref_lang"),
+        F.array(*[F.col(f"c{i}") for i in range(width)]).alias("ref_classes"),
+        F.array(*[F.col(f"w{i}") for i in range(bins)]).alias("ref_common"),
+    )
     joined = measured.join(refs, F.col("lang").eqNullSafe(F.col("ref_lang")), "left")
-    class_distance = _distance([F.col("classes")[i] for i in range(width)], [F.col(f"c{i}") for i in range(width)])
+    class_distance = _distance(F.col("classes").cast("array<double>"), F.col("ref_classes"))
     common_total = F.aggregate("common", F.lit(0).cast("long"), lambda a, x: a + x)
-    word_distance = _distance([F.col("common")[i] for i in range(bins)], [F.col(f"w{i}") for i in range(bins)])
+    word_distance = _distance(F.col("common").cast("array<double>"), F.col("ref_common"))
     base = (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
     scored = joined.select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", base.alias("base_failed"),
