@@ -16,15 +16,18 @@ from __future__ import annotations
 import re
 import zlib
 from collections.abc import Callable, Iterator
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from driftline.llm.common import MEMO_ENTRIES, ship
+from driftline.llm.common import ship
 
 MARK = "▁"
+#: Words, and pairs of pieces, whose results a worker keeps (some 200 bytes each) before it starts afresh.
+MEMO_WORDS, MEMO_PAIRS = 1_000_000, 500_000
 _WORDS = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
 INFINITE = float("inf")
 
@@ -32,7 +35,7 @@ INFINITE = float("inf")
 class _Memo(dict):
     """Bounded memo of a function."""
 
-    def __init__(self, make: Callable, entries: int = 2 * MEMO_ENTRIES):
+    def __init__(self, make: Callable, entries: int):
         super().__init__()
         self.make, self.entries = make, entries
 
@@ -76,33 +79,42 @@ class Transducer:
                     self.unknown, self.surface[i] = i, " ⁇ ".encode()
         if any(MARK in p.lstrip(MARK) for p in self.ids):
             raise ValueError("pieces that cross a word's start are not supported")
-        self.begins = {p[:n] for p in self.ids for n in range(1, len(p) + 1)}
+        # The pieces' automaton as one table: every beginning of a piece, with the piece's id or -1 where it is none.
+        self.states = {p[:n]: -1 for p in self.ids for n in range(1, len(p))} | self.ids
         self.packed = [int(i).to_bytes(4, "little") for i in range(len(self.scores))]
         self.unknown_score = min(self.scores, default=0.0) - 10.0
-        self.word_ids = _Memo(self._encode_word)
-        self._fits = _Memo(self._stable)
+        self.word_ids = _Memo(self._encode_word, MEMO_WORDS)
+        self._fits = _Memo(self._stable, MEMO_PAIRS)
 
-    def merged(self, text: str) -> list[str]:
-        """The merges themselves on a short text: best score first, leftmost among equals."""
+    def merged(self, text: str, cut: int = 0) -> list[str]:
+        """The merges themselves on a short text: best score first, leftmost among equals.
+
+        With ``cut`` they end as soon as one goes across that place.
+        """
         parts = list(text)
-        while True:
-            best, at = -INFINITE, -1
-            for i in range(len(parts) - 1):
-                piece = self.ids.get(parts[i] + parts[i + 1])
-                if piece is not None and self.scores[piece] > best:
-                    best, at = self.scores[piece], i
-            if at < 0:
-                return parts
+        ids, scores = self.ids, self.scores
+        ranks = [scores[k] if (k := ids.get(x + y)) is not None else -INFINITE for x, y in pairwise(parts)]
+        while ranks and (best := max(ranks)) > -INFINITE:
+            at = ranks.index(best)
             parts[at : at + 2] = [parts[at] + parts[at + 1]]
+            del ranks[at]
+            if cut:
+                start = sum(map(len, parts[:at]))
+                if start < cut < start + len(parts[at]):
+                    break
+            for i in (at - 1, at):
+                if 0 <= i < len(ranks):
+                    ranks[i] = scores[k] if (k := ids.get(parts[i] + parts[i + 1])) is not None else -INFINITE
+        return parts
 
     def _stable(self, pair: tuple[str, str]) -> bool:
         """Whether merging the joined text leaves just these two neighbours (or the one piece at a word's start)."""
-        return self.merged(pair[0] + pair[1]) == [p for p in pair if p]
+        return self.merged(pair[0] + pair[1], len(pair[0])) == [p for p in pair if p]
 
     def shortest_path(self, word: str) -> list[str]:
         """Least-weight path over one word's lattice, as pieces; characters without a piece stay single."""
         n = len(word)
-        ids, scores, begins, fits, merging = self.ids, self.scores, self.begins, self._fits, self.merging
+        state, scores, fits, merging = self.states.get, self.scores, self._fits, self.merging
         weight = [0.0] + [INFINITE] * n
         last: list[str] = [""] * (n + 1)
         for start in range(n):
@@ -111,16 +123,18 @@ class Transducer:
                 continue
             for end in range(start + 1, n + 1):
                 piece = word[start:end]
-                known = ids.get(piece)
-                if known is not None or end == start + 1:
+                known = state(piece)
+                if known is None and end > start + 1:
+                    break  # no piece begins so
+                if known is None or known >= 0 or end == start + 1:
                     if merging:  # the bigram machine: nothing or infinity, so the first finite path is the least
                         if weight[end] == INFINITE and fits[before, piece]:
                             weight[end], last[end] = here, piece
                     else:
-                        total = here - (scores[known] if known is not None else self.unknown_score)
+                        total = here - (self.unknown_score if known is None or known < 0 else scores[known])
                         if total < weight[end]:
                             weight[end], last[end] = total, piece
-                if piece not in begins:
+                if known is None:
                     break
         path, at = [], n
         while at:

@@ -403,7 +403,7 @@ def test_pieces_equal_the_merges_of_the_vocabulary(model):
 def test_unigram_path_is_the_cheapest(model):
     own = piece_transducer.Transducer(model)
     own.merging, own.ids = False, {"a": 0, "b": 1, "ab": 2, "abc": 3, "c": 4}
-    own.scores, own.begins, own.unknown_score = [-1.0, -1.0, -1.5, -9.0, -2.0], {"a", "b", "ab", "abc", "c"}, -20.0
+    own.scores, own.states, own.unknown_score = [-1.0, -1.0, -1.5, -9.0, -2.0], dict(own.ids), -20.0
     assert own.shortest_path("abc") == ["ab", "c"] and own.shortest_path("axb") == ["a", "x", "b"]
 
 
