@@ -217,7 +217,8 @@ def _verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def _difference_prefixes(percent: int):
-    """Elements in which a member b differs from its hub a, as far as a link between two members must show in them.
+    """Whether a member b links with its hub a, and the elements in which it differs, as far as a link between two members
+    must show in them.
 
     With D the difference to the hub, c = (100 - percent) / (100 + percent) and v = |D| - c * size, two members link only
     if their differences share at least (v + v') / 2 elements. A member off the hub has v > c * |hub|; one linked to it
@@ -229,27 +230,32 @@ def _difference_prefixes(percent: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            hubs, members, elements, rests, values = [], [], [], [], []
+            linked, elements, sizes, values = [], [], [], []
             columns = [batch.column(k) for k in range(4)]
-            for hub, member, x, y in zip(columns[0].to_pylist(), columns[1].to_pylist(), columns[2], columns[3], strict=True):
+            for x, y in zip(columns[2], columns[3], strict=True):
                 h, z = np.frombuffer(x.as_buffer(), _U), np.frombuffer(y.as_buffer(), _U)
                 added, lost = np.setdiff1d(z, h, assume_unique=True), np.setdiff1d(h, z, assume_unique=True)
                 d = len(added) + len(lost)
                 v, reach = d - c * len(z), c * len(h)
                 both = len(z) - len(added)
-                if 100 * both >= percent * (len(z) + len(lost)):
+                linked.append(100 * both >= percent * (len(z) + len(lost)))
+                if linked[-1]:
                     least = int(np.floor((reach + v) / 2 - 1e-9)) + 1
                 else:
                     least = max(int(np.ceil((v - reach) / 2 - 1e-9)), int(np.ceil(v - c * len(z) * 100 / percent - 1e-9)))
-                prefix = np.concatenate([added, lost])[: max(0, d - max(1, least) + 1)]
-                elements.append(prefix.astype(np.int64))
-                hubs.append(np.full(len(prefix), hub, np.int64))
-                members.append(np.full(len(prefix), member, np.int64))
-                rests.append(d - 1 - np.arange(len(prefix)))
-                values.append(np.full(len(prefix), v))
-            if elements:
-                columns = {"hub": hubs, "fp": members, "element": elements, "rest": rests, "v": values}
-                yield pa.record_batch({name: np.concatenate(parts) for name, parts in columns.items()})
+                elements.append(np.concatenate([added, lost])[: max(0, d - max(1, least) + 1)].astype(np.int64))
+                sizes.append(d)
+                values.append(v)
+            yield pa.record_batch(
+                {
+                    "a": columns[0],
+                    "b": columns[1],
+                    "linked": pa.array(linked, pa.bool_()),
+                    "elements": pa.array(elements, pa.list_(pa.int64())),
+                    "d": pa.array(sizes, pa.int64()),
+                    "v": pa.array(values, pa.float64()),
+                }
+            )
 
     return run
 
@@ -283,20 +289,22 @@ def shingle_components(docs: DataFrame, width: int = 3, percent: int = 90) -> Da
     weight = shared.groupBy("fp").agg(F.count("*").alias("weight"))
     hub = shared.join(weight, "fp").groupBy("sig").agg(F.max_by("fp", F.struct("weight", "fp")).alias("hub"), F.max("probe").alias("probed"))
     star = shared.join(hub.where("probed"), "sig").where("fp <> hub").select(F.col("hub").alias("a"), F.col("fp").alias("b")).distinct()
-    star = written(star, "stars")
-    first = written(_verify(star, sets, percent).where("linked").select("a", "b"), "links")
+    full = _with_sets(star, sets).select("a", "b", "grams_a", "grams_b")
+    schema = "a long, b long, linked boolean, elements array<long>, d long, v double"
+    judged = written(full.mapInArrow(_difference_prefixes(percent), schema), "stars")
+    first = judged.where("linked").select("a", "b")
 
     # Second pass: members of one hub whose components still differ. They differ from the hub in known elements, and
     # two of them link only if those differences overlap, so they meet in rare elements instead of in the bucket.
     label = components(first).select(F.col("id").alias("fp"), F.col("component_id").alias("label"))
-    named = star.select(F.col("a").alias("hub"), F.col("b").alias("fp")).join(label, "fp", "left")
+    named = judged.select(F.col("a").alias("hub"), F.col("b").alias("fp")).join(label, "fp", "left")
     named = written(named.select("hub", "fp", F.coalesce("label", "fp").alias("label")), "members")
     torn = named.groupBy("hub").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high").select("hub")
     torn = named.join(torn, "hub", "left_semi")
-    pairs = torn.select(F.col("hub").alias("a"), F.col("fp").alias("b"))
-    full = _with_sets(pairs, sets).select("a", "b", "grams_a", "grams_b")
-    marks_of = full.mapInArrow(_difference_prefixes(percent), "hub long, fp long, element long, rest long, v double")
-    marks_of = written(marks_of.join(torn, ["hub", "fp"]), "differences")
+    open_ = judged.select(F.col("a").alias("hub"), F.col("b").alias("fp"), "elements", "d", "v").join(torn, ["hub", "fp"])
+    placed = open_.select("hub", "fp", F.posexplode("elements").alias("at", "element"), "d", "v", "label")
+    marks_of = placed.select("hub", "fp", "element", (F.col("d") - 1 - F.col("at")).alias("rest"), "v", "label")
+    marks_of = written(marks_of, "differences")
     other = marks_of.toDF("hub", "fp2", "element", "rest2", "v2", "label2")
     cross = marks_of.join(other, ["hub", "element"]).where("fp < fp2 and label <> label2")
     cross = cross.where("2 * (1 + least(rest, rest2)) >= v + v2 - 1e-6")
