@@ -5,6 +5,7 @@ from __future__ import annotations
 import random
 
 import numpy as np
+import pandas as pd
 import pytest
 
 from driftline.llm.common import components
@@ -138,6 +139,22 @@ def test_vectors_in_leaves_too_large_to_split(frame, monkeypatch, levels):
     assert set(links) == {149} if levels == 0 else max(links) <= 149 and sum(links) >= 0.9 * 149 * 150
 
 
+@pytest.mark.parametrize("n", [12_000, 30_000])
+def test_vectors_of_a_dense_group_keep_their_links(spark, tmp_path, n):
+    rng = np.random.default_rng(6)
+    x, centre, group = rng.standard_normal((n, 64)), rng.standard_normal(64), n // 3
+    x[:group] = centre / np.linalg.norm(centre) + 0.015 * rng.standard_normal((group, 64))
+    rows = pd.DataFrame({"vec_id": np.arange(n), "embedding": list(x.astype(np.float32))})
+    rows.to_parquet(tmp_path / "vectors.parquet")
+    got = vector_links(spark.read.parquet(str(tmp_path / "vectors.parquet"))).toPandas().set_index("vec_id").sort_index()
+    m = np.stack(rows["embedding"]).astype(np.float64)
+    m /= np.linalg.norm(m, axis=1)[:, None]
+    want = np.concatenate([(m[at : at + 1000] @ m.T >= 0.95).sum(axis=1) - 1 for at in range(0, n, 1000)])
+    found = got["n_links"].to_numpy()
+    assert (want[:group] == group - 1).all() and (found <= want).all() and found.sum() >= 0.99 * want.sum()
+    assert set(got["component_id"][:group]) == {0}
+
+
 def test_vectors_edges(frame):
     empty = frame([], "vec_id long, embedding array<float>", 1)
     assert vector_links(empty).count() == 0
