@@ -1,8 +1,9 @@
 """Quality rules by distribution divergence, in native expressions.
 
 A document's histogram of character classes and its histogram of common words are compared with those of its language by
-the Jensen-Shannon distance. The references are summed over all documents of the language. Short texts have ragged
-histograms, so each comparison starts at a minimum length.
+the Jensen-Shannon distance. All words that are not common share a bin, so that a text without common words is far from its
+language. The references are summed over all documents of the language. Short texts have ragged histograms, so each
+comparison starts at a minimum length, and the limit on words falls as a text gets longer.
 """
 
 from __future__ import annotations
@@ -17,8 +18,10 @@ from driftline.llm.common import written
 #: The white space between words.
 SPACE = " \t\n\x0b\x0c\r"
 SPACE_RUN = "[\\x20\\x09-\\x0D]+"
+#: Fixed value: the marks taken off both ends of a word before it is compared with the common words.
+EDGES = ".,;:!?'\"()[]{}/@=+_~^`\\-"
 
-#: Frequent function words of the languages the references are kept for; counted as spelt here.
+#: Frequent function words of the languages the references are kept for; counted in lower case, without EDGES.
 COMMON_WORDS = {
     "en": ["the", "of", "and", "to", "in", "is", "that", "for", "on", "with", "as", "was"],
     "de": ["der", "die", "und", "in", "den", "von", "zu", "das", "mit", "sich", "des", "auf"],
@@ -35,9 +38,11 @@ CLASSES = {
     "symbol": "[#*$%&|<>]+",
 }
 MIN_CHARS = 200
-MIN_COMMON = 30
+MIN_WORDS = 50
 MAX_CLASS_DISTANCE = 0.30
-MAX_WORD_DISTANCE = 0.60
+#: Limit of the word distance: WORD_SLACK + WORD_SPREAD / sqrt(words). By chance alone, the distance of n words over 13 bins
+#: to their own distribution is about 1.47 / sqrt(n). A text without common words is at 0.33 where a fifth of words are common.
+WORD_SLACK, WORD_SPREAD = 0.10, 1.6
 
 
 def _let(value: Column, body) -> Column:
@@ -104,24 +109,37 @@ def measures(docs: DataFrame) -> DataFrame:
     rows = docs.select(F.col("doc_id"), F.lower(F.col("lang")).alias("lang"), text.alias("text"))
     with_word = lambda line: F.length(F.btrim(line, F.lit(SPACE))) > 0
     lines = _let(F.filter(F.split("text", "\n"), with_word), lambda x: F.size(x) - F.size(F.array_distinct(x)))
-    vocabulary = {lang: F.array(*[F.lit(w) for w in words]) for lang, words in COMMON_WORDS.items()}
-
     def histogram(w: Column) -> Column:
-        def bins(lang: str) -> Column:
+        """Language whose words are counted, and the counts; a text of no such language takes the one it has most words of."""
+        bare = F.transform(w, lambda x: F.lower(F.btrim(x, F.lit(EDGES))))
+
+        def bins(lang: str, all_words: Column) -> Column:
             names = COMMON_WORDS[lang]
-            return _let(F.filter(w, lambda x: x.isin(names)), lambda c: F.array(*[(F.size(c) - F.size(F.array_remove(c, v))).cast("long") for v in names]))
 
-        chosen = F.when(F.lit(False), F.lit(None).cast("array<bigint>"))
-        for lang in vocabulary:
-            chosen = chosen.when(F.col("lang") == lang, bins(lang))
-        return chosen
+            def counted(c: Column) -> Column:
+                each = [(F.size(c) - F.size(F.array_remove(c, v))).cast("long") for v in names]
+                return F.array(*each, (F.size(w) - F.size(c)).cast("long"))
+
+            return _let(F.filter(all_words, lambda x: x.isin(names)), counted)
+
+        def named(lang: str, counts: Column) -> Column:
+            return F.struct(F.lit(lang).alias("tongue"), counts.alias("bins"))
+
+        def most(all_words: Column) -> Column:
+            found = F.array(*[F.struct((-_let(bins(lang, all_words), lambda c: c[len(COMMON_WORDS["en"])])).alias("n"), F.lit(lang).alias("tongue"), bins(lang, all_words).alias("bins")) for lang in COMMON_WORDS])
+            return _let(found, lambda f: _let(F.array_max(f), lambda x: F.struct(x.tongue.alias("tongue"), x.bins.alias("bins"))))
+
+        chosen = F.when(F.lit(False), F.lit(None).cast("struct<tongue:string,bins:array<bigint>>"))
+        for lang in COMMON_WORDS:
+            chosen = chosen.when(F.col("lang") == lang, named(lang, bins(lang, bare)))
+        return chosen.otherwise(_let(bare, most))
 
     def measured(w: Column) -> Column:
         return F.struct(
             F.size(w).cast("long").alias("n_words"),
             F.length(F.array_join(w, "")).cast("long").alias("word_chars"),
             _repeat_words(w).alias("n_repeat_words"),
-            histogram(w).alias("common"),
+            histogram(w).alias("found"),
         )
 
     def left(t: Column, patterns: list[str]) -> Column:
@@ -142,12 +160,13 @@ def measures(docs: DataFrame) -> DataFrame:
     counts = [F.col("left")[k] - F.col("left")[k + 1] for k in range(len(CLASSES))]
     classes = F.array(*counts, F.col("left")[len(CLASSES)])
     n_symbols = counts[list(CLASSES).index("symbol")]
-    return out.select("*", classes.alias("classes"), n_symbols.alias("n_symbols")).drop("left")
+    counted = [F.col("found.tongue").alias("tongue"), F.col("found.bins").alias("common")]
+    return out.select("*", *counted, classes.alias("classes"), n_symbols.alias("n_symbols")).drop("left", "found")
 
 
 def language_references(measured: DataFrame) -> DataFrame:
     """Summed histograms of each language: one row per language, over all documents."""
-    width, bins = len(CLASSES) + 1, len(COMMON_WORDS["en"])
+    width, bins = len(CLASSES) + 1, len(COMMON_WORDS["en"]) + 1
     sums = [F.sum(F.col("classes")[i].cast("double")).alias(f"c{i}") for i in range(width)]
     sums += [F.sum(F.coalesce(F.col("common")[i], F.lit(0)).cast("double")).alias(f"w{i}") for i in range(bins)]
     return measured.groupBy("lang").agg(*sums)
@@ -157,30 +176,39 @@ def quality_rules(docs: DataFrame, references: DataFrame | None = None) -> DataF
     """Base measures, base verdict and verdict of every row of ``docs`` (doc_id, text, lang, ...).
 
     ``base_failed``: fewer than 10 words, or over 20 percent of words inside repeated five-word windows. ``kept`` is false
-    then, and also where a histogram of enough characters (or common words) is farther from its language's than the limit.
+    then, and also where a histogram of enough characters (or words) is farther from its language's than the limit.
     A null text is an empty one: no words, failed. A null or unknown language is compared with rows of the same value by
-    character classes and has no common words. Repeated rows each return; other columns are ignored. The language table
-    has a row per value of ``lang``; it is joined and left to Spark's measured size, hot languages are split by adaptive
-    execution.
+    character classes. Its common words are those of the language it has most of; a null language is held against the rows
+    of that language (or all rows where it has none), an unknown one against the rows of the same value. Repeated rows each return; other columns are
+    ignored. The language table has a row per value of ``lang``; it is joined and left to Spark's measured size, hot
+    languages are split by adaptive execution.
     """
     # Texts are measured once; what is written holds a row of numbers per document.
     measured = written(measures(docs), "measures")
     references = language_references(measured) if references is None else references
-    width, bins = len(CLASSES) + 1, len(COMMON_WORDS["en"])
+    width, bins = len(CLASSES) + 1, len(COMMON_WORDS["en"]) + 1
     refs = references.select(
         F.col("lang").alias("ref_lang"),
         F.array(*[F.col(f"c{i}") for i in range(width)]).alias("ref_classes"),
+    )
+    word_refs = references.select(
+        F.col("lang").alias("ref_tongue"),
         F.array(*[F.col(f"w{i}") for i in range(bins)]).alias("ref_common"),
     )
+    # A language without rows of its own, which a null language may turn out to be, has the sums over all rows.
+    whole = references.agg(*[F.sum(f"w{i}").alias(f"w{i}") for i in range(bins)])
+    whole = whole.select(F.explode(F.array(*map(F.lit, COMMON_WORDS))).alias("ref_tongue"), F.array(*[F.col(f"w{i}") for i in range(bins)]).alias("ref_common"))
+    word_refs = word_refs.union(whole.join(word_refs, "ref_tongue", "left_anti"))
     joined = measured.join(refs, F.col("lang").eqNullSafe(F.col("ref_lang")), "left")
+    joined = joined.join(word_refs, F.coalesce("lang", "tongue") == F.col("ref_tongue"), "left")
     class_distance = _distance(F.col("classes").cast("array<double>"), F.col("ref_classes"))
-    common_total = F.aggregate("common", F.lit(0).cast("long"), lambda a, x: a + x)
     word_distance = _distance(F.col("common").cast("array<double>"), F.col("ref_common"))
     base = (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
     scored = joined.select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", base.alias("base_failed"),
         F.when(F.col("chars") >= MIN_CHARS, class_distance).alias("class_distance"),
-        F.when(common_total >= MIN_COMMON, word_distance).alias("word_distance"),
+        F.when(F.col("n_words") >= MIN_WORDS, word_distance).alias("word_distance"),
     )
-    far = (F.coalesce("class_distance", F.lit(0.0)) > MAX_CLASS_DISTANCE) | (F.coalesce("word_distance", F.lit(0.0)) > MAX_WORD_DISTANCE)
+    word_limit = WORD_SLACK + WORD_SPREAD / F.sqrt(F.col("n_words"))
+    far = (F.coalesce("class_distance", F.lit(0.0)) > MAX_CLASS_DISTANCE) | (F.coalesce("word_distance", F.lit(0.0)) > F.coalesce(word_limit, F.lit(1.0)))
     return scored.withColumn("kept", ~F.col("base_failed") & ~far)

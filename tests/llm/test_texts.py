@@ -137,6 +137,19 @@ def test_quality_divergence(frame):
         assert math.isclose(got[i].class_distance, math.sqrt((part(p) + part(total)) / 2), rel_tol=1e-9, abs_tol=1e-9)
 
 
+def test_quality_long_texts_without_common_words(frame):
+    rng = random.Random(8)
+    rare = ["".join(rng.choice("etaoinshr") for _ in range(6)) for _ in range(400)]
+    common = quality_rules.COMMON_WORDS
+    clean = lambda lang, n: " ".join(rng.choice(common[lang]).title() + "," if rng.random() < 0.3 else rng.choice(rare) for _ in range(n))
+    docs = [(i, clean("en" if i % 2 else "de", 60 + 10 * i), "en" if i % 2 else "de") for i in range(60)]
+    docs += [(100, clean("en", 300), None), (101, clean("de", 300), None)]
+    docs += [(k, " ".join(rng.choice(rare) for _ in range(300)), lang) for k, lang in ((200, "en"), (201, "DE"), (202, None))]
+    docs.append((203, clean("de", 300), "en"))
+    got = {r.doc_id: r for r in quality_rules.quality_rules(frame(docs, "doc_id long, text string, lang string")).collect()}
+    assert {i for i in got if got[i].kept} == {i for i in got if i < 200}
+
+
 # Toxicity ----------------------------------------------------------------------------------------------------------
 
 
