@@ -238,29 +238,32 @@ def vector_links(vectors: DataFrame, threshold: float = 0.95, trees: int = TREES
 
     n_links counts the other rows at cosine ``threshold`` or more among those that share a leaf; component_id is the
     smallest vec_id reachable, kept says whether the row is it. Null and zero vectors, and those with null, NaN or infinite
-    components, link with nothing, nor do vectors of a dimension other than the most frequent one. Equal vectors always
-    link. A row whose vec_id is null counts as a link of others, and gets its component's smallest id, or null (then it is
+    components, link with nothing. Vectors of different dimensions do not link; each dimension has a forest of its own, one
+    after the other. Equal vectors always link. A row whose vec_id is null counts as a link of others, and gets its component's smallest id, or null (then it is
     not kept). Rows repeated with the same id count each. Other columns are ignored.
     """
-    spark = vectors.sparkSession
-    ship(spark)
+    ship(vectors.sparkSession)
     finite = lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))
     rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("v"))
     sound = F.col("v").isNotNull() & F.forall("v", finite) & F.exists("v", lambda x: x != 0)
     # -0.0 and 0.0 are the same component.
     rows = rows.withColumn("v", F.when(sound, F.transform("v", lambda x: x + F.lit(0.0))))
-    dims = rows.where("v is not null").groupBy(F.size("v").alias("d")).count().orderBy(F.desc("count"), "d").first()
-    dim = dims.d if dims else 0
-    rows = rows.withColumn("v", F.when(F.size("v") == dim, F.col("v")))
+    narrow = dict(vectors.dtypes)["embedding"] == "array<float>"
+    dims = sorted(r.d for r in rows.where("v is not null").select(F.size("v").alias("d")).distinct().collect())
+    unlinked = rows.where("v is null").select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"), F.col("vec_id").isNotNull().alias("kept"))
+    linked = [_links(rows.where(F.size("v") == dim), dim, narrow, threshold, trees, leaf) for dim in dims]
+    return reduce(DataFrame.union, linked, unlinked)
+
+
+def _links(rows: DataFrame, dim: int, narrow: bool, threshold: float, trees: int, leaf: int) -> DataFrame:
+    """As vector_links, of sound vectors (vec_id, v) of one dimension; at least one."""
+    spark = rows.sparkSession
     keyed = rows.withColumn("k", F.xxhash64("v"))
-    classes = keyed.where("v is not null").groupBy("k", "v").agg(F.min("vec_id").alias("least_id"), F.count("*").alias("copies"))
+    classes = keyed.groupBy("k", "v").agg(F.min("vec_id").alias("least_id"), F.count("*").alias("copies"))
     # A class without any id still needs a number of its own; negative ones are free.
     classes = classes.withColumn("id", F.coalesce("least_id", -F.pmod("k", F.lit(2**62)) - 1))
     classes = written(classes, "classes")
     total = classes.count()
-    if total == 0:
-        return rows.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"), F.col("vec_id").isNotNull().alias("kept"))
-
     picked = classes.select("k", "v").orderBy(F.xxhash64("k"), "k").limit(SAMPLE).select("v").toArrow()
     sample = _unit(_matrix(picked.column("v").combine_chunks()))
     depth = max(0, min(int(np.ceil(np.log2(max(1, total / leaf)))), int(np.log2(max(1, len(sample) / 16)))))
@@ -278,7 +281,7 @@ def vector_links(vectors: DataFrame, threshold: float = 0.95, trees: int = TREES
     placed = whole.union(blocked)
     own_cells = small.union(stuck.select("id", "cell")).groupBy("id").agg(F.collect_set("cell").alias("cells"))
     # Values that came as floats travel as floats; nothing is lost.
-    sent = F.col("v").cast("array<float>") if dict(vectors.dtypes)["embedding"] == "array<float>" else F.col("v")
+    sent = F.col("v").cast("array<float>") if narrow else F.col("v")
     full = nodes.withColumn("v", sent).join(own_cells, "id")
     tasks = placed.join(full, "id").select("cell", "i", "j", "block", "id", "copies", "v", "cells")
     found = tasks.groupBy("cell", "i", "j").applyInPandas(_compare(threshold), "id long, n long, root long")

@@ -155,6 +155,13 @@ def test_vectors_of_a_dense_group_keep_their_links(spark, tmp_path, n):
     assert set(got["component_id"][:group]) == {0}
 
 
+def test_vectors_of_several_dimensions(frame):
+    rows = [(1, [1.0, 0.0]), (2, [1.0, 0.1]), (3, [0.0, 1.0]), (4, [1.0, 0.0, 0.0]), (5, [2.0, 0.1, 0.0]), (6, [1.0, 0.0, 0.0]), (7, [0.0, 0.0, 1.0]), (8, [5.0]), (9, [5.0]), (0, None)]
+    got = vector_links(frame(rows, "vec_id long, embedding array<float>")).collect()
+    want = {0: (0, 0), 1: (1, 1), 2: (1, 1), 3: (0, 3), 4: (2, 4), 5: (2, 4), 6: (2, 4), 7: (0, 7), 8: (1, 8), 9: (1, 8)}
+    assert {r.vec_id: (r.n_links, r.component_id) for r in got} == want and len(got) == len(rows)
+
+
 def test_vectors_edges(frame):
     empty = frame([], "vec_id long, embedding array<float>", 1)
     assert vector_links(empty).count() == 0
