@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from driftline.llm import line_dedup, lm_scoring, packing, piece_transducer, pii_spans, quality_rules, rp_forest, toxicity, url_rules
+from driftline.llm import language_codes, line_dedup, lm_scoring, packing, periodic_runs, piece_transducer, pii_spans
+from driftline.llm import quality_rules, rp_forest, spelling_variants, toxicity, url_rules
 from driftline.llm.registry import QUERIES, SQL, query, table
 from driftline.llm.shingle_join import shingle_components
 
@@ -71,3 +72,18 @@ def op9_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
 @query()
 def op10_piece_transducer(spark: SparkSession, folder: str) -> DataFrame:
     return piece_transducer.round_trip(table(spark, folder, "documents"))
+
+
+@query()
+def op11_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    return periodic_runs.run_digests(periodic_runs.planted(table(spark, folder, "documents")))
+
+
+@query()
+def op12_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
+    return spelling_variants.variants_of_texts(table(spark, folder, "documents"), change_words=True)
+
+
+@query()
+def op13_language_codes(spark: SparkSession, folder: str) -> DataFrame:
+    return language_codes.language_ids(table(spark, folder, "documents"))
