@@ -3,7 +3,7 @@ from __future__ import annotations
 from datetime import date, datetime
 
 import pytest
-from conftest import plan_text
+from plans import plan_text
 from pyspark.sql import functions as F
 
 from driftline.functions import predicates as p

@@ -7,7 +7,7 @@ from datetime import date, datetime
 from decimal import Decimal
 
 import pytest
-from conftest import plan_text
+from plans import plan_text
 from pyspark.sql import functions as F
 
 from driftline.operators import climate, distribution, keys, profile, relational, search, sketch, sky
