@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from driftline.functions.scalar import base_name
+from driftline.functions.stemming import stem_sql
 from driftline.operators import search, sky
 from driftline.queries.registry import query, table
 from driftline.session import work_path
@@ -54,6 +55,57 @@ def token_filter(spark: SparkSession, sf: str) -> DataFrame:
     return hits.groupBy("lang").agg(F.count(F.lit(1)).alias("doc_count"))
 
 
+_WORDS_SQL = r"regexp_extract_all(lower(text), '[\p{L}\p{N}]+')"
+_PLACES_SQL = f"""
+    SELECT * FROM (
+        SELECT doc_id, unnest(words) AS token, generate_subscripts(words, 1) AS place FROM (SELECT doc_id, {_WORDS_SQL} AS words FROM documents)
+    ) WHERE token NOT IN ({_STOP_LIST})
+"""
+_STEMMED_SQL = f"""
+    WITH places AS MATERIALIZED ({_PLACES_SQL}),
+    vocabulary AS MATERIALIZED ({stem_sql('(SELECT token, count(*) AS occurrences FROM places GROUP BY 1)')}),
+    stemmed AS (SELECT doc_id, place, stem FROM places JOIN vocabulary USING (token))
+"""
+
+
+def _stemmed_index(spark: SparkSession, sf: str) -> search.StemmedIndex:
+    index = search.StemmedIndex(spark, work_path(spark, "stemmed-index"), "doc_id")
+    index.write(table(spark, sf, "documents"), "text")
+    return index
+
+
+@query(
+    f"""
+    {_STEMMED_SQL} SELECT stem, count(*) AS words, CAST(sum(occurrences) AS BIGINT) AS occurrences FROM vocabulary GROUP BY 1
+    """
+)
+def stem_counts(spark: SparkSession, sf: str) -> DataFrame:
+    """Stems of the whole vocabulary, with their distinct words and occurrences."""
+    words = search.stem_vocabulary(search.token_places(table(spark, sf, "documents"), "doc_id", "text"))
+    return words.groupBy("stem").agg(F.count(F.lit(1)).alias("words"), F.sum("occurrences").alias("occurrences"))
+
+
+@query(
+    f"""
+    {_STEMMED_SQL} SELECT doc_id FROM stemmed WHERE stem IN ('licens', 'public') GROUP BY 1 HAVING count(DISTINCT stem) = 2
+    """
+)
+def stemmed_search(spark: SparkSession, sf: str) -> DataFrame:
+    """Texts that hold both words in any form, from a written index."""
+    return _stemmed_index(spark, sf).find(["licenses", "publicly"])
+
+
+@query(
+    f"""
+    {_STEMMED_SQL} SELECT a.doc_id, count(*) AS hits FROM stemmed a JOIN stemmed b ON a.doc_id = b.doc_id AND b.place = a.place + 2
+    WHERE a.stem = 'work' AND b.stem = 'licens' GROUP BY 1
+    """
+)
+def phrase_search(spark: SparkSession, sf: str) -> DataFrame:
+    """Texts with a phrase, its words in any form and at the right places; the stop word between them only takes a place."""
+    return _stemmed_index(spark, sf).find_phrase("works are licensed")
+
+
 _LINKS_SQL = r"""
     SELECT page_id, url, unnest(regexp_extract_all(
         regexp_replace(html, '(?is)<!--.*?-->|<script\b.*?</script>|<style\b.*?</style>', '', 'g'),
