@@ -1,9 +1,12 @@
 """Tracked bulk load of daily observation files.
 
-State lives in two Parquet folders besides a staging folder that each claim overwrites. ``facts`` holds one folder per load batch;
-``load_events`` is an append-only log with a row per file and state change. A
+State lives in two tables besides a staging folder that each claim overwrites. ``facts`` holds one folder per load batch;
+``load_events`` is an append-only log with a row per file and state change, and
+a row per station of every batch with the rows that the batch added. A
 batch becomes visible only when its events are appended, so a crash before that
 leaves an unreferenced folder, which the retry of the same claim overwrites.
+Reconciliation adds up the log's station rows, so a claim reads no facts but its own.
+The log is a versioned table: a compaction becomes current by a marker written last.
 One writer at a time is assumed.
 """
 
@@ -22,6 +25,7 @@ from driftline.functions.scalar import base_name, clock_time
 from driftline.operators.relational import count_mismatch, first_per_key
 from driftline.plans.isolation import load_isolated, whole_message
 from driftline.plans.layout import YEAR_COLUMN, write_daily
+from driftline.sources.versions import Versions
 from driftline.schemas import DAILY_OBSERVATION, LOAD_EVENT
 from driftline.sources.delimited import scan_csv_with_rejects
 from driftline.sources.listing import canonical_path
@@ -31,6 +35,10 @@ from driftline.sources.rejects import REASON, RejectLimitExceeded, over_limit, r
 PENDING, COMPLETED, FAILED = "PENDING", "COMPLETED", "FAILED"
 # A claim's own log entry, whose time is the start of its load.
 CLAIMED = "CLAIMED"
+# Log entries with the rows that a batch added to a station.
+COUNTED = "COUNTED"
+#: Files of the log from which the next claim compacts it.
+COMPACT_FILES = 64
 
 _FACT = T.StructType(DAILY_OBSERVATION.fields + [T.StructField(YEAR_COLUMN, T.StringType())])
 _STORED = T.StructType([*_FACT.fields, T.StructField("batch_id", T.StringType())])
@@ -47,18 +55,16 @@ class TrackedLoad:
         self.spark = spark
         self.station_of = station_of
         self.facts_path = f"{root.rstrip('/')}/facts"
-        self.events_path = f"{root.rstrip('/')}/load_events"
+        self.log = Versions(spark, f"{root.rstrip('/')}/load_events")
         self.staging_path = f"{root.rstrip('/')}/staging"
 
     # --- control log -----------------------------------------------------------
 
     def events(self) -> DataFrame:
-        try:
-            return self.spark.read.schema(LOAD_EVENT).parquet(self.events_path)
-        except AnalysisException as error:
-            if error.getCondition() != "PATH_NOT_FOUND":
-                raise
+        folder = self.log.current()
+        if folder is None:
             return self.spark.createDataFrame([], LOAD_EVENT)
+        return self.spark.read.schema(LOAD_EVENT).parquet(folder)
 
     def _heads(self) -> tuple[int, int]:
         """Last event number and current file-list generation; 0 before the first."""
@@ -80,7 +86,11 @@ class TrackedLoad:
                 for name, null in missing.items()
             ]
         )
-        full.write.mode("append").parquet(self.events_path)
+        folder = self.log.current()
+        if folder is None:
+            self.log.replace(full)
+        else:
+            full.write.mode("append").parquet(folder)
 
     def initialise(self, files: DataFrame) -> None:
         """Start a new file list: every file PENDING, earlier lists are history."""
@@ -116,32 +126,37 @@ class TrackedLoad:
         return self.state().filter(F.col("status") == PENDING).orderBy("file_name").limit(limit)
 
     def compact(self) -> None:
-        """Rewrite the log, one small file per claim, as one file; no entry is lost.
+        """Rewrite the log, one small file per claim, as one file; no entry is lost, wherever it stops.
 
-        The new folder is complete before the old one is replaced. One writer is assumed, as for all of the log.
+        The new version becomes current when it is whole. Claims compact by themselves from COMPACT_FILES files.
         """
-        fresh = f"{self.events_path}-compacting"
-        self.events().coalesce(1).write.mode("overwrite").parquet(fresh)
-        self.spark.read.schema(LOAD_EVENT).parquet(fresh).coalesce(1).write.mode("overwrite").parquet(self.events_path)
+        self.log.replace(self.events().coalesce(1))
 
     # --- facts -------------------------------------------------------------------
 
-    def facts(self, also: str | None = None) -> DataFrame:
-        """Fact rows of all published batches, plus one not yet published.
+    def facts(self) -> DataFrame:
+        """Fact rows of all published batches.
 
-        The table is read by its base folder; published batches are a semi-join on the batch partition, so no list of
-        batches passes through the driver and unpublished folders are not read.
+        The batches, one short id per claim, are a filter on the partition column, so that other folders are not opened.
         """
+        done = self.events().filter(F.col("batch_id").isNotNull()).select("batch_id").distinct().collect()
         try:
             stored = self.spark.read.schema(_STORED).parquet(self.facts_path)
         except AnalysisException as error:
             if error.getCondition() != "PATH_NOT_FOUND":
                 raise
             return self.spark.createDataFrame([], _FACT)
-        done = self.events().filter(F.col("batch_id").isNotNull()).select("batch_id")
-        if also is not None:
-            done = done.union(self.spark.range(1).select(F.lit(also).alias("batch_id")))
-        return stored.join(done.distinct(), "batch_id", "left_semi").select(*_FACT.fieldNames())
+        return stored.filter(F.col("batch_id").isin([r.batch_id for r in done])).select(*_FACT.fieldNames())
+
+    def station_rows(self) -> DataFrame:
+        """(station_id, row_count) of the fact table, from the log alone."""
+        counted = self.events().filter(F.col("status") == COUNTED)
+        return counted.groupBy("station_id").agg(F.sum("inserted_row_count").alias("row_count"))
+
+    def _batch_rows(self, batch: str) -> DataFrame:
+        """(station_id, row_count) of one batch, which need not be published."""
+        rows = self.spark.read.schema(_FACT).parquet(f"{self.facts_path}/batch_id={batch}")
+        return rows.groupBy("station_id").agg(F.count(F.lit(1)).alias("row_count"))
 
     # --- loading -------------------------------------------------------------------
 
@@ -189,6 +204,8 @@ class TrackedLoad:
 
     def _claim(self, limit: int) -> tuple[list[str], int, int]:
         """The next names, which are the scan's path list and so on the driver in any case, and the claim's number."""
+        if self.log.file_count() >= COMPACT_FILES:
+            self.compact()
         seq, generation = self._heads()
         pending = self.state(generation).filter(F.col("status") == PENDING).orderBy("file_name").limit(limit)
         names = [r.file_name for r in pending.select("file_name").collect()]
@@ -239,7 +256,8 @@ class TrackedLoad:
         ).withColumn("station_id", self.station_of(F.col("file_name")))
         claimed = claimed.withColumn("reject_ratio", F.try_divide("rejected_rows", "total_rows"))
         refused = over_limit(reject_percent)
-        actual = self._station_counts(claimed.select("station_id"), batch)
+        added = self._batch_rows(batch)
+        actual = self.station_rows().union(added).groupBy("station_id").agg(F.sum("row_count").alias("actual_count"))
         refused_text = F.format_string("rejected %d of %d rows", "rejected_rows", "total_rows")
         inserted = F.coalesce("actual_count", F.lit(0))
         mismatch = count_mismatch(F.col("total_rows"), F.col("actual_count"))
@@ -255,7 +273,12 @@ class TrackedLoad:
             F.lit(generation).alias("generation"),
         )
         events = events.unionByName(self._broken_events(broken, generation, claim_seq), allowMissingColumns=True)
-        # One row per claimed file: one file, so the batch appears at once.
+        counted = added.select(
+            "station_id", F.lit(COUNTED).alias("status"), F.col("row_count").alias("inserted_row_count"), F.lit(claim_seq + 1).alias("seq"),
+            F.lit(batch).alias("batch_id"), F.lit(generation).alias("generation"),
+        )
+        events = events.unionByName(counted, allowMissingColumns=True)
+        # One row per claimed file and per station in them: one file, so the batch appears at once.
         self._append(events.coalesce(1))
 
     def _broken_events(self, broken: list[tuple[str, str]], generation: int, claim_seq: int) -> DataFrame:
@@ -271,21 +294,6 @@ class TrackedLoad:
             F.lit(generation).alias("generation"),
         )
 
-    def _station_counts(self, stations: DataFrame, batch: str) -> DataFrame:
-        """Table rows per claimed station.
-
-        A claim is a contiguous run of names, so its bounds skip most row groups
-        of files sorted by station before the exact match.
-        """
-        low, high = stations.agg(F.min("station_id"), F.max("station_id")).first()
-        return (
-            self.facts(also=batch)
-            .filter(F.col("station_id").between(low, high))
-            .join(stations.distinct(), "station_id", "left_semi")
-            .groupBy("station_id")
-            .agg(F.count(F.lit(1)).alias("actual_count"))
-        )
-
     # --- statistics ------------------------------------------------------------------
 
     def statistics(self) -> DataFrame:
@@ -299,7 +307,7 @@ class TrackedLoad:
         claims = self.events().filter((F.col("generation") == generation) & (F.col("status") == CLAIMED))
         begun = claims.agg(F.min("last_updated").alias("t"))
         seconds = F.unix_timestamp(F.max(F.when(done, F.col("last_updated")))) - F.unix_timestamp(begun.scalar())
-        total = self.facts().agg(F.count(F.lit(1)).alias("n"))
+        total = self.station_rows().agg(F.coalesce(F.sum("row_count"), F.lit(0)).alias("n"))
         return (
             state.agg(F.count_if(done).alias("files_processed"), seconds.alias("elapsed_seconds"))
             .withColumn("total_rows", total.scalar())

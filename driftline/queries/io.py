@@ -400,6 +400,23 @@ def tracked_batch_reload(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@query(
+    """
+    SELECT printf('ST%09d', s_nationkey) AS station_id, count(*) AS row_count, 0::BIGINT AS mismatches
+    FROM lineitem JOIN supplier ON s_suppkey = l_suppkey GROUP BY s_nationkey
+    """
+)
+def tracked_station_counts(spark: SparkSession, sf: str) -> DataFrame:
+    """Two claims, reconciled from the log's station counts; the second reads no facts of the first."""
+    job = _started_load(spark, sf, work_path(spark, "station-counts"))
+    job.load_batch(10)
+    job.load_batch(1000)
+    # The last file of a station sees all its rows.
+    state = job.state().withColumn("station_id", job.station_of(F.col("file_name"))).groupBy("station_id").agg(F.max("inserted_row_count").alias("seen"))
+    counts = job.station_rows().join(state, "station_id")
+    return counts.select("station_id", "row_count", F.when(F.col("seen") == F.col("row_count"), 0).otherwise(1).cast("long").alias("mismatches"))
+
+
 @query(
     """
     SELECT CAST(year(l_shipdate) AS INTEGER) AS year, avg(l_quantity) AS avg_value FROM lineitem

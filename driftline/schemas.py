@@ -67,7 +67,7 @@ SEA_ICE = _struct(
 
 LOAD_EVENT = _struct(
     "file_name:string status:string last_updated:timestamp csv_record_count:long "
-    "inserted_row_count:long error_condition:string seq:long batch_id:string generation:long"
+    "inserted_row_count:long error_condition:string seq:long batch_id:string generation:long station_id:string"
 )
 
 # --- sky catalogue: fixed column order of the published source files ---------

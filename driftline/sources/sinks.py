@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from driftline.sources.versions import Versions
+
 ZSTD = {"compression": "zstd", "parquet.compression.codec.zstd.level": "1"}
 
 
@@ -78,17 +80,18 @@ def truncate_or_create(empty: DataFrame, name: str) -> bool:
 
 
 class MaterializedResult:
-    """A query result kept as Parquet; ``refresh`` recomputes and replaces it."""
+    """A query result kept as Parquet; ``refresh`` recomputes it and replaces the old one when the new one is whole."""
 
     def __init__(self, spark: SparkSession, path: str, query: Callable[[], DataFrame]):
-        self.spark, self.path, self.query = spark, path, query
+        self.spark, self.query = spark, query
+        self.versions = Versions(spark, path)
 
     def refresh(self) -> MaterializedResult:
-        self.query().write.mode("overwrite").options(**ZSTD).parquet(self.path)
+        self.versions.replace(self.query(), **ZSTD)
         return self
 
     def read(self) -> DataFrame:
-        return self.spark.read.parquet(self.path)
+        return self.spark.read.parquet(self.versions.current())
 
 
 def with_load_time(df: DataFrame, name: str = "last_updated") -> DataFrame:

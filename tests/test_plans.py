@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import gzip
 import json
+import re
 from datetime import date, datetime
 from decimal import Decimal
 
@@ -292,7 +293,81 @@ def test_claim_runs_few_jobs_and_log_compacts(spark, inbox, tmp_path):
     before = sorted(map(tuple, job.events().collect()), key=str)
     job.compact()
     assert sorted(map(tuple, job.events().collect()), key=str) == before
-    assert len(list((tmp_path / "table" / "load_events").glob("*.parquet"))) == 1
+    assert job.log.file_count() == 1
+
+
+@pytest.mark.parametrize("step", ["_before_write", "_mark", "_clear"])
+def test_compaction_that_dies_loses_nothing(spark, inbox, tmp_path, monkeypatch, step):
+    for n in range(3):
+        station_file(inbox, f"A{n}", 5)
+    job = started(spark, inbox, tmp_path)
+    job.load_files(2)
+    before = sorted(map(tuple, job.events().collect()), key=str)
+
+    def die(*args):
+        raise KeyboardInterrupt
+
+    with monkeypatch.context() as patch:
+        if step == "_before_write":
+            whole = job.log.publish
+            patch.setattr(job.log, "publish", lambda write: whole(die))
+        else:
+            patch.setattr(job.log, step, die)
+        with pytest.raises(KeyboardInterrupt):
+            job.compact()
+    assert sorted(map(tuple, job.events().collect()), key=str) == before
+    job.load_files(10)
+    job.compact()
+    job.compact()
+    assert {r.status for r in job.state().collect()} == {"COMPLETED"} and job.facts().count() == 15
+    assert job.log.file_count() == 1 and len(list((tmp_path / "table" / "load_events").glob("v*"))) == 2
+
+
+def test_a_claim_reads_no_facts_of_earlier_claims(spark, inbox, tmp_path):
+    station_file(inbox, "A1", 3, ["A2,2000-01-01,TMIN,7,,,S"])
+    station_file(inbox, "A2", 4)
+    job = started(spark, inbox, tmp_path)
+    job.load_files(1)
+    assert state_of(job)["A1.csv"].error_condition == "Rows inserted: 3 (expected 4)"
+    for file in (tmp_path / "table" / "facts").rglob("*.parquet"):
+        file.write_bytes(b"not a table")
+        file.with_name(f".{file.name}.crc").unlink(missing_ok=True)
+    job.load_files(1)
+    assert state_of(job)["A2.csv"].error_condition == "Rows inserted: 5 (expected 4)"
+    assert {(r.station_id, r.row_count) for r in job.station_rows().collect()} == {("A1", 3), ("A2", 5)}
+    assert job.statistics().first().total_rows == 8
+
+
+def test_claims_compact_a_long_log(spark, inbox, tmp_path, monkeypatch):
+    monkeypatch.setattr("driftline.plans.tracked_load.COMPACT_FILES", 3)
+    for n in range(5):
+        station_file(inbox, f"A{n}", 2)
+    job = started(spark, inbox, tmp_path)
+    assert job.load_all(batch_size=1) == 5
+    assert job.log.file_count() <= 4 and job.facts().count() == 10
+
+
+def test_unpublished_batches_are_pruned(spark, inbox, tmp_path, monkeypatch):
+    station_file(inbox, "A1", 2)
+    job = started(spark, inbox, tmp_path)
+    job.load_all()
+    stray = tmp_path / "table" / "facts" / "batch_id=stray" / "obs_part=p2000"
+    stray.mkdir(parents=True)
+    (stray / "part-0.parquet").write_bytes(b"not a table")
+    assert job.facts().count() == 2
+    filters = re.search(r"PartitionFilters: \[([^\]]*)\]", plan_text(job.facts())).group(1)
+    assert "batch_id" in filters and "stray" not in filters
+
+
+def test_materialized_result_stays_while_it_is_replaced(spark, tmp_path):
+    result = sinks.MaterializedResult(spark, str(tmp_path / "m"), lambda: spark.range(3))
+    held = result.refresh().read()
+    result.query = lambda: spark.range(5).select(F.raise_error(F.lit("broken")).alias("id"))
+    with pytest.raises(Exception, match="broken"):
+        result.refresh()
+    assert result.read().count() == 3
+    result.query = lambda: spark.range(7)
+    assert result.refresh().read().count() == 7 and held.count() == 3
 
 
 def test_elapsed_time_starts_with_the_claim(spark, inbox, tmp_path):
