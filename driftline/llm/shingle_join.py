@@ -10,7 +10,8 @@ a neighbourhood costs k + 1 probes with k - 1 shingles each.
 
 Copies of a set share a fingerprint and travel as one node. Buckets never become pairs: a first pass verifies each bucket
 against its best connected member, its hub. Members that are still apart then meet by an exact prefix filter on their
-differences to the hub, so that a large family of near copies costs what its rare elements cost, not its square.
+differences to the hub, so that a large family of near copies costs what its rare elements cost, not its square. Before any
+set moves, pairs are judged by their sketches: cell counts of the elements, whose smaller ones add up to a bound of the overlap.
 """
 
 from __future__ import annotations
@@ -26,8 +27,14 @@ from driftline.llm.common import WordHash, batch_values, components, mixed, ship
 
 #: Collision rate per shingle of a segment, for the cost of an exact segment.
 RARITY = 0.25
-#: Segments of each band whose one-deletion neighbourhoods are indexed too.
-SPARE = 1
+#: Segments of each band whose one-deletion neighbourhoods are indexed: one, and so many for each segment that is likely empty.
+SPARE_PER_EMPTY = 3
+#: Cells of a set's sketch, small and large, and the size from which sets have the large one.
+CELLS, LARGE_CELLS, LARGE_SET = 128, 1024, 1_500
+#: Members of a hub that are compared with each other by their sketches alone; larger stars meet in their differences.
+SMALL_STAR = 256
+#: Members of a hub whose whole sets one task holds at a time.
+STAR_PART = 500
 #: A broadcast of ids is asked for up to this many rows (16 bytes each); beyond, Spark joins by shuffle.
 BROADCAST_ROWS = 1_000_000
 _U = np.uint64
@@ -72,22 +79,27 @@ class Bands:
         largest = self.low[band + 1] - 1
         return (2 * largest * (100 - self.percent)) // (100 + self.percent)
 
+    def spares(self, band: int, segments: int) -> int:
+        """Segments whose neighbourhoods are indexed. A set of few shingles a segment leaves some empty, which is no evidence."""
+        empty = segments * np.exp(-self.low[band] / segments)
+        return min(segments - 1, 1 + int(np.ceil(SPARE_PER_EMPTY * empty - 0.5)))
+
 
 def _allocate(counts: np.ndarray, spare: int) -> tuple[np.ndarray, list[int]]:
     """Segments probed exactly, and spare segments probed by neighbourhood, at least expected cost.
 
-    Each spare segment that switches to its neighbourhood (cost (k + 1) * RARITY**(k - 1)) lets one segment be skipped
-    (saving RARITY**k); it does so where that is cheaper.
+    Each spare segment that switches to its neighbourhood (cost (k + 1) * RARITY**(k - 1)) lets one other segment be skipped
+    (saving RARITY**k); it does so where that is cheaper, the cheapest neighbourhoods first.
     """
     cost = RARITY ** counts.astype(float)
     probe = np.ones(len(counts), bool)
-    deleted = []
-    for j in range(min(spare, len(counts) - 1)):
-        k = int(counts[j])
+    deleted: list[int] = []
+    nearby = (counts[:spare] + 1) * RARITY ** (counts[:spare].astype(float) - 1)
+    for j in np.argsort(nearby, kind="stable").tolist():
         others = np.where(probe, cost, -1.0)
-        others[:spare] = -1.0
+        others[[*deleted, j]] = -1.0
         worst = int(np.argmax(others))
-        if k > 1 and others[worst] > (k + 1) * RARITY ** (k - 1):
+        if probe[j] and counts[j] > 1 and others[worst] > nearby[j]:
             probe[worst] = False
             deleted.append(j)
     return probe, deleted
@@ -112,10 +124,11 @@ def signatures(grams: np.ndarray, bands: Bands) -> tuple[np.ndarray, np.ndarray]
         starts = np.concatenate(([0], np.cumsum(counts)))[:-1]
         sums[present] = np.add.reduceat(value[order], starts[present])
         place = mixed(np.arange(m, dtype=_U) + salt)
-        probe, deleted = _allocate(counts, SPARE)
+        spare = bands.spares(band, m)
+        probe, deleted = _allocate(counts, spare)
         keys.append(mixed(sums + place))
         probes.append(probe)
-        for j in range(min(SPARE, m - 1)):
+        for j in range(spare):
             inside = value[order[starts[j] : starts[j] + counts[j]]]
             near = np.concatenate(([sums[j]], sums[j] - inside))
             keys.append(mixed(near + place[j] + _U(0x2545F4914F6CDD1D)))
@@ -173,47 +186,127 @@ def _rows(sigs: list, nodes: list, probes: list) -> pa.RecordBatch:
     return pa.record_batch({"sig": np.concatenate(sigs).astype(np.int64), "fp": np.concatenate(nodes), "probe": pa.array(np.concatenate(probes))})
 
 
+def sketch(grams: np.ndarray) -> np.ndarray:
+    """How many elements fall into each of CELLS cells, or LARGE_CELLS for a large set; counts above 65,535 stay there."""
+    cells = CELLS if len(grams) < LARGE_SET else LARGE_CELLS
+    counts = np.bincount((mixed(grams) & _U(cells - 1)).astype(np.int64), minlength=cells)
+    return np.minimum(counts, 65_535).astype(np.uint16)
+
+
+def overlap_bound(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Most elements that sets with these sketches (rows) can share: the sum of the smaller counts of each cell.
+
+    Of sketches of different width the wider one is folded. A full cell proves nothing and makes the bound endless.
+    """
+    width = min(a.shape[-1], b.shape[-1])
+    a, b = (x.astype(np.int64).reshape(*x.shape[:-1], -1, width).sum(axis=-2) for x in (a, b))
+    least = np.minimum(a, b)
+    return np.where((least >= 65_535).any(axis=-1), np.iinfo(np.int64).max // 200, least.sum(axis=-1))
+
+
+def _may_link(n_a: np.ndarray, n_b: np.ndarray, bound: np.ndarray, percent: int) -> np.ndarray:
+    """Whether sets of these sizes link if they share as many elements as the bound and the sizes allow."""
+    both = np.minimum(np.minimum(n_a, n_b), bound)
+    return 100 * both >= percent * (n_a + n_b - both)
+
+
 def _sets(width: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memo = WordHash()
         for batch in batches:
-            fps, packed, n = [], [], []
+            fps, packed, cells, n = [], [], [], []
             for text in batch_values(batch, "text"):
                 g = shingles(memo, text, width)
                 fps.append(fingerprint(g)[0])
                 packed.append(g.tobytes())
+                cells.append(sketch(g).tobytes())
                 n.append(len(g))
-            yield pa.record_batch({"fp": pa.array(fps, pa.int64()), "n": pa.array(n, pa.int64()), "grams": pa.array(packed, pa.binary())})
+            columns = {"fp": pa.array(fps, pa.int64()), "n": pa.array(n, pa.int64()), "cells": pa.array(cells, pa.binary())}
+            yield pa.record_batch({**columns, "grams": pa.array(packed, pa.binary())})
 
     return run
 
 
-def _verified(percent: int):
+def _sketches(column) -> list[np.ndarray]:
+    return [np.frombuffer(x.as_buffer(), np.uint16) for x in column]
+
+
+def _bounded(percent: int):
+    """Pairs that their sketches do not rule out."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            linked = []
-            for x, y in zip(batch.column("grams_a"), batch.column("grams_b"), strict=True):
-                p, q = np.frombuffer(x.as_buffer(), _U), np.frombuffer(y.as_buffer(), _U)
-                both = len(p) + len(q) - len(np.union1d(p, q))
-                linked.append(100 * both >= percent * (len(p) + len(q) - both))
-            yield pa.record_batch({"a": batch.column("a"), "b": batch.column("b"), "linked": pa.array(linked, pa.bool_())})
+            bound = [int(overlap_bound(x, y)) for x, y in zip(_sketches(batch.column("cells_a")), _sketches(batch.column("cells_b")), strict=True)]
+            n_a, n_b = (batch.column(c).to_numpy() for c in ("n_a", "n_b"))
+            keep = _may_link(n_a, n_b, np.array(bound, np.int64), percent)
+            yield batch.select(["a", "b"]).filter(pa.array(keep))
 
     return run
 
 
-def _with_sets(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    left = sets.select(F.col("fp").alias("a"), F.col("n").alias("n_a"), F.col("grams").alias("grams_a"))
-    right = sets.select(F.col("fp").alias("b"), F.col("n").alias("n_b"), F.col("grams").alias("grams_b"))
-    return pairs.join(left, "a").join(right, "b")
+def _linked(percent: int):
+    """Links of one part of a hub's star: the hub's whole set comes once, then that of each member."""
+
+    def run(key, members: pa.Table, hubs: pa.Table) -> pa.Table:
+        kept = []
+        if hubs.num_rows:
+            p = np.frombuffer(hubs.column("hub_grams")[0].as_buffer(), _U)
+            for row, y in enumerate(members.column("grams")):
+                q = np.frombuffer(y.as_buffer(), _U)
+                both = len(np.intersect1d(p, q, assume_unique=True))
+                if 100 * both >= percent * (len(p) + len(q) - both):
+                    kept.append(row)
+        return members.select(["a", "b"]).take(pa.array(kept, pa.int64()))
+
+    return run
+
+
+def _possible(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Pairs that neither their sizes nor their sketches rule out; no set moves for this."""
+    small = sets.select("fp", "n", "cells")
+    both = pairs.join(small.toDF("a", "n_a", "cells_a"), "a").join(small.toDF("b", "n_b", "cells_b"), "b")
+    fit = both.where(F.expr(f"100 * least(n_a, n_b) >= {percent} * greatest(n_a, n_b)"))
+    return fit.mapInArrow(_bounded(percent), "a long, b long")
 
 
 def _verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """(a, b, linked) of each pair whose sizes do not rule a link out, by the whole sets."""
-    sizes = sets.select("fp", "n")
-    sized = pairs.join(sizes.toDF("a", "n_a"), "a").join(sizes.toDF("b", "n_b"), "b")
-    fit = sized.where(F.expr(f"100 * least(n_a, n_b) >= {percent} * greatest(n_a, n_b)")).select("a", "b")
-    full = _with_sets(fit, sets).select("a", "b", "grams_a", "grams_b")
-    return full.mapInArrow(_verified(percent), "a long, b long, linked boolean")
+    """(a, b) of the pairs that link by their whole sets.
+
+    The members' sets travel to their hub, the hub's once to each part of its star of at most about STAR_PART members.
+    """
+    fit = written(_possible(pairs, sets, percent), "possible")
+    size = fit.groupBy("a").agg(F.ceil(F.count("*") / STAR_PART).cast("int").alias("parts"))
+    salted = fit.join(size, "a").select("a", "b", F.pmod(F.xxhash64("b"), F.col("parts")).cast("int").alias("part"))
+    members = salted.join(sets.select(F.col("fp").alias("b"), "grams"), "b").select("a", "part", "b", "grams")
+    hubs = size.join(sets.select(F.col("fp").alias("a"), F.col("grams").alias("hub_grams")), "a")
+    hubs = hubs.select(F.col("a").alias("hub"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("hub_part"), "hub_grams")
+    met = members.groupBy("a", "part").cogroup(hubs.groupBy("hub", "hub_part"))
+    return met.applyInArrow(_linked(percent), "a long, b long")
+
+
+def _small_stars(percent: int):
+    """Pairs of one hub's members, of different components, that their sketches do not rule out."""
+
+    def run(table: pa.Table) -> pa.Table:
+        fps, labels, n = (table.column(c).to_numpy() for c in ("fp", "label", "n"))
+        cells = _sketches(table.column("cells"))
+        folded = [x.astype(np.int64).reshape(-1, CELLS).sum(axis=0) for x in cells]
+        folded = np.minimum(np.stack(folded), 65_535).astype(np.uint16)
+        left, right = [], []
+        for i in range(len(fps) - 1):
+            j = np.arange(i + 1, len(fps))
+            j = j[(labels[j] != labels[i])]
+            j = j[_may_link(n[j], n[i], overlap_bound(folded[j], folded[i][None]), percent)]
+            left += [min(fps[i], fps[k]) for k in j]
+            right += [max(fps[i], fps[k]) for k in j]
+        return pa.table({"a": pa.array(left, pa.int64()), "b": pa.array(right, pa.int64())})
+
+    return run
+
+
+def _with_sets(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    left, right = (sets.select(F.col("fp").alias(c), F.col("grams").alias(f"grams_{c}")) for c in "ab")
+    return pairs.join(left, "a").join(right, "b")
 
 
 def _difference_prefixes(percent: int):
@@ -272,36 +365,45 @@ def shingle_components(docs: DataFrame, width: int = 3, percent: int = 90) -> Da
     placed = keyed.select("sig", "fp", "probe", F.lag("fp").over(by_key).alias("before"), F.lead("fp").over(by_key).alias("after"))
     shared = written(placed.where("fp <> before or fp <> after").groupBy("sig", "fp").agg(F.max("probe").alias("probe")), "buckets")
 
+    # Sets of the classes in buckets: rows with an id are found by it, those of classes that have none by their null id.
     wanted = classes.join(shared.select("fp").distinct(), "fp", "left_semi").select(F.col("least_id").alias("doc_id")).distinct()
     wanted = written(wanted, "wanted")
-    if wanted.count() <= BROADCAST_ROWS:
-        wanted = F.broadcast(wanted)
-    sets = rows.join(wanted, "doc_id", "left_semi").select("text").mapInArrow(_sets(width), "fp long, n long, grams binary")
+    by_id = wanted.where("doc_id is not null")
+    if by_id.count() <= BROADCAST_ROWS:
+        by_id = F.broadcast(by_id)
+    found = rows.join(by_id, "doc_id", "left_semi").select("text")
+    if wanted.where("doc_id is null").head(1):
+        found = found.union(rows.where("doc_id is null").select("text"))
+    sets = found.mapInArrow(_sets(width), "fp long, n long, cells binary, grams binary")
     sets = written(sets.where("n > 0").dropDuplicates(["fp"]), "sets")
 
-    # First pass: every member of a bucket against its hub, the one that shares most buckets.
+    # First pass: every member of a bucket against its hub: of those that probe it the one that shares most buckets.
     weight = shared.groupBy("fp").agg(F.count("*").alias("weight"))
-    hub = shared.join(weight, "fp").groupBy("sig").agg(F.max_by("fp", F.struct("weight", "fp")).alias("hub"), F.max("probe").alias("probed"))
+    hub = shared.join(weight, "fp").groupBy("sig").agg(F.max_by("fp", F.struct("probe", "weight", "fp")).alias("hub"), F.max("probe").alias("probed"))
     star = shared.join(hub.where("probed"), "sig").where("fp <> hub").select(F.col("hub").alias("a"), F.col("fp").alias("b")).distinct()
     star = written(star, "stars")
-    first = written(_verify(star, sets, percent).where("linked").select("a", "b"), "links")
+    first = written(_verify(star, sets, percent), "links")
 
-    # Second pass: members of one hub whose components still differ. They differ from the hub in known elements, and
-    # two of them link only if those differences overlap, so they meet in rare elements instead of in the bucket.
+    # Second pass: members of one hub whose components still differ. Those of a small star are compared by their sketches.
+    # Those of a large one differ from the hub in known elements, and two of them link only if those differences overlap,
+    # so they meet in rare elements instead of in the bucket.
     label = components(first).select(F.col("id").alias("fp"), F.col("component_id").alias("label"))
     named = star.select(F.col("a").alias("hub"), F.col("b").alias("fp")).join(label, "fp", "left")
     named = written(named.select("hub", "fp", F.coalesce("label", "fp").alias("label")), "members")
-    torn = named.groupBy("hub").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high").select("hub")
-    torn = named.join(torn, "hub", "left_semi")
-    pairs = torn.select(F.col("hub").alias("a"), F.col("fp").alias("b"))
+    torn = named.groupBy("hub").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count("*").alias("size")).where("low <> high")
+    small = named.join(torn.where(F.col("size") <= SMALL_STAR).select("hub"), "hub", "left_semi").join(sets.select("fp", "n", "cells"), "fp")
+    cross = small.groupBy("hub").applyInArrow(_small_stars(percent), "a long, b long")
+
+    large = named.join(torn.where(F.col("size") > SMALL_STAR).select("hub"), "hub", "left_semi")
+    pairs = large.select(F.col("hub").alias("a"), F.col("fp").alias("b"))
     full = _with_sets(pairs, sets).select("a", "b", "grams_a", "grams_b")
     marks_of = full.mapInArrow(_difference_prefixes(percent), "hub long, fp long, element long, rest long, v double")
-    marks_of = written(marks_of.join(torn, ["hub", "fp"]), "differences")
+    marks_of = written(marks_of.join(large, ["hub", "fp"]), "differences")
     other = marks_of.toDF("hub", "fp2", "element", "rest2", "v2", "label2")
-    cross = marks_of.join(other, ["hub", "element"]).where("fp < fp2 and label <> label2")
-    cross = cross.where("2 * (1 + least(rest, rest2)) >= v + v2 - 1e-6")
-    cross = cross.select(F.col("fp").alias("a"), F.col("fp2").alias("b")).distinct()
-    second = _verify(cross, sets, percent).where("linked").select("a", "b")
+    met = marks_of.join(other, ["hub", "element"]).where("fp < fp2 and label <> label2")
+    met = met.where("2 * (1 + least(rest, rest2)) >= v + v2 - 1e-6")
+    cross = cross.union(met.select(F.col("fp").alias("a"), F.col("fp2").alias("b"))).distinct()
+    second = _verify(cross, sets, percent)
 
     links = first.union(second)
     label = components(links).select(F.col("id").alias("fp"), F.col("component_id").alias("label"))

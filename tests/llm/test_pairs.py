@@ -8,6 +8,7 @@ import numpy as np
 import pandas as pd
 import pytest
 
+from driftline.llm import shingle_join
 from driftline.llm.common import components
 from driftline.llm.rp_forest import vector_links
 from driftline.llm.shingle_join import Bands, shingle_components
@@ -81,6 +82,66 @@ def test_shingle_join_edges(frame):
     assert shingle_components(frame([], "doc_id long, text string", 1)).count() == 0
 
 
+def with_nulls(docs, width, percent):
+    """As by_pairs, of rows whose id may be null: rows are nodes, a component is named by its least id."""
+    rows = by_pairs([(k, text) for k, (_, text) in enumerate(docs)], width, percent)
+    least = {}
+    for k, (n, root) in rows.items():
+        if docs[k][0] is not None:
+            least[root] = min(docs[k][0], least.get(root, docs[k][0]))
+    return sorted(((docs[k][0], n, least.get(root)) for k, (n, root) in rows.items()), key=str)
+
+
+@pytest.mark.parametrize("null_ids", [lambda k: k == 2, lambda k: k % 3 == 0, lambda k: True])
+@pytest.mark.parametrize(("star", "part"), [(256, 500), (1, 3)])
+def test_shingle_join_with_null_ids(frame, monkeypatch, null_ids, star, part):
+    monkeypatch.setattr(shingle_join, "SMALL_STAR", star)
+    monkeypatch.setattr(shingle_join, "STAR_PART", part)
+    words = [f"w{i}" for i in range(80)]
+    edits = [["x", *words[1:]], [*words[:79], "y"], words, ["x", *words[1:79], "y"]]
+    docs = [(k, " ".join(w)) for k, w in enumerate(edits)] + [(k + 4, t) for k, t in families(7, 3, 20)]
+    docs = [(None if null_ids(k) else k, t) for k, t in docs]
+    got = shingle_components(frame(docs, "doc_id long, text string"), 3, 95).collect()
+    assert sorted([(r.doc_id, r.n_shingles, r.component_id) for r in got], key=str) == with_nulls(docs, 3, 95)
+
+
+@pytest.mark.parametrize(("width", "percent"), [(3, 90), (5, 80)])
+def test_large_stars_equal_all_pairs(frame, monkeypatch, width, percent):
+    monkeypatch.setattr(shingle_join, "SMALL_STAR", 3)
+    monkeypatch.setattr(shingle_join, "STAR_PART", 4)
+    docs = families(width + 10)
+    got = shingle_components(frame(docs, "doc_id long, text string"), width, percent).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == by_pairs(docs, width, percent)
+
+
+def test_sketches_bound_the_overlap():
+    rng = np.random.default_rng(1)
+    for size in (1, 50, 1_499, 1_500, 9_000):
+        a = np.unique(rng.integers(0, 2**63, size, dtype=np.uint64))
+        for share in (0.0, 0.5, 0.95, 1.0):
+            b = np.unique(np.concatenate([a[: int(share * size)], rng.integers(0, 2**63, 1 + size // 9, dtype=np.uint64)]))
+            bound = shingle_join.overlap_bound(shingle_join.sketch(a), shingle_join.sketch(b))
+            assert bound >= len(np.intersect1d(a, b))
+    full = np.full(shingle_join.CELLS, 65_535, np.uint16)
+    assert shingle_join.overlap_bound(full, full) > 10**12
+
+
+@pytest.mark.parametrize("percent", [80, 90])
+def test_partners_share_a_probed_signature(percent):
+    rng = np.random.default_rng(percent)
+    bands = Bands(percent)
+    for size in (3, 9, 12, 40, 111, 300, 520):
+        for _ in range(30):
+            a = np.unique(rng.integers(0, 2**63, size, dtype=np.uint64))
+            gone = int(rng.integers(0, 1 + size * (100 - percent) // 100))
+            b = a[gone:] if rng.random() < 0.5 else np.unique(np.concatenate([a[gone // 2 :], rng.integers(0, 2**63, gone // 2, dtype=np.uint64)]))
+            both = len(np.intersect1d(a, b))
+            if 100 * both < percent * (len(a) + len(b) - both) or len(a) == len(b) == both:
+                continue
+            (x, p), (y, q) = (shingle_join.signatures(g, bands) for g in (a, b))
+            assert set(x[p].tolist()) & set(y.tolist()) and set(y[q].tolist()) & set(x.tolist())
+
+
 def test_bands_hold_every_partner():
     for percent in (80, 90):
         bands = Bands(percent)
