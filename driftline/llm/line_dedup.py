@@ -45,6 +45,20 @@ def boilerplate_lines(pages: DataFrame, host: Column, text: Column, max_ratio: f
     return met.select(lines.host, "key")
 
 
+def _page_key(lines: Column) -> Column:
+    """Two 64-bit hashes of a page's lines, without white space around them, in order."""
+    core = F.array_join(F.transform(F.filter(lines, _has_text), lambda x: F.btrim(x, F.lit(BLANK))), "\n")
+    return F.struct(F.xxhash64(core).alias("h"), F.xxhash64(F.lit("page"), core).alias("g"))
+
+
+def _copies(met: DataFrame) -> DataFrame:
+    """(copy_site, copy) of the pages, of those that would lose every line, that a host has more than once."""
+    pages = met.where(F.col("whole").isNotNull()).select(F.col("site").alias("copy_site"), F.col("whole").alias("copy"))
+    copies = pages.groupBy("copy_site", "copy").count().where(F.col("count") > 1).drop("count")
+    copies = written(copies, "copies")
+    return F.broadcast(copies) if copies.count() <= BROADCAST_LINES else copies
+
+
 def drop_boilerplate(
     pages: DataFrame, host: str, text: str = "text", max_ratio: float = MAX_RATIO, min_pages: int = MIN_PAGES, spare_copies: bool = False
 ) -> DataFrame:
@@ -54,7 +68,7 @@ def drop_boilerplate(
     counted nor dropped. The kept lines stay as they are, in order, joined by newlines. A null text stays null and has no
     lines; a null host is a host of its own. A page counts once for a line it repeats, and repeated pages count each. The
     two added columns replace input columns of the same names. With ``spare_copies`` a page that would lose every line is
-    left whole: it is a copy rather than a page with boilerplate on it.
+    left whole if its host has another page of the same lines: it is a copy rather than a page with boilerplate on it.
     """
     keys = written(boilerplate_lines(pages, F.col(host), F.col(text), max_ratio, min_pages), "lines")
     per_host = keys.groupBy("host").agg(F.collect_set("key").alias("gone"))
@@ -66,7 +80,11 @@ def drop_boilerplate(
     drop = lambda x: _has_text(x) & F.array_contains(F.col("gone"), line_key(x))
     known = F.col("lines").isNotNull() & F.col("gone").isNotNull()
     if spare_copies:
-        known = known & F.exists("lines", lambda x: _has_text(x) & ~drop(x))
+        loses_all = known & F.exists("lines", _has_text) & ~F.exists("lines", lambda x: _has_text(x) & ~drop(x))
+        met = met.withColumn("whole", F.when(loses_all, _page_key(F.col("lines"))))
+        copies = _copies(met)
+        met = met.join(copies, F.col("site").eqNullSafe(F.col("copy_site")) & (F.col("whole") == F.col("copy")), "left")
+        known = known & F.col("copy").isNull()
     kept = F.when(known, F.filter("lines", lambda x: ~drop(x))).otherwise(F.col("lines"))
     count = lambda lines: F.coalesce(F.size(F.filter(lines, _has_text)), F.lit(0)).cast("long")
     n_lines = F.when(F.col("lines").isNull(), F.lit(0).cast("long")).otherwise(count(F.col("lines")))

@@ -430,3 +430,16 @@ def test_piece_rows(frame, model):
     assert texts == collections.Counter((i, t or "") for i, t, _ in docs)
     assert piece_transducer.decode(frame([(1, None)], "doc_id long, ids array<int>", 1)).first().text is None
     assert piece_transducer.encode(frame([], "doc_id long, text string", 1)).count() == 0
+
+
+def test_only_whole_copies_are_spared(frame):
+    lines = ["menu of the site", "we use cookies", "all rights reserved", "contact us"]
+    rows = [(i, f"{lines[i % 4]}\nown words of page {i}") for i in range(40)]
+    mixed = [(100, f"{lines[0]}\n {lines[1]}\n{lines[2]}"), (101, f"{lines[2]}\n\n{lines[3]}"), (102, "license text\nsecond line")]
+    copies = [(200 + i, "license text\n second line ") for i in range(9)]
+    docs = frame([(i, t, "h") for i, t in rows + mixed + copies], "doc_id long, text string, source string")
+    by_id = {r.doc_id: r for r in line_dedup.drop_boilerplate(docs, host="source", spare_copies=True).collect()}
+    assert by_id[100].text.strip() == "" and by_id[101].text.strip() == "" and by_id[5].text == "own words of page 5"
+    assert all(by_id[i].n_dropped == 0 and "license text" in by_id[i].text for i in (102, *range(200, 209)))
+    plain = {r.doc_id: r for r in line_dedup.drop_boilerplate(docs, host="source").collect()}
+    assert plain[200].text.strip() == "" and plain[100].n_dropped == 3
