@@ -34,7 +34,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
 
 
 def drop_site_lines(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    """Every document, without its source's boilerplate lines; one that is nothing else is a copy and left to the next stage."""
+    """Every document, without its source's boilerplate lines; one of nothing else that occurs twice is left to the next stage."""
     return _documents(drop_boilerplate(docs.select(*COLUMNS), host="source", spare_copies=True))
 
 
