@@ -28,11 +28,11 @@ from driftline.llm.common import WordHash, batch_values, components, mixed, ship
 #: Collision rate per shingle of a segment, for the cost of an exact segment.
 RARITY = 0.25
 #: Segments of each band whose one-deletion neighbourhoods are indexed: one, and so many for each segment that is likely empty.
-SPARE_PER_EMPTY = 3
+SPARE_PER_EMPTY = 5
 #: Cells of a set's sketch, small and large, and the size from which sets have the large one.
 CELLS, LARGE_CELLS, LARGE_SET = 128, 1024, 1_500
 #: Members of a hub that are compared with each other by their sketches alone; larger stars meet in their differences.
-SMALL_STAR = 256
+SMALL_STAR = 2_000
 #: Members of a hub whose whole sets one task holds at a time.
 STAR_PART = 500
 #: A broadcast of ids is asked for up to this many rows (16 bytes each); beyond, Spark joins by shuffle.
@@ -199,7 +199,7 @@ def overlap_bound(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     Of sketches of different width the wider one is folded. A full cell proves nothing and makes the bound endless.
     """
     width = min(a.shape[-1], b.shape[-1])
-    a, b = (x.astype(np.int64).reshape(*x.shape[:-1], -1, width).sum(axis=-2) for x in (a, b))
+    a, b = (x.astype(np.int64).reshape(*x.shape[:-1], x.shape[-1] // width, width).sum(axis=-2) for x in (a, b))
     least = np.minimum(a, b)
     return np.where((least >= 65_535).any(axis=-1), np.iinfo(np.int64).max // 200, least.sum(axis=-1))
 
@@ -289,17 +289,22 @@ def _small_stars(percent: int):
 
     def run(table: pa.Table) -> pa.Table:
         fps, labels, n = (table.column(c).to_numpy() for c in ("fp", "label", "n"))
-        cells = _sketches(table.column("cells"))
-        folded = [x.astype(np.int64).reshape(-1, CELLS).sum(axis=0) for x in cells]
-        folded = np.minimum(np.stack(folded), 65_535).astype(np.uint16)
+        cells = [x.astype(np.int64).reshape(-1, CELLS).sum(axis=0) for x in _sketches(table.column("cells"))]
+        order = np.argsort(n, kind="stable")
+        fps, labels, n = fps[order], labels[order], n[order]
+        cells = np.minimum(np.stack(cells)[order], 65_535).astype(np.uint16)
+        last = np.searchsorted(n, n * 100 // percent, "right")  # partners by size end here
         left, right = [], []
         for i in range(len(fps) - 1):
-            j = np.arange(i + 1, len(fps))
-            j = j[(labels[j] != labels[i])]
-            j = j[_may_link(n[j], n[i], overlap_bound(folded[j], folded[i][None]), percent)]
-            left += [min(fps[i], fps[k]) for k in j]
-            right += [max(fps[i], fps[k]) for k in j]
-        return pa.table({"a": pa.array(left, pa.int64()), "b": pa.array(right, pa.int64())})
+            j = np.arange(i + 1, last[i])
+            j = j[labels[j] != labels[i]]
+            least = np.minimum(cells[j], cells[i])
+            bound = least.sum(axis=1, dtype=np.int64)
+            j = j[_may_link(n[j], n[i], bound, percent) | (least == 65_535).any(axis=1)]
+            left.append(np.minimum(fps[i], fps[j]))
+            right.append(np.maximum(fps[i], fps[j]))
+        none = [np.empty(0, np.int64)]
+        return pa.table({"a": np.concatenate(left + none), "b": np.concatenate(right + none)})
 
     return run
 
