@@ -374,13 +374,17 @@ def shingle_components(docs: DataFrame, width: int = 3, percent: int = 90) -> Da
     wanted = classes.join(shared.select("fp").distinct(), "fp", "left_semi").select(F.col("least_id").alias("doc_id")).distinct()
     wanted = written(wanted, "wanted")
     by_id = wanted.where("doc_id is not null")
-    if by_id.count() <= BROADCAST_ROWS:
+    n_ids = by_id.count()
+    if n_ids <= BROADCAST_ROWS:
         by_id = F.broadcast(by_id)
+    once = marks.join(by_id, "doc_id", "left_semi").count() == n_ids
     found = rows.join(by_id, "doc_id", "left_semi").select("text")
     if wanted.where("doc_id is null").head(1):
         found = found.union(rows.where("doc_id is null").select("text"))
-    sets = found.mapInArrow(_sets(width), "fp long, n long, cells binary, grams binary")
-    sets = written(sets.where("n > 0").dropDuplicates(["fp"]), "sets")
+        once = False
+    sets = found.mapInArrow(_sets(width), "fp long, n long, cells binary, grams binary").where("n > 0")
+    # Where every wanted id is one row, as counted, each set is made once and need not meet others of its fingerprint.
+    sets = written(sets if once else sets.dropDuplicates(["fp"]), "sets")
 
     # First pass: every member of a bucket against its hub: of those that probe it the one that shares most buckets.
     weight = shared.groupBy("fp").agg(F.count("*").alias("weight"))
