@@ -277,6 +277,9 @@ def _verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     fit = written(_possible(pairs, sets, percent), "possible")
     size = fit.groupBy("a").agg(F.ceil(F.count("*") / STAR_PART).cast("int").alias("parts"))
     salted = fit.join(size, "a").select("a", "b", F.pmod(F.xxhash64("b"), F.col("parts")).cast("int").alias("part"))
+    # Of the whole sets only those of the pairs at hand are read on.
+    nodes = written(fit.select(F.col("a").alias("fp")).union(fit.select("b")).distinct(), "nodes")
+    sets = sets.join(F.broadcast(nodes) if nodes.count() <= BROADCAST_ROWS else nodes, "fp", "left_semi")
     members = salted.join(sets.select(F.col("fp").alias("b"), "grams"), "b").select("a", "part", "b", "grams")
     hubs = size.join(sets.select(F.col("fp").alias("a"), F.col("grams").alias("hub_grams")), "a")
     hubs = hubs.select(F.col("a").alias("hub"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("hub_part"), "hub_grams")
