@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from driftline.functions.sky import angular_distance, dec_band, pack_cell, sky_cell, slices_in_band
+from driftline.functions.sky_tree import cone_ranges, in_ranges, tree_cell
 from driftline.sources.sinks import write_columnar
 
 
@@ -47,6 +48,18 @@ def cone_search_cells(stored: DataFrame, ra: float, dec: float, radius_deg: floa
     return cone_search(stored.filter(inside), ra, dec, radius_deg).drop("cell")
 
 
+def write_by_tree_cell(stars: DataFrame, path: str) -> None:
+    """Stars with their nested cell, in files of disjoint ranges of cells; one layout for cones of every size."""
+    located = stars.withColumn("cell", tree_cell("ra", "dec"))
+    write_columnar(located, path, cluster_by=["cell"], sort_by=["cell"], by_range=True)
+
+
+def cone_search_tree(stored: DataFrame, ra: float, dec: float, radius_deg: float, most: int = 64) -> DataFrame:
+    """``cone_search`` on a table written by nested cell: at most ``most`` ranges of ids, whatever the radius."""
+    near = stored.filter(in_ranges("cell", cone_ranges(ra, dec, radius_deg, most)))
+    return cone_search(near, ra, dec, radius_deg).drop("cell")
+
+
 def cells_of_cone(centers: DataFrame, radius_deg: float, cell_deg: float) -> DataFrame:
     """Each center repeated for every sky cell its cone can touch, in column ``cell``."""
     south = F.greatest(F.col("center_dec") - radius_deg, F.lit(-90.0))

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from driftline.functions.interleave import cluster_key, scales
 from driftline.sources.versions import Versions
 
 ZSTD = {"compression": "zstd", "parquet.compression.codec.zstd.level": "1"}
@@ -39,6 +40,16 @@ def write_columnar(
     (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
 
 
+def write_interleaved(df: DataFrame, path: str, columns: list[str], key: str = "cluster_key") -> None:
+    """The rows in files of disjoint ranges of a bit-interleaved key of several columns, which is stored with them.
+
+    A lookup by any of the columns, or by several, opens the files whose ranges allow it. The table is read before, for
+    the quantiles that scale the columns.
+    """
+    placed = df.withColumn(key, cluster_key(df, scales(df, columns)))
+    write_columnar(placed, path, cluster_by=[key], sort_by=[key, *columns], by_range=True)
+
+
 def append_rows(
     target: str, rows: DataFrame, *, columns: list[str] | None = None, distinct: bool = False
 ) -> None:
