@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import collections
+import itertools
 import hashlib
 import math
 import random
@@ -345,6 +346,49 @@ def test_lm_base_scores(frame, max_entries):
     assert all(r.score < 0 for r in got)
 
 
+@pytest.mark.parametrize(("max_entries", "slice_bits", "part_bytes"), [(1_000_000, 1 << 25, 1 << 27), (40, 1 << 25, 1 << 27), (40, 1 << 10, 256)])
+def test_lm_model_is_a_plain_pair_model(frame, max_entries, slice_bits, part_bytes):
+    """Counts of one or two are exact in their level up to the geometric middle, so the plain model uses the levels' counts."""
+    rng = random.Random(9)
+    words = [f"w{i}" for i in range(60)]
+    docs = [(i, " ".join(words[min(int(rng.expovariate(0.12)), 59)] for _ in range(rng.randint(0, 25)))) for i in range(150)]
+    docs += [(200, None), (201, "zz w1 w2 zz w1"), (201, "zz w1 w2 zz w1"), (None, "w3")]
+    train = [d for d in docs if d[0] is None or d[0] % 4]
+    got = lm_scoring.lm_scores(frame(docs, "doc_id long, text string"), frame(train, "doc_id long, text string"), max_entries, slice_bits, part_bytes).collect()
+    tokens = lambda t: [*(t or "").encode().split(), b" "]
+    c, pairs = collections.Counter(), collections.Counter()
+    for _, t in train:
+        c.update(tokens(t))
+        pairs.update(itertools.pairwise(tokens(t)))
+    n, v = sum(c.values()), len(c)
+    least = max(1, -(-n // max_entries))
+    level = lambda k: float(lm_scoring.level_count(lm_scoring.quantised(np.array([k])))[0])
+    count = lambda w: level(c[w]) if c[w] >= least else c[w]
+    d = lm_scoring.DISCOUNT
+
+    def score(text):
+        own = tokens(text)
+        out = math.log10((count(own[0]) + 1) / (n + v + 1))
+        for h, w in itertools.pairwise(own):
+            share = min(level(pairs[h, w]) / count(h), 1.0) if pairs[h, w] >= lm_scoring.MIN_PAIR else 0.0
+            out += math.log10(d * (count(w) + 1) / (n + v + 1) + (1 - d) * share)
+        return out
+
+    plain = sorted((str(i), score(t)) for i, t in docs)
+    found = sorted((str(r.doc_id), r.score) for r in got)
+    off = [(p, f) for p, f in zip(plain, found, strict=True) if p[0] != f[0] or abs(p[1] - f[1]) > 1e-6]
+    assert len(off) <= len(plain) // 10  # a false level of the filter raises a score here and there
+    assert all(f[1] > p[1] for p, f in off)
+
+
+def test_lm_keeps_every_repeated_pair_at_every_size(frame):
+    for times in (1, 40):
+        texts = [(i, f"a{i % 50} b{i % 50} " * 2 * times) for i in range(50)]
+        scores = lm_scoring.lm_scores(frame(texts, "doc_id long, text string"), frame(texts, "doc_id long, text string"), max_entries=20).collect()
+        for r in scores:  # every pair occurs twice or more, so each of its words gains
+            assert r.score > r.base_score + r.n_tokens * 0.3
+
+
 def test_lm_without_training(frame):
     got = lm_scoring.lm_scores(frame([(1, "a b")], "doc_id long, text string", 1), frame([], "doc_id long, text string", 1)).collect()
     assert (got[0].n_tokens, got[0].n_known, got[0].train_tokens, got[0].base_score) == (3, 0, 0, 0.0)
