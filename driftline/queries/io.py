@@ -173,6 +173,37 @@ def text_format_escapes(spark: SparkSession, sf: str) -> DataFrame:
     return split_rejects(delimited.read_text_format(spark, path, documents.schema))[0].drop("source_file")
 
 
+@query("SELECT p_partkey, p_name, p_brand || '|é' || chr(9) || p_type AS label FROM part")
+def text_format_byte_escapes(spark: SparkSession, sf: str) -> DataFrame:
+    """Text-format lines whose names are octal and whose labels are hexadecimal byte escapes, with an end mark."""
+    parts = table(spark, sf, "part").select("p_partkey", "p_name", F.concat("p_brand", F.lit("|é\t"), "p_type").alias("label"))
+    octal = F.expr(r"array_join(transform(sequence(1, octet_length(p_name)), i -> '\\' || lpad(conv(hex(substr(CAST(p_name AS BINARY), i, 1)), 16, 8), 3, '0')), '')")
+    pairs = F.regexp_replace(F.hex(F.col("label").cast("binary")), "(..)", r"\\x$1")
+    lines = parts.select(F.concat_ws("|", F.col("p_partkey").cast("string"), octal, pairs).alias("value"))
+    path = work_path(spark, "byte-escapes")
+    sinks.write_report(lines.union(spark.createDataFrame([("\\.",)], "value string")), path)
+    return split_rejects(delimited.read_text_format(spark, path, parts.schema))[0].drop("source_file")
+
+
+@query(
+    """
+    SELECT year(o_orderdate)::INT AS order_year, count(*) AS orders,
+           sum(CASE WHEN year(o_orderdate) = 1995 THEN -CAST(o_totalprice AS DECIMAL(18, 4)) ELSE CAST(o_totalprice AS DECIMAL(18, 4)) END)::DOUBLE AS total
+    FROM orders WHERE year(o_orderdate) <> 1995 OR o_orderstatus = 'F' GROUP BY 1
+    """
+)
+def partition_reload(spark: SparkSession, sf: str) -> DataFrame:
+    """Orders by year, of which one year is loaded again with other rows; the other years stay."""
+    price = F.col("o_totalprice").cast("decimal(18,4)")
+    orders = table(spark, sf, "orders").select("o_orderkey", "o_orderstatus", price.alias("price"), F.year("o_orderdate").alias("order_year"))
+    path = work_path(spark, "yearly-orders")
+    places = {"partition_by": ["order_year"], "sort_by": ["o_orderkey"]}
+    sinks.replace_partitions(orders, path, **places)
+    again = orders.where("order_year = 1995 and o_orderstatus = 'F'").withColumn("price", (-F.col("price")).cast("decimal(18,4)"))
+    sinks.replace_partitions(again, path, **places)
+    return spark.read.parquet(path).groupBy("order_year").agg(F.count("*").alias("orders"), F.sum("price").cast("double").alias("total"))
+
+
 _ORDER_FILE = T.StructType(
     [
         T.StructField("o_orderkey", T.LongType()),

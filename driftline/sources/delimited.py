@@ -194,16 +194,34 @@ def parse_csv_lines(
 # Stand-ins for an escaped backslash and an escaped delimiter while a line is
 # split. The format does not allow the zero character in data.
 _BACKSLASH, _DELIMITER = "\u0000b", "\u0000d"
-_CONTROL_ESCAPES = {"\\t": "\t", "\\n": "\n", "\\r": "\r", "\\b": "\b", "\\f": "\f", "\\v": "\v"}
+# Letters of the control escapes and what they stand for, in the same order.
+_CONTROL_LETTERS, _CONTROLS = "tnrbfv", "\t\n\r\b\f\v"
+#: A line of this alone ends the data.
+_END_MARK = "\\."
+#: An octal or hexadecimal byte, any other escaped character, or text without escapes.
+_TOKEN = r"(?s)\\(?:[0-7]{1,3}|x[0-9A-Fa-f]{1,2}|.)|[^\\]+"
+
+
+def _token_bytes(token: Column) -> Column:
+    """What a token of a field stands for, as hexadecimal text of its bytes; an unknown escape stands for its character."""
+    octal = F.right(F.conv(F.substr(token, F.lit(2)), 8, 16), F.lit(2))
+    return (
+        F.when(~token.startswith("\\"), F.hex(token))
+        .when(token.rlike(r"^\\[0-7]"), F.lpad(octal, 2, "0"))
+        .when(token.rlike(r"^\\x[0-9A-Fa-f]"), F.lpad(F.substr(token, F.lit(3)), 2, "0"))
+        .otherwise(F.hex(F.translate(F.substr(token, F.lit(2)), _CONTROL_LETTERS, _CONTROLS)))
+    )
 
 
 def _unescape(field: Column, delimiter: str) -> Column:
-    """Resolve the escapes of one field; an unknown escape stands for its character."""
-    for escape, char in _CONTROL_ESCAPES.items():
-        field = F.replace(field, F.lit(escape), F.lit(char))
-    field = F.replace(field, F.lit("\\"), F.lit(""))
-    field = F.replace(field, F.lit(_DELIMITER), F.lit(delimiter))
-    return F.replace(field, F.lit(_BACKSLASH), F.lit("\\"))
+    """Resolve the escapes of one field, from left to right; a backslash at its end is dropped.
+
+    Escaped bytes that follow each other may form one character. Bytes that form none stay as they are in the text.
+    """
+    field = F.replace(field, F.lit(_DELIMITER), F.lit("\\" + delimiter))
+    field = F.replace(field, F.lit(_BACKSLASH), F.lit("\\\\"))
+    tokens = F.transform(F.regexp_extract_all(field, F.lit(_TOKEN), F.lit(0)), _token_bytes)
+    return F.when(field.contains("\\"), F.unhex(F.array_join(tokens, "")).cast("string")).otherwise(field)
 
 
 def parse_text_format(
@@ -212,9 +230,10 @@ def parse_text_format(
     """Lines of the unquoted text format to typed columns plus ``reject_reason``.
 
     Null markers and escapes are resolved only on lines that hold a backslash.
-    Plain replacements are used instead of a pattern for the whole field, whose
-    cost and stack depth would grow with the text.
+    A field is cut into tokens instead of being matched by one pattern, whose
+    stack depth would grow with the text. Lines that are the end mark are no rows.
     """
+    lines = lines.where(~F.col(column).eqNullSafe(_END_MARK))
     keep = [c for c in lines.columns if c != column]
     line = F.col(column)
     mark = f"[{delimiter}]"

@@ -50,6 +50,17 @@ def write_interleaved(df: DataFrame, path: str, columns: list[str], key: str = "
     write_columnar(placed, path, cluster_by=[key], sort_by=[key, *columns], by_range=True)
 
 
+def replace_partitions(df: DataFrame, path: str, *, partition_by: list[str], sort_by: list[str]) -> None:
+    """Replace the partitions that the rows fall into and leave all others as they are.
+
+    New files are staged beside the table and moved in when the whole write has succeeded, so a write that fails leaves the
+    table as it was. A partition of which no row is given stays; a table that does not exist is created.
+    """
+    placed = df.repartitionByRange(*partition_by, *sort_by).sortWithinPartitions(*partition_by, *sort_by)
+    writer = placed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").options(**ZSTD)
+    writer.partitionBy(*partition_by).parquet(path)
+
+
 def append_rows(
     target: str, rows: DataFrame, *, columns: list[str] | None = None, distinct: bool = False
 ) -> None:
@@ -79,6 +90,16 @@ def recreate_table(df: DataFrame, name: str) -> None:
     df.write.format("parquet").saveAsTable(name)
 
 
+def swap_table(df: DataFrame, name: str, root: str) -> str:
+    """Rebuild what ``name`` shows: readers see the old rows until the new ones are written whole; returns their folder.
+
+    The rows are a new version below ``root``, and the catalogue's view of that name is then pointed to it.
+    """
+    folder = Versions(df.sparkSession, root).publish(lambda path: df.write.options(**ZSTD).parquet(path))
+    df.sparkSession.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT * FROM parquet.`{folder}`")
+    return folder
+
+
 def truncate_or_create(empty: DataFrame, name: str) -> bool:
     """Empty an existing table or create it; True when it existed."""
     spark = empty.sparkSession

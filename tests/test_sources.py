@@ -179,6 +179,56 @@ def test_text_format_roundtrip_of_long_text(spark):
     assert back.t == text and back.a == ["x\\y", 'q"', None]
 
 
+def test_text_format_byte_escapes_and_end_mark(spark):
+    lines = [
+        r"\101\x42\x4g|\303\251|1",
+        r"\\x41\\101|\N|2",
+        r"\q\8\xz\|\0411|\x7c\134n|3",
+        r"a\|4",
+        r"\.",
+        r"\..|\501|5",
+    ]
+    df = spark.createDataFrame([(x,) for x in lines], "value string")
+    good, bad = split_rejects(delimited.parse_text_format(df, T.StructType.fromDDL("t string, u string, n int")))
+    rows = {r.n: (r.t, r.u) for r in good.collect()}
+    assert rows == {1: ("AB\x04g", "é"), 2: (r"\x41\101", None), 3: ("q8xz|!1", r"|\n"), 5: ("..", "A")}
+    assert bad.count() == 1
+
+
+def test_text_format_reads_every_byte(spark):
+    for form in ("\\{:03o}", "\\x{:02x}"):
+        every = "".join(form.format(b) for b in range(1, 256))
+        df = spark.createDataFrame([("1|" + every,)], "value string")
+        parsed = delimited.parse_text_format(df, T.StructType.fromDDL("n int, t string"))
+        assert bytes(split_rejects(parsed)[0].select(F.col("t").cast("binary")).first()[0]) == bytes(range(1, 256))
+
+
+def test_replace_partitions_leaves_the_rest(spark, tmp_path):
+    path = str(tmp_path / "t")
+    places = {"partition_by": ["y"], "sort_by": ["v"]}
+    sinks.replace_partitions(spark.createDataFrame([(1, 10), (1, 11), (2, 20), (None, 30)], "y int, v int"), path, **places)
+    rows = lambda: sorted((r.y or 0, r.v) for r in spark.read.parquet(path).collect())
+    sinks.replace_partitions(spark.createDataFrame([(1, 12), (3, 31)], "y int, v int"), path, **places)
+    after = [(0, 30), (1, 12), (2, 20), (3, 31)]
+    assert rows() == after
+    broken = spark.range(200).select(F.lit(2).alias("y"), F.when(F.col("id") == 150, F.raise_error(F.lit("lost"))).otherwise(F.col("id")).cast("int").alias("v"))
+    with pytest.raises(Exception, match="lost"):
+        sinks.replace_partitions(broken, path, **places)
+    assert rows() == after
+
+
+def test_swap_table_shows_old_rows_until_the_new_are_whole(spark, tmp_path):
+    root = str(tmp_path / "swapped")
+    sinks.swap_table(spark.range(3).toDF("a"), "swapped_rows", root)
+    broken = spark.range(9).select(F.when(F.col("id") == 8, F.raise_error(F.lit("lost"))).otherwise(F.col("id")).cast("long").alias("a"))
+    with pytest.raises(Exception, match="lost"):
+        sinks.swap_table(broken, "swapped_rows", root)
+    assert spark.table("swapped_rows").count() == 3
+    sinks.swap_table(spark.range(5).toDF("a"), "swapped_rows", root)
+    assert spark.table("swapped_rows").count() == 5
+    spark.sql("DROP VIEW swapped_rows")
+
+
 def test_file_lists(spark, tmp_path):
     (tmp_path / "list.txt").write_text("/d/a.csv\n\n  \n/d/b.csv\n")
     names = listing.file_names_from_text(spark, str(tmp_path / "list.txt")).collect()
