@@ -19,7 +19,7 @@ from driftline.plans.tracked_load import TrackedLoad
 from driftline.plans.wide_tables import export_text
 from driftline.queries.registry import query, table
 from driftline.session import work_path
-from driftline.sources import delimited, fixed_width, listing, sinks
+from driftline.sources import delimited, fixed_width, listing, shredded, sinks
 from driftline.sources.rejects import REASON, over_limit, reject_rate, split_rejects
 
 # --- fixed width ---------------------------------------------------------------
@@ -204,6 +204,27 @@ def partition_reload(spark: SparkSession, sf: str) -> DataFrame:
     return spark.read.parquet(path).groupBy("order_year").agg(F.count("*").alias("orders"), F.sum("price").cast("double").alias("total"))
 
 
+@query("SELECT coalesce(lang, 'none') AS lang, count(*) AS record_count FROM documents GROUP BY 1")
+def csv_quoted_breaks(spark: SparkSession, sf: str) -> DataFrame:
+    """Whole texts with line breaks inside quotes, a CSV folder per language, counted without one task a file."""
+    documents = table(spark, sf, "documents").select("doc_id", "text", F.coalesce("lang", F.lit("none")).alias("lang"))
+    path = work_path(spark, "quoted-breaks")
+    writer = documents.hint("rebalance", "lang").write.partitionBy("lang")
+    writer.options(header=True, quoteAll=True, escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False).csv(path)
+    counts = delimited.count_quoted_records(spark, path)
+    lang = F.url_decode(F.regexp_extract("source_file", "lang=([^/]+)/", 1))
+    return counts.groupBy(lang.alias("lang")).agg(F.sum("record_count").alias("record_count"))
+
+
+@query("SELECT event_id, user_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM events WHERE CAST(json_extract(props, '$.k') AS BIGINT) = 69")
+def json_shredded_lookup(spark: SparkSession, sf: str) -> DataFrame:
+    """Equality on a JSON path over a written table that keeps the path beside the variant."""
+    path = work_path(spark, "shredded")
+    shredded.write_shredded(table(spark, sf, "events"), path, "props", {"k": ("$.k", shredded.WHOLE)}, ["event_id"])
+    found = spark.read.parquet(path).where(shredded.path_equals("props", "k", 69))
+    return found.select("event_id", "user_id", F.variant_get("props", "$.k", "bigint").alias("k"))
+
+
 _ORDER_FILE = T.StructType(
     [
         T.StructField("o_orderkey", T.LongType()),

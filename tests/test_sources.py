@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import random
 from datetime import date
 from decimal import Decimal
 
@@ -7,8 +8,10 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from plans import plan_text
+
 from driftline.schemas import DAILY_OBSERVATION, SEA_ICE, YEARLY_ANOMALY
-from driftline.sources import delimited, fixed_width, listing, sinks
+from driftline.sources import delimited, fixed_width, listing, shredded, sinks
 from driftline.sources.rejects import REASON, RejectLimitExceeded, enforce_reject_limit, reject_rate, split_rejects
 
 
@@ -229,6 +232,52 @@ def test_swap_table_shows_old_rows_until_the_new_are_whole(spark, tmp_path):
     spark.sql("DROP VIEW swapped_rows")
 
 
+def test_quoted_records_of_files_cut_inside_quotes(spark, tmp_path):
+    rng = random.Random(5)
+    field = lambda: '"' + "".join(rng.choice(['""', "\n", "\n\n", "word", ",", " "]) for _ in range(rng.randint(0, 12))) + '"'
+    for k in range(4):
+        rows = [f"{i},{field()},{field()}" for i in range(300)]
+        rows.insert(7, "")
+        text = "a,b,c\n" + "\n".join(rows)
+        (tmp_path / f"f{k}.csv").write_text(text + ["", "\n", "\n\n", '\n1,"open\nend'][k])
+    (tmp_path / "h.csv").write_text("a,b,c\n")
+    plain = delimited.count_quoted_records(spark, str(tmp_path)).collect()
+    wide = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "700")
+    try:
+        assert spark.read.text(str(tmp_path)).rdd.getNumPartitions() > 20
+        cut = delimited.count_quoted_records(spark, str(tmp_path)).collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", wide)
+    want = {"f0.csv": 300, "f1.csv": 300, "f2.csv": 300, "f3.csv": 301, "h.csv": 0}
+    for got in (plain, cut):
+        assert {r.source_file.rsplit("/", 1)[1]: r.record_count for r in got} == want
+    one_task = delimited.count_records(spark, [str(tmp_path / f"f{k}.csv") for k in range(3)], multi_line=True).collect()
+    assert sorted(r.record_count for r in one_task) == [300, 300, 300]
+
+
+def test_shredded_paths_keep_their_type_and_skip_files(spark, tmp_path):
+    path = str(tmp_path / "s")
+    texts = ['{"k": 7, "t": "x"}', '{"k": "7", "t": 5}', '{"k": 7.0}', '{"k": 7.5, "f": true}', "no json", None, '{"k": null}', "[1]", '{"k": 1e30}']
+    rows = [(i, x) for i, x in enumerate(texts)] + [(100 + i, f'{{"k": {i}}}') for i in range(100, 3000)]
+    paths = {"k": ("$.k", shredded.WHOLE), "t": ("$.t", shredded.TEXT), "f": ("$.f", shredded.BOOLEAN)}
+    shredded.write_shredded(spark.createDataFrame(rows, "id int, doc string").repartition(8), path, "doc", paths, ["id"])
+    stored = spark.read.parquet(path)
+    assert stored.count() == len(rows) and stored.where("doc is null").count() == 2
+    assert sorted(r.id for r in stored.where(shredded.path_equals("doc", "k", 7)).collect()) == [0, 2]
+    assert [r.id for r in stored.where(shredded.path_equals("doc", "t", "x")).collect()] == [0]
+    assert [r.id for r in stored.where(shredded.path_equals("doc", "f", True)).collect()] == [3]
+    wanted = stored.where(shredded.path_equals("doc", "k", 1500)).select("id")
+    plan = plan_text(wanted)
+    assert "EqualTo(doc__k,1500)" in plan and "variant" not in plan.split("ReadSchema")[1].split("\n")[0]
+    ranges = stored.groupBy(F.col("_metadata.file_path")).agg(F.min("doc__k").alias("low"), F.max("doc__k").alias("high"))
+    files = ranges.collect()
+    if len(files) > 1:
+        assert sum(r.low is not None and r.low <= 1500 <= r.high for r in files) == 1
+    with pytest.raises(ValueError):
+        shredded.typed_path("doc", "$.k", "date")
+
+
 def test_file_lists(spark, tmp_path):
     (tmp_path / "list.txt").write_text("/d/a.csv\n\n  \n/d/b.csv\n")
     names = listing.file_names_from_text(spark, str(tmp_path / "list.txt")).collect()
