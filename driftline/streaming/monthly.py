@@ -63,11 +63,29 @@ def _open_sums(spark: SparkSession, path: str) -> DataFrame:
 def compact(spark: SparkSession, path: str) -> None:
     """Fold all partial sums into one folder named after the last micro-batch it holds.
 
-    Readers take the newest complete folder and later micro-batches, so a crash half-way leaves the old one in force.
+    Readers take the newest complete folder and later micro-batches, so a crash half-way leaves the old one in force. What
+    the folder in force before this call had already folded is removed; a reader that began with that folder keeps its files.
     """
     last = _read(spark, f"{path}/partial", _LABELLED).agg(F.max("batch_id")).first()[0]
-    if last is not None:
-        _added(_open_sums(spark, path)).coalesce(1).write.mode("overwrite").parquet(f"{path}/compacted/through={last}")
+    if last is None:
+        return
+    before = _read(spark, f"{path}/compacted", f"{PARTIAL}, through long").agg(F.max("through")).first()[0]
+    if before == last:
+        return
+    _added(_open_sums(spark, path)).coalesce(1).write.mode("overwrite").parquet(f"{path}/compacted/through={last}")
+    if before is not None:
+        _remove(spark, f"{path}/partial", "batch_id=", before)
+        _remove(spark, f"{path}/compacted", "through=", before - 1)
+
+
+def _remove(spark: SparkSession, folder: str, prefix: str, last: int) -> None:
+    """Remove the numbered folders up to ``last``."""
+    top = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    store = top.getFileSystem(spark._jsc.hadoopConfiguration())
+    for entry in store.listStatus(top):
+        name = entry.getPath().getName()
+        if name.startswith(prefix) and int(name.removeprefix(prefix)) <= last:
+            store.delete(entry.getPath(), True)
 
 
 def _added(sums: DataFrame) -> DataFrame:

@@ -55,6 +55,13 @@ def test_monthly_mean_counts_late_rows(spark, tmp_path):
     monthly.compact(spark, means)
     monthly.compact(spark, means)
     assert found() == want
+    names = lambda part: sorted(p.name for p in (tmp_path / "means" / part).iterdir() if "=" in p.name)
+    # Only what the compaction before the last one had folded is gone.
+    assert names("partial") == ["batch_id=3"] and names("compacted") == ["through=2", "through=3"]
+    run((datetime(2020, 2, 5), "TAVG", 9))
+    monthly.compact(spark, means)
+    assert names("partial") == ["batch_id=4"] and names("compacted") == ["through=3", "through=4"]
+    assert found() == want | {date(2020, 2, 1): 8.0}
 
 
 def test_bad_rows_and_refused_files(spark, tmp_path):
