@@ -9,7 +9,7 @@ from driftline.operators.relational import first_per_key
 from driftline.queries.registry import query, table
 from driftline.session import work_path
 from driftline.sources import delimited
-from driftline.streaming import ingest, monthly
+from driftline.streaming import ingest, monthly, stateful
 
 
 @query("SELECT event_id, ts, user_id, event_type, value, props FROM events WHERE event_type <> 'error'")
@@ -25,13 +25,14 @@ def stream_ingest(spark: SparkSession, sf: str) -> DataFrame:
     return ingest.read_ingested(spark, f"{work}/facts", events.schema)
 
 
-@query(
-    """
+_MONTHLY_MEANS = """
     SELECT CAST(date_trunc('month', o_orderdate) AS DATE) AS month, o_orderstatus AS category,
            CAST(sum(CAST(o_totalprice AS DECIMAL(18,4))) AS DOUBLE) / count(o_totalprice) AS avg_value
     FROM orders GROUP BY 1, 2
     """
-)
+
+
+@query(_MONTHLY_MEANS)
 def stream_monthly_mean(spark: SparkSession, sf: str) -> DataFrame:
     """Orders in several files that each span all years, one file a micro-batch."""
     work = work_path(spark, "stream-monthly")
@@ -44,6 +45,21 @@ def stream_monthly_mean(spark: SparkSession, sf: str) -> DataFrame:
     return monthly.current_means(spark, f"{work}/means")
 
 
+@query(_MONTHLY_MEANS)
+def stream_monthly_mean_state(spark: SparkSession, sf: str) -> DataFrame:
+    """Orders by ranges of date, one file a micro-batch, then an eighth of all orders, most of them past the watermark."""
+    work = work_path(spark, "stream-state")
+    orders = table(spark, sf, "orders").withColumn("o_totalprice", F.col("o_totalprice").cast("decimal(18,4)"))
+    late = F.col("o_orderkey") % 8 == 0
+    orders.where(~late).repartitionByRange(4, "o_orderdate").write.parquet(f"{work}/orders")
+    orders.where(late).coalesce(1).write.mode("append").parquet(f"{work}/orders")
+    stream = ingest.file_stream(spark, f"{work}/orders", orders.schema, fmt="parquet", files_per_batch=1)
+    columns = ("o_orderdate", "o_totalprice", "o_orderstatus")
+    stateful.maintain(stream, f"{work}/means", f"{work}/checkpoint", *columns).awaitTermination()
+    stateful.compact(spark, f"{work}/means")
+    return stateful.current_means(spark, f"{work}/means")
+
+
 @query(
     """
     SELECT file_name, status, seq FROM (

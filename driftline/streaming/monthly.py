@@ -42,7 +42,8 @@ def maintain(
     )
 
 
-def _read(spark: SparkSession, path: str, schema: str) -> DataFrame:
+def read_or_empty(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """The Parquet rows of a folder, none if it is not there yet."""
     try:
         return spark.read.schema(schema).parquet(path)
     except AnalysisException as error:
@@ -53,10 +54,10 @@ def _read(spark: SparkSession, path: str, schema: str) -> DataFrame:
 
 def _open_sums(spark: SparkSession, path: str) -> DataFrame:
     """The newest compacted sums and all partial sums of later micro-batches."""
-    compacted = _read(spark, f"{path}/compacted", f"{PARTIAL}, through long")
+    compacted = read_or_empty(spark, f"{path}/compacted", f"{PARTIAL}, through long")
     last = compacted.agg(F.max("through")).first()[0]
     done = -1 if last is None else last
-    later = _read(spark, f"{path}/partial", _LABELLED).filter(F.col("batch_id") > done)
+    later = read_or_empty(spark, f"{path}/partial", _LABELLED).filter(F.col("batch_id") > done)
     return compacted.filter(F.col("through") == done).drop("through").union(later.drop("batch_id"))
 
 
@@ -66,19 +67,19 @@ def compact(spark: SparkSession, path: str) -> None:
     Readers take the newest complete folder and later micro-batches, so a crash half-way leaves the old one in force. What
     the folder in force before this call had already folded is removed; a reader that began with that folder keeps its files.
     """
-    last = _read(spark, f"{path}/partial", _LABELLED).agg(F.max("batch_id")).first()[0]
+    last = read_or_empty(spark, f"{path}/partial", _LABELLED).agg(F.max("batch_id")).first()[0]
     if last is None:
         return
-    before = _read(spark, f"{path}/compacted", f"{PARTIAL}, through long").agg(F.max("through")).first()[0]
+    before = read_or_empty(spark, f"{path}/compacted", f"{PARTIAL}, through long").agg(F.max("through")).first()[0]
     if before == last:
         return
     _added(_open_sums(spark, path)).coalesce(1).write.mode("overwrite").parquet(f"{path}/compacted/through={last}")
     if before is not None:
-        _remove(spark, f"{path}/partial", "batch_id=", before)
-        _remove(spark, f"{path}/compacted", "through=", before - 1)
+        remove_numbered(spark, f"{path}/partial", "batch_id=", before)
+        remove_numbered(spark, f"{path}/compacted", "through=", before - 1)
 
 
-def _remove(spark: SparkSession, folder: str, prefix: str, last: int) -> None:
+def remove_numbered(spark: SparkSession, folder: str, prefix: str, last: int) -> None:
     """Remove the numbered folders up to ``last``."""
     top = spark._jvm.org.apache.hadoop.fs.Path(folder)
     store = top.getFileSystem(spark._jsc.hadoopConfiguration())

@@ -3,7 +3,7 @@ from __future__ import annotations
 from datetime import date, datetime
 from decimal import Decimal
 
-from driftline.streaming import ingest, monthly
+from driftline.streaming import ingest, monthly, stateful
 
 
 def test_each_file_once(spark, tmp_path):
@@ -78,3 +78,46 @@ def test_bad_rows_and_refused_files(spark, tmp_path):
     events = {r.file_name.rsplit("/", 1)[1]: (r.status, r.inserted_row_count, r.error_condition) for r in spark.read.parquet(paths[1]).collect()}
     assert events == {"good 1.csv": ("COMPLETED", 200, None), "bad.csv": ("FAILED", 0, "rejected 1 of 2 rows")}
     assert ingest.read_ingested(spark, paths[0], schema).count() == 200
+
+
+def test_state_is_bounded_and_late_rows_count(spark, tmp_path):
+    """Equal to the batch mean after every run, with rows of any lateness; months past the watermark leave the state."""
+    folder = tmp_path / "in"
+    schema = "t timestamp_ntz, e string, v decimal(18,4)"
+    path, checkpoint = str(tmp_path / "means"), str(tmp_path / "checkpoint")
+    seen = []
+
+    def run(*rows):
+        rows = [(t, e, None if v is None else Decimal(v)) for t, e, v in rows]
+        seen.extend(rows)
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(str(folder))
+        stream = ingest.file_stream(spark, str(folder), spark.createDataFrame([], schema).schema, fmt="parquet")
+        query = stateful.maintain(stream, path, checkpoint, "t", "v", "e")
+        query.awaitTermination()
+        means = {(r.month, r.category): r.avg_value for r in stateful.current_means(spark, path).collect()}
+        groups = {}
+        for t, e, v in seen:
+            groups.setdefault((t and date(t.year, t.month, 1), e), []).append(v)
+        values = {k: [float(v) for v in vs if v is not None] for k, vs in groups.items()}
+        assert means == {k: sum(vs) / len(vs) if vs else None for k, vs in values.items()}
+        return query.lastProgress["stateOperators"][0]["numRowsTotal"]
+
+    def late():
+        return {(r.month, r.category): (int(r.value_sum), r.value_count) for r in stateful.late_sums(spark, path).collect()}
+
+    run((datetime(2020, 1, 3), "a", 1), (datetime(2020, 1, 9), "b", 50), (datetime(2020, 2, 1), None, None))
+    run((datetime(2020, 1, 20), "a", 3), (datetime(2020, 3, 1), "a", 7))
+    assert late() == {}
+    sizes = [run((datetime(2021 + n // 12, n % 12 + 1, 5), "a", n), (datetime(2021 + n // 12, n % 12 + 1, 6), "a", 1)) for n in range(5)]
+    assert max(sizes) <= 5 and late() == {}
+    # Late by a year, in a known and an unknown category, beside a row that is not late.
+    run((datetime(2020, 1, 5), "a", 101), (datetime(2020, 1, 5), "z", 4), (datetime(2021, 5, 9), "a", 6))
+    assert late() == {(date(2020, 1, 1), "a"): (101, 1), (date(2020, 1, 1), "z"): (4, 1)}
+    stateful.compact(spark, path)
+    run((datetime(2020, 1, 6), "a", 9), (None, "a", 2), (datetime(2021, 5, 10), "a", 5))
+    stateful.compact(spark, path)
+    stateful.compact(spark, path)
+    assert late()[date(2020, 1, 1), "a"] == (110, 2)
+    run((datetime(2021, 5, 11), "a", 8), (None, "a", 4))
+    names = sorted(p.name for p in (tmp_path / "means" / "compacted").iterdir() if "=" in p.name)
+    assert len(names) == 2
