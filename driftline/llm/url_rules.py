@@ -2,8 +2,8 @@
 
 A URL becomes a set of tokens. Labelled URLs are mined for token combinations that imply ``block`` or ``allow``; rules
 under the wanted support and confidence are dropped, as is a rule that a shorter one with at least its confidence covers.
-The rest is an inverted index from token to rules: a token set meets the rules of its tokens, and those met with all
-their tokens apply. Fixed host and path rules come first, by longest match.
+The rest is an inverted index from a rule's rarest token: a token set meets the rules of its tokens, and those that it has
+all tokens of apply. Fixed host and path rules come first, by longest match.
 """
 
 from __future__ import annotations
@@ -12,6 +12,8 @@ from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from driftline.llm.common import written
+
 #: Fixed values: (host, path prefix, verdict) of the stated rules.
 STATED = [
     ("org", "/", "allow"),
@@ -24,8 +26,6 @@ MIN_SUPPORT = 0.002
 MIN_CONFIDENCE = 0.9
 #: Fewest labelled URLs behind a rule, whatever the share.
 MIN_ROWS = 20
-#: Most tokens of a rule; with it and MIN_SUPPORT the number of rules is bounded whatever the number of URLs.
-MAX_TOKENS = 3
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -67,48 +67,73 @@ def url_tokens(url: Column, host: Column, path: Column) -> Column:
     return F.array_sort(F.array_distinct(F.array_compact(F.concat(one, labels, placed, named))))
 
 
+def _spoken_for(labelled: DataFrame) -> DataFrame:
+    """(tokens, items) of the distinct token sets: the tokens of MIN_ROWS rows or more, one for all that occur in the same rows.
+
+    Tokens of the same rows make the same rules, so the first in order stands for them; otherwise n of them would be found as
+    2^n frequent sets. Equal rows are told by their number and the sum of their sets' hashes.
+    """
+    held = labelled.select(F.explode("tokens").alias("token"), F.xxhash64("tokens").cast("decimal(38,0)").alias("own"))
+    alike = held.groupBy("token").agg(F.count("*").alias("n"), F.sum("own").alias("of_rows")).where(F.col("n") >= MIN_ROWS)
+    stands = alike.groupBy("n", "of_rows").agg(F.min("token").alias("token"))
+    sets = labelled.select("tokens").distinct()
+    spread = sets.select("tokens", F.explode("tokens").alias("token")).join(stands, "token")
+    return spread.groupBy("tokens").agg(F.collect_set("token").alias("items"))
+
+
 def mine_rules(labelled: DataFrame, min_support: float = MIN_SUPPORT, min_confidence: float = MIN_CONFIDENCE) -> DataFrame:
-    """(rule_id, tokens, verdict, confidence, support) from rows (tokens, label); no rows give no rules.
+    """(rule_id, tokens, rarest, verdict, confidence, support) from rows (tokens, label); no rows give no rules.
 
-    FP-growth finds the frequent sets; rules are built from them here: a set with its label against the same set without.
+    FP-growth finds the frequent sets, of any number of tokens; rules are built from them here: a set with its label against
+    the same set without. ``rarest`` is the token of the set that the fewest labelled rows have (ties: the first in order).
     """
-    with_label = labelled.where(F.size("tokens") > 0).select(F.concat("tokens", F.array(F.concat(F.lit("label="), "label"))).alias("items"))
-    sets = FPGrowth(itemsCol="items", minSupport=min_support).fit(with_label).freqItemsets
+    labelled = labelled.where((F.size("tokens") > 0) & F.col("label").isNotNull()).select("tokens", "label")
+    items = F.concat(F.coalesce("items", F.array().cast("array<string>")), F.array(F.concat(F.lit("label="), "label")))
+    with_label = labelled.join(_spoken_for(labelled), "tokens", "left").select(items.alias("items"))
+    # The sets feed several branches; written once, the trees are grown once.
+    sets = written(FPGrowth(itemsCol="items", minSupport=min_support).fit(with_label).freqItemsets, "url-sets")
     is_label = lambda x: x.startswith("label=")
     sets = sets.select(
         F.array_sort(F.filter("items", lambda x: ~is_label(x))).alias("tokens"),
         F.get(F.filter("items", is_label), F.lit(0)).alias("label"),
         "freq",
-    ).where(F.size("tokens").between(1, MAX_TOKENS))
+    ).where(F.size("tokens") > 0)
     whole = sets.where("label is null").select("tokens", F.col("freq").alias("n"))
     rules = sets.where("label is not null").join(whole, "tokens")
     rules = rules.select("tokens", F.expr("substr(label, 7)").alias("verdict"), (F.col("freq") / F.col("n")).alias("confidence"), F.col("freq").alias("support"))
     rules = rules.where((F.col("confidence") >= min_confidence) & (F.col("support") >= MIN_ROWS))
-    # A rule says nothing new if a shorter one inside it, met by one of its tokens, says the same as surely.
-    part = rules.select(F.explode("tokens").alias("token"), F.col("tokens").alias("inner"), F.col("verdict").alias("v"), F.col("confidence").alias("c"))
-    longer = rules.select(F.explode("tokens").alias("token"), "tokens", "verdict", "confidence")
-    covered = longer.join(part, "token").where(
-        (F.size("inner") < F.size("tokens")) & (F.col("v") == F.col("verdict")) & (F.col("c") >= F.col("confidence"))
-        & (F.size(F.array_intersect("inner", "tokens")) == F.size("inner"))
-    )
+    single = whole.where(F.size("tokens") == 1).select(F.col("tokens")[0].alias("token"), "n")
+    rarest = rules.select("tokens").distinct().select("tokens", F.explode("tokens").alias("token")).join(single, "token")
+    rules = rules.join(rarest.groupBy("tokens").agg(F.min(F.struct("n", "token"))["token"].alias("rarest")), "tokens")
+    # A rule says nothing new if a shorter one inside it says the same as surely; each is looked for by its rarest token.
+    inner = rules.select(F.col("rarest").alias("token"), F.col("tokens").alias("inner"), "verdict", F.col("confidence").alias("c"))
+    longer = rules.where(F.size("tokens") > 1).select(F.explode("tokens").alias("token"), "tokens", "verdict", "confidence")
+    covered = longer.join(inner, ["token", "verdict"]).where(
+        (F.size("inner") < F.size("tokens")) & (F.col("c") >= F.col("confidence")) & (F.size(F.array_except("inner", "tokens")) == 0)
+    )
     kept = rules.join(covered.select("tokens", "verdict").distinct(), ["tokens", "verdict"], "left_anti")
     return kept.withColumn("rule_id", F.concat_ws(" ", "tokens"))
 
 
 def match_rules(token_sets: DataFrame, rules: DataFrame) -> DataFrame:
-    """(tokens, verdict, mined_rule) of the distinct ``token_sets`` that a rule matches; the surest rule wins, then the widest."""
-    index = rules.select(F.explode("tokens").alias("token"), "rule_id", F.size("tokens").alias("needed"), "verdict", "confidence", "support")
+    """(tokens, mined_verdict, mined_rule) of the distinct ``token_sets`` that a rule matches.
+
+    A set meets the rules whose rarest token it has, and keeps those whose tokens it all has. Of these the surest wins, then
+    the one of most support, then the last by its name, then by its verdict.
+    """
+    index = rules.select(F.col("rarest").alias("token"), F.col("tokens").alias("needed"), "rule_id", "verdict", "confidence", "support")
     met = token_sets.select("tokens", F.explode("tokens").alias("token")).join(index, "token")
-    whole = met.groupBy("tokens", "rule_id", "needed", "verdict", "confidence", "support").count().where("count = needed")
     best = F.max(F.struct("confidence", "support", "rule_id", "verdict")).alias("b")
-    return whole.groupBy("tokens").agg(best).select("tokens", F.col("b.verdict").alias("mined_verdict"), F.col("b.rule_id").alias("mined_rule"))
+    whole = met.where(F.size(F.array_except("needed", "tokens")) == 0).groupBy("tokens").agg(best)
+    return whole.select("tokens", F.col("b.verdict").alias("mined_verdict"), F.col("b.rule_id").alias("mined_rule"))
 
 
 def judge_urls(pages: DataFrame, labels: DataFrame | None = None, default: str = "allow") -> DataFrame:
     """(page_id, host, path, rule, verdict, mined_rule) of every row of ``pages`` (page_id, url, ...).
 
-    Labels come from the stated rules' own verdicts and, if given, from ``labels`` (doc_id, quality, toxic): a page whose
-    first path number is a labelled doc_id counts as ``block`` if that is toxic or of quality 0, else as ``allow``. Where no
+    The method learns from ``labels`` (doc_id, quality, toxic) alone: a page whose first path number is a labelled doc_id
+    counts as ``block`` if that is toxic or of quality 0, else as ``allow``; rows with a null doc_id, or both marks null, are
+    left out. Verdicts of stated rules are never learnt, so they hold for their hosts and paths only. Where no
     rule, stated or mined, applies, the verdict is ``default``. A null url, or one without ``://``, has empty host and path
     and no tokens: it gets the default. Repeated rows each return; a null page_id stays; other columns are ignored.
     """
@@ -117,19 +142,20 @@ def judge_urls(pages: DataFrame, labels: DataFrame | None = None, default: str =
     valid = F.instr("url", "://") > 0
     tokens = F.when(valid, url_tokens(F.col("url"), F.col("host"), F.col("path"))).otherwise(F.array().cast("array<string>"))
     rows = rows.select("page_id", "host", "path", stated_rule(F.col("host"), F.col("path")).alias("stated"), tokens.alias("tokens"))
-    labelled = rows.where("stated is not null").select("tokens", F.col("stated.verdict").alias("label"))
-    if labels is not None:
-        bad = F.max(((F.col("toxic") == 1) | (F.col("quality") == 0)).cast("int"))
-        marks = labels.groupBy(F.col("doc_id").alias("number")).agg(bad.alias("bad")).where("bad is not null")
-        number = F.expr("try_cast(regexp_extract(path, '/([0-9]{1,18})', 1) as bigint)")
-        seen = rows.where("stated is null").select("tokens", number.alias("number")).join(marks, "number")
-        labelled = labelled.union(seen.select("tokens", F.when(F.col("bad") == 1, "block").otherwise("allow").alias("label")))
-    rules = mine_rules(labelled)
+    out_columns = ["page_id", "host", "path", F.col("stated.rule").alias("rule")]
+    if labels is None:
+        verdict = F.coalesce("stated.verdict", F.lit(default)).alias("verdict")
+        return rows.select(*out_columns, verdict, F.lit(None).cast("string").alias("mined_rule"))
+    bad = F.max(((F.col("toxic") == 1) | (F.col("quality") == 0)).cast("int"))
+    marks = labels.groupBy(F.col("doc_id").alias("number")).agg(bad.alias("bad")).where("bad is not null")
+    number = F.expr("try_cast(regexp_extract(path, '/([0-9]{1,18})', 1) as bigint)")
+    seen = rows.select("tokens", number.alias("number")).join(marks, "number")
+    rules = mine_rules(seen.select("tokens", F.when(F.col("bad") == 1, "block").otherwise("allow").alias("label")))
     matched = match_rules(rows.where("stated is null").select("tokens").distinct(), rules)
     open_ = F.col("stated.verdict")
     out = rows.join(matched, "tokens", "left")
     return out.select(
-        "page_id", "host", "path", F.col("stated.rule").alias("rule"),
+        *out_columns,
         F.coalesce(open_, "mined_verdict", F.lit(default)).alias("verdict"),
         F.when(open_.isNull(), F.col("mined_rule")).alias("mined_rule"),
-    )
+    )

@@ -226,15 +226,56 @@ def plain_url(url):
 
 def test_urls(frame):
     urls = [None, "", "no scheme", "http://", "://x.org/", "HTTP://A.Example.ORG/es/1", "http://example.org/en/12?a#b", "http://xexample.org/en/1", "http://org/x", "http://org", "ftp://a.com/fr/?q", "http://a.com:80/de/", "http://b.com/de/#x", "http://a.com/fr", "http://É.com/de/é", "a://b://c.org/d"]
-    urls += [f"http://w{i % 3}.farm.example.net/en/{i}" for i in range(300)] + [f"http://n{i % 4}.good.example.net/en/{i}" for i in range(300)]
-    labels = [(i, 0 if i % 2 else 1, 0) for i in range(0)]
-    got = url_rules.judge_urls(frame([(i, u, "x") for i, u in enumerate(urls)] + [(None, None, None), (1, urls[1], "x")], "page_id long, url string, host string"), frame(labels, "doc_id long, quality int, toxic int", 1)).collect()
+    farm = range(1000, 1300)
+    urls += [f"http://w{i % 3}.farm.example.net/en/{i}" for i in farm] + [f"http://n{i % 4}.good.example.net/en/{i}" for i in range(2000, 2300)]
+    urls += [f"http://w1.farm.example.net/fr/{i}" for i in range(5000, 5010)]  # unlabelled
+    labels = [(i, 0, 0) for i in farm] + [(i, 1, 0) for i in range(2000, 2300)] + [(None, 0, 1), (2001, None, None), (2002, 1, 0)]
+    label_rows = frame(labels, "doc_id long, quality int, toxic int", 2)
+    pages = frame([(i, u, "x") for i, u in enumerate(urls)] + [(None, None, None), (1, urls[1], "x")], "page_id long, url string, host string")
+    got = url_rules.judge_urls(pages, label_rows).collect()
     assert len(got) == len(urls) + 2
     for r in got:
         host, path, rule, verdict = plain_url(urls[r.page_id]) if r.page_id is not None else ("", "", None, None)
-        assert (r.host, r.path, r.rule) == (host, path, rule) and r.verdict in ("allow", "block")
-        assert verdict is None or r.verdict == verdict
-    assert url_rules.judge_urls(frame([], "page_id long, url string", 1)).count() == 0
+        assert (r.host, r.path, r.rule) == (host, path, rule)
+        assert r.verdict == (verdict or ("block" if ".farm." in host else "allow")), r
+    assert {r.mined_rule for r in got if ".farm." in r.host} == {"label:farm"}
+    # Without labels nothing is mined: stated verdicts stay with their hosts and paths.
+    for none in (None, label_rows.limit(0)):
+        bare = url_rules.judge_urls(pages, none).collect()
+        assert len(bare) == len(got) and {r.verdict for r in bare if r.rule is None} == {"allow"} and {r.mined_rule for r in bare} == {None}
+    assert url_rules.judge_urls(frame([], "page_id long, url string", 1), label_rows).count() == 0
+
+
+def all_rules(rows, least, confidence):
+    """Every sure rule that no shorter one covers, by counting all sets of tokens."""
+    whole, marked = collections.Counter(), collections.Counter()
+    for tokens, label in rows:
+        for size in range(1, len(tokens) + 1):
+            for part in itertools.combinations(sorted(tokens), size):
+                whole[part] += 1
+                marked[part, label] += 1
+    sure = {k: n / whole[k[0]] for k, n in marked.items() if n >= least and n / whole[k[0]] >= confidence}
+    return {k for k, c in sure.items() if not any(set(o) < set(k[0]) and v == k[1] and oc >= c for (o, v), oc in sure.items())}
+
+
+@pytest.mark.parametrize("confidence", [0.9, 0.7])
+def test_every_sure_rule_is_mined_whatever_its_length(frame, confidence):
+    rng = random.Random(8)
+    rows = []
+    for _ in range(900):
+        tokens = {t for t in "abcde" if rng.random() < 0.7}
+        rows.append((sorted(tokens | {"f"}), "block" if set("abcde") <= tokens else "allow"))
+    rules = url_rules.mine_rules(frame(rows, "tokens array<string>, label string"), min_support=url_rules.MIN_ROWS / 900, min_confidence=confidence).collect()
+    assert {(tuple(r.tokens), r.verdict) for r in rules} == all_rules(rows, url_rules.MIN_ROWS, confidence)
+    assert ["a", "b", "c", "d", "e"] in [r.tokens for r in rules if r.verdict == "block"] or confidence < 0.9
+
+
+def test_tokens_of_the_same_rows_are_one(frame):
+    """Twenty names that always occur together would be a million frequent sets."""
+    names = [f"n{i:02}" for i in range(20)]
+    rows = [(sorted([*names, "x"]), "block")] * 40 + [(["x", "y"], "allow")] * 60
+    rules = url_rules.mine_rules(frame(rows, "tokens array<string>, label string")).collect()
+    assert {(tuple(r.tokens), r.verdict) for r in rules} == {(("n00",), "block"), (("y",), "allow")}
 
 
 def test_mined_rules_against_counting(frame):
@@ -250,7 +291,7 @@ def test_mined_rules_against_counting(frame):
         assert r.support == inside.count(r.verdict) >= url_rules.MIN_ROWS and math.isclose(r.confidence, r.support / len(inside)) and r.confidence >= 0.9
     assert ["a", "b"] in [r.tokens for r in rules if r.verdict == "block"]
     sets = frame([(["a", "b", "c"],), (["c"],), (["z"],)], "tokens array<string>")
-    got = {tuple(r.tokens): r.mined_verdict for r in url_rules.match_rules(sets, frame([(r.tokens, r.verdict, r.confidence, r.support, r.rule_id) for r in rules], "tokens array<string>, verdict string, confidence double, support long, rule_id string")).collect()}
+    got = {tuple(r.tokens): r.mined_verdict for r in url_rules.match_rules(sets, frame([(r.tokens, r.verdict, r.confidence, r.support, r.rule_id, r.rarest) for r in rules], "tokens array<string>, verdict string, confidence double, support long, rule_id string, rarest string")).collect()}
     assert got[("a", "b", "c")] == "block" and got[("c",)] == "allow" and ("z",) not in got
 
 
