@@ -1,7 +1,7 @@
 """Personal data by fixed forms and a semi-Markov conditional random field.
 
 Fixed forms give the base spans: email, ip, card and phone. The field adds spans that the forms miss. A text is looked at
-where it holds a digit or an @ sign; the tokens around are a region. A segmentation of a region covers it with segments of
+where it holds a digit, an @ sign, or "at" before a spelt-out host; the tokens around are a region. A segmentation of a region covers it with segments of
 a bounded number of tokens, each of one kind or of none, and its score is the sum of the weights of whole-span features:
 digit count, grouping, separators, checksum, the characters on either side. Dynamic programming sums over all segmentations to train
 the weights and finds each segment's probability to choose boundaries and kinds together. Training data are base spans of
@@ -26,12 +26,12 @@ from driftline.llm.common import ship
 KINDS = ("email", "ip", "card", "phone")
 #: Documents that the field is trained on (by hash of the text), most regions of them, and passes over them.
 SAMPLE_DOCS = 500
-TRAIN_REGIONS = 1_200
+TRAIN_REGIONS = 2_000
 EPOCHS = 8
-#: Most tokens of a segment, and below it the least probability of an added span.
-MAX_TOKENS = 20
-#: Most digits of a segment, an @ sign counting as nine.
-MAX_HELD = 28
+#: Most tokens of a segment (the bound of the dynamic program), and below it the least probability of an added span.
+MAX_TOKENS = 24
+#: Fewest and most digits of a segment, an @ sign or an "at" before a host counting as nine; dotted quads may have fewer.
+MIN_HELD, MAX_HELD = 9, 28
 MIN_PROBABILITY = 0.7
 
 # The base forms. Possessive runs give the same leftmost longest matches without trying others again.
@@ -41,7 +41,25 @@ _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 _DOMAIN = re.compile(r"[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++")
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _NON_DIGIT = re.compile(r"[^0-9]+")
-_TRIGGER = re.compile(r"[0-9@]")
+# A dot of a host or an address, as it stands or spelt out, and a host of two labels or more.
+_BARE_DOT = r"(?:\.|\s?[\[({]\s?(?:[dD][oO][tT]|\.)\s?[\])}]\s?|\s[dD][oO][tT]\s)"
+_SPELT_HOST = rf"[A-Za-z0-9-]++(?:{_BARE_DOT}[A-Za-z0-9-]++)++"
+_HOST = re.compile(_SPELT_HOST)
+_MORE = re.compile(rf"{_BARE_DOT}[A-Za-z0-9]")
+# "at" behind a blank or bracket and before a host. It starts with a set of characters, which the search can look for fast.
+_SPELT_AT = rf"[aA](?<=[\s(\[{{][aA])[tT]\s?[)\]}}]?\s?{_SPELT_HOST}"
+_TRIGGER = re.compile(rf"[0-9@aA](?:(?<=[0-9@])|(?<=[\s(\[{{][aA])[tT]\s?[)\]}}]?\s?{_SPELT_HOST})")
+_SPELT = re.compile(_SPELT_AT)
+_AT = re.compile(r"@|\s?[\[({]\s?[aA][tT]\s?[\])}]\s?|\s[aA][tT]\s")
+_PLAIN_END = re.compile(r"(?<![A-Za-z])(?:[a-z]{2,}|[A-Z]{2,})$")
+_NAME = re.compile(r"[A-Za-z0-9][A-Za-z0-9._%+-]*")
+_QUAD = re.compile(rf"[0-9]{{1,3}}(?:{_BARE_DOT}[0-9]{{1,3}}){{3}}")
+# Words that stand before "at" and a host in plain prose.
+_PROSE = frozenset(
+    "a about available be contact data directly download find found free here hosted is it learn live located look looked looking"
+    " me more now online only or out page posted published read register reside see shop site start stay stored them today"
+    " update us view visit was were work you".split()
+)
 _TOKEN = re.compile(r"[0-9]+|[^\W\d_]+|[^\S\n]+|.", re.DOTALL)
 
 
@@ -99,22 +117,29 @@ class Region:
 
 
 def regions(text: str, reach: int = 24) -> Iterator[Region]:
-    """Stretches around digits and @ signs, to whole blank-separated words; no further than ``reach`` past the last one."""
+    """Stretches around triggers, to whole blank-separated words; no further than ``reach`` past the last one."""
     pos, n = 0, len(text)
     while m := _TRIGGER.search(text, pos):
-        start = end = m.start()
+        start, last = m.start(), m.end() - 1
+        if text[start] in "aA":  # the name before a spelt-out at sign
+            while start > pos and text[start - 1] in " ([{":
+                start -= 1
+            while start > pos and m.start() - start < 64 and text[start - 1] in _LOCAL:
+                start -= 1
         while start > pos and m.start() - start < reach and not text[start - 1].isspace():
             start -= 1
         if start > pos and text[start - 1] in " (":  # an opening bracket or a word in front may belong to it
             lead = text.rfind(" ", max(pos, start - 12), start - 1)
             start = lead + 1 if lead >= 0 else start
-        last = end
+        end = last
         while end < n and end - last <= reach:
             c = text[end]
             if c == "\n":
                 break
             if c in "0123456789@":
                 last = end
+            elif c in "aA" and (spelt := _SPELT.match(text, end)):
+                end = last = spelt.end() - 1
             elif c == " " and end - last > 8 and not text[last + 1 : end].isspace():
                 break
             end += 1
@@ -133,19 +158,26 @@ def span_features(region: Region, i: int, j: int) -> list[str]:
     letters = re.findall(r"[^\W\d_]+", s)
     marks = "".join(sorted(set(re.sub(r"[\w]", "", s))))
     n = len(digits)
-    out = ["bias", f"first:{_shape(s[0])}", f"last:{_shape(s[-1])}", f"marks:{marks[:6]}", f"letters:{min(len(letters), 6)}"]
-    out.append(f"digits:{n if n < 20 else 20}")
-    out.append("groups:" + "-".join(str(len(g)) for g in groups[:6]))
+    out = ["bias", f"first:{_shape(s[0])}", f"last:{_shape(s[-1])}"]
+    at, quad = _AT.search(s), len(groups) == 4 and _QUAD.fullmatch(s) is not None
+    if not at and not quad:  # how many digits and letters an address or a host holds says nothing
+        out += [f"marks:{marks[:6]}", f"letters:{min(len(letters), 6)}", f"digits:{n if n < 20 else 20}"]
+        out.append("groups:" + "-".join(str(len(g)) for g in groups[:6]))
     if not letters:
         if 13 <= n <= 19:
             out.append(f"card:{luhn(digits)}:{len(groups) in (1, 4) or marks == ''}")
         if 9 <= n <= 15:
-            out.append(f"phone:{s[0] == '+'}:{s.count('(') == s.count(')')}:{len(groups)}")
-        if len(groups) == 4:
-            out.append(f"ip:{all(map(_byte, groups))}:{marks}")
-    if "@" in s or " at " in s.lower() or "(at)" in s.lower() or "[at]" in s.lower():
-        tail = re.split(r"@|\bat\b", s.lower())[-1]
-        out.append(f"mail:{'@' in s}:{'.' in tail or 'dot' in tail}:{letters[-1].isalpha() and 2 <= len(letters[-1]) <= 10 if letters else False}")
+            lead = "+" if s[0] == "+" else "00" if s.startswith("00") else "n"
+            out.append(f"phone:{lead}:{s.count('(') == s.count(')')}:{len(groups)}")
+            out.append("tail:" + lead + ":" + "-".join(str(len(g)) for g in groups[-3:]))
+    if len(groups) == 4:
+        out.append(f"quad:{quad}:{all(map(_byte, groups))}:{_MORE.match(region.text, b) is not None}")
+    if at:
+        name, host = s[: at.start()], s[at.end() :]
+        form = "@" if at.group() == "@" else "word" if at.group().strip().isalpha() else "mark"
+        whole = _NAME.fullmatch(name) is not None and (a == 0 or region.text[a - 1] not in _LOCAL)
+        ends = _HOST.fullmatch(host) is not None and _MORE.match(region.text, b) is None and _PLAIN_END.search(host) is not None
+        out.append(f"mail:{form}:{whole}:{ends}:{form == 'word' and name.lower() in _PROSE}")
     after = region.text[b : b + 1]
     front = region.text[a - 1 : a] if a else " "
     out.append(f"edge:{_shape(front)}:{_shape(after)}")
@@ -163,8 +195,10 @@ NONE = len(KINDS)
 
 
 def lattice(region: Region) -> list[tuple[int, int, list[str]]]:
-    """Candidate segments (i, j, features): single tokens for none, spans that hold a digit or an @ for the kinds."""
+    """Candidate segments (i, j, features): single tokens for none, and for the kinds spans that hold enough digits, an at sign
+    in any form, or a dotted quad."""
     n, text, tokens = len(region.tokens), region.text, region.tokens
+    spelt = {m.start() for m in _SPELT.finditer(text)}
     out = []
     for i in range(n):
         a = tokens[i][0]
@@ -175,13 +209,13 @@ def lattice(region: Region) -> list[tuple[int, int, list[str]]]:
             b0, b = tokens[j - 1]
             if text[b0].isdigit():
                 held += b - b0
-            elif text[b0] == "@":
+            elif text[b0] == "@" or b0 in spelt:
                 held += 9
-            elif text[b0:b].lower() == "at":
-                held += 4
             if held > MAX_HELD:  # longer than any kind: numeric tables cost no more than their tokens
                 break
-            if held >= 9 and not text[b - 1].isspace():
+            if text[b - 1].isspace():
+                continue
+            if held >= MIN_HELD or held >= 4 and text[a].isdigit() and text[b0].isdigit() and _QUAD.fullmatch(text, a, b):
                 out.append((i, j, span_features(region, i, j)))
     return out
 
@@ -260,34 +294,51 @@ def _logadd(a: float, b: float) -> float:
     return a + log1p(exp(b - a)) if a - b < 40 else a
 
 
-def _rewritten(kind: int, s: str, turn: int) -> str:
-    """The span in another usual form of its kind."""
+def _rewritten(kind: int, s: str) -> list[str]:
+    """The span in the other usual forms of its kind."""
     digits = _NON_DIGIT.sub("", s)
     if kind == 0:
         name, _, host = s.partition("@")
-        return (f"{name} at {host}", f"{name} (at) {host.replace('.', ' dot ')}", f"{name}[at]{host}", s)[turn % 4]
+        spelt, plain = host.replace(".", " dot "), re.sub("[^A-Za-z]", "", name) or name
+        forms = (f"{name} at {host}", f"{plain} at {host}", f"{name} (at) {spelt}", f"{name}[at]{host}", f"{plain} at {spelt}", f"{name} [at] {host.replace('.', '[dot]')}", f"{name}(at){host}")
+        return [*forms, f"{name}@{host.replace('.', '[.]')}"]
     if kind == 1:
-        return (s, s.replace(".", "[.]"))[turn % 2]
+        return [s.replace(".", "[.]"), s.replace(".", " dot "), s.replace(".", "(dot)")]
     if kind == 2:
         parts = [digits[k : k + 4] for k in range(0, len(digits), 4)]
-        return (".".join(parts), "/".join(parts), " ".join(parts), s)[turn % 4]
-    tail = digits[-10:]
-    forms = (f"({tail[:3]}) {tail[3:6]}-{tail[6:]}", f"{tail[:3]}-{tail[3:6]}-{tail[6:]}", f"00{digits[:-10]} {tail[:3]} {tail[3:6]} {tail[6:]}", s)
-    return forms[turn % 4] if len(tail) == 10 else s
+        return [".".join(parts), "/".join(parts), "  ".join(parts), "_".join(parts)]
+    tail, land = digits[-10:], digits[:-10]
+    if len(tail) < 10:
+        return [s.replace(" ", ".")]
+    a, b, c = tail[:3], tail[3:6], tail[6:]
+    return [f"({a}) {b}-{c}", f"{a}-{b}-{c}", f"00{land} {a} {b} {c}", f"{a}.{b}.{c}", f"0044 {a} {b} {c}", f"+{land or 1}/{a}/{b}/{c}", f"00{land}-{a}-{b}-{c}"]
 
 
 def _noise(turn: int) -> str:
-    """Digits that are nobody's: dates, versions, amounts, numbers that fail the card check, hexadecimal keys."""
+    """What is nobody's: dates, versions, amounts, social and book numbers, failed card checks, hexadecimal keys, places on the web."""
     h = hashlib.sha256(str(turn).encode()).hexdigest()
     d = _NON_DIGIT.sub("", h).ljust(40, "7")
     wrong = next(d[:15] + c for c in "0123456789" if not luhn(d[:15] + c))
-    forms = (f"20{d[:2]}-0{int(d[2]) % 9 + 1}-1{d[3]}", f"{d[0]}.{d[1]}.{d[2]}", f"{d[:3]},{d[3:6]}.{d[6:8]}", wrong, h[:18], h[:40], f"{d[:4]}", f"{d[0]}{d[1]}:{d[2]}{d[3]}", f"AKIA{h[:16].upper()}", f"1{d[:3]}.4{d[3:6]}.{d[6:10]}.9{d[:3]}", d[:11], d[:24], f"{d[:3]}-{d[3:5]}")
+    day = f"20{d[:2]}-0{int(d[2]) % 9 + 1}-1{d[3]}"
+    verb = sorted(_PROSE)[int(h[:6], 16) % len(_PROSE)]
+    forms = (
+        day, f"{d[0]}.{d[1]}.{d[2]}", f"{d[:3]},{d[3:6]}.{d[6:8]}", wrong, h[:18], h[:40], f"{d[:4]}", f"{d[0]}{d[1]}:{d[2]}{d[3]}",
+        f"AKIA{h[:16].upper()}", f"1{d[:3]}.4{d[3:6]}.{d[6:10]}.9{d[:3]}", d[:11], d[:24], f"{d[:3]}-{d[3:5]}", f"0{d[:2]}-{d[2:4]}-{d[4:8]}",
+        f"{d[:3]}-{d[3:5]}-{d[5:9]}", f"{day} 1{d[4]}:2{d[5]}:3{d[6]}", f"1{d[4]}/0{d[5]}/20{d[6:8]} 1{d[8]}:4{d[9]}", f"978-{d[0]}-{d[1:3]}-{d[3:9]}-{d[9]}",
+        f"{d[:10]}", f"{d[:5]}-{d[5:10]}", f"{d[0]},{d[1:4]},{d[4:7]},{d[7:10]}", f"4{d[0]}.{d[1:7]}, 2.{d[7:13]}", f"0.{d[:10]}",
+        f"{verb} at www.{h[:5]}.org", f"{verb} at {h[5:9]}.example.com", f"{verb} at site.net", f"3{d[:2]}[.]4{d[2:4]}[.]{d[4]}[.]{d[5]}", f"{day} {day}",
+    )
     return forms[turn % len(forms)]
 
 
+def _edges(front: str, rear: str, turn: int) -> tuple[str, str]:
+    """A span's neighbourhood as it stands, at a text's ends, and before or between punctuation."""
+    return ((front, rear), ("", ""), (front, f", {rear.lstrip()}"), (front, f". {rear.lstrip()}"), (f"{front.rstrip()} (", f") {rear.lstrip()}"), ("", rear), (front, ""))[turn % 7]
+
+
 def examples_from(texts: list[str], limit: int = TRAIN_REGIONS) -> list[tuple[Region, dict[tuple[int, int], int]]]:
-    """Regions with gold spans: base spans as they stand, rewritten ones, and noise, each between its own neighbours' words."""
-    out, turn = [], 0
+    """Regions with gold spans: base spans as they stand, rewritten ones, and noise, each in varied neighbourhoods of its own."""
+    out, turn, seen = [], 0, [0] * len(KINDS)
     for text in texts:
         for kind, start, end in base_spans(text):
             if len(out) >= limit:
@@ -295,12 +346,17 @@ def examples_from(texts: list[str], limit: int = TRAIN_REGIONS) -> list[tuple[Re
             front, rear = text[max(0, start - 25) : start].rsplit("\n", 1)[-1], text[end : end + 25].split("\n", 1)[0]
             if _TRIGGER.search(front) or _TRIGGER.search(rear):
                 continue
-            turn += 1
-            for s, k in ((text[start:end], kind), (_rewritten(kind, text[start:end], turn), kind), (_noise(turn), None)):
-                made = front + s + rear
+            own = text[start:end]
+            forms = _rewritten(kind, own)
+            made_forms = [(own, kind), *((forms[(2 * seen[kind] + k) % len(forms)], kind) for k in range(2)), (_noise(turn), None), (_noise(turn + 1), None)]
+            turn += 2
+            seen[kind] += 1
+            for s, k in made_forms:
+                before, after = _edges(front, rear, len(out))
+                made = before + s + after
                 for region in regions(made):
                     gold = {}
-                    a, b = len(front) - region.start, len(front) + len(s) - region.start
+                    a, b = len(before) - region.start, len(before) + len(s) - region.start
                     edges = {t[0]: n for n, t in enumerate(region.tokens)}, {t[1]: n + 1 for n, t in enumerate(region.tokens)}
                     if k is not None and a in edges[0] and b in edges[1]:
                         gold[edges[0][a], edges[1][b]] = k
