@@ -31,8 +31,9 @@ RARITY = 0.25
 SPARE_PER_EMPTY = 5
 #: Cells of a set's sketch, small and large, and the size from which sets have the large one.
 CELLS, LARGE_CELLS, LARGE_SET = 128, 1024, 1_500
-#: Members of a hub that are compared with each other by their sketches alone; larger stars meet in their differences.
-SMALL_STAR = 2_000
+#: Members of a hub that one task compares with each other by their sketches, and elements of those whose whole sets it then
+#: holds (8 bytes each); larger stars meet in their differences.
+SMALL_STAR, STAR_ELEMENTS = 2_000, 2_000_000
 #: Members of a hub whose whole sets one task holds at a time.
 STAR_PART = 500
 #: A broadcast of ids is asked for up to this many rows (16 bytes each); beyond, Spark joins by shuffle.
@@ -287,27 +288,77 @@ def _verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return met.applyInArrow(_linked(percent), "a long, b long")
 
 
+def _folded(cells: list[np.ndarray]) -> np.ndarray:
+    """Sketches of any width as rows of CELLS cells."""
+    return np.minimum(np.stack([x.astype(np.int64).reshape(-1, CELLS).sum(axis=0) for x in cells]), 65_535).astype(np.uint16)
+
+
+class _Star:
+    """Members of one hub by growing size; rows of the table are in any order."""
+
+    def __init__(self, table: pa.Table, percent: int):
+        self.percent = percent
+        n = table.column("n").to_numpy()
+        self.order = np.argsort(n, kind="stable")
+        self.n, self.labels = n[self.order], table.column("label").to_numpy()[self.order].copy()
+        cells = _sketches(table.column("cells"))
+        self.cells = [cells[k] for k in self.order.tolist()]
+        self.folded = _folded(self.cells)
+        self.last = np.searchsorted(self.n, self.n * 100 // percent, "right")  # partners by size end here
+
+    def partners(self, i: int, wanted: np.ndarray | None = None) -> np.ndarray:
+        """Later members of other labels, and of those in ``wanted``, that the sketches do not rule out as partners of ``i``."""
+        j = np.arange(i + 1, self.last[i])
+        j = j[self.labels[j] != self.labels[i]]
+        if wanted is not None:
+            j = j[wanted[j]]
+        least = np.minimum(self.folded[j], self.folded[i])
+        j = j[_may_link(self.n[j], self.n[i], least.sum(axis=1, dtype=np.int64), self.percent) | (least == 65_535).any(axis=1)]
+        if len(j) and len(self.cells[i]) > CELLS:
+            wide = np.array([len(self.cells[k]) == len(self.cells[i]) for k in j.tolist()])
+            if wide.any():
+                both = j[wide]
+                bound = overlap_bound(np.stack([self.cells[k] for k in both.tolist()]), self.cells[i])
+                j = np.concatenate([j[~wide], both[_may_link(self.n[both], self.n[i], bound, self.percent)]])
+        return j
+
+
+def _near_members(percent: int):
+    """Members of one hub that have a partner in another component, as far as the sketches tell; a row each at most."""
+
+    def run(table: pa.Table) -> pa.Table:
+        star = _Star(table, percent)
+        near = np.zeros(len(star.n), bool)
+        for i in range(len(near) - 1):
+            j = star.partners(i, ~near if near[i] else None)
+            near[j] = True
+            near[i] |= len(j) > 0
+        return table.select(["hub", "fp", "label", "n"]).take(pa.array(np.sort(star.order[near])))
+
+    return run
+
+
 def _small_stars(percent: int):
-    """Pairs of one hub's members, of different components, that their sketches do not rule out."""
+    """Links by whole sets between members of one hub, of different components, until no two components of it link.
+
+    Two components need one link: each is made one with the other at once, so there are fewer links than members.
+    """
 
     def run(table: pa.Table) -> pa.Table:
-        fps, labels, n = (table.column(c).to_numpy() for c in ("fp", "label", "n"))
-        cells = [x.astype(np.int64).reshape(-1, CELLS).sum(axis=0) for x in _sketches(table.column("cells"))]
-        order = np.argsort(n, kind="stable")
-        fps, labels, n = fps[order], labels[order], n[order]
-        cells = np.minimum(np.stack(cells)[order], 65_535).astype(np.uint16)
-        last = np.searchsorted(n, n * 100 // percent, "right")  # partners by size end here
+        star = _Star(table, percent)
+        fps, grams = table.column("fp").to_numpy()[star.order], table.column("grams")
+        sets = [np.frombuffer(grams[k].as_buffer(), _U) for k in star.order.tolist()]
         left, right = [], []
-        for i in range(len(fps) - 1):
-            j = np.arange(i + 1, last[i])
-            j = j[labels[j] != labels[i]]
-            least = np.minimum(cells[j], cells[i])
-            bound = least.sum(axis=1, dtype=np.int64)
-            j = j[_may_link(n[j], n[i], bound, percent) | (least == 65_535).any(axis=1)]
-            left.append(np.minimum(fps[i], fps[j]))
-            right.append(np.maximum(fps[i], fps[j]))
-        none = [np.empty(0, np.int64)]
-        return pa.table({"a": np.concatenate(left + none), "b": np.concatenate(right + none)})
+        for i in range(len(sets) - 1):
+            for j in star.partners(i).tolist():
+                if star.labels[i] == star.labels[j]:
+                    continue
+                both = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
+                if 100 * both >= percent * (len(sets[i]) + len(sets[j]) - both):
+                    left.append(fps[i])
+                    right.append(fps[j])
+                    star.labels[star.labels == star.labels[j]] = star.labels[i]
+        return pa.table({"a": pa.array(left, pa.int64()), "b": pa.array(right, pa.int64())})
 
     return run
 
@@ -396,26 +447,31 @@ def shingle_components(docs: DataFrame, width: int = 3, percent: int = 90) -> Da
     star = written(star, "stars")
     first = written(_verify(star, sets, percent), "links")
 
-    # Second pass: members of one hub whose components still differ. Those of a small star are compared by their sketches.
-    # Those of a large one differ from the hub in known elements, and two of them link only if those differences overlap,
-    # so they meet in rare elements instead of in the bucket.
+    # Second pass: members of one hub whose components still differ. In a small star the sketches tell whose sets must meet
+    # in one task, which links them. Members of a large one differ from the hub in known elements, and two of them link only
+    # if those differences overlap, so they meet in rare elements instead of in the bucket.
     label = components(first).select(F.col("id").alias("fp"), F.col("component_id").alias("label"))
     named = star.select(F.col("a").alias("hub"), F.col("b").alias("fp")).join(label, "fp", "left")
     named = written(named.select("hub", "fp", F.coalesce("label", "fp").alias("label")), "members")
     torn = named.groupBy("hub").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count("*").alias("size")).where("low <> high")
     small = named.join(torn.where(F.col("size") <= SMALL_STAR).select("hub"), "hub", "left_semi").join(sets.select("fp", "n", "cells"), "fp")
-    cross = small.groupBy("hub").applyInArrow(_small_stars(percent), "a long, b long")
-
-    large = named.join(torn.where(F.col("size") > SMALL_STAR).select("hub"), "hub", "left_semi")
-    pairs = large.select(F.col("hub").alias("a"), F.col("fp").alias("b"))
-    full = _with_sets(pairs, sets).select("a", "b", "grams_a", "grams_b")
-    marks_of = full.mapInArrow(_difference_prefixes(percent), "hub long, fp long, element long, rest long, v double")
-    marks_of = written(marks_of.join(large, ["hub", "fp"]), "differences")
-    other = marks_of.toDF("hub", "fp2", "element", "rest2", "v2", "label2")
-    met = marks_of.join(other, ["hub", "element"]).where("fp < fp2 and label <> label2")
-    met = met.where("2 * (1 + least(rest, rest2)) >= v + v2 - 1e-6")
-    cross = cross.union(met.select(F.col("fp").alias("a"), F.col("fp2").alias("b"))).distinct()
-    second = _verify(cross, sets, percent)
+    near = written(small.groupBy("hub").applyInArrow(_near_members(percent), "hub long, fp long, label long, n long"), "near")
+    heavy = near.groupBy("hub").agg(F.sum("n").alias("elements")).where(F.col("elements") > STAR_ELEMENTS).select("hub")
+    light = near.join(heavy, "hub", "left_anti").join(sets.select("fp", "cells", "grams"), "fp")
+    second = light.groupBy("hub").applyInArrow(_small_stars(percent), "a long, b long")
+
+    large = named.join(torn.where(F.col("size") > SMALL_STAR).select("hub"), "hub", "left_semi").select("hub", "fp", "label")
+    large = written(large.union(near.join(heavy, "hub", "left_semi").select("hub", "fp", "label")), "large")
+    if large.head(1):
+        pairs = large.select(F.col("hub").alias("a"), F.col("fp").alias("b"))
+        full = _with_sets(pairs, sets).select("a", "b", "grams_a", "grams_b")
+        marks_of = full.mapInArrow(_difference_prefixes(percent), "hub long, fp long, element long, rest long, v double")
+        marks_of = written(marks_of.join(large, ["hub", "fp"]), "differences")
+        other = marks_of.toDF("hub", "fp2", "element", "rest2", "v2", "label2")
+        met = marks_of.join(other, ["hub", "element"]).where("fp < fp2 and label <> label2")
+        met = met.where("2 * (1 + least(rest, rest2)) >= v + v2 - 1e-6")
+        cross = met.select(F.col("fp").alias("a"), F.col("fp2").alias("b")).distinct()
+        second = second.union(_verify(cross, sets, percent))
 
     links = first.union(second)
     label = components(links).select(F.col("id").alias("fp"), F.col("component_id").alias("label"))

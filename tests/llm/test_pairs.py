@@ -6,6 +6,7 @@ import random
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import pytest
 
 from driftline.llm import shingle_join
@@ -114,6 +115,35 @@ def test_large_stars_equal_all_pairs(frame, monkeypatch, width, percent):
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == by_pairs(docs, width, percent)
 
 
+@pytest.mark.parametrize(("width", "percent"), [(3, 90), (5, 80)])
+def test_heavy_stars_equal_all_pairs(frame, monkeypatch, width, percent):
+    """Stars whose sets are too much for one task meet in their differences, the others in one task."""
+    monkeypatch.setattr(shingle_join, "STAR_ELEMENTS", 900)
+    docs = families(width + 20)
+    got = shingle_components(frame(docs, "doc_id long, text string"), width, percent).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == by_pairs(docs, width, percent)
+
+
+def test_small_star_makes_fewer_links_than_members():
+    """Members of many components that all link with each other, and large sets that none links with."""
+    rng = np.random.default_rng(4)
+    base = np.unique(rng.integers(0, 2**63, 400, dtype=np.uint64))
+    sets = [np.unique(np.concatenate([base[k % 9 :], rng.integers(0, 2**63, k % 7, dtype=np.uint64)])) for k in range(300)]
+    sets += [np.unique(rng.integers(0, 2**63, 5_000, dtype=np.uint64)) for _ in range(20)]
+    table = pa.table(
+        {
+            "hub": pa.array([1] * len(sets)), "fp": pa.array(range(len(sets))), "label": pa.array([k if k > 2 else 0 for k in range(len(sets))]),
+            "n": pa.array([len(x) for x in sets]), "cells": pa.array([shingle_join.sketch(x).tobytes() for x in sets], pa.binary()),
+            "grams": pa.array([x.tobytes() for x in sets], pa.binary()),
+        }
+    )
+    links = shingle_join._small_stars(90)(table)
+    assert links.num_rows == 297
+    known = [(0, 1), (0, 2), *zip(links.column("a").to_pylist(), links.column("b").to_pylist(), strict=True)]
+    assert set(roots(range(len(sets)), known).values()) == {0, *range(300, 320)}
+    assert shingle_join._near_members(90)(table).column("fp").to_pylist() == list(range(300))
+
+
 def test_sketches_bound_the_overlap():
     rng = np.random.default_rng(1)
     for size in (1, 50, 1_499, 1_500, 9_000):
