@@ -21,6 +21,14 @@ def partial_sums(rows: DataFrame, timestamp: str, value: str, category: str, wan
     return groups.agg(F.sum(value).cast("decimal(38,6)").alias("value_sum"), F.count(value).alias("value_count"))
 
 
+def one_file(sums: DataFrame) -> DataFrame:
+    """A few rows, months times categories, for one file.
+
+    They are shuffled once more: merged without it, one task would hold the aggregates of all shuffle partitions together.
+    """
+    return sums.repartition(1)
+
+
 def maintain(
     stream: DataFrame, path: str, checkpoint: str, timestamp: str, value: str, category: str, wanted: str | None = None
 ) -> StreamingQuery:
@@ -31,8 +39,7 @@ def maintain(
 
     def store(batch: DataFrame, batch_id: int) -> None:
         sums = partial_sums(batch, timestamp, value, category, wanted)
-        # A few rows per micro-batch: months times categories.
-        sums.coalesce(1).write.mode("overwrite").parquet(f"{path}/partial/batch_id={batch_id}")
+        one_file(sums).write.mode("overwrite").parquet(f"{path}/partial/batch_id={batch_id}")
 
     return (
         stream.writeStream.foreachBatch(store)
@@ -73,7 +80,7 @@ def compact(spark: SparkSession, path: str) -> None:
     before = read_or_empty(spark, f"{path}/compacted", f"{PARTIAL}, through long").agg(F.max("through")).first()[0]
     if before == last:
         return
-    _added(_open_sums(spark, path)).coalesce(1).write.mode("overwrite").parquet(f"{path}/compacted/through={last}")
+    one_file(_added(_open_sums(spark, path))).write.mode("overwrite").parquet(f"{path}/compacted/through={last}")
     if before is not None:
         remove_numbered(spark, f"{path}/partial", "batch_id=", before)
         remove_numbered(spark, f"{path}/compacted", "through=", before - 1)

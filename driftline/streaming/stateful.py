@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from driftline.functions.scalar import as_column, month_start, ratio
-from driftline.streaming.monthly import PARTIAL, read_or_empty, remove_numbered
+from driftline.streaming.monthly import PARTIAL, one_file, read_or_empty, remove_numbered
 
 #: ``late``: the sums are of rows past the watermark, to be added; else they are the state's totals, the newest counts.
 _SUMS = f"{PARTIAL}, late boolean"
@@ -58,8 +58,7 @@ def maintain(
             F.when(F.col("kept"), F.col("total_count")).otherwise(F.col("added_count")).alias("value_count"),
             (~F.col("kept")).alias("late"),
         )
-        # A few rows per micro-batch: months times categories.
-        sums.coalesce(1).write.mode("overwrite").parquet(f"{path}/changes/batch_id={batch_id}")
+        one_file(sums).write.mode("overwrite").parquet(f"{path}/changes/batch_id={batch_id}")
 
     return (
         both.writeStream.foreachBatch(store)
@@ -102,7 +101,7 @@ def compact(spark: SparkSession, path: str) -> None:
     if last is None or last == before:
         return
     folded = _folded(_changes(spark, path)).select("month", "category", "value_sum", "value_count", "late")
-    folded.coalesce(1).write.mode("overwrite").parquet(f"{path}/compacted/through={last}")
+    one_file(folded).write.mode("overwrite").parquet(f"{path}/compacted/through={last}")
     if before is not None:
         remove_numbered(spark, f"{path}/changes", "batch_id=", before)
         remove_numbered(spark, f"{path}/compacted", "through=", before - 1)

@@ -121,3 +121,26 @@ def test_state_is_bounded_and_late_rows_count(spark, tmp_path):
     run((datetime(2021, 5, 11), "a", 8), (None, "a", 4))
     names = sorted(p.name for p in (tmp_path / "means" / "compacted").iterdir() if "=" in p.name)
     assert len(names) == 2
+
+
+def test_one_task_holds_one_partition_of_the_sums(spark, tmp_path):
+    """The file of a micro-batch, and a compacted one, is not made by a task that aggregates all shuffle partitions."""
+    rows = spark.range(400).selectExpr("timestamp_ntz'2020-01-01' + make_interval(0, int(id % 24)) AS t", "string(id % 3) AS e", "decimal(id) AS v")
+    sums = monthly.partial_sums(rows, "t", "v", "e")
+    before = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = monthly.one_file(sums)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", before)
+    assert "Coalesce" not in plan and plan.index("SinglePartition") < plan.index("HashAggregate")
+    schema = spark.createDataFrame([], "t timestamp_ntz, e string, v decimal(20,0)").schema
+    rows.coalesce(1).write.parquet(str(tmp_path / "in"))
+    stream = ingest.file_stream(spark, str(tmp_path / "in"), schema, fmt="parquet")
+    stateful.maintain(stream, str(tmp_path / "means"), str(tmp_path / "checkpoint"), "t", "v", "e").awaitTermination()
+    stateful.compact(spark, str(tmp_path / "means"))
+    for folder in ("changes/batch_id=0", "compacted/through=0"):
+        assert len(list((tmp_path / "means" / folder).glob("*.parquet"))) == 1
+    assert sorted(stateful.current_means(spark, str(tmp_path / "means")).collect()) == sorted(
+        sums.selectExpr("month", "category", "double(value_sum) / value_count").collect()
+    )
