@@ -309,6 +309,10 @@ def csv_reject_limit(spark: SparkSession, sf: str) -> DataFrame:
     return rates.select("part", loaded.alias("loaded_rows"), "refused")
 
 
+#: Rows of each file of ``csv_after_preamble``, which are sorted together; there are three files at least.
+_PREAMBLE_FILE_ROWS = 200_000
+
+
 @query(
     """
     SELECT CAST(month(o_orderdate) AS INTEGER) AS month, count(*) AS row_count,
@@ -321,11 +325,12 @@ def csv_after_preamble(spark: SparkSession, sf: str) -> DataFrame:
     path = work_path(spark, "csv-preamble")
     price = F.when(F.col("o_orderpriority") != "1-URGENT", F.col("o_totalprice").cast("string")).otherwise(F.lit("***"))
     data = _order_file(spark, sf).select(F.concat_ws(",", "o_orderkey", "o_orderdate", price, "o_orderpriority").alias("value"))
+    files = max(3, table(spark, sf, "orders").count() // _PREAMBLE_FILE_ROWS)
     # Each file begins with its title and its header: they sort before the rows of their partition.
     title = data.sparkSession.createDataFrame([(0, "Orders of all years"), (1, ",".join(_ORDER_FILE.fieldNames()))], "n int, value string")
-    rows = data.select(F.lit(2).alias("n"), "value", F.pmod(F.hash("value"), F.lit(3)).alias("file"))
-    heads = title.select("n", "value", F.explode(F.sequence(F.lit(0), F.lit(2))).alias("file"))
-    rows.union(heads).repartition(3, "file").sortWithinPartitions("file", "n").select("value", "file").write.partitionBy("file").text(path)
+    rows = data.select(F.lit(2).alias("n"), "value", F.pmod(F.hash("value"), F.lit(files)).alias("file"))
+    heads = title.select("n", "value", F.explode(F.sequence(F.lit(0), F.lit(files - 1))).alias("file"))
+    rows.union(heads).repartition(files, "file").sortWithinPartitions("file", "n").select("value", "file").write.partitionBy("file").text(path)
     rows = delimited.scan_csv_after_preamble(spark, f"{path}/*", _ORDER_FILE, skip_lines=2, null="***")
     return rows.groupBy(F.month("o_orderdate").alias("month")).agg(
         F.count(F.lit(1)).alias("row_count"), F.count_if(F.col("o_totalprice").isNull()).alias("missing_prices")

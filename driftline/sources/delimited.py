@@ -175,19 +175,19 @@ def drop_leading_lines(lines: DataFrame, count: int) -> DataFrame:
 
     Row ids grow line by line inside a scan partition, so within the block at
     offset 0 the distance to the smallest id of the file is the line number.
-    Only one id per file is shuffled; files may be larger than one split.
+    One id per file is found, and lines meet it by their scan partition too, so
+    that a file larger than one split is not gathered in one task.
     """
     numbered = lines.select(
         "value",
         F.col("_metadata.file_path").alias("source_file"),
         F.col("_metadata.file_block_start").alias("_block"),
         F.monotonically_increasing_id().alias("_line"),
-    )
-    heads = (
-        numbered.filter(F.col("_block") == 0).groupBy("source_file").agg(F.min("_line").alias("_first"))
-    )
+    ).withColumn("_part", F.shiftright("_line", 33))
+    key = ["source_file", "_part"]
+    heads = numbered.filter(F.col("_block") == 0).groupBy(*key).agg(F.min("_line").alias("_first"))
     in_preamble = (F.col("_block") == 0) & (F.col("_line") - F.col("_first") < count)
-    return numbered.join(heads, "source_file").filter(~in_preamble).select("value", "source_file")
+    return numbered.join(heads, key, "left").filter(~in_preamble).select("value", "source_file")
 
 
 def scan_csv_after_preamble(

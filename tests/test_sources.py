@@ -338,3 +338,39 @@ def test_tables(spark, tmp_path):
     assert result.refresh().read().count() == 7
     assert sinks.with_load_time(df).filter("last_updated IS NOT NULL").count() == 5
     assert spark.table("v_five").count() == 5 if sinks.publish_view(df, "v_five") else False
+
+
+def test_lines_of_a_large_file_meet_its_head_by_split(spark, tmp_path):
+    """A file of many splits is not gathered in one task to lose its first lines."""
+    (tmp_path / "a.csv").write_text("title\nhead\n" + "".join(f"{i}\n" for i in range(4000)))
+    (tmp_path / "b.csv").write_text("title\n")
+    settings = {"spark.sql.files.maxPartitionBytes": "4096", "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        lines = delimited.drop_leading_lines(spark.read.text(str(tmp_path)), 2)
+        tasks = lines.groupBy(F.spark_partition_id()).count().collect()
+        assert sum(r["count"] for r in tasks) == 4000 and len(tasks) > 1
+        assert {int(r.value) for r in lines.collect()} == set(range(4000))
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
+def test_preamble_files_grow_in_number(spark, tmp_path, monkeypatch):
+    """More rows make more files, not larger ones, with the same counts."""
+    from driftline.queries import io
+
+    folder = tmp_path / "sf"
+    orders = spark.range(5000).selectExpr(
+        "id AS o_orderkey", "date_add(date'1995-01-01', int(id % 700)) AS o_orderdate", "CAST(id AS decimal(15,2)) AS o_totalprice",
+        "CASE WHEN id % 5 = 0 THEN '1-URGENT' ELSE '5-LOW' END AS o_orderpriority",
+    )
+    orders.write.parquet(f"{folder}/orders.parquet")
+    made = []
+    monkeypatch.setattr(io, "_PREAMBLE_FILE_ROWS", 250)
+    monkeypatch.setattr(io, "work_path", lambda *a: made.append(str(tmp_path / "out")) or made[-1])
+    rows = io.csv_after_preamble(spark, str(folder)).collect()
+    assert sum(r.row_count for r in rows) == 5000 and sum(r.missing_prices for r in rows) == 1000 and len(rows) == 12
+    assert len(list((tmp_path / "out").glob("file=*"))) == 20
