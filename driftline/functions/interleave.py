@@ -67,12 +67,22 @@ def scales(df: DataFrame, columns: Sequence[str], bits: int = BITS) -> dict[str,
     return {c: (skip.get(c, 0), sorted(set(row[k] or []))) for k, c in enumerate(columns)}
 
 
-def cluster_key(df: DataFrame, scale: dict[str, tuple[int, list[float]]], bits: int = BITS) -> Column:
-    """The interleaved key of the columns of ``scale``; NULL goes with the smallest values."""
+def _step(number: Column, limits: Sequence[float], low: int = 0, high: int | None = None) -> Column:
+    """How many of the sorted limits are at most the number, by halving; NULL is below all."""
+    high = len(limits) if high is None else high
+    if low == high:
+        return F.lit(low)
+    middle = (low + high) // 2
+    above, below = _step(number, limits, middle + 1, high), _step(number, limits, low, middle)
+    return F.when(number >= F.lit(float(limits[middle])), above).otherwise(below)
 
-    def step(column: str) -> Column:
-        skip, limits = scale[column]
-        bounds = F.array(*[F.lit(float(b)) for b in limits]).cast("array<double>")
-        return F.coalesce(F.array_size(F.filter(bounds, lambda b: b <= ordinal(df, column, skip))), F.lit(0))
 
-    return interleaved([step(c) for c in scale], bits)
+def with_cluster_key(df: DataFrame, scale: dict[str, tuple[int, list[float]]], key: str, bits: int = BITS) -> DataFrame:
+    """The rows with the interleaved key of the columns of ``scale``; NULL goes with the smallest values.
+
+    Each column's number, and then its step, is a column of its own on the way, so that a row finds them once.
+    """
+    numbers, steps = ([f"_{key}_{kind}{k}" for k in range(len(scale))] for kind in ("number", "step"))
+    rows = df.withColumns({n: ordinal(df, c, skip) for n, (c, (skip, _)) in zip(numbers, scale.items(), strict=True)})
+    rows = rows.withColumns({s: _step(F.col(n), limits) for s, n, (_, limits) in zip(steps, numbers, scale.values(), strict=True)})
+    return rows.withColumn(key, interleaved([F.col(s) for s in steps], bits)).drop(*numbers, *steps)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from driftline.functions.interleave import cluster_key, scales
+from driftline.functions.interleave import scales, with_cluster_key
 from driftline.sources.versions import Versions
 
 ZSTD = {"compression": "zstd", "parquet.compression.codec.zstd.level": "1"}
@@ -46,7 +46,7 @@ def write_interleaved(df: DataFrame, path: str, columns: list[str], key: str = "
     A lookup by any of the columns, or by several, opens the files whose ranges allow it. The table is read before, for
     the quantiles that scale the columns.
     """
-    placed = df.withColumn(key, cluster_key(df, scales(df, columns)))
+    placed = with_cluster_key(df, scales(df, columns), key)
     write_columnar(placed, path, cluster_by=[key], sort_by=[key, *columns], by_range=True)
 
 

@@ -120,3 +120,27 @@ def test_two_lookups_open_few_files(spark, tmp_path):
     hits, files = touched(tmp_path / "s", **by_value)
     assert hits >= files / 2
     assert spark.read.parquet(str(tmp_path / "z")).columns == ["station", "day", "value", "cluster_key"]
+
+
+def test_cluster_key_finds_each_number_once(spark):
+    """The key holds the steps of the three columns, and no list of limits is searched anew for each of its bits."""
+    rows = [(f"ST{k:04d}", date(2000, 1, 1) + timedelta(k * 7 % 90), float(k * 13 % 50)) for k in range(200)] + [(None, None, None), ("ST0001", None, float("nan"))]
+    df = spark.createDataFrame(rows, "station string, day date, value double")
+    scale = interleave.scales(df, ["station", "day", "value"])
+    keyed = interleave.with_cluster_key(df, scale, "k")
+    assert keyed.columns == ["station", "day", "value", "k"]
+    plan = keyed._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("conv(") == 1 and "filter(" not in plan.lower()
+    numbers = df.select("station", "day", "value", *[interleave.ordinal(df, c, scale[c][0]).alias(f"n{k}") for k, c in enumerate(scale)])
+    keys = {r[:3]: r.k for r in keyed.collect() if r.value == r.value}
+    for r in numbers.collect():
+        if r.value != r.value:
+            continue
+        steps = [sum(n is not None and b <= n for b in scale[c][1]) for c, n in zip(scale, r[3:], strict=True)]
+        bits = [str(s >> b & 1) for b in range(interleave.BITS - 1, -1, -1) for s in steps]
+        assert keys[r[:3]] == int("".join(bits), 2)
+    assert keyed.where("isnan(value)").first().k & 0b001001001001001001 == interleave_last(len(scale["value"][1]))
+
+
+def interleave_last(step):
+    return sum((step >> b & 1) << 3 * b for b in range(interleave.BITS))
