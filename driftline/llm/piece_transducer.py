@@ -5,7 +5,8 @@ the byte fallback for characters without a piece. Composed with an input they gi
 a merge-based (BPE) vocabulary, a bigram machine over pieces follows: two neighbours cost nothing if merging their joined
 text gives just those two, and infinity otherwise, which leaves the one path that merging would give. For a unigram
 vocabulary, an arc costs the negative of the piece's score. The encoding is the path of least weight in the tropical
-semiring (least sum), found position by position.
+semiring (least sum): of pieces with scores found position by position, of merges, where weights are nothing or infinity,
+depth first and longest arcs first.
 
 No piece holds a space mark after another character, so no path is ever merged across a word's start: inputs are encoded
 word by word, and words that recur are encoded once.
@@ -111,14 +112,53 @@ class Transducer:
         """Whether merging the joined text leaves just these two neighbours (or the one piece at a word's start)."""
         return self.merged(pair[0] + pair[1], len(pair[0])) == [p for p in pair if p]
 
+    def _merge_path(self, word: str) -> list[str]:
+        """The one path of finite weight, longest arcs first; a position that led nowhere is not entered again."""
+        n, at = len(word), 0
+        state, fits = self.states.get, self._fits
+        path: list[str] = []
+        open_arcs: list[list[str]] = []
+        seen = {0}
+        arcs: list[str] | None = None
+        while at < n:
+            if arcs is None:
+                arcs = []
+                for end in range(at + 1, n + 1):
+                    piece = word[at:end]
+                    known = state(piece)
+                    if known is None and end > at + 1:
+                        break  # no piece begins so
+                    if known is None or known >= 0 or end == at + 1:
+                        arcs.append(piece)
+                    if known is None:
+                        break
+            before = path[-1] if path else ""
+            while arcs:
+                piece = arcs.pop()
+                end = at + len(piece)
+                if end not in seen and fits[before, piece]:
+                    seen.add(end)
+                    path.append(piece)
+                    open_arcs.append(arcs)
+                    at, arcs = end, None
+                    break
+            else:
+                if not path:
+                    return self.merged(word)
+                at -= len(path.pop())
+                arcs = open_arcs.pop()
+        return path
+
     def shortest_path(self, word: str) -> list[str]:
         """Least-weight path over one word's lattice, as pieces; characters without a piece stay single."""
+        if self.merging:  # the bigram machine: nothing or infinity, so the first finite path is the least
+            return self._merge_path(word)
         n = len(word)
-        state, scores, fits, merging = self.states.get, self.scores, self._fits, self.merging
+        state, scores = self.states.get, self.scores
         weight = [0.0] + [INFINITE] * n
         last: list[str] = [""] * (n + 1)
         for start in range(n):
-            here, before = weight[start], last[start]
+            here = weight[start]
             if here == INFINITE:
                 continue
             for end in range(start + 1, n + 1):
@@ -127,13 +167,9 @@ class Transducer:
                 if known is None and end > start + 1:
                     break  # no piece begins so
                 if known is None or known >= 0 or end == start + 1:
-                    if merging:  # the bigram machine: nothing or infinity, so the first finite path is the least
-                        if weight[end] == INFINITE and fits[before, piece]:
-                            weight[end], last[end] = here, piece
-                    else:
-                        total = here - (self.unknown_score if known is None or known < 0 else scores[known])
-                        if total < weight[end]:
-                            weight[end], last[end] = total, piece
+                    total = here - (self.unknown_score if known is None or known < 0 else scores[known])
+                    if total < weight[end]:
+                        weight[end], last[end] = total, piece
                 if known is None:
                     break
         path, at = [], n

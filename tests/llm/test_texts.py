@@ -583,3 +583,15 @@ def test_only_whole_copies_are_spared(frame):
     assert all(by_id[i].n_dropped == 0 and "license text" in by_id[i].text for i in (102, *range(200, 209)))
     plain = {r.doc_id: r for r in line_dedup.drop_boilerplate(docs, host="source").collect()}
     assert plain[200].text.strip() == "" and plain[100].n_dropped == 3
+
+
+def test_merge_path_tries_few_pairs(model):
+    """The path that merging gives, found without judging every arc of the lattice."""
+    own, rng = piece_transducer.Transducer(model), random.Random(5)
+    words = ["▁" + "".join(rng.choice("aeinrstthé한\U0001f600x") for _ in range(rng.randint(1, 14))) for _ in range(1500)] + ["▁" * 40, "x" * 300, "▁the", "é"]
+    assert all(own.shortest_path(w) == own.merged(w) for w in words)
+    arcs = sum(own.states.get(w[i:k], -1) >= 0 for w in words for i in range(len(w)) for k in range(i + 1, min(len(w), i + 16) + 1))
+    tried = piece_transducer.Transducer(model)
+    pairs = [0]
+    tried._fits = type("Counted", (dict,), {"__missing__": lambda self, key: pairs.__setitem__(0, pairs[0] + 1) or own._fits[key]})()
+    assert all(tried.shortest_path(w) for w in words) and pairs[0] < arcs / 2
