@@ -8,10 +8,12 @@ of the band's spare segments (agreeing there up to one element rules out two dif
 are worth skipping is a matter of cost: an exact segment of k shingles is expected to collide in proportion to RARITY**k,
 a neighbourhood costs k + 1 probes with k - 1 shingles each.
 
-Copies of a set share a fingerprint and travel as one node. Buckets never become pairs: a first pass verifies each bucket
-against its best connected member, its hub. Members that are still apart then meet by an exact prefix filter on their
-differences to the hub, so that a large family of near copies costs what its rare elements cost, not its square. Before any
-set moves, pairs are judged by their sketches: cell counts of the elements, whose smaller ones add up to a bound of the overlap.
+Copies of a set share a fingerprint and travel as one node. A crowded bucket, of a passage or a line that many unrelated
+sets hold, is dealt anew: its members meet in the rarest elements of their sets instead, by an exact prefix filter.
+Buckets never become pairs: a first pass verifies each bucket against its best connected member, its hub. Members that are
+still apart then meet by an exact prefix filter on their differences to the hub, so that a large family of near copies costs
+what its rare elements cost, not its square. Before any set moves, pairs are judged by their sketches: cell counts of the
+elements, whose smaller ones add up to a bound of the overlap.
 """
 
 from __future__ import annotations
@@ -29,6 +31,11 @@ from driftline.llm.common import WordHash, batch_values, components, mixed, ship
 RARITY = 0.25
 #: Segments of each band whose one-deletion neighbourhoods are indexed: one, and so many for each segment that is likely empty.
 SPARE_PER_EMPTY = 5
+#: Members from which a bucket is crowded. So many sets, at most about, tell which elements are common among those of crowded
+#: buckets, and so many elements are known as common; both only order the elements, any order gives the same links.
+CROWDED, ORDER_SETS, ORDER_ELEMENTS = 256, 20_000, 50_000
+#: Kinds of buckets and hubs.
+HUB_KINDS = 8
 #: Cells of a set's sketch, small and large, and the size from which sets have the large one.
 CELLS, LARGE_CELLS, LARGE_SET = 128, 1024, 1_500
 #: Members of a hub that one task compares with each other by their sketches, and elements of those whose whole sets it then
@@ -228,6 +235,58 @@ def _sets(width: int):
     return run
 
 
+def _elements(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for part in batch.column("grams"):
+            yield pa.record_batch({"element": pa.array(np.frombuffer(part.as_buffer(), np.int64))})
+
+
+def _common_elements(sets: DataFrame, n_sets: int) -> list[int]:
+    """Elements that several of at most about ORDER_SETS sets hold, the rarest first; at most ORDER_ELEMENTS."""
+    some = sets.where(F.pmod("fp", F.lit(-(-n_sets // ORDER_SETS))) == 0).select("grams")
+    counts = some.mapInArrow(_elements, "element long").groupBy("element").count().where("count > 1")
+    return [r.element for r in counts.orderBy(F.desc("count"), "element").limit(ORDER_ELEMENTS).collect()][::-1]
+
+
+def _rarest(common: list[int], percent: int):
+    """Elements of which two sets that link have one in common: a set's first ones, the common ones after all others.
+
+    Partners share at least ``percent`` hundredths of the larger set, so a set may leave out one element less than those.
+    """
+    values = np.array(common, np.int64).view(_U)
+    order = np.argsort(values)
+    known, rank = values[order], order + 1
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sigs, nodes = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+            for fp, x in zip(batch_values(batch, "fp"), batch.column(batch.schema.get_field_index("grams")), strict=True):
+                g = np.frombuffer(x.as_buffer(), _U)
+                if len(known):
+                    at = np.minimum(np.searchsorted(known, g), len(known) - 1)
+                    g = g[np.argsort(np.where(known[at] == g, rank[at], 0), kind="stable")]
+                prefix = g[: len(g) + percent * len(g) // -100 + 1]
+                sigs.append(mixed(prefix + _U(0x6A09E667F3BCC909)).astype(np.int64))
+                nodes.append(np.full(len(prefix), fp, np.int64))
+            yield pa.record_batch({"sig": np.concatenate(sigs), "fp": np.concatenate(nodes)})
+
+    return run
+
+
+def _dealt_anew(buckets: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """(sig, fp) of buckets that are not crowded; members of crowded ones in buckets of their rarest elements."""
+    shared = buckets.where(F.col("members") <= CROWDED).select("sig", "fp")
+    nodes = written(buckets.where(F.col("members") > CROWDED).select("fp").distinct(), "crowded")
+    n = nodes.count()
+    if n == 0:
+        return shared
+    sets = sets.join(F.broadcast(nodes) if n <= BROADCAST_ROWS else nodes, "fp", "left_semi").select("fp", "grams")
+    keyed = sets.mapInArrow(_rarest(_common_elements(sets, n), percent), "sig long, fp long")
+    by_key = Window.partitionBy("sig").orderBy("fp")
+    met = keyed.select("sig", "fp", F.lag("fp").over(by_key).alias("before"), F.lead("fp").over(by_key).alias("after"))
+    return shared.union(written(met.where("before is not null or after is not null").select("sig", "fp"), "anew"))
+
+
 def _sketches(column) -> list[np.ndarray]:
     return [np.frombuffer(x.as_buffer(), np.uint16) for x in column]
 
@@ -422,10 +481,13 @@ def shingle_components(docs: DataFrame, width: int = 3, percent: int = 90) -> Da
     by_key = Window.partitionBy("sig").orderBy("fp")
     keyed = rows.select("text").mapInArrow(_index(width, percent), "sig long, fp long, probe boolean")
     placed = keyed.select("sig", "fp", "probe", F.lag("fp").over(by_key).alias("before"), F.lead("fp").over(by_key).alias("after"))
-    shared = written(placed.where("fp <> before or fp <> after").groupBy("sig", "fp").agg(F.max("probe").alias("probe")), "buckets")
+    buckets = placed.where("fp <> before or fp <> after").groupBy("sig", "fp").agg(F.max("probe").alias("probe"))
+    whole = Window.partitionBy("sig")
+    buckets = buckets.select("sig", "fp", F.max("probe").over(whole).alias("probed"), F.count("*").over(whole).alias("members"))
+    buckets = written(buckets.where("probed").drop("probed"), "buckets")
 
     # Sets of the classes in buckets: rows with an id are found by it, those of classes that have none by their null id.
-    wanted = classes.join(shared.select("fp").distinct(), "fp", "left_semi").select(F.col("least_id").alias("doc_id")).distinct()
+    wanted = classes.join(buckets.select("fp").distinct(), "fp", "left_semi").select(F.col("least_id").alias("doc_id")).distinct()
     wanted = written(wanted, "wanted")
     by_id = wanted.where("doc_id is not null")
     n_ids = by_id.count()
@@ -440,10 +502,13 @@ def shingle_components(docs: DataFrame, width: int = 3, percent: int = 90) -> Da
     # Where every wanted id is one row, as counted, each set is made once and need not meet others of its fingerprint.
     sets = written(sets if once else sets.dropDuplicates(["fp"]), "sets")
 
-    # First pass: every member of a bucket against its hub: of those that probe it the one that shares most buckets.
+    # First pass: every member of a bucket against its hub, the one that shares most buckets. Buckets and members are of
+    # HUB_KINDS kinds and a bucket prefers hubs of its own, so members of a family meet several hubs, but not one a bucket.
+    shared = _dealt_anew(buckets, sets, percent)
     weight = shared.groupBy("fp").agg(F.count("*").alias("weight"))
-    hub = shared.join(weight, "fp").groupBy("sig").agg(F.max_by("fp", F.struct("probe", "weight", "fp")).alias("hub"), F.max("probe").alias("probed"))
-    star = shared.join(hub.where("probed"), "sig").where("fp <> hub").select(F.col("hub").alias("a"), F.col("fp").alias("b")).distinct()
+    alike = F.pmod(F.xxhash64("sig"), F.lit(HUB_KINDS)) == F.pmod(F.xxhash64("fp"), F.lit(HUB_KINDS))
+    hub = shared.join(weight, "fp").groupBy("sig").agg(F.max_by("fp", F.struct(alike, "weight", "fp")).alias("hub"))
+    star = shared.join(hub, "sig").where("fp <> hub").select(F.col("hub").alias("a"), F.col("fp").alias("b")).distinct()
     star = written(star, "stars")
     first = written(_verify(star, sets, percent), "links")
 
@@ -473,7 +538,8 @@ def shingle_components(docs: DataFrame, width: int = 3, percent: int = 90) -> Da
         cross = met.select(F.col("fp").alias("a"), F.col("fp2").alias("b")).distinct()
         second = second.union(_verify(cross, sets, percent))
 
-    links = first.union(second)
+    # Written, so that no task runs the workers of this step and of the next at once.
+    links = first.union(written(second, "second"))
     label = components(links).select(F.col("id").alias("fp"), F.col("component_id").alias("label"))
     # Back to documents: equal sets are one class, linked classes one component.
     group = classes.join(label, "fp", "left").select("n_shingles", "fp", "fp2", "least_id", F.coalesce("label", "fp").alias("label"))

@@ -124,6 +124,17 @@ def test_heavy_stars_equal_all_pairs(frame, monkeypatch, width, percent):
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == by_pairs(docs, width, percent)
 
 
+@pytest.mark.parametrize(("width", "percent"), [(3, 90), (5, 80)])
+@pytest.mark.parametrize("known", [0, 50, 50_000])
+def test_crowded_buckets_equal_all_pairs(frame, monkeypatch, width, percent, known):
+    """Members of crowded buckets meet in their rarest elements, however few elements are known as common."""
+    monkeypatch.setattr(shingle_join, "CROWDED", 2)
+    monkeypatch.setattr(shingle_join, "ORDER_ELEMENTS", known)
+    docs = families(width + 30)
+    got = shingle_components(frame(docs, "doc_id long, text string"), width, percent).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == by_pairs(docs, width, percent)
+
+
 def test_small_star_makes_fewer_links_than_members():
     """Members of many components that all link with each other, and large sets that none links with."""
     rng = np.random.default_rng(4)
