@@ -33,7 +33,7 @@ RARITY = 0.25
 SPARE_PER_EMPTY = 5
 #: Members from which a bucket is crowded. So many sets, at most about, tell which elements are common among those of crowded
 #: buckets, and so many elements are known as common; both only order the elements, any order gives the same links.
-CROWDED, ORDER_SETS, ORDER_ELEMENTS = 256, 20_000, 50_000
+CROWDED, ORDER_SETS, ORDER_ELEMENTS = 256, 5_000, 50_000
 #: Kinds of buckets and hubs.
 HUB_KINDS = 8
 #: Cells of a set's sketch, small and large, and the size from which sets have the large one.
@@ -43,7 +43,7 @@ CELLS, LARGE_CELLS, LARGE_SET = 128, 1024, 1_500
 SMALL_STAR, STAR_ELEMENTS = 2_000, 2_000_000
 #: Members of a hub whose whole sets one task holds at a time.
 STAR_PART = 500
-#: A broadcast of ids is asked for up to this many rows (16 bytes each); beyond, Spark joins by shuffle.
+#: A broadcast of ids or pairs is asked for up to this many rows (16 to 32 bytes each); beyond, Spark joins by shuffle.
 BROADCAST_ROWS = 1_000_000
 _U = np.uint64
 
@@ -280,7 +280,7 @@ def _dealt_anew(buckets: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     n = nodes.count()
     if n == 0:
         return shared
-    sets = sets.join(F.broadcast(nodes) if n <= BROADCAST_ROWS else nodes, "fp", "left_semi").select("fp", "grams")
+    sets = sets.join(_light(nodes, n), "fp", "left_semi").select("fp", "grams")
     keyed = sets.mapInArrow(_rarest(_common_elements(sets, n), percent), "sig long, fp long")
     by_key = Window.partitionBy("sig").orderBy("fp")
     met = keyed.select("sig", "fp", F.lag("fp").over(by_key).alias("before"), F.lead("fp").over(by_key).alias("after"))
@@ -329,19 +329,22 @@ def _possible(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return fit.mapInArrow(_bounded(percent), "a long, b long")
 
 
+def _light(rows: DataFrame, n: int) -> DataFrame:
+    """Rows of ids, of which there are at most ``n``, marked for a broadcast where they are few: then no whole set moves to meet them."""
+    return F.broadcast(rows) if n <= BROADCAST_ROWS else rows
+
+
 def _verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """(a, b) of the pairs that link by their whole sets.
 
     The members' sets travel to their hub, the hub's once to each part of its star of at most about STAR_PART members.
     """
     fit = written(_possible(pairs, sets, percent), "possible")
+    n = fit.count()
     size = fit.groupBy("a").agg(F.ceil(F.count("*") / STAR_PART).cast("int").alias("parts"))
     salted = fit.join(size, "a").select("a", "b", F.pmod(F.xxhash64("b"), F.col("parts")).cast("int").alias("part"))
-    # Of the whole sets only those of the pairs at hand are read on.
-    nodes = written(fit.select(F.col("a").alias("fp")).union(fit.select("b")).distinct(), "nodes")
-    sets = sets.join(F.broadcast(nodes) if nodes.count() <= BROADCAST_ROWS else nodes, "fp", "left_semi")
-    members = salted.join(sets.select(F.col("fp").alias("b"), "grams"), "b").select("a", "part", "b", "grams")
-    hubs = size.join(sets.select(F.col("fp").alias("a"), F.col("grams").alias("hub_grams")), "a")
+    members = _light(salted, n).join(sets.select(F.col("fp").alias("b"), "grams"), "b").select("a", "part", "b", "grams")
+    hubs = _light(size, n).join(sets.select(F.col("fp").alias("a"), F.col("grams").alias("hub_grams")), "a")
     hubs = hubs.select(F.col("a").alias("hub"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("hub_part"), "hub_grams")
     met = members.groupBy("a", "part").cogroup(hubs.groupBy("hub", "hub_part"))
     return met.applyInArrow(_linked(percent), "a long, b long")
@@ -522,7 +525,7 @@ def shingle_components(docs: DataFrame, width: int = 3, percent: int = 90) -> Da
     small = named.join(torn.where(F.col("size") <= SMALL_STAR).select("hub"), "hub", "left_semi").join(sets.select("fp", "n", "cells"), "fp")
     near = written(small.groupBy("hub").applyInArrow(_near_members(percent), "hub long, fp long, label long, n long"), "near")
     heavy = near.groupBy("hub").agg(F.sum("n").alias("elements")).where(F.col("elements") > STAR_ELEMENTS).select("hub")
-    light = near.join(heavy, "hub", "left_anti").join(sets.select("fp", "cells", "grams"), "fp")
+    light = _light(near.join(heavy, "hub", "left_anti"), near.count()).join(sets.select("fp", "cells", "grams"), "fp")
     second = light.groupBy("hub").applyInArrow(_small_stars(percent), "a long, b long")
 
     large = named.join(torn.where(F.col("size") > SMALL_STAR).select("hub"), "hub", "left_semi").select("hub", "fp", "label")

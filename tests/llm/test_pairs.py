@@ -135,6 +135,28 @@ def test_crowded_buckets_equal_all_pairs(frame, monkeypatch, width, percent, kno
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == by_pairs(docs, width, percent)
 
 
+def star_rows(monkeypatch):
+    """Rows of each table of pairs of hub and member that is written from now on."""
+    rows, write = [], shingle_join.written
+
+    def counted(df, label):
+        out = write(df, label)
+        if label == "stars":
+            rows.append(out.count())
+        return out
+
+    monkeypatch.setattr(shingle_join, "written", counted)
+    return rows
+
+
+def test_a_common_passage_makes_no_star(frame, monkeypatch):
+    monkeypatch.setattr(shingle_join, "CROWDED", 16, raising=False)
+    rows, passage = star_rows(monkeypatch), " ".join(f"p{k}" for k in range(60))
+    docs = [(k, passage + "".join(f" x{k}.{i}" for i in range(30 + k % 5))) for k in range(500)]
+    got = shingle_components(frame(docs, "doc_id long, text string"), 5, 80).collect()
+    assert all(r.component_id == r.doc_id for r in got) and rows[0] <= len(docs)
+
+
 def test_small_star_makes_fewer_links_than_members():
     """Members of many components that all link with each other, and large sets that none links with."""
     rng = np.random.default_rng(4)
