@@ -11,9 +11,9 @@ a neighbourhood costs k + 1 probes with k - 1 shingles each.
 Copies of a set share a fingerprint and travel as one node. A crowded bucket, of a passage or a line that many unrelated
 sets hold, is dealt anew: its members meet in the rarest elements of their sets instead, by an exact prefix filter.
 Buckets never become pairs: a first pass verifies each bucket against its best connected member, its hub. Members that are
-still apart then meet by an exact prefix filter on their differences to the hub, so that a large family of near copies costs
-what its rare elements cost, not its square. Before any set moves, pairs are judged by their sketches: cell counts of the
-elements, whose smaller ones add up to a bound of the overlap.
+still apart then meet inside tasks, which return links between components and no pairs. A large family of near copies is dealt
+over several tasks first, which leaves few members apart; those meet all others, in blocks. Before any set moves, pairs are
+judged by their sketches: cell counts of the elements, whose smaller ones add up to a bound of the overlap.
 """
 
 from __future__ import annotations
@@ -39,8 +39,11 @@ HUB_KINDS = 8
 #: Cells of a set's sketch, small and large, and the size from which sets have the large one.
 CELLS, LARGE_CELLS, LARGE_SET = 128, 1024, 1_500
 #: Members of a hub that one task compares with each other by their sketches, and elements of those whose whole sets it then
-#: holds (8 bytes each); larger stars meet in their differences.
+#: holds (8 bytes each), at most about; a larger star is several tasks', which compare blocks of members with parts of the star.
 SMALL_STAR, STAR_ELEMENTS = 2_000, 2_000_000
+#: Rows of a block and a part of a large star.
+GROUP = ("hub", "block", "part", "fp", "label", "asks")
+GROUP_TYPES = "hub long, block int, part int, fp long, label long, asks boolean"
 #: Members of a hub whose whole sets one task holds at a time.
 STAR_PART = 500
 #: A broadcast of ids or pairs is asked for up to this many rows (16 to 32 bytes each); beyond, Spark joins by shuffle.
@@ -363,15 +366,21 @@ class _Star:
         n = table.column("n").to_numpy()
         self.order = np.argsort(n, kind="stable")
         self.n, self.labels = n[self.order], table.column("label").to_numpy()[self.order].copy()
+        self.asks = table.column("asks").to_numpy()[self.order] if "asks" in table.column_names else None
         cells = _sketches(table.column("cells"))
         self.cells = [cells[k] for k in self.order.tolist()]
         self.folded = _folded(self.cells)
         self.last = np.searchsorted(self.n, self.n * 100 // percent, "right")  # partners by size end here
 
     def partners(self, i: int, wanted: np.ndarray | None = None) -> np.ndarray:
-        """Later members of other labels, and of those in ``wanted``, that the sketches do not rule out as partners of ``i``."""
+        """Later members of other labels, and of those in ``wanted``, that the sketches do not rule out as partners of ``i``.
+
+        Where some members ask, only one that asks and one that does not are partners.
+        """
         j = np.arange(i + 1, self.last[i])
         j = j[self.labels[j] != self.labels[i]]
+        if self.asks is not None:
+            j = j[self.asks[j] != self.asks[i]]
         if wanted is not None:
             j = j[wanted[j]]
         least = np.minimum(self.folded[j], self.folded[i])
@@ -395,7 +404,7 @@ def _near_members(percent: int):
             j = star.partners(i, ~near if near[i] else None)
             near[j] = True
             near[i] |= len(j) > 0
-        return table.select(["hub", "fp", "label", "n"]).take(pa.array(np.sort(star.order[near])))
+        return table.drop_columns(["cells"]).take(pa.array(np.sort(star.order[near])))
 
     return run
 
@@ -425,47 +434,38 @@ def _small_stars(percent: int):
     return run
 
 
-def _with_sets(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    left, right = (sets.select(F.col("fp").alias(c), F.col("grams").alias(f"grams_{c}")) for c in "ab")
-    return pairs.join(left, "a").join(right, "b")
+def _named(star: DataFrame, links: DataFrame) -> DataFrame:
+    """(hub, fp, label) of the pairs of hub and member; the label is the component by these links, or the member itself."""
+    label = components(links).select(F.col("id").alias("fp"), F.col("component_id").alias("label"))
+    named = star.select(F.col("a").alias("hub"), F.col("b").alias("fp")).join(label, "fp", "left")
+    return written(named.select("hub", "fp", F.coalesce("label", "fp").alias("label")), "members")
 
 
-def _difference_prefixes(percent: int):
-    """Elements in which a member b differs from its hub a, as far as a link between two members must show in them.
+def _asked(members: DataFrame) -> DataFrame:
+    """Members (hub, fp, label, n) of large stars as rows of GROUP, in which any two of one hub and different labels meet.
 
-    With D the difference to the hub, c = (100 - percent) / (100 + percent) and v = |D| - c * size, two members link only
-    if their differences share at least (v + v') / 2 elements. A member off the hub has v > c * |hub|; one linked to it
-    needs partners off it, the others are in its component. So each has a least overlap o, and the first |D| - o + 1
-    elements, in one order for all members of the hub (elements outside the hub first), must meet the partner's. ``rest``
-    is how many elements follow; with the first common one it bounds the overlap of two members from above.
+    Those without their star's most frequent label ask, dealt over blocks; all members answer, dealt over parts. A block
+    meets each part once, so a star in which few members are still apart from the rest costs what it has members.
     """
-    c = (100 - percent) / (100 + percent)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            hubs, members, elements, rests, values = [], [], [], [], []
-            columns = [batch.column(k) for k in range(4)]
-            for hub, member, x, y in zip(columns[0].to_pylist(), columns[1].to_pylist(), columns[2], columns[3], strict=True):
-                h, z = np.frombuffer(x.as_buffer(), _U), np.frombuffer(y.as_buffer(), _U)
-                added, lost = np.setdiff1d(z, h, assume_unique=True), np.setdiff1d(h, z, assume_unique=True)
-                d = len(added) + len(lost)
-                v, reach = d - c * len(z), c * len(h)
-                both = len(z) - len(added)
-                if 100 * both >= percent * (len(z) + len(lost)):
-                    least = int(np.floor((reach + v) / 2 - 1e-9)) + 1
-                else:
-                    least = max(int(np.ceil((v - reach) / 2 - 1e-9)), int(np.ceil(v - c * len(z) * 100 / percent - 1e-9)))
-                prefix = np.concatenate([added, lost])[: max(0, d - max(1, least) + 1)]
-                elements.append(prefix.astype(np.int64))
-                hubs.append(np.full(len(prefix), hub, np.int64))
-                members.append(np.full(len(prefix), member, np.int64))
-                rests.append(d - 1 - np.arange(len(prefix)))
-                values.append(np.full(len(prefix), v))
-            if elements:
-                columns = {"hub": hubs, "fp": members, "element": elements, "rest": rests, "v": values}
-                yield pa.record_batch({name: np.concatenate(parts) for name, parts in columns.items()})
-
-    return run
+    share = lambda count, elements: F.ceil(F.greatest(count / SMALL_STAR, elements / STAR_ELEMENTS)).cast("int")
+    labels = members.groupBy("hub", "label").agg(F.count("*").alias("count"), F.sum("n").alias("elements"))
+    stars = labels.groupBy("hub").agg(F.sum("count").alias("count"), F.sum("elements").alias("elements"), F.max(F.struct("count", "label", "elements")).alias("most"))
+    blocks = share(F.col("count") - F.col("most.count"), F.col("elements") - F.col("most.elements")).alias("blocks")
+    stars = stars.select("hub", F.col("most.label").alias("most"), blocks, share(F.col("count"), F.col("elements")).alias("parts")).where("blocks > 0")
+    own, each = (lambda n: F.pmod(F.xxhash64("fp"), F.col(n)).cast("int")), (lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1)))
+    rows = members.join(stars, "hub")
+    asking = rows.where("label <> most").select("hub", own("blocks").alias("block"), each("parts").alias("part"), "fp", "label", F.lit(True).alias("asks"))
+    return asking.union(rows.select("hub", each("blocks").alias("block"), own("parts").alias("part"), "fp", "label", F.lit(False).alias("asks")))
+
+
+def _links_across(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links that make one component of what links among the members (hub, fp, label) of a hub, however many there are."""
+    met = _asked(members.withColumn("n", F.lit(1))).join(sets.select("fp", "n", "cells"), "fp").select(*GROUP, "n", "cells")
+    near = met.groupBy("hub", "block", "part").applyInArrow(_near_members(percent), f"{GROUP_TYPES}, n long")
+    near = written(near.select("hub", "fp", "label", "n").distinct(), "near")
+    asked = written(_asked(near), "asked")
+    whole = _light(asked, asked.count()).join(sets.select("fp", "n", "cells", "grams"), "fp").select(*GROUP, "n", "cells", "grams")
+    return whole.groupBy("hub", "block", "part").applyInArrow(_small_stars(percent), "a long, b long")
 
 
 def shingle_components(docs: DataFrame, width: int = 3, percent: int = 90) -> DataFrame:
@@ -515,34 +515,26 @@ def shingle_components(docs: DataFrame, width: int = 3, percent: int = 90) -> Da
     star = written(star, "stars")
     first = written(_verify(star, sets, percent), "links")
 
-    # Second pass: members of one hub whose components still differ. In a small star the sketches tell whose sets must meet
-    # in one task, which links them. Members of a large one differ from the hub in known elements, and two of them link only
-    # if those differences overlap, so they meet in rare elements instead of in the bucket.
-    label = components(first).select(F.col("id").alias("fp"), F.col("component_id").alias("label"))
-    named = star.select(F.col("a").alias("hub"), F.col("b").alias("fp")).join(label, "fp", "left")
-    named = written(named.select("hub", "fp", F.coalesce("label", "fp").alias("label")), "members")
-    torn = named.groupBy("hub").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count("*").alias("size")).where("low <> high")
-    small = named.join(torn.where(F.col("size") <= SMALL_STAR).select("hub"), "hub", "left_semi").join(sets.select("fp", "n", "cells"), "fp")
-    near = written(small.groupBy("hub").applyInArrow(_near_members(percent), "hub long, fp long, label long, n long"), "near")
-    heavy = near.groupBy("hub").agg(F.sum("n").alias("elements")).where(F.col("elements") > STAR_ELEMENTS).select("hub")
-    light = _light(near.join(heavy, "hub", "left_anti"), near.count()).join(sets.select("fp", "cells", "grams"), "fp")
-    second = light.groupBy("hub").applyInArrow(_small_stars(percent), "a long, b long")
-
-    large = named.join(torn.where(F.col("size") > SMALL_STAR).select("hub"), "hub", "left_semi").select("hub", "fp", "label")
-    large = written(large.union(near.join(heavy, "hub", "left_semi").select("hub", "fp", "label")), "large")
-    if large.head(1):
-        pairs = large.select(F.col("hub").alias("a"), F.col("fp").alias("b"))
-        full = _with_sets(pairs, sets).select("a", "b", "grams_a", "grams_b")
-        marks_of = full.mapInArrow(_difference_prefixes(percent), "hub long, fp long, element long, rest long, v double")
-        marks_of = written(marks_of.join(large, ["hub", "fp"]), "differences")
-        other = marks_of.toDF("hub", "fp2", "element", "rest2", "v2", "label2")
-        met = marks_of.join(other, ["hub", "element"]).where("fp < fp2 and label <> label2")
-        met = met.where("2 * (1 + least(rest, rest2)) >= v + v2 - 1e-6")
-        cross = met.select(F.col("fp").alias("a"), F.col("fp2").alias("b")).distinct()
-        second = second.union(_verify(cross, sets, percent))
-
+    # Second pass: members of one hub whose components still differ. The sketches tell whose sets must meet in one task, which
+    # links them. A large star is dealt over several tasks, which leaves few of a family apart from the rest of it.
+    named = _named(star, first)
+    parts = F.ceil(F.count("*") / SMALL_STAR).cast("int").alias("parts")
+    torn = named.groupBy("hub").agg(F.min("label").alias("low"), F.max("label").alias("high"), parts).where("low <> high")
+    dealt = named.join(torn.select("hub", "parts"), "hub").withColumn("part", F.pmod(F.xxhash64("fp"), F.col("parts")).cast("int"))
+    dealt = dealt.join(sets.select("fp", "n", "cells"), "fp").select("hub", "part", "fp", "label", "n", "cells")
+    near = written(dealt.groupBy("hub", "part").applyInArrow(_near_members(percent), "hub long, part int, fp long, label long, n long"), "near")
+    heavy = near.groupBy("hub", "part").agg(F.sum("n").alias("elements")).where(F.col("elements") > STAR_ELEMENTS).select("hub", "part")
+    light = _light(near.join(heavy, ["hub", "part"], "left_anti"), near.count()).join(sets.select("fp", "cells", "grams"), "fp")
+    second = light.groupBy("hub", "part").applyInArrow(_small_stars(percent), "a long, b long")
     # Written, so that no task runs the workers of this step and of the next at once.
     links = first.union(written(second, "second"))
+
+    # Third pass, of stars of several tasks: the members that are not of their star's largest component meet all others.
+    large = written(torn.where("parts > 1").select("hub").union(heavy.select("hub")).distinct(), "large")
+    if large.head(1):
+        again = _named(star.join(large.select(F.col("hub").alias("a")), "a", "left_semi"), links)
+        links = links.union(written(_links_across(again, sets, percent), "third"))
+
     label = components(links).select(F.col("id").alias("fp"), F.col("component_id").alias("label"))
     # Back to documents: equal sets are one class, linked classes one component.
     group = classes.join(label, "fp", "left").select("n_shingles", "fp", "fp2", "least_id", F.coalesce("label", "fp").alias("label"))

@@ -157,6 +157,48 @@ def test_a_common_passage_makes_no_star(frame, monkeypatch):
     assert all(r.component_id == r.doc_id for r in got) and rows[0] <= len(docs)
 
 
+def family(n, seed=1):
+    """Copies of one text, each with a few words of its own; most have partners, some have none."""
+    rng = random.Random(seed)
+    base, docs = [f"w{k}" for k in range(150)], []
+    for i in range(n):
+        words = list(base)
+        for k in range(rng.choice([1, 2, 2, 3, 4])):
+            words[rng.randrange(150)] = f"own{i}.{k}"
+        docs.append((i, " ".join(words)))
+    return docs
+
+
+def test_a_large_family_makes_no_pairs(frame, monkeypatch):
+    """A star of several tasks hands on no pairs of its members, whose number would grow with its square."""
+    monkeypatch.setattr(shingle_join, "SMALL_STAR", 40)
+    pairs, possible = [], shingle_join._possible
+
+    def counted(rows, *rest):
+        pairs.append(rows.count())
+        return possible(rows, *rest)
+
+    monkeypatch.setattr(shingle_join, "_possible", counted)
+    docs = family(300)
+    got = shingle_components(frame(docs, "doc_id long, text string"), 5, 80).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == by_pairs(docs, 5, 80)
+    assert len(pairs) == 1, "pairs other than those of hub and member"
+
+
+def test_members_of_large_stars_meet(frame, monkeypatch):
+    """Any two of different labels meet, as one that asks and one that does not; a few apart from the rest cost few rows."""
+    monkeypatch.setattr(shingle_join, "SMALL_STAR", 20)
+    apart = {1: 200, 2: 10, 3: 0}
+    rows = [(hub, 1000 * hub + k, k if k < n else 777, 1) for hub, n in apart.items() for k in range(200)]
+    groups = {}
+    for r in shingle_join._asked(frame(rows, "hub long, fp long, label long, n long")).collect():
+        groups.setdefault((r.hub, r.block, r.part), []).append(r)
+    met = {(x.fp, y.fp) for g in groups.values() for x in g for y in g if x.asks and not y.asks}
+    want = {frozenset((x[1], y[1])) for x in rows for y in rows if x[0] == y[0] and x[2] != y[2]}
+    assert want <= {frozenset(p) for p in met} and {hub for hub, _, _ in groups} == {1, 2}
+    assert sum(len(g) for key, g in groups.items() if key[0] == 2) == 200 + 10 * 10
+
+
 def test_small_star_makes_fewer_links_than_members():
     """Members of many components that all link with each other, and large sets that none links with."""
     rng = np.random.default_rng(4)
