@@ -33,7 +33,7 @@ RARITY = 0.25
 SPARE_PER_EMPTY = 5
 #: Members from which a bucket is crowded. So many sets, at most about, tell which elements are common among those of crowded
 #: buckets, and so many elements are known as common; both only order the elements, any order gives the same links.
-CROWDED, ORDER_SETS, ORDER_ELEMENTS = 256, 5_000, 50_000
+CROWDED, ORDER_SETS, ORDER_ELEMENTS, ORDER_TASKS = 256, 5_000, 50_000, 8
 #: Kinds of buckets and hubs.
 HUB_KINDS = 8
 #: Cells of a set's sketch, small and large, and the size from which sets have the large one.
@@ -238,17 +238,29 @@ def _sets(width: int):
     return run
 
 
-def _elements(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _held_twice(sets: list[np.ndarray]) -> pa.RecordBatch:
+    values, n = np.unique(np.concatenate([np.empty(0, np.int64), *sets]), return_counts=True)
+    return pa.record_batch({"element": values[n > 1], "n": n[n > 1]})
+
+
+def _repeated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Elements that several of a task's sets hold, and how many do; those of one set, which are most, do not leave the task."""
+    sets, held = [], 0
     for batch in batches:
         for part in batch.column("grams"):
-            yield pa.record_batch({"element": pa.array(np.frombuffer(part.as_buffer(), np.int64))})
+            sets.append(np.frombuffer(part.as_buffer(), np.int64))
+            held += len(sets[-1])
+            if held > STAR_ELEMENTS:
+                yield _held_twice(sets)
+                sets, held = [], 0
+    yield _held_twice(sets)
 
 
 def _common_elements(sets: DataFrame, n_sets: int) -> list[int]:
-    """Elements that several of at most about ORDER_SETS sets hold, the rarest first; at most ORDER_ELEMENTS."""
-    some = sets.where(F.pmod("fp", F.lit(-(-n_sets // ORDER_SETS))) == 0).select("grams")
-    counts = some.mapInArrow(_elements, "element long").groupBy("element").count().where("count > 1")
-    return [r.element for r in counts.orderBy(F.desc("count"), "element").limit(ORDER_ELEMENTS).collect()][::-1]
+    """Elements that several of at most about ORDER_SETS sets hold, in one of ORDER_TASKS tasks, the rarest first; at most ORDER_ELEMENTS."""
+    some = sets.where(F.pmod("fp", F.lit(-(-n_sets // ORDER_SETS))) == 0).select("grams").repartition(ORDER_TASKS)
+    counts = some.mapInArrow(_repeated, "element long, n long").groupBy("element").agg(F.sum("n").alias("n"))
+    return [r.element for r in counts.orderBy(F.desc("n"), "element").limit(ORDER_ELEMENTS).collect()][::-1]
 
 
 def _rarest(common: list[int], percent: int):

@@ -157,6 +157,19 @@ def test_a_common_passage_makes_no_star(frame, monkeypatch):
     assert all(r.component_id == r.doc_id for r in got) and rows[0] <= len(docs)
 
 
+def test_only_repeated_elements_leave_a_task(monkeypatch):
+    """Of sets with a passage in common and elements of their own, the passage is counted and no other row is made."""
+    sets = [np.concatenate([np.arange(60), 1000 * (k + 1) + np.arange(100)]) for k in range(400)]
+    batch = pa.record_batch({"grams": pa.array([x.astype(np.int64).tobytes() for x in sets], pa.binary())})
+    rows = pa.Table.from_batches(shingle_join._repeated(iter([batch]))).to_pydict()
+    assert rows == {"element": list(range(60)), "n": [400] * 60}
+    monkeypatch.setattr(shingle_join, "STAR_ELEMENTS", 9_000)
+    parts = list(shingle_join._repeated(iter([batch])))
+    # 57 sets at a time, and the last of the 400 alone, whose elements none of its part repeats
+    assert len(parts) == 8 and sum(sum(p.column("n").to_pylist()) for p in parts) == 399 * 60
+    assert sum(p.num_rows for p in shingle_join._repeated(iter([]))) == 0
+
+
 def family(n, seed=1):
     """Copies of one text, each with a few words of its own; most have partners, some have none."""
     rng = random.Random(seed)
